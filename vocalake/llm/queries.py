@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from vocalake.llm import byte_bpe, jaccard_join, matroska, packing, quality_rules, run_length_index, url_filter
+from vocalake.llm import byte_bpe, fm_quality, jaccard_join, matroska, packing, quality_rules, run_length_index, url_filter, weak_toxicity
 
 QUERIES = {
+    "op1_fm_quality": fm_quality.op1_fm_quality,
     "op2_packing": packing.op2_packing,
     "op3_byte_bpe": byte_bpe.op3_byte_bpe,
     "op4_quality_rules": quality_rules.op4_quality_rules,
+    "op5_weak_toxicity": weak_toxicity.op5_weak_toxicity,
     "op6_url_filter": url_filter.op6_url_filter,
     "op7_run_length_index": run_length_index.op7_run_length_index,
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
