@@ -9,11 +9,11 @@ from vocalake.llm.common import held_out
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
-    """doc_id, text, label (0 or 1), and n_chars of at most `most` labelled rows that may be learned from, chosen by a hash of the id.
+    """doc_id, text, n_chars (if docs have it) and label (0 or 1) of at most `most` labelled rows that may be learned from, chosen by a hash of the id.
 
     The ids are chosen before any text is read; that table has `most` rows at most, so it is broadcast. An id with both
     labels counts as 1; null ids and labels, and labels without a document, are left out.
     """
     known = labels.where(f"doc_id is not null and `{label}` in (0, 1)").where(~held_out()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.select("doc_id", "text", "n_chars").join(F.broadcast(chosen), "doc_id")
+    return docs.select(*[c for c in ("doc_id", "text", "n_chars") if c in docs.columns]).join(F.broadcast(chosen), "doc_id")
