@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +60,28 @@ def by_parts(batches: Iterator[pa.RecordBatch], name: str = "text", most: int =
             yield batch.slice(start)
 
 
+def groups(batches: Iterator[pa.RecordBatch], names: list[str], least: int, weight) -> Iterator[list[np.ndarray]]:
+    """Columns of whole groups of the first name (rows come sorted by it), some groups at a time: `least` in weight, or what is left."""
+    held: list[list] = []
+    total = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append([batch.column(c).to_numpy(zero_copy_only=False) for c in names])
+        total += weight(held[-1])
+        if total >= least:
+            rows = [np.concatenate(c) for c in zip(*held)]
+            cut = int(np.searchsorted(rows[0], rows[0][-1], "left"))
+            if cut:
+                yield [c[:cut] for c in rows]
+            held = [[c[cut:] for c in rows]]
+            total = weight(held[0])
+    if held:
+        rows = [np.concatenate(c) for c in zip(*held)]
+        if len(rows[0]):
+            yield rows
+
+
 class Memo(dict):
     """A dict that fills itself by `make` and starts anew when it holds `most` entries; only a cache, results never depend on it."""
 

@@ -28,10 +28,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from vocalake.llm.common import by_parts, stored, table
+from vocalake.llm.common import by_parts, groups, stored, table
 
 LENGTH, GRAM = 100, 16
 #: Bytes of text in one numpy pass, of strings in one index, strings between two looks for repeats in a task.
@@ -132,34 +133,12 @@ def strings(docs: DataFrame) -> DataFrame:
     return keyed(docs).mapInArrow(run, FOUND)
 
 
-def _groups(batches: Iterator[pa.RecordBatch], names: list[str], least: int, weight) -> Iterator[list[np.ndarray]]:
-    """Columns of whole groups of the first name (rows come sorted by it), some groups at a time: `least` in weight, or what is left."""
-    held: list[list] = []
-    total = 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append([batch.column(c).to_numpy(zero_copy_only=False) for c in names])
-        total += weight(held[-1])
-        if total >= least:
-            rows = [np.concatenate(c) for c in zip(*held)]
-            cut = int(np.searchsorted(rows[0], rows[0][-1], "left"))
-            if cut:
-                yield [c[:cut] for c in rows]
-            held = [[c[cut:] for c in rows]]
-            total = weight(held[0])
-    if held:
-        rows = [np.concatenate(c) for c in zip(*held)]
-        if len(rows[0]):
-            yield rows
-
-
 def sorted_out(found: DataFrame) -> DataFrame:
     """doc, place, windows, mini, remove: removals (whole strings seen earlier), and strings asked for."""
     names = ["mini", "doc", "place", "windows", "whole", "again"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for mini, doc, place, n, whole, again in _groups(batches, names, 200_000, lambda c: len(c[0])):
+        for mini, doc, place, n, whole, again in groups(batches, names, 200_000, lambda c: len(c[0])):
             done, rest = again, ~again
             rows = [c[rest] for c in (mini, whole, doc, place, n)]
             order = np.lexsort((rows[3], rows[3] & PLACE, rows[2], rows[1], rows[0]))
@@ -180,60 +159,60 @@ def sorted_out(found: DataFrame) -> DataFrame:
 class RunLengthIndex:
     """Samples at the ends of the runs of a text's Burrows-Wheeler transform."""
 
-    def __init__(self, text: bytes):
-        n = len(text)
-        self.n = n
+    def __init__(self, text: bytes, least: int = LENGTH):
+        """least: matches shorter than that need not be told from none."""
+        n = self.n = len(text)
         padded = np.frombuffer(text + b"\0" * 8, np.uint8)
-        rank = np.lib.stride_tricks.sliding_window_view(padded, 8)[:n].copy().view(">u8").ravel().astype(np.uint64)
-        short = np.minimum(np.arange(n, 0, -1), 8)  # a suffix that ends is smaller than one that goes on with zero bytes
+        key = np.lib.stride_tricks.sliding_window_view(padded, 8)[:n].copy().view(">u8").ravel().astype(np.uint64)
+        order = np.argsort(key, kind="stable")
+        head = _first_of([key[order]])
+        place = np.empty(n, np.int64)
+        place[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
         levels, step = [], 8
-        order = np.lexsort((short, rank))
-        new = _first_of([rank[order], short[order]])
-        while True:
-            place = np.empty(n, np.int64)
-            place[order] = np.cumsum(new)
-            if new.all():
+        while True:  # suffixes that agree so far are told apart by what follows `step` bytes on
+            tied = np.flatnonzero(~(head & np.append(head[1:], True)))
+            if not len(tied):
                 break
-            levels.append((step, place))
-            after = np.zeros(n, np.int64)
-            after[:-step] = place[step:] if step < n else 0
-            key = place * (n + 1) + after
-            order = np.argsort(key, kind="stable")
-            new = _first_of([key[order]])
+            levels.append((step, place.copy()))
+            own = order[tied]
+            further = own + step
+            after = np.where(further < n, place[np.minimum(further, n - 1)], n - 1 - further)  # what ends is smaller, and sooner smaller still
+            group = place[own]
+            by = np.lexsort((after, group))
+            own, after = own[by], after[by]
+            order[tied] = own
+            head[tied] |= _first_of([group, after])
+            place[own] = np.maximum.accumulate(np.where(head[tied], tied, 0))
             step *= 2
         before = padded[order - 1].astype(np.int16)
         before[order == 0] = -1
         heads = np.flatnonzero(_first_of([before]))
         self.runs = len(heads)
-        #: Of each run's first suffix: its place, that of the suffix sorted before it, and their common prefix.
-        self.place, self.previous = order[heads], order[heads - 1]
-        a, b = self.place.copy(), self.previous.copy()
-        common = np.zeros(len(heads), np.int64)
-        for step, place in reversed(levels):
-            inside = (a < n) & (b < n)
-            same = np.zeros(len(a), bool)
-            same[inside] = place[a[inside]] == place[b[inside]]
-            a[same] += step
-            b[same] += step
-            common[same] += step
-        for _ in range(8):
-            inside = (a < n) & (b < n)
-            same = np.zeros(len(a), bool)
-            same[inside] = padded[a[inside]] == padded[b[inside]]
-            a[~same], b[~same] = n, n
-            a[same] += 1
-            b[same] += 1
-            common[same] += 1
-        common[0] = 0  # the smallest suffix has none before it
-        self.common = common
+        #: Of each run's first suffix: its place, that of the suffix sorted before it, and their common prefix (0 if below `least`).
+        self.place, self.previous, self.common = order[heads], order[heads - 1], np.zeros(len(heads), np.int64)
+        rough = max((x for x in levels if x[0] <= least), key=lambda x: x[0], default=None)
+        if rough:
+            long = np.flatnonzero((rough[1][self.place] == rough[1][self.previous]) & (heads > 0))
+            a, b, common = self.place[long], self.previous[long], np.zeros(len(long), np.int64)
+            for step, at in [*reversed(levels), *[(1, padded)] * 8]:
+                same = (a < n) & (b < n)
+                same[same] = at[a[same]] == at[b[same]]
+                a[same] += step
+                b[same] += step
+                common[same] += step
+                if step == 1:
+                    a[~same] = n
+            self.common[long] = np.where(common >= least, common, 0)
 
     def statistics(self) -> tuple[np.ndarray, np.ndarray]:
-        """Of each place of the text: where the suffix sorted before it begins, and the length of the match with it."""
-        order = np.argsort(self.place)
-        place, previous, common = self.place[order], self.previous[order], self.common[order]
-        sample = np.searchsorted(place, np.arange(self.n), "right") - 1
-        gone = np.arange(self.n) - place[sample]
-        return previous[sample] + gone, common[sample] - gone
+        """Of each place of the text: where the suffix sorted before it begins, and the length of the match with it (exact from `least` on)."""
+        sample = np.zeros(self.n, np.int64)
+        at = np.full(self.n, -1)
+        at[self.place] = np.arange(len(self.place))
+        began = np.maximum.accumulate(np.where(at >= 0, np.arange(self.n), 0))
+        sample = at[began]
+        gone = np.arange(self.n) - began
+        return self.previous[sample] + gone, self.common[sample] - gone
 
 
 def repeats(texts: list[bytes], doc: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -242,21 +221,29 @@ def repeats(texts: list[bytes], doc: np.ndarray, place: np.ndarray) -> np.ndarra
     starts = np.cumsum(lengths) - lengths
     back, match = RunLengthIndex(b"\0".join(texts) + b"\0").statistics()
     n = int(lengths.sum())
-    owner = np.repeat(np.arange(len(texts)), lengths)
-    offset = np.arange(n) - starts[owner]
-    valid = offset <= lengths[owner] - 1 - LENGTH
-    link = np.where(match >= LENGTH, back, np.arange(n))
+    out = np.zeros(n, bool)
+    long = np.flatnonzero(match >= LENGTH)
+    if not len(long):
+        return out
+    link = np.arange(n)
+    link[long] = back[long]
     while True:
-        further = link[link]
-        if (further == link).all():
+        further = link[link[long]]
+        if (further == link[long]).all():
             break
-        link = further
+        link[long] = further
+    at = np.union1d(long, link[long])
+    owner = np.searchsorted(starts, at, "right") - 1
+    offset = at - starts[owner]
+    valid = offset <= lengths[owner] - 1 - LENGTH
+    at, owner, offset = at[valid], owner[valid], offset[valid]
     first = np.full(n, n)
-    at = np.flatnonzero(valid)
     np.minimum.at(first, link[at], at)
-    head = np.where(valid, first[link], 0)
-    where = (place & PLACE)[owner] + offset
-    return valid & (head < np.arange(n)) & ((doc[owner] != doc[owner[head]]) | (where != where[head]))
+    head = first[link[at]]
+    head_owner = np.searchsorted(starts, head, "right") - 1
+    where, head_where = (place[owner] & PLACE) + offset, (place[head_owner] & PLACE) + head - starts[head_owner]
+    out[at] = (head < at) & ((doc[owner] != doc[head_owner]) | (where != head_where))
+    return out
 
 
 def index_repeats(docs: DataFrame, asked: DataFrame) -> DataFrame:
@@ -272,7 +259,7 @@ def index_repeats(docs: DataFrame, asked: DataFrame) -> DataFrame:
     cuts = keyed(docs).join(wanted, ["doc", "twin"]).select("doc", "text", "asked").mapInArrow(cut, "mini bigint, doc bigint, place bigint, bytes binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for mini, doc, place, text in _groups(batches, ["mini", "doc", "place", "bytes"], INDEX, lambda c: sum(map(len, c[3]))):
+        for mini, doc, place, text in groups(batches, ["mini", "doc", "place", "bytes"], INDEX, lambda c: sum(map(len, c[3]))):
             order = np.lexsort((place, place & PLACE, doc, mini))
             doc, place, text = doc[order], place[order], text[order]
             marked = repeats(text.tolist(), doc, place)
@@ -327,17 +314,15 @@ def _whole_characters(text: bytes, cut: list[tuple[int, int]]) -> list[tuple[int
 def deduplicated(docs: DataFrame) -> DataFrame:
     """docs with what repeats removed from text (whole characters only); a text of which nothing is left stays as an empty one."""
 
-    @F.pandas_udf("string")
-    def kept(text, removed):
-        import pandas as pd
-
-        return pd.Series([without(t, _whole_characters(t, spans(r))).decode("utf-8", "replace") for t, r in zip(text, removed if removed is not None else [None] * len(text))])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_parts(batches):
+            out = [without(t, _whole_characters(t, spans(r))).decode("utf-8", "replace") for t, r in zip(batch.column("text").to_pylist(), batch.column("removed").to_pylist())]
+            yield pa.record_batch([batch.column("_row"), pa.array(out, pa.string())], ["_row", "text"])
 
-    others = [c for c in docs.columns if c != "text"]
-    row = docs.withColumn("_row", F.struct(*others)) if others else docs.withColumn("_row", F.struct(F.lit(0)))
-    out = with_removals(row, "_row")
-    text = F.when(F.col("removed").isNull(), F.decode("text", "UTF-8")).otherwise(kept("text", "removed"))
-    return out.select(*[F.col("_row")[c].alias(c) if c != "text" else text.alias("text") for c in docs.columns])
+    row = docs.select("doc_id", "text", F.struct(*[c for c in docs.columns if c != "text"]).alias("_row"))
+    out = with_removals(row, "_row").select("_row", "text", "removed")
+    kind = StructType([out.schema["_row"], StructField("text", StringType())])
+    return out.mapInArrow(run, kind).select(*["text" if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 def op7_run_length_index(spark, sf_dir: str) -> DataFrame:
