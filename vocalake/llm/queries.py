@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vocalake.llm import byte_bpe, fm_quality, jaccard_join, matroska, packing, quality_rules, run_length_index, url_filter, weak_toxicity
+from vocalake.llm import byte_bpe, fm_quality, jaccard_join, lm_scoring, matroska, packing, quality_rules, run_length_index, url_filter, weak_toxicity
 
 QUERIES = {
     "op1_fm_quality": fm_quality.op1_fm_quality,
@@ -13,7 +13,8 @@ QUERIES = {
     "op6_url_filter": url_filter.op6_url_filter,
     "op7_run_length_index": run_length_index.op7_run_length_index,
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
+    "op9_lm_scoring": lm_scoring.op9_lm_scoring,
     "op10_matroska": matroska.op10_matroska,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_lm_scoring": lm_scoring.SQL}
