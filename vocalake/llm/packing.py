@@ -12,6 +12,7 @@ packed whole; ties go by doc_id, start, digest; other columns are left alone.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -31,7 +32,14 @@ ROWS_A_SALT = 1_000_000
 
 
 class WordTokenizer:
-    """Ids of whole texts. The tokenizer drops white space and joins nothing across it, so runs between spaces can be cached."""
+    """Ids of whole texts. The tokenizer drops white space and joins nothing across it, so runs between spaces can be cached.
+
+    Most runs are Latin letters with ASCII marks after them, which it always parts; the letters then go to its model as
+    they are after its own steps (lower case, bytes as letters), and are cached without regard to case and marks. All
+    other runs go through all of its steps.
+    """
+
+    simple = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
 
     def __init__(self, path: str):
         with open(path) as f:
@@ -42,22 +50,35 @@ class WordTokenizer:
 
     def ready(self) -> WordTokenizer:
         if not hasattr(self, "chunks"):
-            tokenizer = Tokenizer.from_str(self.spec)
-            tokenizer.encode_special_tokens = True
-            self.many = tokenizer.encode_batch_fast
-            self.chunks = Memo(None, 700_000)
+            self.tokenizer = Tokenizer.from_str(self.spec)
+            self.tokenizer.encode_special_tokens = True
+            self.model = self.tokenizer.model
+            # How byte-level tokenizers write bytes: printable Latin-1 as itself, the others in order from U+0100 on.
+            shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+            self.letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
+            self.chunks = Memo(self.of_chunk, 900_000)
         return self
 
-    def ids(self, batch: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit integers."""
-        known, words = self.chunks, [x.replace("\n", " ").split(" ") for x in batch]
-        new = list({w for x in words for w in x if w not in known})
-        if len(known) + len(new) > known.most:
-            known.clear()
-            new = list({w for x in words for w in x})
-        for w, e in zip(new, self.many(new, add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, x)) for x in words]
+    def of_any(self, chunk: str) -> bytes:
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def of_word(self, word: str) -> bytes:
+        spelt = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(spelt)])
+
+    def of_chunk(self, chunk: str) -> bytes:
+        m = self.simple(chunk)
+        if m is None:
+            return self.of_any(chunk) if chunk else b""
+        word, marks = m.groups()
+        low = word.lower()
+        if not marks:
+            return self.of_word(low) if low == word else self.chunks[low]
+        return self.chunks[low] + self.chunks[marks]
+
+    def ids(self, text: str) -> bytes:
+        """A text's ids as little-endian unsigned 32-bit integers."""
+        return b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def cuts(n: int, size: int = SIZE, grain: int = GRAIN) -> list[int]:
@@ -75,8 +96,8 @@ def pieces(docs: DataFrame, path: str | None = None, size: int = SIZE, grain: in
         t, end = tokenizer.value.ready(), END_ID.to_bytes(4, "little")
         for batch in by_parts(batches):
             rows = []
-            for k, ids in zip(batch.column("doc_id").to_pylist(), t.ids(texts(batch)), strict=True):
-                ids, start = ids + end, 0
+            for k, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
+                ids, start = t.ids(text) + end, 0
                 for n in cuts(len(ids) // 4, size, grain):
                     rows.append((k, start, n, zlib.crc32(ids[4 * start : 4 * (start + n)]), len(ids) // 4))
                     start += n
