@@ -6,13 +6,13 @@ Steps, each a Spark job whose result is a table:
    on one representative stands for each class, so copies are never paired.
 2. `frequencies`: how often each n-gram occurs, folded to a fixed number of cells. It orders n-grams, rarest first; any
    total order gives the same links, a good one gives short lists.
-3. `prefixes`: by the prefix filter, two linked sets share an n-gram among the rarest few of each. Rows are joined on
-   that n-gram; within an n-gram's list sorted by size, neighbours that pass the length filter are chained, and chains
-   that meet form clusters. Linked sets always fall in one cluster; most documents have none.
+3. `prefixes`, `candidates`: by the prefix filter, two linked sets share an n-gram among the rarest few of each. Sets
+   meet in the lists of these n-grams, where pairs must pass the length, positional and suffix filters (the suffix filter
+   compares counts of both sets within fixed ranges of hashes). What passes is united in the task, and only a forest of
+   each list leaves it. Sets that the forests connect are a cluster: linked sets always are, most documents have none.
 4. `links`: clusters are dealt in blocks of bounded size, each pair of blocks once. In a block, pairs that share a prefix
-   n-gram pass the length, positional and suffix filters (the suffix filter compares counts of both sets within fixed
-   ranges of hashes), and each is verified once on whole sets, unless both are known to be connected already. A forest
-   of links leaves the task, never all pairs of a group.
+   n-gram pass the same filters, and each is verified once on whole sets, unless both are known to be connected
+   already. Again a forest leaves the task, never all pairs of a group.
 5. Components of the links, and back to all documents by class.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is its own component; a text with fewer
@@ -31,14 +31,17 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vocalake.llm.common import Memo, by_parts, stored, table, texts
+from vocalake.llm.common import SPACES, by_parts, groups, stored, table, texts
 from vocalake.llm.graph import components
 
 CELLS = 1 << 18
 BLOCK = 512
-RANGES = 32
+_EDGES = np.arange(16, dtype=np.uint64) << np.uint64(60)
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
-_words: Memo | None = None
+_AT = np.random.default_rng(7).integers(1, 1 << 63, 4096, np.int64).astype(np.uint64) | np.uint64(1)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_IS_SPACE = np.isin(np.arange(256), list(SPACES.encode()))
 
 
 def _scrambled(x: np.ndarray) -> np.ndarray:
@@ -47,37 +50,50 @@ def _scrambled(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def shingles(batch: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each text its distinct n-grams as 64-bit hashes: (owner, hash), sorted."""
-    global _words
-    if _words is None:
-        _words = Memo(xxhash.xxh3_64_intdigest, 400_000)
-    words = [x.encode().lower().split() for x in batch]
-    sizes = np.array([len(w) for w in words], np.int64)
-    flat = np.fromiter((_words[x] for w in words for x in w), np.uint64, int(sizes.sum()))
-    starts = np.cumsum(sizes) - sizes
-    owner = np.repeat(np.arange(len(words)), sizes)
-    last = np.repeat(starts + sizes, sizes)
-    h = np.zeros(len(flat), np.uint64)
-    at = np.arange(len(flat))
-    for k in range(n):
-        inside = at + k < last
-        h[inside] += flat[at[inside] + k] * _MIX[k]
-        h = _scrambled(h + np.uint64(k + 1)) if k < n - 1 else h
-    whole = (sizes >= 1) & (sizes < n)  # its first window, which ends with the text; the number of words keeps lengths apart
-    keep = at + n <= last
-    keep[starts[whole]] = True
-    h[starts[whole]] += sizes[whole].astype(np.uint64)
-    h, owner = _scrambled(h)[keep], owner[keep]
-    order = np.lexsort((h, owner))
-    h, owner = h[order], owner[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-    return owner[new], h[new]
-
-
-def _bounds(owner: np.ndarray, rows: int) -> np.ndarray:
-    return np.searchsorted(owner, np.arange(rows + 1))
+def _word_hashes(batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words, and the number of words of each text. A hash is a sum over bytes, each times a random number for its place."""
+    raw = [x.encode() for x in batch]
+    data = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
+    space = _IS_SPACE[data]
+    before = np.ones(len(data), bool)
+    before[1:] = space[:-1]
+    starts = np.flatnonzero(before & ~space)
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(len(batch), np.int64)
+    at = np.arange(len(data)) - np.repeat(np.append(0, starts), np.diff(np.concatenate([[0], starts, [len(data)]])))
+    value = (_LOWER[data].astype(np.uint64) + np.uint64(1)) * _AT[at & 4095] * (2 * (at >> 12) + 1).astype(np.uint64)
+    value[space] = 0
+    ends = np.cumsum([len(r) + 1 for r in raw])
+    return _scrambled(np.add.reduceat(value, starts)), np.diff(np.searchsorted(starts, ends), prepend=0)
+
+
+def shingles(batch: list[str], n: int) -> list[np.ndarray]:
+    """For each text its distinct n-grams as 64-bit hashes, sorted."""
+    flat, sizes = _word_hashes(batch)
+    h = flat[: max(0, len(flat) - n + 1)] * _MIX[0]
+    for k in range(1, n):
+        h = _scrambled(h + flat[k : k + len(h)] * _MIX[k])
+    out, at = [], 0
+    for size in sizes.tolist():
+        if size >= n:
+            own = np.sort(h[at : at + size - n + 1])
+            new = np.ones(len(own), bool)
+            np.not_equal(own[1:], own[:-1], out=new[1:])
+            out.append(own[new])
+        elif size:  # the whole sequence; the number of words keeps lengths apart
+            own = np.zeros(1, np.uint64)
+            for k in range(size):
+                own = _scrambled(own + flat[at + k] * _MIX[k])
+            out.append(_scrambled(own + np.uint64(size)))
+        else:
+            out.append(flat[:0])
+        at += size
+    return out
+
+
+def _signature(own: np.ndarray) -> tuple[int, int]:
+    mark = xxhash.xxh3_128_digest(own)
+    return int.from_bytes(mark[:8], "little", signed=True), int.from_bytes(mark[8:], "little", signed=True)
 
 
 def profiles(docs: DataFrame, n: int) -> DataFrame:
@@ -85,23 +101,25 @@ def profiles(docs: DataFrame, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_parts(batches):
-            owner, h = shingles(texts(batch), n)
-            at = _bounds(owner, batch.num_rows)
-            marks = [xxhash.xxh3_128_intdigest(h[a:b]) for a, b in zip(at, at[1:])]
-            half = lambda s: pa.array(np.array([m >> s & (1 << 64) - 1 for m in marks], np.uint64).view(np.int64))
-            yield pa.record_batch([batch.column("doc_id"), pa.array(np.diff(at)), half(0), half(64)], ["doc_id", "n_shingles", "s1", "s2"])
+            sets = shingles(texts(batch), n)
+            marks = [_signature(x) for x in sets]
+            yield pa.record_batch([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in ([len(x) for x in sets], [m[0] for m in marks], [m[1] for m in marks]))], ["doc_id", "n_shingles", "s1", "s2"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint")
 
 
+def _cells(h: np.ndarray) -> np.ndarray:
+    return (h & np.uint64(CELLS - 1)).astype(np.int64)
+
+
 def frequencies(docs: DataFrame, n: int) -> np.ndarray:
     """Occurrences of n-grams in sets, by cell of their hash; `CELLS` numbers, whatever the input."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CELLS, np.int64)
         for batch in by_parts(batches):
-            _, h = shingles(texts(batch), n)
-            total += np.bincount((h % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+            if batch.num_rows:
+                total += np.bincount(_cells(np.concatenate(shingles(texts(batch), n))), minlength=CELLS)
         found = np.flatnonzero(total)
         yield pa.record_batch([pa.array(found.astype(np.int32)), pa.array(total[found])], ["cell", "n"])
 
@@ -111,9 +129,9 @@ def frequencies(docs: DataFrame, n: int) -> np.ndarray:
     return out
 
 
-def _ordered(owner: np.ndarray, h: np.ndarray, often: np.ndarray) -> np.ndarray:
-    """Each set's n-grams, rarest first."""
-    return h[np.lexsort((h, often[(h % np.uint64(CELLS)).astype(np.int64)], owner))]
+def _ordered(own: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """A set's n-grams, rarest first; ties by hash."""
+    return own[np.argsort(often[_cells(own)], kind="stable")]
 
 
 def prefix_size(n, percent: int):
@@ -121,27 +139,67 @@ def prefix_size(n, percent: int):
     return n - -(-percent * n // 100) + 1
 
 
+def _ranges(own: np.ndarray) -> np.ndarray:
+    """Counts of a set's n-grams within 16 equal ranges of hashes, up to 255."""
+    return np.minimum(np.diff(np.searchsorted(own, _EDGES), append=len(own)), 255).astype(np.uint8)
+
+
 def prefixes(docs: DataFrame, n: int, percent: int, often) -> DataFrame:
-    """gram, s1, size: the first n-grams of each set; `often` is a broadcast of `frequencies`."""
+    """gram, s1, size, place, r1, r2: the first n-grams of each set, and its counts by range; `often` is a broadcast of `frequencies`. Equal sets of a task appear once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in by_parts(batches):
-            owner, h = shingles(texts(batch), n)
-            at = _bounds(owner, batch.num_rows)
-            first = np.arange(len(h)) - at[owner] < prefix_size(np.diff(at), percent)[owner]
-            marks = np.array([xxhash.xxh3_128_intdigest(h[a:b]) & (1 << 64) - 1 for a, b in zip(at, at[1:])], np.uint64).view(np.int64)
-            h, owner = _ordered(owner, h, often.value)[first], owner[first]
-            yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(marks[owner]), pa.array(np.diff(at)[owner].astype(np.int32))], ["gram", "s1", "size"])
-
-    return docs.select("text").mapInArrow(run, "gram bigint, s1 bigint, size int")
-
+            rows = []
+            for own in shingles(texts(batch), n):
+                mark = _signature(own)[0]
+                if len(own) and mark not in seen:
+                    seen.add(mark)
+                    rows.append((_ordered(own, often.value)[: prefix_size(len(own), percent)], mark, len(own), _ranges(own).view(np.int64)))
+            if rows:
+                sizes = np.array([len(r[0]) for r in rows])
+                each = lambda x, t: pa.array(np.repeat(np.array(x, t), sizes))
+                place = np.arange(sizes.sum(), dtype=np.int32) - np.repeat(np.cumsum(sizes) - sizes, sizes).astype(np.int32)
+                grams = pa.array(np.concatenate([r[0] for r in rows]).view(np.int64))
+                yield pa.record_batch([grams, each([r[1] for r in rows], np.int64), each([r[2] for r in rows], np.int32), pa.array(place), *(each([r[3][k] for r in rows], np.int64) for k in (0, 1))], ["gram", "s1", "size", "place", "r1", "r2"])
+
+    return docs.select("text").mapInArrow(run, "gram bigint, s1 bigint, size int, place int, r1 bigint, r2 bigint")
+
+
+def candidates(prefix: DataFrame, percent: int) -> DataFrame:
+    """a, b (values of s1): within each n-gram's list, a forest of the pairs that pass the filters."""
+    names = ["gram", "s1", "size", "place", "r1", "r2"]
 
-def clusters(prefix: DataFrame, percent: int) -> DataFrame:
-    """node (an s1), component: sets that may be linked, directly or not, share a component; sets that are alone are left out."""
-    one = prefix.groupBy("gram", "s1", "size").agg(F.lit(1).alias("_"))  # copies end here, before lists are made
-    w = Window.partitionBy("gram").orderBy("size", "s1")
-    chained = one.select("s1", F.lag("s1").over(w).alias("before"), F.col("size"), F.lag("size").over(w).alias("less"))
-    return components(chained.where(100 * F.col("less") >= percent * F.col("size")).where("s1 <> before").select(F.col("s1").alias("a"), F.col("before").alias("b")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for gram, s1, size, place, r1, r2 in groups(batches, names, 100_000, lambda c: len(c[0])):
+            order = np.lexsort((s1, size, gram))
+            gram, s1, size, place, r1, r2 = (c[order] for c in (gram, s1, size, place, r1, r2))
+            size, place = size.astype(np.int64), place.astype(np.int64)
+            ranges = np.stack([r1, r2], 1).view(np.uint8)
+            tree, out = Forest(len(gram)), []
+            active, step = np.arange(len(gram)), 0
+            while len(active):  # pairs of rows that lie `step` apart in a list, as long as the length filter holds
+                step += 1
+                active = active[active + step < len(gram)]
+                other = active + step
+                near = (gram[active] == gram[other]) & (100 * size[active] >= percent * size[other])
+                active, other = active[near], other[near]
+                need = -(-percent * (size[active] + size[other]) // (100 + percent))
+                ok = (s1[active] != s1[other]) & (1 + np.minimum(size[active] - place[active] - 1, size[other] - place[other] - 1) >= need)
+                a, b, need = active[ok], other[ok], need[ok]
+                apart = np.abs(ranges[a].astype(np.int16) - ranges[b]).sum(1) if len(a) else np.zeros(0)
+                ok = apart <= size[a] + size[b] - 2 * need
+                for i, j in zip(a[ok].tolist(), b[ok].tolist()):
+                    x, y = tree.root(i), tree.root(j)
+                    if x != y:
+                        tree.up[x] = y
+                        out.append((i, j))
+                # Rows of one set are neighbours, as copies in other tasks; the pairs that they skip are their copies' own.
+            if out:
+                i, j = np.array(out).T
+                yield pa.record_batch([pa.array(s1[i]), pa.array(s1[j])], ["a", "b"])
+
+    return prefix.repartition("gram").sortWithinPartitions("gram").select(*names).mapInArrow(run, "a bigint, b bigint")
 
 
 class Forest:
@@ -158,9 +216,7 @@ def forest(ids: list[int], sets: list[np.ndarray], block: list[int], percent: in
     """Links that connect what is linked among the given sets (rarest n-gram first); with two blocks, pairs across them only."""
     order = sorted(range(len(ids)), key=lambda i: (len(sets[i]), ids[i]))
     sizes = np.array([len(s) for s in sets])
-    counts = np.zeros((len(sets), RANGES), np.int32)
-    for i, s in enumerate(sets):
-        counts[i] = np.bincount((s >> np.uint64(64 - RANGES.bit_length() + 1)).astype(np.int64), minlength=RANGES)
+    counts = np.array([_ranges(np.sort(s)) for s in sets], np.int16)
     lists: dict[int, list[tuple[int, int]]] = defaultdict(list)
     across = len(set(block)) > 1
     whole: dict[int, set[int]] = {}
@@ -208,10 +264,8 @@ def links(docs: DataFrame, members: DataFrame, n: int, percent: int, often) -> D
 
     def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_parts(batches):
-            owner, h = shingles(texts(batch), n)
-            at = _bounds(owner, batch.num_rows)
-            sets = pa.LargeBinaryArray.from_buffers(pa.large_binary(), batch.num_rows, [None, pa.py_buffer((at * 8).astype(np.int64)), pa.py_buffer(_ordered(owner, h, often.value))])
-            yield pa.record_batch([batch.column("doc_id"), sets.cast(pa.binary()), batch.column("deals")], ["doc_id", "grams", "deals"])
+            sets = [_ordered(x, often.value).tobytes() for x in shingles(texts(batch), n)]
+            yield pa.record_batch([batch.column("doc_id"), pa.array(sets, pa.binary()), batch.column("deals")], ["doc_id", "grams", "deals"])
 
     kind = "array<struct<component:bigint,block:int,block2:int,own:int>>"
     sets = asked.mapInArrow(ordered, f"doc_id bigint, grams binary, deals {kind}").select("doc_id", "grams", F.explode("deals").alias("d")).select("doc_id", "grams", "d.*")
@@ -243,7 +297,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     known = stored(profiles(docs, n))
     classes = stored(known.where("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("n_shingles")))
     often = spark.sparkContext.broadcast(frequencies(docs, n))
-    near = stored(clusters(prefixes(docs, n, percent, often), percent))
+    near = stored(components(stored(candidates(prefixes(docs, n, percent, often), percent))))
     members = classes.join(near.withColumnRenamed("node", "s1"), "s1").select(F.col("first").alias("doc_id"), "n_shingles", "component")
     found = components(stored(links(docs, stored(members), n, percent, often)))
     grouped = stored(classes.join(found, classes["first"] == found["node"], "left").select("s1", "s2", F.coalesce("component", "first").alias("component_id")))
@@ -251,5 +305,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     return out.withColumn("component_id", F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id")))
 
 
+def without_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """docs with one document of each component: that of the smallest id. Rows equal in id and text are one; rows without an id stay."""
+    found = near_duplicates(docs, n, percent)
+    kept = stored(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_rows")))
+    out = docs.join(kept.select(F.col("doc_id").alias("_id")), docs["doc_id"] == F.col("_id"), "left_semi")
+    if not kept.where("_rows > 1").isEmpty():
+        out = out.dropDuplicates(["doc_id", "text"])
+    return out.unionByName(docs.where("doc_id is null"))
+
+
 def op8_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), 3, 90)
