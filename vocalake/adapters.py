@@ -33,7 +33,7 @@ VIEWS: dict[str, str] = {
         (doc_id % 25) / 2e0 AS cfg, CAST(doc_id % 110 AS INT) AS steps, CAST(doc_id % 4 AS INT) AS voice_id, CASE WHEN doc_id % 3 = 1 THEN doc_id * 7919 END AS seed FROM documents""",
     "attempts": """SELECT user_id AS request_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INT) AS attempt, CAST(floor(value) AS INT) AS frames, CAST(user_id % 5 + 3 AS INT) AS target_len FROM events""",
     "dialogue": """SELECT conv_id, turn, text, CASE WHEN conv_id % 3 = 0 THEN 'r.wav' END AS ref_audio FROM conversations WHERE turn < 8""",
-    "signal": """SELECT user_id AS clip_id, CAST(event_id % 2 AS INT) AS channel, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS idx,
+    "signal": """SELECT user_id AS clip_id, CAST(event_id % 2 AS INT) AS channel, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS BIGINT) AS idx,
         CASE WHEN user_id % 17 = 0 THEN 0e0 WHEN event_id % 3 = 0 THEN value / 5e4 ELSE value / 5e2 END AS value FROM events""",
     "latents": """SELECT vec_id, label, embedding FROM embeddings""",
     "metrics": """SELECT ts, CAST(event_id % 4 AS INT) AS rank, CASE WHEN event_id % 5 = 0 THEN 'val' ELSE 'train' END AS split, event_id AS micro_step, CAST(floor(event_id / 8) AS BIGINT) AS step,

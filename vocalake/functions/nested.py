@@ -76,8 +76,8 @@ def pad_to_multiple(arr: Column, n: int, side: str = "right", zero=0.0) -> Colum
     return F.concat(fill, arr) if side == "left" else F.concat(arr, fill)
 
 
-def patchify(arr: Column, p: int) -> Column:
-    full = pad_to_multiple(arr, p)
+def patchify(arr: Column, p: int, zero=0.0) -> Column:
+    full = pad_to_multiple(arr, p, "right", zero)
     n = F.floor(F.size(full) / p).cast("int")
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.slice(full, i * p + 1, F.lit(p))))
 

@@ -1 +1,218 @@
-"""Queries."""
+"""Lengths, batches, packing tracks and sets of samples."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vocalake.functions import nested as N
+from vocalake.functions.text import base_tokens
+from vocalake.operators import lengths as L
+from vocalake.registry import query
+
+
+def _joined(c, sep=","):
+    return F.array_join(F.transform(c, lambda x: x.cast("string")), sep)
+
+
+def _list(x: str) -> str:
+    return f"array_to_string({x}, ',')"
+
+
+_LEN = "(length(text) + ceil(ceil(duration * 25) / 4) + CASE WHEN coalesce(ref_duration, 0) > 0 THEN ceil(ceil(ref_duration * 25) / 4) + 4 ELSE 2 END)::BIGINT"
+_SPLIT = "CASE WHEN sample_id % 10 = 0 THEN 'validation' ELSE 'train' END"
+
+
+def _sized(m):
+    return m.withColumn("length", L.estimate_length(F.length("text"), F.col("duration"), F.col("ref_duration"))).withColumn("split", F.when(F.col("sample_id") % 10 == 0, "validation").otherwise("train"))
+
+
+@query("p11_estimate_length", f"SELECT sample_id, {_LEN} AS length FROM manifest", "manifest")
+def _(m):
+    return _sized(m).select("sample_id", "length")
+
+
+@query("p12_token_budget_filter", f"SELECT sample_id, split, length FROM (SELECT sample_id, {_SPLIT} AS split, {_LEN} AS length FROM manifest) WHERE split <> 'train' OR length <= 2048", "manifest")
+def _(m):
+    return L.token_budget_filter(_sized(m), 8192, 4).select("sample_id", "split", "length")
+
+
+@query("a6_dataset_count", "SELECT (max(dataset_id) + 1)::INT AS n FROM manifest", "manifest")
+def _(m):
+    return L.dataset_count(m)
+
+
+_ORDER = "SELECT sample_id, row_number() OVER (ORDER BY md5(concat('7:1:', sample_id::VARCHAR)), sample_id) - 1 AS position FROM manifest"
+
+
+@query("w1_epoch_shuffle", _ORDER, "manifest")
+def _(m):
+    return L.epoch_shuffle(m.select("sample_id"), "sample_id", 7, 1)
+
+
+@query("w2_assign_batches", f"WITH o AS ({_ORDER}) SELECT sample_id, position, position // 16 AS batch_id, (position % 16)::INT AS pos_in_batch FROM o WHERE position // 16 < (SELECT count(*) // 16 FROM o)", "manifest")
+def _(m):
+    return L.assign_batches(L.epoch_shuffle(m.select("sample_id"), "sample_id", 7, 1), 16, True)
+
+
+@query("w3_shard_ranks", f"WITH o AS ({_ORDER}) SELECT sample_id, position, (position % 8)::INT AS rank FROM o", "manifest")
+def _(m):
+    return L.shard_ranks(L.epoch_shuffle(m.select("sample_id"), "sample_id", 7, 1), 8)
+
+
+@query("u1_split_union", "SELECT split, text FROM (SELECT 'train' AS split, text FROM documents UNION ALL SELECT 'validation', text FROM benchmark)", "documents", "benchmark")
+def _(d, b):
+    return d.select(F.lit("train").alias("split"), "text").unionByName(b.select(F.lit("validation").alias("split"), "text"))
+
+
+@query("u2_loaded_keys", "SELECT target_key AS key FROM param_keys WHERE target_key IN (SELECT state_key FROM param_keys)", "param_keys")
+def _(k):
+    return k.select(F.col("target_key").alias("key")).join(k.select(F.col("state_key").alias("key")), "key", "left_semi")
+
+
+@query("u2_skipped_keys", "SELECT target_key AS key FROM param_keys WHERE target_key NOT IN (SELECT state_key FROM param_keys)", "param_keys")
+def _(k):
+    return k.select(F.col("target_key").alias("key")).join(k.select(F.col("state_key").alias("key")), "key", "left_anti")
+
+
+@query("u3_select_kept", f"SELECT sample_id FROM manifest WHERE {_LEN} <= 2048", "manifest")
+def _(m):
+    return _sized(m).where("length <= 2048").select("sample_id")
+
+
+@query("o3_head_samples", "SELECT item_id, text FROM benchmark ORDER BY item_id LIMIT 2", "benchmark")
+def _(b):
+    return b.orderBy("item_id").limit(2).select("item_id", "text")
+
+
+_TOK = r"regexp_extract_all(text, '[\x{4E00}-\x{9FFF}]+|[A-Za-z\x{C0}-\x{24F}]+|[0-9]+|[^\sA-Za-z0-9\x{C0}-\x{24F}\x{4E00}-\x{9FFF}]')"
+
+
+@query("j4_vocab_encode", f"""WITH t AS (SELECT doc_id, {_TOK} AS l FROM documents), e AS (SELECT doc_id, unnest(l) AS token, unnest(range(1, len(l) + 1)) AS pos FROM t),
+v AS (SELECT token, (row_number() OVER (ORDER BY encode(token)))::INT AS id FROM (SELECT token FROM e GROUP BY token HAVING count(*) >= 20)),
+g AS (SELECT doc_id, string_agg(coalesce(id, 0)::VARCHAR, ',' ORDER BY pos) AS ids FROM e LEFT JOIN v USING (token) GROUP BY doc_id) SELECT d.doc_id AS key, coalesce(ids, '') AS ids FROM documents d LEFT JOIN g USING (doc_id)""", "documents")
+def _(d):
+    from vocalake.tables import numbered
+
+    tokens = d.select(F.col("doc_id").alias("key"), base_tokens(F.col("text")).alias("tokens"))
+    vocab = tokens.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where("n >= 20")
+    vocab = numbered(vocab.select("token"), "token").select("token", (F.col("position") + 1).cast("int").alias("id"))
+    return L.vocab_encode(tokens, vocab).select("key", _joined(F.col("ids")).alias("ids"))
+
+
+# Packed tracks: text ids are code points of the first letters' positions, audio length from n_chars.
+def _samples(d):
+    ids = F.transform(F.sequence(F.lit(1), (F.col("doc_id") % 9 + 1).cast("int")), lambda i: (i * 7 + F.col("doc_id") % 13).cast("int"))
+    return d.select("doc_id", ids.alias("ids"), (F.col("n_chars") % 17 + 1).cast("int").alias("a"), (F.col("n_chars") % 5 + 1).cast("int").alias("r"), (F.col("doc_id") % 7 == 0).alias("is_prompt"), (F.col("doc_id") % 3).cast("int").alias("dataset_id"), F.floor(F.col("doc_id") / 8).alias("batch_id"))
+
+
+_S = "WITH s AS (SELECT doc_id, list_transform(range(1, doc_id % 9 + 2), lambda i: i * 7 + doc_id % 13) AS ids, n_chars % 17 + 1 AS a, n_chars % 5 + 1 AS r, doc_id % 7 = 0 AS is_prompt, (doc_id % 3)::INT AS dataset_id, doc_id // 8 AS batch_id FROM documents)"
+
+
+def _rep(x, n: str) -> str:
+    return f"list_transform(range({n}), lambda i: {x})"
+
+
+def _cat(*xs: str) -> str:
+    return "list_concat(" + ", ".join(xs) + ")" if len(xs) == 2 else f"list_concat({xs[0]}, {_cat(*xs[1:])})"
+
+
+_MASK = _cat(_rep(0, "len(ids) + 1"), _rep(1, "a"), "[0]")
+_TARGET = {
+    "tokens": _cat("ids", "[CASE WHEN is_prompt THEN 103 ELSE 101 END]", _rep(0, "a"), "[CASE WHEN is_prompt THEN 104 ELSE 102 END]"), "text_mask": f"list_transform({_MASK}, lambda x: 1 - x)", "audio_mask": _MASK,
+    "loss_mask": f"CASE WHEN is_prompt THEN {_rep(0, 'len(ids) + a + 2')} ELSE {_MASK} END", "labels": _cat(_rep(0, "len(ids) + a"), "[1, 0]"),
+}
+_RMASK = _cat("[0]", _rep(1, "r"), _rep(0, "len(ids) + 2"), _rep(1, "a"), "[0]")
+_REF = {
+    "tokens": _cat("[103]", _rep(0, "r"), "[104]", "ids", "[101]", _rep(0, "a"), "[102]"), "text_mask": f"list_transform({_RMASK}, lambda x: 1 - x)", "audio_mask": _RMASK,
+    "loss_mask": _cat(_rep(0, "r + len(ids) + 3"), _rep(1, "a"), "[0]"), "labels": _cat(_rep(0, "r + len(ids) + a + 2"), "[1, 0]"),
+}
+
+
+def _tracks(p, names=_TARGET):
+    return [_joined(F.col(p)[n]).alias(n) for n in names]
+
+
+@query("n4_pack_target", f"{_S} SELECT doc_id, " + ", ".join(f"{_list(x)} AS {n}" for n, x in _TARGET.items()) + " FROM s", "documents")
+def _(d):
+    return _samples(d).withColumn("p", N.pack_target(F.col("ids"), F.col("a"), F.col("is_prompt"))).select("doc_id", *_tracks("p"))
+
+
+@query("n5_pack_with_reference", f"{_S} SELECT doc_id, " + ", ".join(f"{_list(x)} AS {n}" for n, x in _REF.items()) + " FROM s", "documents")
+def _(d):
+    return _samples(d).withColumn("p", N.pack_with_reference(F.col("r"), F.col("ids"), F.col("a"))).select("doc_id", *_tracks("p"))
+
+
+@query("n1_unpad", f"{_S} SELECT doc_id, {_list('ids')} AS out FROM s", "documents")
+def _(d):
+    padded = F.concat("ids", F.array_repeat(F.lit(-100), F.col("a")))
+    return _samples(d).select("doc_id", _joined(N.unpad(padded)).alias("out"))
+
+
+def _clip(x: str, n: str, pad: int) -> str:
+    return f"list_concat({x}[1:{n}], {_rep(pad, f'greatest({n} - len({x}), 0)')})"
+
+
+@query("n2_pad_batch", f"{_S}, m AS (SELECT batch_id, max(len(ids)) AS n FROM s GROUP BY batch_id) SELECT doc_id, {_list(_clip('ids', 'n', -100))} AS ids FROM s JOIN m USING (batch_id)", "documents")
+def _(d):
+    return L.clip_pad(_samples(d), "ids", "batch_id", 1 << 30, -100).select("doc_id", _joined(F.col("ids")).alias("ids"))
+
+
+@query("n3_clip_pad", f"{_S}, t AS (SELECT doc_id, batch_id, {_TARGET['tokens']} AS k FROM s), m AS (SELECT batch_id, least(max(len(k)), 20) AS n FROM t GROUP BY batch_id) SELECT doc_id, {_list(_clip('k', 'n', 0))} AS tokens FROM t JOIN m USING (batch_id)", "documents")
+def _(d):
+    s = _samples(d).withColumn("tokens", N.pack_target(F.col("ids"), F.col("a"), F.col("is_prompt"))["tokens"])
+    return L.clip_pad(s, "tokens", "batch_id", 20, 0).select("doc_id", _joined(F.col("tokens")).alias("tokens"))
+
+
+@query("n6_position_ids", f"{_S} SELECT doc_id, {_list(_clip('range(len(ids) + a + 2)', '20', 0))} AS out FROM s", "documents")
+def _(d):
+    return _samples(d).select("doc_id", _joined(N.position_ids(F.size("ids") + F.col("a") + 2, F.lit(20))).alias("out"))
+
+
+@query("n7_id_tracks", f"{_S} SELECT doc_id, {_list(_MASK)} AS task_ids, {_list(f'list_transform({_MASK}, lambda x: x * (dataset_id + 1))')} AS dataset_ids FROM s", "documents")
+def _(d):
+    s = _samples(d).withColumn("m", N.pack_target(F.col("ids"), F.col("a"), F.col("is_prompt"))["audio_mask"])
+    return s.select("doc_id", _joined(N.id_track(F.col("m"), F.lit(N.TTS))).alias("task_ids"), _joined(N.id_track(F.col("m"), F.col("dataset_id") + 1)).alias("dataset_ids"))
+
+
+@query("n8_latent_track", "SELECT vec_id, concat(repeat('0,', (vec_id % 4 + 1)::INT), array_to_string(list_transform(embedding[1:8], lambda x: round(x::DOUBLE, 4)::VARCHAR), ','), ',0') AS out FROM latents".replace("round(x::DOUBLE, 4)::VARCHAR", "(round(x::DOUBLE * 10000))::BIGINT::VARCHAR"), "latents")
+def _(x):
+    zero = F.array_repeat(F.lit(0).cast("bigint"), (F.col("vec_id") % 4 + 1).cast("int"))
+    patch = F.transform(F.slice("embedding", 1, 8), lambda v: F.round(v.cast("double") * 10000).cast("bigint"))
+    return x.select("vec_id", _joined(F.concat(zero, patch, F.array(F.lit(0).cast("bigint")))).alias("out"))
+
+
+_MODES = "CASE doc_id % 4 WHEN 0 THEN 'zero_shot' WHEN 1 THEN 'continuation' WHEN 2 THEN 'reference' ELSE 'ref_continuation' END"
+_FRONT = _cat("[103]", _rep(0, "r"), "[104]", "ids", "[101]")
+
+
+@query("n9_generation_prefix", f"{_S} SELECT doc_id, {_list(f'''CASE doc_id % 4 WHEN 0 THEN {_cat('ids', '[101]')} WHEN 1 THEN {_cat('ids', '[101]', _rep(0, 'a'))} WHEN 2 THEN {_FRONT} ELSE list_concat({_FRONT}, {_rep(0, 'a')}) END''')} AS out FROM s", "documents")
+def _(d):
+    mode = F.element_at(F.array(*[F.lit(x) for x in ("zero_shot", "continuation", "reference", "ref_continuation")]), (F.col("doc_id") % 4 + 1).cast("int"))
+    return _samples(d).select("doc_id", _joined(N.generation_prefix(mode, F.col("ids"), F.col("r"), F.col("a"))).alias("out"))
+
+
+@query("n10_pad_to_multiple", f"{_S} SELECT doc_id, {_list(f'list_concat(ids, {_rep(0, chr(40) + "4 - len(ids) % 4) % 4")})')} AS right_side, {_list(f'list_concat({_rep(0, "(4 - len(ids) % 4) % 4")}, ids)')} AS left_side FROM s", "documents")
+def _(d):
+    return _samples(d).select("doc_id", _joined(N.pad_to_multiple(F.col("ids"), 4, "right", 0)).alias("right_side"), _joined(N.pad_to_multiple(F.col("ids"), 4, "left", 0)).alias("left_side"))
+
+
+@query("n11_patchify", f"{_S}, p AS (SELECT doc_id, ids, list_concat(ids, {_rep(0, '(4 - len(ids) % 4) % 4')}) AS f FROM s) SELECT doc_id, array_to_string(list_transform(range(len(f) // 4), lambda i: array_to_string(f[i * 4 + 1:i * 4 + 4], ',')), '|') AS patches, {_list('f')} AS back FROM p", "documents")
+def _(d):
+    s = _samples(d).withColumn("p", N.patchify(F.col("ids"), 4, 0))
+    return s.select("doc_id", F.array_join(F.transform("p", lambda x: _joined(x)), "|").alias("patches"), _joined(F.flatten("p")).alias("back"))
+
+
+@query("n15_quantize_vector", "SELECT vec_id, array_to_string(list_transform(embedding, lambda x: round_even(tanh(x::DOUBLE) * 9, 0)::INT), ',') AS out FROM latents", "latents")
+def _(x):
+    return x.select("vec_id", _joined(F.transform(N.quantize_vector(F.col("embedding")), lambda v: F.rint(v * 9).cast("int"))).alias("out"))
+
+
+@query("n16_bucketize", "SELECT sample_rate, frames, (frames > 20000)::INT + (frames > 30000)::INT + (frames > 40000)::INT AS bucket FROM media", "media")
+def _(m):
+    return m.select("sample_rate", "frames", N.bucketize(F.col("frames")).alias("bucket"))
+
+
+@query("a7_consumption_by_dataset", f"""{_S}, g AS (SELECT batch_id, dataset_id, floor(sum(a * 4 / 25e0))::BIGINT AS audio_seconds, sum(len(ids))::BIGINT AS text_tokens FROM s GROUP BY ALL),
+i AS (SELECT DISTINCT batch_id, unnest([0, 1, 2, 3]) AS dataset_id FROM s) SELECT batch_id, dataset_id, coalesce(audio_seconds, 0) AS audio_seconds, coalesce(text_tokens, 0) AS text_tokens FROM i LEFT JOIN g USING (batch_id, dataset_id)""", "documents")
+def _(d):
+    return L.consumption_by_dataset(_samples(d).select("batch_id", "dataset_id", (F.col("a") * 4).alias("frames"), F.size("ids").alias("text_tokens")), 4)
