@@ -4,8 +4,8 @@ Steps, each a Spark job whose result is a table:
 
 1. `profiles`: size and a 128-bit signature of each document's set. Documents with equal sets are one class; from here
    on one representative stands for each class, so copies are never paired.
-2. `frequencies`: how often each n-gram occurs, folded to a fixed number of cells. It orders n-grams, rarest first; any
-   total order gives the same links, a good one gives short lists.
+2. `frequencies`: how often each n-gram occurs, folded to a bounded number of cells (a byte each, broadcast). It orders
+   n-grams, rarest first; any total order gives the same links, a good one gives short lists.
 3. `prefixes`, `candidates`: by the prefix filter, two linked sets share an n-gram among the rarest few of each. Sets
    meet in the lists of these n-grams, where pairs must pass the length, positional and suffix filters (the suffix filter
    compares counts of both sets within fixed ranges of hashes). What passes is united in the task, and only a forest of
@@ -22,6 +22,7 @@ compared as bytes after lower-casing A-Z; other columns are left alone; a null i
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from vocalake.llm.common import SPACES, by_parts, groups, stored, table, texts
 from vocalake.llm.graph import components
 
-CELLS = 1 << 18
+CELLS, CHUNK = 1 << 27, 1 << 16
 BLOCK = 512
 _EDGES = np.arange(16, dtype=np.uint64) << np.uint64(60)
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -50,8 +51,21 @@ def _scrambled(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _word_hashes(batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words, and the number of words of each text. A hash is a sum over bytes, each times a random number for its place."""
+def _word_hashes(batch: list[str], most: int = 2_000_000) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words, and the number of words of each text; about `most` characters at a time."""
+    parts, start, held = [], 0, 0
+    for i, x in enumerate(batch):
+        held += len(x)
+        if held > most or i + 1 == len(batch):
+            parts.append(_hashes(batch[start : i + 1]))
+            start, held = i + 1, 0
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(c) for c in zip(*parts))
+
+
+def _hashes(batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A word's hash is a sum over its bytes, each times a random number for its place."""
     raw = [x.encode() for x in batch]
     data = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
     space = _IS_SPACE[data]
@@ -108,30 +122,52 @@ def profiles(docs: DataFrame, n: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint")
 
 
-def _cells(h: np.ndarray) -> np.ndarray:
-    return (h & np.uint64(CELLS - 1)).astype(np.int64)
+def _cells(h: np.ndarray, often: np.ndarray) -> np.ndarray:
+    return (h & np.uint64(len(often) - 1)).astype(np.int64)
+
+
+def _added(total: np.ndarray, cells: np.ndarray, counts: np.ndarray) -> None:
+    total[cells] = np.minimum(total[cells].astype(np.int64) + counts, 255)
 
 
 def frequencies(docs: DataFrame, n: int) -> np.ndarray:
-    """Occurrences of n-grams in sets, by cell of their hash; `CELLS` numbers, whatever the input."""
+    """Occurrences of n-grams in sets, up to 255, by cell of their hash: about eight n-grams a cell, `CELLS` cells at most.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CELLS, np.int64)
+    Each task counts all cells in a byte each; the counts are added up by chunks of cells, first over some tasks, then over all.
+    """
+    size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    cells = min(CELLS, max(CHUNK, 1 << max(0, size // 48 - 1).bit_length()))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(cells, np.uint8)
         for batch in by_parts(batches):
             if batch.num_rows:
-                total += np.bincount(_cells(np.concatenate(shingles(texts(batch), n))), minlength=CELLS)
-        found = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(found.astype(np.int32)), pa.array(total[found])], ["cell", "n"])
+                _added(total, *np.unique(_cells(np.concatenate(shingles(texts(batch), n)), total), return_counts=True))
+        for k in range(0, cells, CHUNK):
+            if (part := total[k : k + CHUNK]).any():
+                yield pa.record_batch([pa.array([k // CHUNK], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], ["chunk", "counts"])
 
-    out = np.zeros(CELLS, np.int64)
-    rows = docs.select("text").mapInArrow(run, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out[rows.column("cell").to_numpy()] = rows.column("n").to_numpy()
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, x in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist()):
+                own = held.setdefault(k, np.zeros(CHUNK, np.uint8))
+                np.minimum(own.astype(np.int16) + np.frombuffer(zlib.decompress(x), np.uint8), 255, out=own, casting="unsafe")
+        for k, x in held.items():
+            yield pa.record_batch([pa.array([k], pa.int32()), pa.array([zlib.compress(x.tobytes(), 1)], pa.binary())], ["chunk", "counts"])
+
+    kind = "chunk int, counts binary"
+    first = docs.select("text").mapInArrow(count, kind).withColumn("salt", F.floor(F.spark_partition_id() / 512))
+    added = first.repartition("chunk", "salt").select("chunk", "counts").mapInArrow(add, kind).repartition("chunk").mapInArrow(add, kind)
+    out = np.zeros(cells, np.uint8)
+    for r in added.toLocalIterator():
+        out[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(r["counts"]), np.uint8)
     return out
 
 
 def _ordered(own: np.ndarray, often: np.ndarray) -> np.ndarray:
     """A set's n-grams, rarest first; ties by hash."""
-    return own[np.argsort(often[_cells(own)], kind="stable")]
+    return own[np.argsort(often[_cells(own, often)], kind="stable")]
 
 
 def prefix_size(n, percent: int):
