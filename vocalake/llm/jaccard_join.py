@@ -345,7 +345,7 @@ def without_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> D
     """docs with one document of each component: that of the smallest id. Rows equal in id and text are one; rows without an id stay."""
     found = near_duplicates(docs, n, percent)
     kept = stored(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_rows")))
-    out = docs.join(kept.select(F.col("doc_id").alias("_id")), docs["doc_id"] == F.col("_id"), "left_semi")
+    out = docs.join(kept, docs["doc_id"] == kept["doc_id"], "left_semi")
     if not kept.where("_rows > 1").isEmpty():
         out = out.dropDuplicates(["doc_id", "text"])
     return out.unionByName(docs.where("doc_id is null"))
