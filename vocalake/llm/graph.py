@@ -17,7 +17,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60) ->
     driver sees counts only. Edges of a node with itself and nulls are dropped.
     """
     now = stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
-    for _ in range(most):
+    digest = [F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))]
+    last = tuple(now.agg(*digest).first())
+    for _ in range(most if last[0] else 0):
         both = now.select("u", "v").unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -25,11 +27,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60) ->
         kept = large.join(least, "u")
         small = kept.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v"))).distinct()
         after = stored(small.where("u <> v"))
-        digest = [F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))]
-        same = tuple(after.agg(*digest).first()) == tuple(now.agg(*digest).first())
-        now = after
-        if same:
+        now, before = after, last
+        last = tuple(now.agg(*digest).first())
+        if last == before:
             break
     else:
-        raise RuntimeError(f"components did not settle in {most} rounds")
+        if last[0]:
+            raise RuntimeError(f"components did not settle in {most} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
