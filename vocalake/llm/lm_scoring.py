@@ -27,7 +27,7 @@ from vocalake.llm.jaccard_join import _scrambled, _word_hashes
 
 LEAST, BACKOFF = 2, 0.4
 #: Characters of text in a block, and n-grams of a block in one hash partition, about.
-BLOCK, PART = 20_000_000, 40_000
+BLOCK, PART = 12_000_000, 30_000
 #: N-grams that all blocks together may ask of one hash partition, about.
 MOST = 8_000_000
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -59,7 +59,7 @@ def asked(docs: DataFrame, bits: int) -> DataFrame:
     """n (words in the n-gram), part (leading bits of its hash), block, grams, counts; docs have a block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, text in groups(batches, ["block", "text"], BLOCK, lambda c: sum(len(x or "") for x in c[1])):
+        for block, text in groups(batches, ["block", "text"], 1, lambda c: len(c[0])):
             for b in np.unique(block).tolist():
                 flat, sizes = _word_hashes([x or "" for x in text[block == b]])
                 pair, inner = _grams(flat, sizes)
