@@ -19,9 +19,9 @@ def _(s):
     return _r(S.peak_rms(s), "peak", "rms")
 
 
-@query("g1_mixdown", "SELECT clip_id, idx // 2 AS idx, round(avg(value), 6) AS value FROM signal GROUP BY ALL", "signal")
+@query("g1_mixdown", "SELECT clip_id, idx // 2 AS idx, round(avg(value), 9) AS value FROM signal GROUP BY ALL", "signal")
 def _(s):
-    return _r(S.mixdown(s.withColumn("idx", F.floor(F.col("idx") / 2))), "value")
+    return S.mixdown(s.withColumn("idx", F.floor(F.col("idx") / 2))).withColumn("value", F.round("value", 9))
 
 
 _PEAK = "SELECT s.clip_id, idx, round(CASE WHEN p > 0 THEN value / p * 0.9 ELSE value END, 6) AS value FROM signal s JOIN (SELECT clip_id, max(abs(value)) AS p FROM signal GROUP BY clip_id) m ON s.clip_id = m.clip_id"
