@@ -33,7 +33,7 @@ def route_lang(c: Column) -> Column:
     return F.when(contains_cjk(c), "zh").otherwise("en")
 
 
-#: The steps of `clean_markdown`, in order: pattern, replacement.
+# The steps of `clean_markdown`, in order: pattern, replacement.
 MARKDOWN = {
     "strip_code_fences": (r"(?s)```.*?```", ""),
     "strip_inline_code": (r"`[^`]*`", ""),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vocalake.functions.text import strip
+from vocalake.tables import upper_median
 
 SAMPLE_RATE = 16000
 
@@ -116,8 +117,9 @@ def report(rows: DataFrame) -> DataFrame:
 
 
 def duration_stats(rows: DataFrame) -> DataFrame:
-    d = F.col("media_duration")
-    return rows.where("media_error is null").agg(F.round(F.sum(d) / 3600, 6).alias("hours"), F.round(F.min(d), 6).alias("min_duration"), F.round(F.max(d), 6).alias("max_duration"), F.round(F.avg(d), 6).alias("mean_duration"), F.expr("round(percentile_disc(0.5) WITHIN GROUP (ORDER BY media_duration DESC), 6)").alias("median_duration"))
+    d, own = F.col("media_duration"), rows.where("media_error is null")
+    out = own.agg(F.round(F.sum(d) / 3600, 6).alias("hours"), F.round(F.min(d), 6).alias("min_duration"), F.round(F.max(d), 6).alias("max_duration"), F.round(F.avg(d), 6).alias("mean_duration"))
+    return out.crossJoin(upper_median(own, "media_duration").select(F.round("median", 6).alias("median_duration")))  # of one row each
 
 
 def text_length_stats(rows: DataFrame) -> DataFrame:

@@ -34,3 +34,17 @@ def numbered(df: DataFrame, *keys: str, name: str = "position") -> DataFrame:
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # over one row per partition
     offsets = ranged.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     return ranged.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_before") + F.col("_row")).drop("_part", "_row", "_before")
+
+
+def upper_median(df: DataFrame, column: str) -> DataFrame:
+    """median: the value at place n div 2 of the sorted values (nulls left out); null without any.
+
+    Values are counted, so that frequent ones are one row, dealt by ranges, and added up within a range; the ranges before
+    it come from a sum per range.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_v")).agg(F.count("*").alias("_n"))
+    ranged = stored(counts.repartitionByRange("_v").withColumn("_part", F.spark_partition_id()))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # over one row per partition
+    parts = ranged.groupBy("_part").agg(F.sum("_n").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_all"))
+    up_to = F.col("_before") + F.sum("_n").over(Window.partitionBy("_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    return ranged.join(F.broadcast(parts), "_part").withColumn("_up", up_to).where(F.col("_up") > F.floor(F.col("_all") / 2)).agg(F.min("_v").alias("median"))
