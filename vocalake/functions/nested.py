@@ -88,3 +88,13 @@ def quantize_vector(vec: Column, scale: int = 9) -> Column:
 
 def bucketize(v: Column, bounds=(20000, 30000, 40000)) -> Column:
     return sum(((v > b).cast("int") for b in bounds[1:]), (v > bounds[0]).cast("int"))
+
+
+#: Packing by task, for tasks that users add: (text ids, audio length, is_prompt) -> tracks.
+PACKERS = {"tts": pack_target}
+
+
+def pack(task: str, text_ids: Column, audio: Column, is_prompt: Column) -> Column:
+    if task not in PACKERS:
+        raise ValueError(f"unknown task {task}: one of {sorted(PACKERS)}")
+    return PACKERS[task](text_ids, audio, is_prompt)

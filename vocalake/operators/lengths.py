@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,3 +69,13 @@ def clip_pad(df: DataFrame, track: str, batch: str, most: int, pad) -> DataFrame
 
     target = df.groupBy(batch).agg(F.least(F.max(F.size(track)), F.lit(most)).alias("_n"))
     return df.join(target, batch).withColumn(track, pad_to(F.col(track), F.col("_n"), pad)).drop("_n")
+
+
+def tokenized(df: DataFrame, tokenize: Callable[[list[str]], list[list[int]]], column: str = "text", remove: tuple[str, ...] = ()) -> DataFrame:
+    """df with text_ids by a user's batch tokenizer, without the columns to remove. Where a vocabulary join does, `vocab_encode` is faster."""
+
+    @F.pandas_udf("array<int>")
+    def ids(texts: pd.Series) -> pd.Series:
+        return pd.Series(tokenize(texts.fillna("").tolist()), index=texts.index)
+
+    return df.withColumn("text_ids", ids(F.col(column))).drop(*remove)

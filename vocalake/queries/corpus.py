@@ -216,3 +216,14 @@ def _(m):
 i AS (SELECT DISTINCT batch_id, unnest([0, 1, 2, 3]) AS dataset_id FROM s) SELECT batch_id, dataset_id, coalesce(audio_seconds, 0) AS audio_seconds, coalesce(text_tokens, 0) AS text_tokens FROM i LEFT JOIN g USING (batch_id, dataset_id)""", "documents")
 def _(d):
     return L.consumption_by_dataset(_samples(d).select("batch_id", "dataset_id", (F.col("a") * 4).alias("frames"), F.size("ids").alias("text_tokens")), 4)
+
+
+@query("f1_tokenized", "SELECT doc_id, array_to_string(list_transform(string_split(text, ' '), lambda w: length(w)), ',') AS ids FROM documents", "documents")
+def _(d):
+    out = L.tokenized(d.select("doc_id", "text"), lambda texts: [[len(w) for w in t.split(" ")] for t in texts], remove=("text",))
+    return out.select("doc_id", _joined(F.col("text_ids")).alias("ids"))
+
+
+@query("f4_task_dispatch", f"{_S} SELECT doc_id, {_list(_TARGET['tokens'])} AS tokens FROM s", "documents")
+def _(d):
+    return _samples(d).select("doc_id", _joined(N.pack("tts", F.col("ids"), F.col("a"), F.col("is_prompt"))["tokens"]).alias("tokens"))

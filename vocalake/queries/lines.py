@@ -8,6 +8,7 @@ from vocalake.functions.text import SPACE
 from vocalake.operators import validation as V
 from vocalake.registry import query
 from vocalake.sources.manifest import canonicalise_columns, read_manifest, read_splits, read_text_lines
+from vocalake.streaming import streams
 from vocalake.tables import shared_path
 
 
@@ -165,3 +166,9 @@ def _(m, a):
 @query("o1_top_findings", _CHECKED + ", r AS (SELECT *, row_number() OVER (PARTITION BY severity ORDER BY sample_id, category) AS k FROM found), z AS (SELECT 'error' AS severity, 20 AS lim UNION ALL SELECT 'warning', 10)\nSELECT sample_id, severity, category, NULL::BIGINT AS omitted FROM r JOIN z USING (severity) WHERE k <= lim UNION ALL SELECT NULL, severity, NULL, count(*) - any_value(lim) FROM found JOIN z USING (severity) GROUP BY severity HAVING count(*) > any_value(lim)", "manifest", "media")
 def _(m, a):
     return V.top_findings(V.findings(V.checked(m, a)))
+
+
+@query("st4_stream_validate", _CHECKED + "SELECT sample_id, media_error, band, blank_text, ref, valid FROM checked", "manifest", "media")
+def _(m, a):
+    out = streams.through_stream(m, lambda rows: streams.stream_validate(rows, a), "sample_id")
+    return out.select("sample_id", "media_error", "band", "blank_text", "ref", "valid")

@@ -158,3 +158,13 @@ def _(c):
 def _(c):
     r = A.alignment_record(A.segment_items(_segments(c)), "stable_ts", "segment")
     return r.select("audio_path", A.sidecar_json(r).alias("payload"))
+
+
+@query("f2_pluggable_aligner", "SELECT doc_id::VARCHAR AS audio, CASE WHEN doc_id % 10 = 3 THEN 0 ELSE len(string_split(text, ' ')) END::INT AS n_items, CASE WHEN doc_id % 10 = 3 THEN 'no audio' END AS warning FROM documents", "documents")
+def _(d):
+    def aligner(audio, text):
+        if int(audio) % 10 == 3:
+            raise ValueError("no audio")
+        return [{"text": w, "start": i * 1.0, "end": i + 1.0, "level": "word"} for i, w in enumerate(text.split(" "))]
+
+    return A.aligned(d.select(F.col("doc_id").cast("string").alias("audio"), "text"), aligner).select("audio", F.size("items").alias("n_items"), "warning")

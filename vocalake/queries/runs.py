@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from vocalake.operators import runs as R
 from vocalake.registry import query
+from vocalake.streaming import streams
+from vocalake.tables import shared_path
 
 
 @query("s8_metrics_log", "SELECT split, micro_step AS step, key, round(value, 6) AS value FROM metrics UNION ALL SELECT split, micro_step, 'n', 1e0 FROM metrics", "metrics")
@@ -79,3 +81,10 @@ def _(m):
 FROM param_keys t LEFT JOIN k a ON t.target_key = a.state_key LEFT JOIN k b ON replace(t.target_key, '._orig_mod.', '.') = b.state_key""".replace("FROM param_keys t", "FROM (SELECT target_key FROM param_keys) t"), "param_keys")
 def _(k):
     return R.key_reconcile(k, k.select("target_key"))
+
+
+@query("st3_stream_metrics_tail", "SELECT split, micro_step AS step, key, round(value, 6) AS value FROM metrics", "metrics")
+def _(m):
+    path = shared_path(m.sparkSession)
+    m.select(R.metric_line(F.col("split"), F.col("micro_step"), F.array(F.struct("key", "value")))).write.text(path)
+    return streams.finished(streams.stream_metrics_tail(m.sparkSession, path))

@@ -60,18 +60,21 @@ def stream_causal_window(stream: DataFrame, weights: list[float], idle: int | No
     return _with_tail(stream, pad, make, "double", "value", idle)
 
 
-def through_stream(df: DataFrame, f: Callable[[DataFrame], DataFrame], files: int = 3) -> DataFrame:
-    """f over df as a stream of files in order of idx, run to its end; the result as a table. How tests and queries run the stream forms."""
-    spark, source, sink = df.sparkSession, shared_path(df.sparkSession), shared_path(df.sparkSession)
-    cut = df.agg(F.max("idx")).first()[0] or 0
+def through_stream(df: DataFrame, f: Callable[[DataFrame], DataFrame], key: str = "idx", files: int = 3) -> DataFrame:
+    """f over df as a stream of batches in order of the key, run to its end; the result as a table. How tests and queries run the stream forms."""
+    spark, source = df.sparkSession, shared_path(df.sparkSession)
+    cut = df.agg(F.max(key)).first()[0] or 0
     for i in range(files):  # a batch each
         lo, hi = i * (cut + 1) // files, (i + 1) * (cut + 1) // files
-        df.where((F.col("idx") >= lo) & (F.col("idx") < hi)).coalesce(1).write.mode("append").parquet(source)
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    out = f(stream)
-    q = out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", shared_path(spark)).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.schema(out.schema).parquet(sink)
+        df.where((F.col(key) >= lo) & (F.col(key) < hi)).coalesce(1).write.mode("append").parquet(source)
+    return finished(f(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(source)))
+
+
+def finished(stream: DataFrame) -> DataFrame:
+    """What a bounded stream gives, as a table."""
+    spark, sink = stream.sparkSession, shared_path(stream.sparkSession)
+    stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", shared_path(spark)).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(sink)
 
 
 def stream_metrics_tail(spark: SparkSession, path: str) -> DataFrame:
