@@ -3,7 +3,7 @@
 A byte goes if a string of `LENGTH` bytes that covers it also starts earlier: in a document of smaller id, or earlier in
 the same one. Steps:
 
-1. `strings`: every window of LENGTH bytes is filed under its minimizer (the smallest hash of its 16-grams); maximal
+1. `strings`: every window of LENGTH bytes is filed under its minimizer (the smallest hash of its 32-grams); maximal
    runs of windows with one minimizer are strings of about 140 bytes. Equal windows have equal minimizers, so they meet.
    Within a task, strings that repeat are reported as such; one of each goes on.
 2. `sorted_out`: strings are dealt by minimizer and sorted. Repeats of a whole string are removals; the first
@@ -34,7 +34,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from vocalake.llm.common import by_parts, groups, stored, table
 
-LENGTH, GRAM = 100, 16
+LENGTH, GRAM = 100, 32
 #: Bytes of text in one numpy pass, of strings in one index, strings between two looks for repeats in a task.
 PASS, INDEX, LOOK = 1_500_000, 1_000_000, 1_500_000
 #: A place is 40 bits of position, and above them 23 bits that tell texts of one id apart.
@@ -48,7 +48,7 @@ def keyed(docs: DataFrame, *columns: str) -> DataFrame:
 
 
 def _minimizers(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the 16-gram at each place, and for each of the window starts, the place of the leftmost smallest one in it."""
+    """Hash of the gram at each place, and for each of the window starts, the place of the leftmost smallest one in it."""
     h, step, power = data.astype(np.uint64), 1, np.array([0x9E3779B97F4A7C15], np.uint64)
     while step < GRAM:
         h = h[:-step] * power + h[step:]
