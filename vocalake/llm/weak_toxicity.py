@@ -102,16 +102,26 @@ class Linear:
     def __init__(self, bias: float):
         self.bias, self.weight = bias, {}
 
-    def fit(self, docs: list[np.ndarray], q: np.ndarray) -> None:
-        n = len(docs)
-        flat, owner = np.concatenate(docs), np.repeat(np.arange(n), [len(d) for d in docs])
-        df, pos = np.bincount(flat, minlength=BUCKETS), np.bincount(flat, q[owner], BUCKETS)
+    def fit(self, tokens: pa.ListArray, q: np.ndarray) -> None:
+        """tokens: distinct hashed tokens of each row, as they came; rows are taken a thousand at a time, so that no copy of all is made."""
+        n, flat, ends = len(tokens), tokens.values.to_numpy(), tokens.offsets.to_numpy()
+        parts = [(a, min(a + 1000, n)) for a in range(0, n, 1000)]
+        df, pos = np.zeros(BUCKETS), np.zeros(BUCKETS)
+        for a, b in parts:
+            own = flat[ends[a] : ends[b]]
+            df += np.bincount(own, minlength=BUCKETS)
+            pos += np.bincount(own, np.repeat(q[a:b], np.diff(ends[a : b + 1])), BUCKETS)
         expected = df * q.mean()
         chi = np.where(df >= 3, (pos - expected) ** 2 / np.maximum(expected * (1 - df / n) * (1 - q.mean()), 1e-9), 0)
         chosen = np.sort(np.argsort(-chi, kind="stable")[:FEATURES])
         chosen = chosen[chi[chosen] >= SURE]
-        keep = np.isin(flat, chosen)
-        columns, owner = np.searchsorted(chosen, flat[keep]), owner[keep]
+        number = np.full(BUCKETS, -1, np.int32)
+        number[chosen] = np.arange(len(chosen))
+        found = []
+        for a, b in parts:
+            at = number[flat[ends[a] : ends[b]]]
+            found.append((at[at >= 0], np.repeat(np.arange(a, b), np.diff(ends[a : b + 1]))[at >= 0]))
+        columns, owner = (np.concatenate(c) for c in zip(*found))
         w, m, s = (np.zeros(len(chosen) + 1) for _ in range(3))
         w[-1] = self.bias
         for t in range(1, 301):  # Adam on all rows at once
@@ -146,8 +156,7 @@ def fit(sample: DataFrame) -> Linear:
     if 0 < labels.sum() < len(labels):
         v = np.array(rows.column("votes").to_pylist(), float)
         q = LabelModel().fit(v, labels)
-        docs = [np.asarray(x.values) for c in rows.column("tokens").chunks for x in c]
-        out.fit(docs, q)
+        out.fit(rows.column("tokens").combine_chunks(), q)
     return out
 
 
