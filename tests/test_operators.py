@@ -66,3 +66,17 @@ def test_streamed_validation_and_metrics(spark, tmp_path):
     (tmp_path / "log" / "a.txt").write_text("[train] step 3: loss/a: 1.500000, lr: 0.1, log interval: 2.00s\nnoise\n")
     streams.stream_metrics_tail(spark, str(tmp_path / "log")).writeStream.format("memory").queryName("tail").trigger(availableNow=True).start().awaitTermination()
     assert sorted(tuple(r) for r in spark.table("tail").collect()) == [("train", 3, "loss/a", 1.5), ("train", 3, "lr", 0.1)]
+
+
+def test_broken_lines_are_errors(spark):
+    raw = ['{"text": "a b", "audio": "x.wav", "ref_audio": {"path": "x.wav"}}', "not json", "[1]", '{"text": "a"}', "{}", '{"text": "a", "audio": 5, "ref_audio": "n.wav"}', '{"text": 5, "audio": {"path": 7}}', " ", '{"text": "", "audio": "y.wav"}']
+    lines = spark.createDataFrame(list(enumerate(raw, 1)), "line_no bigint, raw string")
+    media = spark.createDataFrame([("x.wav", 100, 16000, True, 1.0)], "path string, frames bigint, sample_rate int, readable boolean, duration double")
+    rows = validation.checked(lines, media)
+    assert sorted(tuple(r) for r in rows.select("sample_id", "valid").collect()) == [(i, i == 1) for i in (1, 2, 3, 4, 5, 6, 7, 9)]
+    errors = [(2, "invalid_json"), (3, "not_object"), (4, "missing_key"), (5, "missing_key"), (5, "missing_key"), (6, "invalid_path"), (7, "invalid_path"), (9, "media")]
+    warnings = [(6, "ref_missing"), (7, "blank_text"), (9, "blank_text")]
+    found = validation.findings(rows).collect()
+    assert [sorted((r["sample_id"], r["category"]) for r in found if r["severity"] == s) for s in ("error", "warning")] == [errors, warnings]
+    assert validation.summary(rows).first().asDict() == {"total": 8, "valid": 1, "with_ref": 1, "n_errors": 8, "n_warnings": 3, "is_valid": False}
+    assert validation.text_length_stats(rows).first()["max_length"] == 3

@@ -39,7 +39,22 @@ def text_present() -> Column:
 def media_path(field: str = "audio") -> Column:
     """The path in a string, or in an object's `path` ("" without one); null otherwise."""
     v = F.try_variant_get("v", f"$.{field}", "variant")
-    return F.when(_kind(v) == "string", F.try_variant_get("v", f"$.{field}", "string")).when(_kind(v) == "object", F.coalesce(F.try_variant_get("v", f"$.{field}.path", "string"), F.lit("")))
+    return F.when(_kind(v) == "string", F.try_variant_get("v", f"$.{field}", "string")).when(_kind(v) == "object", F.when(_kind(F.try_variant_get("v", f"$.{field}.path", "variant")) == "string", F.try_variant_get("v", f"$.{field}.path", "string")).otherwise(""))
+
+
+def from_lines(lines: DataFrame) -> DataFrame:
+    """lines (line_no, raw) that aren't blank as rows of a manifest: sample_id (the line's number), text, audio, ref_audio, line_errors.
+
+    A line that isn't an object or lacks a key stops there: it has its errors (one for each key) and nothing else.
+    """
+    rows = parsed(lines).where("class <> 'blank'")
+    error = F.when(F.col("class") == "invalid_json", "invalid_json").when(F.col("class") != "object", "not_object")
+    missing = lambda c: F.when((F.col("class") == "object") & ~has_key(c), "missing_key")
+    rows = rows.withColumn("_e", F.array_compact(F.array(error, missing("text"), missing("audio"))))
+    whole = F.size("_e") == 0
+    given = lambda c: F.when(whole, F.nullif(media_path(c), F.lit("")))
+    rows = rows.select(F.col("line_no").alias("sample_id"), F.when(whole & text_present(), F.try_variant_get("v", "$.text", "string")).alias("text"), given("audio").alias("audio"), given("ref_audio").alias("ref_audio"), "_e")
+    return rows.select("sample_id", "text", "audio", "ref_audio", F.when((F.size("_e") == 0) & F.col("audio").isNull(), F.array(F.lit("invalid_path"))).otherwise(F.col("_e")).alias("line_errors"))
 
 
 def resolve_path(path: Column, base: str) -> Column:
@@ -55,13 +70,20 @@ def duration_band(duration: Column) -> Column:
 
 
 def checked(manifest: DataFrame, media: DataFrame, rate: int = SAMPLE_RATE) -> DataFrame:
-    """manifest with media_error, band, blank_text, ref (ok, missing or null), valid: one join for the media, one for references."""
+    """manifest with media_error, band, blank_text, ref (ok, missing or null), valid: one join for the media, one for references.
+
+    manifest: rows, or lines (line_no, raw), which are parsed first. Rows without a path get keys of their own in the joins, so they don't gather in one task.
+    """
+    manifest = from_lines(manifest) if "raw" in manifest.columns else manifest
     known = media.select("path", "frames", "sample_rate", "readable", F.col("duration").alias("media_duration"))
     refs = media.select(F.col("path").alias("_ref")).distinct()
-    out = manifest.join(known, F.col("audio") == F.col("path"), "left").join(refs, F.col("ref_audio") == F.col("_ref"), "left")
-    out = out.withColumn("media_error", media_error(rate))
+    key = lambda c: F.coalesce(c, F.concat(F.lit("\0"), F.col("sample_id").cast("string")))
+    out = manifest.join(known, key("audio") == F.col("path"), "left").join(refs, key("ref_audio") == F.col("_ref"), "left")
+    broken = F.size("line_errors") > 0 if "line_errors" in manifest.columns else F.lit(False)
+    stopped = broken & ~F.array_contains("line_errors", "invalid_path") if "line_errors" in manifest.columns else F.lit(False)
+    out = out.withColumn("media_error", F.when(~broken, media_error(rate))).withColumn("valid", ~broken & F.col("media_error").isNull())
     ref = F.when(F.coalesce("ref_audio", F.lit("")) == "", None).when(F.col("_ref").isNotNull(), "ok").otherwise("missing")
-    return out.select(*manifest.columns, "media_error", F.when(F.col("media_error").isNull(), F.col("media_duration")).alias("media_duration"), F.when(F.col("media_error").isNull(), duration_band(F.col("media_duration"))).alias("band"), (strip(F.coalesce("text", F.lit(""))) == "").alias("blank_text"), ref.alias("ref"), F.col("media_error").isNull().alias("valid"))
+    return out.select(*manifest.columns, "media_error", F.when(F.col("valid"), F.col("media_duration")).alias("media_duration"), F.when(F.col("valid"), duration_band(F.col("media_duration"))).alias("band"), (~stopped & (strip(F.coalesce("text", F.lit(""))) == "")).alias("blank_text"), ref.alias("ref"), "valid")
 
 
 def findings(rows: DataFrame) -> DataFrame:
@@ -72,11 +94,16 @@ def findings(rows: DataFrame) -> DataFrame:
         F.when(F.col("band").isin("very_short", "very_long"), F.struct(F.lit("warning").alias("severity"), F.col("band").alias("category"))),
         F.when(F.col("ref") == "missing", F.struct(F.lit("warning").alias("severity"), F.lit("ref_missing").alias("category"))),
     )
-    return rows.select("sample_id", F.explode(F.array_compact(found)).alias("f")).select("sample_id", "f.severity", "f.category")
+    found = F.array_compact(found)
+    if "line_errors" in rows.columns:
+        found = F.concat(F.transform("line_errors", lambda x: F.struct(F.lit("error").alias("severity"), x.alias("category"))), found)
+    return rows.select("sample_id", F.explode(found).alias("f")).select("sample_id", "f.severity", "f.category")
 
 
 def summary(rows: DataFrame) -> DataFrame:
     errors = F.count_if(F.col("media_error").isNotNull())
+    if "line_errors" in rows.columns:
+        errors = errors + F.coalesce(F.sum(F.size("line_errors")), F.lit(0))
     warnings = F.count_if("blank_text") + F.count_if(F.col("band").isin("very_short", "very_long")) + F.count_if(F.col("ref") == "missing")
     return rows.agg(F.count("*").alias("total"), F.count_if("valid").alias("valid"), F.count_if(F.col("ref") == "ok").alias("with_ref"), errors.alias("n_errors"), warnings.alias("n_warnings")).withColumn("is_valid", (F.col("n_errors") == 0) & (F.col("valid") > 0))
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vocalake.adapters import oracle
 from vocalake.functions.text import SPACE
 from vocalake.operators import validation as V
-from vocalake.registry import query
+from vocalake.registry import ORACLE_SQL, query
 from vocalake.sources.manifest import canonicalise_columns, read_manifest, read_splits, read_text_lines
 from vocalake.streaming import streams
 from vocalake.tables import shared_path
@@ -172,3 +173,58 @@ def _(m, a):
 def _(m, a):
     out = streams.through_stream(m, lambda rows: streams.stream_validate(rows, a), "sample_id")
     return out.select("sample_id", "media_error", "band", "blank_text", "ref", "valid")
+
+
+# The same over the lines of a manifest, broken ones included. SQL of their own: each error is told from the raw line.
+_LREF = _PATH.replace("$.audio", "$.ref_audio")
+_LINES = f"""WITH l0 AS (SELECT line_no, {_CLASS} AS class, CASE WHEN {_OBJECT} THEN raw END AS raw FROM raw_lines WHERE {_strip("raw")} <> ''),
+l1 AS (SELECT *, CASE WHEN raw IS NULL THEN [] ELSE json_keys(raw) END AS keys FROM l0),
+l2 AS (SELECT line_no, class, raw, list_contains(keys, 'text') AS kt, list_contains(keys, 'audio') AS ka FROM l1),
+l3 AS (SELECT line_no, class, kt, ka, kt AND ka AS whole, CASE WHEN kt AND ka AND json_type(raw, '$.text') = 'VARCHAR' THEN raw->>'$.text' END AS text, CASE WHEN kt AND ka THEN {_PATH} END AS audio, CASE WHEN kt AND ka THEN {_LREF} END AS ref_audio FROM l2),
+c0 AS (SELECT l3.*, a.path, a.frames, a.sample_rate, a.readable, a.duration AS md, r.path AS rpath FROM l3 LEFT JOIN media a ON l3.audio = a.path LEFT JOIN (SELECT DISTINCT path FROM media) r ON l3.ref_audio = r.path),
+c1 AS (SELECT *, CASE WHEN NOT whole OR coalesce(audio, '') = '' THEN NULL WHEN path IS NULL THEN 'not_found' WHEN frames = 0 THEN 'zero_frames' WHEN sample_rate <> 16000 THEN 'sample_rate' WHEN NOT readable THEN 'unreadable' END AS media_error FROM c0),
+c2 AS (SELECT *, whole AND coalesce(audio, '') <> '' AND media_error IS NULL AS valid FROM c1),
+checked AS (SELECT line_no AS sample_id, class, kt, ka, whole, audio, text, media_error, valid, CASE WHEN valid THEN md END AS media_duration, CASE WHEN valid THEN CASE WHEN md < 0.3 THEN 'very_short' WHEN md > 30 THEN 'very_long' ELSE 'ok' END END AS band,
+ whole AND {_strip("coalesce(text, '')")} = '' AS blank_text, CASE WHEN coalesce(ref_audio, '') = '' THEN NULL WHEN rpath IS NOT NULL THEN 'ok' ELSE 'missing' END AS ref FROM c2),
+found AS (SELECT sample_id, 'error' AS severity, 'invalid_json' AS category FROM checked WHERE class = 'invalid_json' UNION ALL SELECT sample_id, 'error', 'not_object' FROM checked WHERE class LIKE 'not_object%'
+ UNION ALL SELECT sample_id, 'error', 'missing_key' FROM checked WHERE class = 'object' AND NOT kt UNION ALL SELECT sample_id, 'error', 'missing_key' FROM checked WHERE class = 'object' AND NOT ka
+ UNION ALL SELECT sample_id, 'error', 'invalid_path' FROM checked WHERE whole AND coalesce(audio, '') = '' UNION ALL SELECT sample_id, 'error', 'media' FROM checked WHERE media_error IS NOT NULL
+ UNION ALL SELECT sample_id, 'warning', 'blank_text' FROM checked WHERE blank_text UNION ALL SELECT sample_id, 'warning', band FROM checked WHERE band IN ('very_short', 'very_long') UNION ALL SELECT sample_id, 'warning', 'ref_missing' FROM checked WHERE ref = 'missing')
+"""
+_OWN = len(oracle(_CHECKED))
+
+
+def _over_lines(name: str) -> str:
+    """What a query selects from `checked` and `found`, over lines."""
+    return _LINES + ORACLE_SQL[name][_OWN:]
+
+
+@query("p9_line_valid", _LINES + "SELECT sample_id, valid FROM checked", "raw_lines", "media")
+def _(lines, a):
+    return V.checked(lines, a).select("sample_id", "valid")
+
+
+@query("a1_line_summary", _over_lines("a1_validation_summary"), "raw_lines", "media")
+def _(lines, a):
+    return V.summary(V.checked(lines, a))
+
+
+@query("a2_line_findings_capped", _over_lines("a2_findings_capped"), "raw_lines", "media")
+def _(lines, a):
+    return V.findings_capped(V.findings(V.checked(lines, a)))
+
+
+@query("a5_line_report", _over_lines("a5_validation_report").replace("NOT blank_text", "text IS NOT NULL AND NOT blank_text"), "raw_lines", "media")
+def _(lines, a):
+    return V.report(V.checked(lines, a))
+
+
+@query("o1_line_top_findings", _over_lines("o1_top_findings"), "raw_lines", "media")
+def _(lines, a):
+    return V.top_findings(V.findings(V.checked(lines, a)))
+
+
+@query("st4_stream_validate_lines", _LINES + "SELECT sample_id, media_error, band, blank_text, ref, valid FROM checked", "raw_lines", "media")
+def _(lines, a):
+    out = streams.through_stream(lines, lambda rows: streams.stream_validate(rows, a), "line_no")
+    return out.select("sample_id", "media_error", "band", "blank_text", "ref", "valid")

@@ -83,5 +83,5 @@ def stream_metrics_tail(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_validate(manifest: DataFrame, media: DataFrame) -> DataFrame:
-    """`validation.checked` over a stream of manifest rows: the media are a static side of the join."""
+    """`validation.checked` over a stream of manifest rows or lines (line_no, raw): the media are a static side of the join."""
     return checked(manifest, media)
