@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -234,6 +235,43 @@ def test_repeats_are_those_of_brute_force(docs, clashing, empty):
     assert run_length_index.deduplicated(empty).count() == 0
 
 
+def test_hot_minimizers_are_split(spark):
+    rng = random.Random(3)
+    some = lambda n: "".join(rng.choices("abcdefghijklmnop", k=n))
+    line, ends = some(95), [some(60) for _ in range(40)]
+    rows = [(i, some(60) + line + (rng.choice(ends) if i % 3 else some(60))) for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    known = run_length_index.sorted_out(run_length_index.strings(docs))
+    by_mini = known.where("remove is null").groupBy("mini").count().collect()
+    assert by_mini and min(r["count"] for r in by_mini) > run_length_index.HOT
+    asked = known.where("not remove").groupBy("mini").count().agg(F.max("count")).first()[0]
+    assert asked <= run_length_index.HOT
+    gone = _removals(rows)
+    for r in run_length_index.with_removals(docs, "doc_id").collect():
+        mine = np.zeros(len(r["text"]), bool)
+        for a, b in run_length_index.spans(r["removed"]):
+            mine[a:b] = True
+        assert (mine == gone[r["doc_id"]]).all(), r["doc_id"]
+
+
+def test_sorted_pieces_lose_no_row(monkeypatch):
+    monkeypatch.setattr(run_length_index, "ROWS", 50)
+    rng = random.Random(4)
+    for _ in range(200):
+        keys = sorted(rng.choices(range(8), [1, 2, 30, 1, 1, 20, 1, 1], k=rng.randint(0, 400)))
+        cuts, at = [], 0
+        while at < len(keys):
+            n = rng.randint(0, 30)
+            cuts.append(pa.record_batch([pa.array(keys[at : at + n], pa.int64()), pa.array(range(at, min(at + n, len(keys))), pa.int64())], ["k", "i"]))
+            at += n
+        got = list(run_length_index._pieces(iter(cuts), ["k", "i"]))
+        assert [i for (_, x), _ in got for i in x] == list(range(len(keys)))
+        large = {int(k) for (x, _), m in got if m for k in x}
+        whole = [set(map(int, x)) for (x, _), m in got if not m]
+        assert not any(w & large for w in whole) and sum(map(len, whole)) == len(set().union(*whole))
+        assert all(len(set(x)) == 1 for (x, _), m in got if m) and all(len(x) <= 50 + 30 + 50 for (x, _), _ in got)
+
+
 def test_rows_that_share_an_id(spark):
     a, b = "x" * 40 + "".join(map(str, range(100))), "y" * 130
     rows = spark.createDataFrame([(1, a), (1, b), (1, a), (2, a), (None, b)], "doc_id bigint, text string")

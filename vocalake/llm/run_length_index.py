@@ -7,12 +7,15 @@ the same one. Steps:
    runs of windows with one minimizer are strings of about 140 bytes. Equal windows have equal minimizers, so they meet.
    Within a task, strings that repeat are reported as such; one of each goes on.
 2. `sorted_out`: strings are dealt by minimizer and sorted. Repeats of a whole string are removals; the first
-   occurrences under a minimizer with different strings may share windows, and are asked for.
+   occurrences under a minimizer with different strings may share windows, and are asked for. Of minimizers with more
+   than `HOT` strings nothing is decided here: they pass through, never held at once.
 3. `index_repeats`: the strings asked for are dealt by minimizer. Over about a megabyte of them at a time, a
    Burrows-Wheeler transform is built and run-length compressed. The ends of its runs are sampled: a place in the text,
    its lexicographic predecessor, and their common prefix. From these samples alone, matching statistics of the text
    are streamed: of each place, the predecessor and the length of the match with it (one less for each step from the
-   sample on). Matches of LENGTH or more chain equal windows, of which all but the first are removals.
+   sample on). Matches of LENGTH or more chain equal windows, of which all but the first are removals. Strings of hot
+   minimizers are dealt anew, window by window, by the window's own hash: equal windows still meet, of which a task sends
+   on the first of each batch only, so a group has a row per batch at most.
 4. `with_removals`: back to the documents.
 
 Defined cases: null and empty texts have no bytes; texts shorter than LENGTH keep theirs; a null id comes before all
@@ -37,6 +40,8 @@ from vocalake.llm.common import by_parts, groups, stored, table
 LENGTH, GRAM = 100, 32
 #: Bytes of text in one numpy pass, of strings in one index, strings between two looks for repeats in a task.
 PASS, INDEX, LOOK = 1_500_000, 1_000_000, 1_500_000
+#: Strings under one minimizer (about a megabyte) beyond which it is split; bytes of a window's hash; rows in one look at sorted strings.
+HOT, DIGEST, ROWS = 7_000, 16, 200_000
 #: A place is 40 bits of position, and above them 23 bits that tell texts of one id apart.
 PLACE = (1 << 40) - 1
 
@@ -133,13 +138,50 @@ def strings(docs: DataFrame) -> DataFrame:
     return keyed(docs).mapInArrow(run, FOUND)
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[list[np.ndarray], bool]]:
+    """As `groups`, but a group of more than ROWS rows comes in pieces, which are marked."""
+    held: list[np.ndarray] | None = None
+    large = None
+
+    def out(rows: list[np.ndarray], last: bool):
+        nonlocal held, large
+        if large is not None:
+            end = int(np.searchsorted(rows[0], large, "right"))
+            if end:
+                yield [c[:end] for c in rows], True
+            rows = [c[end:] for c in rows]
+            large = large if not len(rows[0]) else None
+        cut = len(rows[0]) if last else int(np.searchsorted(rows[0], rows[0][-1], "left")) if len(rows[0]) else 0
+        if cut:
+            yield [c[:cut] for c in rows], False
+        held = [c[cut:] for c in rows]
+        if len(held[0]) > ROWS:
+            large = held[0][0]
+            yield held, True
+            held = [c[:0] for c in held]
+
+    waiting: list[list[np.ndarray]] = []
+    total = 0
+    for batch in batches:
+        if batch.num_rows:
+            waiting.append([batch.column(c).to_numpy(zero_copy_only=False) for c in names])
+            total += batch.num_rows
+        if total >= ROWS:
+            yield from out([np.concatenate(c) for c in zip(*([held] if held else []), *waiting)], False)
+            waiting, total = [], 0
+    if held or waiting:
+        yield from out([np.concatenate(c) for c in zip(*([held] if held else []), *waiting)], True)
+
+
 def sorted_out(found: DataFrame) -> DataFrame:
-    """doc, place, windows, mini, remove: removals (whole strings seen earlier), and strings asked for."""
+    """doc, place, windows, mini, remove: removals (whole strings seen earlier), strings asked for, and those of hot minimizers (remove is null)."""
     names = ["mini", "doc", "place", "windows", "whole", "again"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for mini, doc, place, n, whole, again in groups(batches, names, 200_000, lambda c: len(c[0])):
-            done, rest = again, ~again
+        for (mini, doc, place, n, whole, again), large in _pieces(batches, names):
+            _, group, count = np.unique(mini, return_inverse=True, return_counts=True)
+            hot = ~again & (large | (count[group] > HOT))
+            done, rest = again, ~again & ~hot
             rows = [c[rest] for c in (mini, whole, doc, place, n)]
             order = np.lexsort((rows[3], rows[3] & PLACE, rows[2], rows[1], rows[0]))
             m, w, d, p, k = (c[order] for c in rows)
@@ -149,9 +191,9 @@ def sorted_out(found: DataFrame) -> DataFrame:
             group = np.cumsum(_first_of([m])) - 1 if len(m) else m
             kinds = np.bincount(group, weights=new) if len(m) else np.zeros(0)
             ask = new & (kinds[group] > 1) if len(m) else new[:0]
-            out = [np.concatenate([a[done], b[later], b[ask]]) for a, b in ((doc, d), (place, p), (n, k), (mini, m))]
-            remove = np.arange(len(out[0])) < len(out[0]) - int(ask.sum())
-            yield pa.record_batch([*(pa.array(c) for c in out), pa.array(remove)], ["doc", "place", "windows", "mini", "remove"])
+            out = [np.concatenate([a[done], b[later], b[ask], a[hot]]) for a, b in ((doc, d), (place, p), (n, k), (mini, m))]
+            kind = np.repeat(np.arange(3), [len(out[0]) - int(ask.sum()) - int(hot.sum()), int(ask.sum()), int(hot.sum())])
+            yield pa.record_batch([*(pa.array(c) for c in out), pa.array(kind == 0, mask=kind == 2)], ["doc", "place", "windows", "mini", "remove"])
 
     return found.repartition("mini").sortWithinPartitions("mini").select(*names).mapInArrow(run, "doc bigint, place bigint, windows int, mini bigint, remove boolean")
 
@@ -246,20 +288,80 @@ def repeats(texts: list[bytes], doc: np.ndarray, place: np.ndarray) -> np.ndarra
     return out
 
 
+def _hot_windows(rows: list[tuple[int, int, bytes]]) -> tuple:
+    """Of the windows of some strings (doc, place, bytes): mini (of the hash), doc, place, hash of the first of equal ones, and those that repeat one, as runs with an empty hash."""
+    n = np.array([len(t) - LENGTH + 1 for _, _, t in rows])
+    offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    doc, place = np.repeat([r[0] for r in rows], n), np.repeat([r[1] for r in rows], n) + offset
+    digest = np.array([xxhash.xxh3_128_digest(t[i : i + LENGTH]) for _, _, t in rows for i in range(len(t) - LENGTH + 1)], f"V{DIGEST}")
+    first, again = _first_windows(digest.view(">u8").reshape(-1, 2), doc, place)
+    d, p, k = _spans(doc[again], place[again])
+    key = digest[first].view("<i8")[::2]
+    joined = (np.concatenate(c) for c in ((key, d * 31 + p), (doc[first], d), (place[first], p)))
+    return *joined, [*map(bytes, digest[first]), *[b""] * len(d)], np.concatenate([np.ones(len(first), np.int64), k])
+
+
+def _first_windows(key: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes of windows that come first among those of equal key (as do all that begin at the same place), and of the others."""
+    order = np.lexsort((place, place & PLACE, doc, key[:, 1], key[:, 0]))
+    k, d, p = key[order], doc[order], place[order] & PLACE
+    head = np.maximum.accumulate(np.where(_first_of([k[:, 0], k[:, 1]]), np.arange(len(k)), 0))
+    again = (d != d[head]) | (p != p[head])
+    return order[~again], order[again]
+
+
+def _spans(doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """doc, place, windows of runs of windows, each beginning a byte after the one before."""
+    order = np.lexsort((place, doc))
+    doc, place = doc[order], place[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (place[1:] - place[:-1] > 1)
+    at = np.flatnonzero(new)
+    last = np.append(at, len(doc))[1:] - 1
+    return doc[at], place[at], place[last] - place[at] + 1
+
+
 def index_repeats(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """doc, place, windows of further removals, from the strings asked for."""
-    wanted = asked.withColumn("twin", F.shiftright("place", 40)).groupBy("doc", "twin").agg(F.collect_list(F.struct("place", "windows", "mini")).alias("asked"))
+    """doc, place, windows of further removals, from the strings asked for and those of hot minimizers."""
+    wanted = asked.withColumn("twin", F.shiftright("place", 40)).groupBy("doc", "twin").agg(F.collect_list(F.struct("place", "windows", "mini", F.col("remove").isNull().alias("hot"))).alias("asked"))
+    kind = "mini bigint, doc bigint, place bigint, bytes binary, windows int"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed(columns) -> pa.RecordBatch:
+            return pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32()))], ["mini", "doc", "place", "bytes", "windows"])
+
         for batch in by_parts(batches):
-            rows = [(q["mini"], d, q["place"], t[(a := q["place"] & PLACE) : a + q["windows"] + LENGTH - 1]) for d, t, x in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "asked"))) for q in x]
+            rows, hot = [], []
+            for d, t, x in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "asked"))):
+                for q in x:
+                    own = t[(a := q["place"] & PLACE) : a + q["windows"] + LENGTH - 1]
+                    if q["hot"]:
+                        hot.append((d, q["place"], own))
+                    else:
+                        rows.append((q["mini"], d, q["place"], own, q["windows"]))
             if rows:
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["mini", "doc", "place", "bytes"])
+                yield packed(zip(*rows))
+            for i in range(0, len(hot), HOT):
+                yield packed(_hot_windows(hot[i : i + HOT]))
 
-    cuts = keyed(docs).join(wanted, ["doc", "twin"]).select("doc", "text", "asked").mapInArrow(cut, "mini bigint, doc bigint, place bigint, bytes binary")
+    cuts = keyed(docs).join(wanted, ["doc", "twin"]).select("doc", "text", "asked").mapInArrow(cut, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for mini, doc, place, text in groups(batches, ["mini", "doc", "place", "bytes"], INDEX, lambda c: sum(map(len, c[3]))):
+        def packed(*columns) -> pa.RecordBatch:
+            return pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32()))], ["doc", "place", "windows"])
+
+        for mini, doc, place, text, n in groups(batches, ["mini", "doc", "place", "bytes", "windows"], INDEX, lambda c: sum(map(len, c[3])) + DIGEST * len(c[3])):
+            size = np.array([len(t) for t in text])
+            if (size == 0).any():
+                yield packed(doc[size == 0], place[size == 0], n[size == 0])
+            own = size == DIGEST
+            if own.any():
+                d, p = doc[own], place[own]
+                _, again = _first_windows(np.frombuffer(b"".join(text[own]), ">u8").reshape(-1, 2), d, p)
+                yield packed(*_spans(d[again], p[again]))
+            mini, doc, place, text = (c[size >= LENGTH] for c in (mini, doc, place, text))
+            if not len(text):
+                continue
             order = np.lexsort((place, place & PLACE, doc, mini))
             doc, place, text = doc[order], place[order], text[order]
             marked = repeats(text.tolist(), doc, place)
@@ -268,7 +370,7 @@ def index_repeats(docs: DataFrame, asked: DataFrame) -> DataFrame:
             edge = np.flatnonzero(np.diff(np.concatenate([[0], marked.view(np.int8), [0]])))
             a, b = edge[::2], edge[1::2]
             of = np.searchsorted(starts, a, "right") - 1
-            yield pa.record_batch([pa.array(doc[of]), pa.array(place[of] + a - starts[of]), pa.array((b - a).astype(np.int32))], ["doc", "place", "windows"])
+            yield packed(doc[of], place[of] + a - starts[of], (b - a).astype(np.int32))
 
     return cuts.repartition("mini").sortWithinPartitions("mini").mapInArrow(run, "doc bigint, place bigint, windows int")
 
@@ -276,7 +378,7 @@ def index_repeats(docs: DataFrame, asked: DataFrame) -> DataFrame:
 def with_removals(docs: DataFrame, *columns: str) -> DataFrame:
     """doc, twin, text (bytes), removed (array of place and windows; null if none) and the columns, for each row of docs."""
     known = stored(sorted_out(strings(docs)))
-    more = stored(index_repeats(docs, known.where("not remove")))
+    more = stored(index_repeats(docs, known.where("remove is null or not remove")))
     marks = known.where("remove").select("doc", "place", "windows").unionByName(more)
     grouped = marks.withColumn("twin", F.shiftright("place", 40)).groupBy("doc", "twin").agg(F.collect_list(F.struct(F.col("place").bitwiseAND(PLACE).alias("at"), "windows")).alias("removed"))
     return keyed(docs, *columns).join(grouped, ["doc", "twin"], "left")
