@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from vocalake.operators import alignment, lengths, requests, signal, validation
+from vocalake.operators import alignment, lengths, requests, runs, signal, validation
 from vocalake.sources.manifest import read_manifest, read_text_lines
 from vocalake.sources.media import read_media_catalog
 from vocalake.streaming import streams
@@ -80,3 +80,8 @@ def test_broken_lines_are_errors(spark):
     assert [sorted((r["sample_id"], r["category"]) for r in found if r["severity"] == s) for s in ("error", "warning")] == [errors, warnings]
     assert validation.summary(rows).first().asDict() == {"total": 8, "valid": 1, "with_ref": 1, "n_errors": 8, "n_warnings": 3, "is_valid": False}
     assert validation.text_length_stats(rows).first()["max_length"] == 3
+
+
+def test_catalogue_is_whole_and_in_order(spark):
+    files = spark.createDataFrame([(f"run/step_{i:04d}", "weights.safetensors", None) for i in range(60)], "dir string, name string, body string").repartition(5)
+    assert sorted((r["position"], r["id"]) for r in runs.catalogue_order(files).collect()) == [(i, f"run/step_{59 - i:04d}") for i in range(60)]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vocalake.tables import numbered
+
 
 def metric_line(split: Column, step: Column, values: Column, interval: Column | None = None) -> Column:
     """[split] step N: k: v, … of an array of struct<key, value>, sorted by key, with the log interval if there is one."""
@@ -68,6 +70,11 @@ def artifact_catalog(files: DataFrame) -> DataFrame:
     return dirs.join(side, "dir", "left").select(F.col("dir").alias("id"), model.alias("base_model")).orderBy(F.desc("id"))
 
 
+def catalogue_order(files: DataFrame) -> DataFrame:
+    """The whole artifact catalogue: id, base_model and the position (from 0) in descending order of ids."""
+    return numbered(artifact_catalog(files), F.desc("id"))
+
+
 def resume_point(files: DataFrame) -> DataFrame:
     """run, step: 0 without `latest`, else its state's step, else the largest step directory, else 0."""
     run = F.regexp_extract("dir", r"^([^/]+)/", 1)

@@ -31,6 +31,12 @@ def _(f):
     return R.artifact_catalog(f).limit(25)
 
 
+# The whole catalogue, with each row's place in the order.
+@query("o2_catalogue_positions", f"WITH x AS (WITH {_CAT}) SELECT id, base_model, row_number() OVER (ORDER BY id DESC) - 1 AS position FROM x", "files")
+def _(f):
+    return R.catalogue_order(f)
+
+
 _RUN = "regexp_extract(dir, '^([^/]+)/', 1)"
 _N = r"TRY_CAST(regexp_extract(dir, '/step_(\d+)$', 1) AS BIGINT)"
 
