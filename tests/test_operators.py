@@ -85,3 +85,10 @@ def test_broken_lines_are_errors(spark):
 def test_catalogue_is_whole_and_in_order(spark):
     files = spark.createDataFrame([(f"run/step_{i:04d}", "weights.safetensors", None) for i in range(60)], "dir string, name string, body string").repartition(5)
     assert sorted((r["position"], r["id"]) for r in runs.catalogue_order(files).collect()) == [(i, f"run/step_{59 - i:04d}") for i in range(60)]
+
+
+def test_latents_lie_at_audio_positions(spark):
+    packed = spark.createDataFrame([(1, [0, 1, 1, 0, 0, 1, 0]), (2, [0, 1])], "key bigint, audio_mask array<int>")
+    latents = spark.createDataFrame([(1, i, [i + 1.0] * 64) for i in range(3)] + [(2, 0, [9.0] * 64)], "key bigint, patch int, values array<double>")
+    got = sorted(map(tuple, lengths.latent_track(packed, latents).collect()))
+    assert got == [(1, i, [v] * 64) for i, v in enumerate([0.0, 1.0, 2.0, 0.0, 0.0, 3.0, 0.0])] + [(2, 0, [0.0] * 64), (2, 1, [9.0] * 64)]

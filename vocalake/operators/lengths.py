@@ -71,6 +71,20 @@ def clip_pad(df: DataFrame, track: str, batch: str, most: int, pad) -> DataFrame
     return df.join(target, batch).withColumn(track, pad_to(F.col(track), F.col("_n"), pad)).drop("_n")
 
 
+def latent_track(packed: DataFrame, latents: DataFrame) -> DataFrame:
+    """key, pos (from 0), values: packed samples (key, audio_mask) a row per position, with the latents (key, patch from 0, values) at audio positions in order, zero patches of their width elsewhere.
+
+    values is null where an audio position has no latent.
+    """
+    at = lambda m: F.filter(F.sequence(F.lit(0), F.size("audio_mask") - 1), lambda i: F.get("audio_mask", i) == m)
+    some = packed.where(F.size("audio_mask") > 0)
+    audio = some.select("key", F.posexplode(at(1)).alias("patch", "pos")).join(latents, ["key", "patch"], "left").select("key", "pos", "values")
+    width = latents.agg(F.max(F.size("values")).alias("_w"))  # one row
+    zero = F.transform(F.array_repeat(F.lit(0), F.col("_w")), lambda x: x.cast("double"))
+    rest = some.select("key", F.explode(at(0)).alias("pos")).join(F.broadcast(width)).select("key", "pos", zero.alias("values"))
+    return audio.unionByName(rest)
+
+
 def tokenized(df: DataFrame, tokenize: Callable[[list[str]], list[list[int]]], column: str = "text", remove: tuple[str, ...] = ()) -> DataFrame:
     """df with text_ids by a user's batch tokenizer, without the columns to remove. Where a vocabulary join does, `vocab_encode` is faster."""
 

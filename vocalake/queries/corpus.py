@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vocalake.functions import nested as N
@@ -181,6 +182,17 @@ def _(x):
     return x.select("vec_id", _joined(F.concat(zero, patch, F.array(F.lit(0).cast("bigint")))).alias("out"))
 
 
+@query("n8_latent_track_packed", """WITH v AS (SELECT vec_id // 4 AS clip, embedding, row_number() OVER (PARTITION BY vec_id // 4 ORDER BY vec_id) AS k FROM latents), c AS (SELECT clip, count(*) AS a, clip % 4 + 1 AS n FROM v GROUP BY clip), w AS (SELECT max(len(embedding)) AS w FROM latents),
+z AS (SELECT clip, unnest(list_append(range(0, n + 1), n + a + 1)) AS pos FROM c)
+SELECT clip, clip % 4 + 1 + k AS pos, array_to_string(list_transform(embedding, lambda x: (round(x::DOUBLE * 10000))::BIGINT::VARCHAR), ',') AS out FROM v UNION ALL SELECT clip, pos, concat('0', repeat(',0', (w - 1)::INT)) FROM z, w""", "latents")
+def _(x):
+    clip = F.floor(F.col("vec_id") / 4)
+    latents = x.select(clip.alias("key"), (F.row_number().over(Window.partitionBy(clip).orderBy("vec_id")) - 1).alias("patch"), F.col("embedding").cast("array<double>").alias("values"))
+    sized = latents.groupBy("key").agg(F.count("*").alias("a")).withColumn("ids", F.sequence(F.lit(1), (F.col("key") % 4 + 1).cast("int")))
+    packed = sized.select("key", N.pack_target(F.col("ids"), F.col("a"), F.lit(False))["audio_mask"].alias("audio_mask"))
+    return L.latent_track(packed, latents).select(F.col("key").alias("clip"), F.col("pos").cast("bigint").alias("pos"), _joined(F.transform("values", lambda v: F.round(v * 10000).cast("bigint"))).alias("out"))
+
+
 _MODES = "CASE doc_id % 4 WHEN 0 THEN 'zero_shot' WHEN 1 THEN 'continuation' WHEN 2 THEN 'reference' ELSE 'ref_continuation' END"
 _FRONT = _cat("[103]", _rep(0, "r"), "[104]", "ids", "[101]")
 
