@@ -92,3 +92,13 @@ def test_latents_lie_at_audio_positions(spark):
     latents = spark.createDataFrame([(1, i, [i + 1.0] * 64) for i in range(3)] + [(2, 0, [9.0] * 64)], "key bigint, patch int, values array<double>")
     got = sorted(map(tuple, lengths.latent_track(packed, latents).collect()))
     assert got == [(1, i, [v] * 64) for i, v in enumerate([0.0, 1.0, 2.0, 0.0, 0.0, 3.0, 0.0])] + [(2, 0, [0.0] * 64), (2, 1, [9.0] * 64)]
+
+
+def test_prompts_keep_all_turns(spark, tmp_path):
+    from vocalake import queries, registry  # noqa: F401
+
+    turns = spark.createDataFrame([(c, t, "user", f"t{c}-{t} é") for c in (3, 4) for t in range(12)], "conv_id bigint, turn int, role string, text string")
+    turns.write.parquet(str(tmp_path / "conversations.parquet"))
+    prompts = requests.merge_prompt_cache(turns.withColumn("ref_audio", F.when(F.col("conv_id") == 3, "r.wav"))).select("conv_id", "turn", F.md5("prompt_text"), "mode")
+    got = registry.QUERIES["w5_merge_prompt_cache"](spark, str(tmp_path)).collect()
+    assert len(got) == 24 and sorted(map(tuple, got)) == sorted(map(tuple, prompts.collect()))
