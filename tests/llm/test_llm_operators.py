@@ -348,10 +348,11 @@ def test_scores_are_stupid_backoff(docs, empty):
     one = Counter(w for x in words.values() for w in x)
     two = Counter(p for x in words.values() for p in zip(x, x[1:]))
     total = sum(one.values())
-    got = _by_id(lm_scoring.scores(docs, block=5000))
-    for i, x in words.items():
-        s = [math.log(one[w] / total) if k == 0 else math.log(two[x[k - 1], w] / one[x[k - 1]]) if two[x[k - 1], w] >= 2 else math.log(0.4 * one[w] / total) for k, w in enumerate(x)]
-        assert got[i]["n_words"] == len(x) and abs(got[i]["log_score"] - sum(s)) < 1e-6 * max(1, abs(sum(s))) and (got[i]["mean"] is None) == (not x)
+    for common in (1 << 20, 300, 1):
+        got = _by_id(lm_scoring.scores(docs, common=common))
+        for i, x in words.items():
+            s = [math.log(one[w] / total) if k == 0 else math.log(two[x[k - 1], w] / one[x[k - 1]]) if two[x[k - 1], w] >= 2 else math.log(0.4 * one[w] / total) for k, w in enumerate(x)]
+            assert got[i]["n_words"] == len(x) and abs(got[i]["log_score"] - sum(s)) < 1e-6 * max(1, abs(sum(s))) and (got[i]["mean"] is None) == (not x)
     assert lm_scoring.scores(empty).count() == 0
 
 

@@ -34,10 +34,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Writes df as Parquet in the shared folder and reads it again: computed once, and lost executors don't matter."""
+    """Writes df as Parquet in the shared folder and reads it again: computed once, and lost executors don't matter.
+
+    Then the driver collects its garbage, upon which Spark drops the shuffles that were needed for this table alone.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -32,61 +32,22 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vocalake.llm.common import SPACES, by_parts, groups, stored, table, texts
+from vocalake.llm.common import by_parts, groups, stored, table, texts
 from vocalake.llm.graph import components
+from vocalake.llm.hashing import scrambled, word_hashes
 
 CELLS, CHUNK = 1 << 27, 1 << 16
 BLOCK = 512
 _EDGES = np.arange(16, dtype=np.uint64) << np.uint64(60)
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
-_AT = np.random.default_rng(7).integers(1, 1 << 63, 4096, np.int64).astype(np.uint64) | np.uint64(1)
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_IS_SPACE = np.isin(np.arange(256), list(SPACES.encode()))
-
-
-def _scrambled(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
-    return x ^ (x >> np.uint64(33))
-
-
-def _word_hashes(batch: list[str], most: int = 2_000_000) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words, and the number of words of each text; about `most` characters at a time."""
-    parts, start, held = [], 0, 0
-    for i, x in enumerate(batch):
-        held += len(x)
-        if held > most or i + 1 == len(batch):
-            parts.append(_hashes(batch[start : i + 1]))
-            start, held = i + 1, 0
-    if not parts:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return tuple(np.concatenate(c) for c in zip(*parts))
-
-
-def _hashes(batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """A word's hash is a sum over its bytes, each times a random number for its place."""
-    raw = [x.encode() for x in batch]
-    data = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
-    space = _IS_SPACE[data]
-    before = np.ones(len(data), bool)
-    before[1:] = space[:-1]
-    starts = np.flatnonzero(before & ~space)
-    if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(batch), np.int64)
-    at = np.arange(len(data)) - np.repeat(np.append(0, starts), np.diff(np.concatenate([[0], starts, [len(data)]])))
-    value = (_LOWER[data].astype(np.uint64) + np.uint64(1)) * _AT[at & 4095] * (2 * (at >> 12) + 1).astype(np.uint64)
-    value[space] = 0
-    ends = np.cumsum([len(r) + 1 for r in raw])
-    return _scrambled(np.add.reduceat(value, starts)), np.diff(np.searchsorted(starts, ends), prepend=0)
 
 
 def shingles(batch: list[str], n: int) -> list[np.ndarray]:
     """For each text its distinct n-grams as 64-bit hashes, sorted."""
-    flat, sizes = _word_hashes(batch)
+    flat, sizes = word_hashes(batch)
     h = flat[: max(0, len(flat) - n + 1)] * _MIX[0]
     for k in range(1, n):
-        h = _scrambled(h + flat[k : k + len(h)] * _MIX[k])
+        h = scrambled(h + flat[k : k + len(h)] * _MIX[k])
     out, at = [], 0
     for size in sizes.tolist():
         if size >= n:
@@ -97,8 +58,8 @@ def shingles(batch: list[str], n: int) -> list[np.ndarray]:
         elif size:  # the whole sequence; the number of words keeps lengths apart
             own = np.zeros(1, np.uint64)
             for k in range(size):
-                own = _scrambled(own + flat[at + k] * _MIX[k])
-            out.append(_scrambled(own + np.uint64(size)))
+                own = scrambled(own + flat[at + k : at + k + 1] * _MIX[k])
+            out.append(scrambled(own + np.uint64(size)))
         else:
             out.append(flat[:0])
         at += size

@@ -1,16 +1,22 @@
-"""Stupid-backoff language-model scores of all documents under counts of the whole corpus.
-
-Word and word-pair counts are tables partitioned by hash. So that the join with the n-grams of the documents moves each
-n-gram once per block of documents, not once per occurrence, documents are dealt into blocks of bounded text; a block
-asks each hash partition for the n-grams that it has (sorted, distinct, with its own counts), the partition adds up the
-counts of all blocks and answers each one, and the block's answers are joined to it again and summed per document.
+"""Stupid-backoff language-model scores of all documents under counts of the whole corpus: tables, joins and sums.
+
+1. `word_counts`: word (64-bit hash), n. Words with at least a 2^-20 share of all are common: 2^20 of them at most, whatever
+   the corpus, so they are broadcast, and have a number.
+2. `pair_counts`: gram, n of the word pairs that occur `LEAST` times or more: counted within a task, dealt by hash, summed. A
+   gram is both numbers of two common words, else a hash (then its words come with it).
+3. `weights`: gram, y: what a pair that is known adds to the score over backing off, and the share of each other word; words'
+   counts are joined to the pairs.
+4. `exploded`: a row for each n-gram of each document. Pairs with at least a 2^-20 share of all (2^20 at most, again) are
+   broadcast and added up where the document lies, as are common words; so no gram that is dealt has a larger share.
+5. `scores`: n-grams joined with the weights by gram, and summed by document.
 
 Score of a word after another: count of the pair over count of the first word, if the pair occurs at least `LEAST` times
 in the corpus; otherwise `BACKOFF` times the share of the second word. The first word of a text has its share.
 
 Words are runs without ASCII white space, A-Z lower-cased. Defined cases: a text that is null, empty or without words has
-no words, log_score 0 and a null mean; repeated rows count as often as they occur and get equal scores; other columns
-are left alone. Pairs are told apart by 64-bit hashes.
+no words, log_score 0 and a null mean; repeated rows count as often as they occur and get equal scores, one for each row,
+also under a null id; rows that share an id and differ in text are scored apart; other columns are left alone. Words,
+pairs with a word that isn't common, and texts of one id are told apart by hashes of 62 to 64 bits.
 """
 
 from __future__ import annotations
@@ -19,108 +25,194 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vocalake.llm.common import groups, stored, table, texts
-from vocalake.llm.jaccard_join import _scrambled, _word_hashes
+from vocalake.llm.common import by_parts, stored, table, texts
+from vocalake.llm.hashing import scrambled, word_hashes
 
 LEAST, BACKOFF = 2, 0.4
-#: Characters of text in a block, and n-grams of a block in one hash partition, about.
-BLOCK, PART = 12_000_000, 30_000
-#: N-grams that all blocks together may ask of one hash partition, about.
-MOST = 8_000_000
+#: A word or pair is common from a share of one in so many.
+COMMON = 1 << 20
+#: Words that a task counts at a time.
+CHUNK = 2_000_000
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
+#: The two leading bits of a gram: two numbers of common words, a document's sums, a hashed pair, a hashed word.
+_NUMBERS, _SUMS, _HASHED, _WORD = (np.uint64(k << 62) for k in range(4))
 
 
-def _grams(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the pair that ends at each word, and whether there is one (not at a text's first word)."""
-    pair = np.zeros(len(flat), np.uint64)
-    pair[1:] = _scrambled(flat[:-1] * _PAIR + flat[1:])
-    inner = np.ones(len(flat), bool)
-    inner[(np.cumsum(sizes) - sizes)[sizes > 0]] = False
-    return pair, inner
+def _tagged(h: np.ndarray, tag: np.uint64) -> np.ndarray:
+    return h >> np.uint64(2) | tag
+
+
+class Common:
+    """Common words by hash: number and logarithm of the count; later also common pairs by gram, with what they add."""
+
+    def __init__(self, words: pa.Table, total: int):
+        h = np.array(words.column("word").to_numpy()).view(np.uint64)
+        order = np.argsort(h)
+        self.hashes, self.logs, self.total = h[order], np.log(words.column("n").to_numpy()[order].astype(float)), max(total, 1)
+        self.pairs, self.gains = np.zeros(0, np.uint64), np.zeros(0)
+
+    def with_pairs(self, pairs: pa.Table) -> None:
+        grams = np.array(pairs.column("gram").to_numpy()).view(np.uint64)
+        order = np.argsort(grams)
+        self.pairs, n = grams[order], pairs.column("n").to_numpy()[order]
+        v, w = (self.pairs >> np.uint64(20)).astype(np.int64), (self.pairs & np.uint64((1 << 20) - 1)).astype(np.int64)
+        self.gains = np.log(n) - self.logs[v] - self.logs[w] + np.log(self.total)
+
+    @staticmethod
+    def _found(known: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Places of x among the known, -1 without."""
+        if not len(known):
+            return np.full(len(x), -1)
+        at = np.minimum(np.searchsorted(known, x), len(known) - 1)
+        return np.where(known[at] == x, at, -1)
 
+    def numbers(self, flat: np.ndarray) -> np.ndarray:
+        return self._found(self.hashes, flat)
 
-def _packed(x: np.ndarray) -> bytes:
-    """Sorted 64-bit numbers as differences in as few bytes as the largest needs."""
-    gaps = np.diff(x, prepend=np.uint64(0))
-    width = max(1, (int(gaps.max()).bit_length() + 7) // 8)
-    return bytes([width]) + gaps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    def grams(self, flat: np.ndarray, number: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Grams of the pairs that end at the given places."""
+        v, w = number[at - 1], number[at]
+        both = (v.astype(np.uint64) << np.uint64(20)) | w.astype(np.uint64)
+        return np.where((v >= 0) & (w >= 0), both, _tagged(scrambled(flat[at - 1] * _PAIR + flat[at]), _HASHED))
 
 
-def _unpacked(b: bytes) -> np.ndarray:
-    gaps = np.zeros(((len(b) - 1) // b[0], 8), np.uint8)
-    gaps[:, : b[0]] = np.frombuffer(b, np.uint8, offset=1).reshape(-1, b[0])
-    return np.cumsum(gaps.view(np.uint64).ravel(), dtype=np.uint64)
+def _inner(sizes: np.ndarray) -> np.ndarray:
+    """Places of words that follow another in their text."""
+    inner = np.ones(int(sizes.sum()), bool)
+    inner[(np.cumsum(sizes) - sizes)[sizes > 0]] = False
+    return np.flatnonzero(inner)
+
 
+def _rows(**columns: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns.values()], list(columns))
 
-def asked(docs: DataFrame, bits: int) -> DataFrame:
-    """n (words in the n-gram), part (leading bits of its hash), block, grams, counts; docs have a block."""
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """word, n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, text in groups(batches, ["block", "text"], 1, lambda c: len(c[0])):
-            for b in np.unique(block).tolist():
-                flat, sizes = _word_hashes([x or "" for x in text[block == b]])
-                pair, inner = _grams(flat, sizes)
-                for n, x in ((1, flat), (2, pair[inner])):
-                    grams, counts = np.unique(x, return_counts=True)
-                    edges = np.searchsorted(grams, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.zeros(1, np.int64)
-                    rows = [(n, k, b, _packed(grams[i:j]), counts[i:j].astype("<u4").tobytes()) for k, (i, j) in enumerate(zip(edges, np.append(edges[1:], len(grams)))) if j > i]
-                    if rows:
-                        yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))], ["n", "part", "block", "grams", "counts"])
+        held, count = [], 0
+
+        def done() -> pa.RecordBatch:
+            word, n = np.unique(np.concatenate(held), return_counts=True)
+            return _rows(word=word, n=n)
 
-    rows = docs.select("block", "text").repartition("block").sortWithinPartitions("block")
-    return rows.mapInArrow(run, "n int, part int, block bigint, grams binary, counts binary")
+        for batch in by_parts(batches):
+            held.append(word_hashes(texts(batch))[0])
+            count += len(held[-1])
+            if count >= CHUNK:
+                yield done()
+                held, count = [], 0
+        if held:
+            yield done()
 
+    return docs.select("text").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
-def answered(requests: DataFrame) -> DataFrame:
-    """n, part, block, totals (of the n-grams asked for, in order), own (occurrences in the block)."""
+
+def pair_counts(docs: DataFrame, common, least: int = LEAST) -> DataFrame:
+    """gram, v, w (hashes of its words, 0 where the gram is their numbers), n of the pairs that occur at least so often; `common` is a broadcast."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+
+        def done() -> pa.RecordBatch:
+            gram, v, w = (np.concatenate(c) for c in zip(*held))
+            gram, first, n = np.unique(gram, return_index=True, return_counts=True)
+            return _rows(gram=gram, v=v[first], w=w[first], n=n)
+
+        for batch in by_parts(batches):
+            flat, sizes = word_hashes(texts(batch))
+            at = _inner(sizes)
+            gram = common.value.grams(flat, common.value.numbers(flat), at)
+            hashed = gram >= _HASHED
+            held.append((gram, np.where(hashed, flat[at - 1], np.uint64(0)), np.where(hashed, flat[at], np.uint64(0))))
+            count += len(gram)
+            if count >= CHUNK:
+                yield done()
+                held, count = [], 0
+        if held:
+            yield done()
+
+    rows = docs.select("text").mapInArrow(run, "gram bigint, v bigint, w bigint, n bigint")
+    return rows.groupBy("gram").agg(F.max("v").alias("v"), F.max("w").alias("w"), F.sum("n").alias("n")).where(F.col("n") >= least)
+
+
+def weights(words: DataFrame, pairs: DataFrame, common: Common, edge: float) -> DataFrame:
+    """gram, y of known pairs, and of words with fewer than `edge` occurrences."""
+    total = F.log(F.lit(float(common.total)))
+    counts = lambda c: words.select(F.col("word").alias(c), F.log("n").alias(f"c{c}"))
+    hashed = pairs.where("gram < 0").join(counts("v"), "v").join(counts("w"), "w").select("gram", "n", "cv", "cw")
+    logs = common_logs(words.sparkSession, common)
+    numbered = lambda c: F.broadcast(logs.select(F.col("id").alias(c), F.col("log").alias(f"c{c}")))  # noqa: E731  2^20 rows at most
+    own = pairs.where("gram >= 0").select("gram", "n", F.shiftright("gram", 20).alias("v"), F.col("gram").bitwiseAND((1 << 20) - 1).alias("w"))
+    own = own.join(numbered("v"), "v").join(numbered("w"), "w").select("gram", "n", "cv", "cw")
+    gain = F.log("n") - F.col("cv") - F.col("cw") + total
+    rare = words.where(F.col("n") < edge).select((F.shiftrightunsigned("word", 2) + F.lit(int(_WORD.view(np.int64)))).alias("gram"), (F.log("n") - total).alias("y"))
+    return hashed.unionAll(own).select("gram", gain.alias("y")).unionAll(rare)
+
+
+def common_logs(spark, common: Common) -> DataFrame:
+    """id, log of the common words."""
+    return spark.createDataFrame(pa.table({"id": pa.array(np.arange(len(common.logs))), "log": pa.array(common.logs)}))
+
+
+def exploded(docs: DataFrame, common, backoff: float) -> DataFrame:
+    """doc_id, text_hash, gram, x, sums: a row for each n-gram whose weight is to be joined, and one of each document's own sums."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, n, part, block, grams, counts in groups(batches, ["key", "n", "part", "block", "grams", "counts"], 1, lambda c: len(c[0])):
-            for k in np.unique(key).tolist():
-                at = np.flatnonzero(key == k)
-                asked = [_unpacked(grams[i]) for i in at]
-                own = [np.frombuffer(counts[i], "<u4") for i in at]
-                known, inverse = np.unique(np.concatenate(asked), return_inverse=True)
-                total = np.bincount(inverse, np.concatenate(own), len(known)).astype("<u8")
-                ends = np.cumsum([len(x) for x in asked])
-                totals = [total[x].astype("<u4" if total.max() < 1 << 32 else "<u8").tobytes() for x in np.split(inverse, ends[:-1])]
-                yield pa.record_batch([pa.array(n[at]), pa.array(part[at]), pa.array(block[at]), pa.array(totals, pa.binary()), pa.array([int(x.sum()) for x in own], pa.int64()), pa.array([len(x) for x in asked], pa.int32())], ["n", "part", "block", "totals", "own", "size"])
-
-    rows = requests.withColumn("key", F.col("n").cast("bigint") * (1 << 32) + F.col("part")).repartition("key").sortWithinPartitions("key")
-    return rows.mapInArrow(run, "n int, part int, block bigint, totals binary, own bigint, size int")
-
-
-def scores(docs: DataFrame, least: int = LEAST, backoff: float = BACKOFF, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_words, n_backoff (words scored by their share), log_score, mean of each row of docs."""
-    size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(2 * docs.sparkSession.sparkContext.defaultParallelism, size // block)
-    bits = max(min(size, block) // 10 // PART, size // 10 // MOST).bit_length()
-    dealt = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block"))
-    answers = stored(answered(asked(dealt, bits)))
-    total = answers.where("n = 1").agg(F.sum("own")).first()[0] or 0
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        flat, sizes = _word_hashes([x or "" for x in left.column("text").to_pylist()])
-        pair, inner = _grams(flat, sizes)
-        rows = sorted(zip(*(right.column(c).to_pylist() for c in ("n", "part", "totals", "size"))))
-        one, two = (np.concatenate([np.frombuffer(t, f"<u{len(t) // k}") for m, _, t, k in rows if m == n] or [np.zeros(0)]).astype(float) for n in (1, 2))
-        share = one[np.unique(flat, return_inverse=True)[1]] if len(flat) else np.zeros(0)
-        both = np.zeros(len(flat))
-        both[inner] = two[np.unique(pair[inner], return_inverse=True)[1]] if inner.any() else 0
-        known = inner & (both >= least)
-        score = np.log(np.where(inner, backoff, 1.0) * share / max(total, 1)) if len(flat) else share
-        at = np.flatnonzero(known)
-        score[at] = np.log(both[at] / share[at - 1])
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        sums, backed = np.bincount(owner, score, len(sizes)), np.bincount(owner, inner & ~known, len(sizes)).astype(np.int64)
-        mean = pa.array(sums / np.maximum(sizes, 1), pa.float64(), mask=sizes == 0)
-        return pa.table({"doc_id": left.column("doc_id"), "n_words": pa.array(sizes.astype(np.int64)), "n_backoff": pa.array(backed), "log_score": pa.array(sums), "mean": mean})
-
-    kinds = "doc_id bigint, n_words bigint, n_backoff bigint, log_score double, mean double"
-    return dealt.groupBy("block").cogroup(answers.select("block", "n", "part", "totals", "size").groupBy("block")).applyInArrow(run, kinds)
+        known = common.value
+        for batch in by_parts(batches):
+            if not batch.num_rows:
+                continue
+            own = texts(batch)
+            flat, sizes = word_hashes(own)
+            n, number = len(sizes), known.numbers(flat)
+            owner, at = np.repeat(np.arange(n), sizes), _inner(sizes)
+            marks = np.array([xxhash.xxh3_64_intdigest(t.encode()) for t in own], np.uint64)
+            grams = known.grams(flat, number, at)
+            place = known._found(known.pairs, grams)
+            met, inner = place >= 0, np.bincount(owner[at], minlength=n)
+            x = np.bincount(owner[number >= 0], known.logs[number[number >= 0]] - np.log(known.total), n)
+            x += np.bincount(owner[at[met]], known.gains[place[met]], n)
+            sums = pa.StructArray.from_arrays([pa.array(c) for c in (np.ones(n, np.int64), sizes, inner, np.bincount(owner[at[met]], minlength=n))], ["rows", "words", "inner", "known"])
+            ids = batch.column("doc_id")
+            yield pa.record_batch([ids, pa.array(marks.view(np.int64)), pa.array(_tagged(marks, _SUMS).view(np.int64)), pa.array(x + inner * np.log(backoff)), sums], ["doc_id", "text_hash", "gram", "x", "sums"])
+            rare = number < 0
+            of = np.concatenate([owner[at[~met]], owner[rare]])
+            grams = np.concatenate([grams[~met], _tagged(flat[rare], _WORD)])
+            order = np.argsort(of, kind="stable")  # rows of a document together: they compress well
+            of, grams = of[order], grams[order]
+            none = pa.nulls(len(of), sums.type)
+            yield pa.record_batch([ids.take(pa.array(of)), pa.array(marks[of].view(np.int64)), pa.array(grams.view(np.int64)), pa.nulls(len(of), pa.float64()), none], ["doc_id", "text_hash", "gram", "x", "sums"])
+
+    kind = "doc_id bigint, text_hash bigint, gram bigint, x double, sums struct<rows:bigint,words:bigint,inner:bigint,known:bigint>"
+    return docs.select("doc_id", "text").mapInArrow(run, kind)
+
+
+def scores(docs: DataFrame, least: int = LEAST, backoff: float = BACKOFF, common: int = COMMON) -> DataFrame:
+    """doc_id, n_words, n_backoff (words scored by their share), log_score, mean of each row of docs. common: at most 2^20."""
+    if not 1 <= common <= COMMON:
+        raise ValueError(f"common must be from 1 to {COMMON}")
+    sc = docs.sparkSession.sparkContext
+    words = stored(word_counts(docs))
+    total = words.agg(F.sum("n")).first()[0] or 0
+    known = Common(words.where(F.col("n") >= total / common).toArrow(), total)
+    pairs = stored(pair_counts(docs, sc.broadcast(known), least))
+    known.with_pairs(pairs.where("gram >= 0").where(F.col("n") >= total / common).select("gram", "n").toArrow())
+    known.gains -= np.log(backoff)
+    table = weights(words, pairs, known, total / common)
+    is_word = F.col("gram").between(-(1 << 62), -1)
+    y = F.col("y") - F.when(is_word, 0.0).otherwise(np.log(backoff))
+    met = exploded(docs, sc.broadcast(known), backoff).join(table, "gram", "left")
+    each = [F.sum(f"sums.{c}").alias(c) for c in ("rows", "words", "inner")]
+    found = F.coalesce(F.sum("sums.known"), F.lit(0)) + F.count_if(F.col("y").isNotNull() & ~is_word)
+    by_doc = met.groupBy("doc_id", "text_hash").agg(*each, found.alias("known"), (F.sum("x") + F.coalesce(F.sum(y), F.lit(0.0))).alias("score"))
+    one = by_doc.select("doc_id", *[(F.col(c) / F.col("rows")).cast("bigint").alias(c) for c in ("words", "inner", "known")], (F.col("score") / F.col("rows")).alias("log_score"), F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("row"))
+    return one.select("doc_id", F.col("words").alias("n_words"), (F.col("inner") - F.col("known")).alias("n_backoff"), "log_score", (F.col("log_score") / F.nullif("words", F.lit(0))).alias("mean"))
 
 
 def op9_lm_scoring(spark, sf_dir: str) -> DataFrame:
