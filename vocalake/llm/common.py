@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 #: ASCII white space: what separates words in every operator here.
 SPACES = " \t\n\x0b\x0c\r"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SPACES_RE = r"[ \t-\r]+"
 
 
@@ -36,12 +37,16 @@ def shared_dir(spark: SparkSession) -> str:
 def stored(df: DataFrame) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it again: computed once, and lost executors don't matter.
 
-    Then the driver collects its garbage, upon which Spark drops the shuffles that were needed for this table alone.
+    Spark is told to drop the shuffles of this write at its end: they aren't needed once the table is there.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

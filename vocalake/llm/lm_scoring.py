@@ -8,7 +8,8 @@
    counts are joined to the pairs.
 4. `exploded`: a row for each n-gram of each document. Pairs with at least a 2^-20 share of all (2^20 at most, again) are
    broadcast and added up where the document lies, as are common words; so no gram that is dealt has a larger share.
-5. `scores`: n-grams joined with the weights by gram, and summed by document.
+5. `scores`: n-grams joined with the weights by gram, and summed by document; `SLICES` of the grams one after another, so
+   that only one slice's rows are on the disks at a time.
 
 Score of a word after another: count of the pair over count of the first word, if the pair occurs at least `LEAST` times
 in the corpus; otherwise `BACKOFF` times the share of the second word. The first word of a text has its share.
@@ -35,8 +36,8 @@ from vocalake.llm.hashing import scrambled, word_hashes
 LEAST, BACKOFF = 2, 0.4
 #: A word or pair is common from a share of one in so many.
 COMMON = 1 << 20
-#: Words that a task counts at a time.
-CHUNK = 2_000_000
+#: Words that a task counts at a time; parts of the grams that are joined one after another.
+CHUNK, SLICES = 500_000, 2
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 #: The two leading bits of a gram: two numbers of common words, a document's sums, a hashed pair, a hashed word.
 _NUMBERS, _SUMS, _HASHED, _WORD = (np.uint64(k << 62) for k in range(4))
@@ -160,8 +161,8 @@ def common_logs(spark, common: Common) -> DataFrame:
     return spark.createDataFrame(pa.table({"id": pa.array(np.arange(len(common.logs))), "log": pa.array(common.logs)}))
 
 
-def exploded(docs: DataFrame, common, backoff: float) -> DataFrame:
-    """doc_id, text_hash, gram, x, sums: a row for each n-gram whose weight is to be joined, and one of each document's own sums."""
+def exploded(docs: DataFrame, common, backoff: float, part: int, parts: int) -> DataFrame:
+    """doc_id, text_hash, gram, x, sums: a row for each n-gram of a slice whose weight is to be joined, and, in the first, one of each document's own sums."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = common.value
@@ -180,11 +181,13 @@ def exploded(docs: DataFrame, common, backoff: float) -> DataFrame:
             x += np.bincount(owner[at[met]], known.gains[place[met]], n)
             sums = pa.StructArray.from_arrays([pa.array(c) for c in (np.ones(n, np.int64), sizes, inner, np.bincount(owner[at[met]], minlength=n))], ["rows", "words", "inner", "known"])
             ids = batch.column("doc_id")
-            yield pa.record_batch([ids, pa.array(marks.view(np.int64)), pa.array(_tagged(marks, _SUMS).view(np.int64)), pa.array(x + inner * np.log(backoff)), sums], ["doc_id", "text_hash", "gram", "x", "sums"])
+            if not part:
+                yield pa.record_batch([ids, pa.array(marks.view(np.int64)), pa.array(_tagged(marks, _SUMS).view(np.int64)), pa.array(x + inner * np.log(backoff)), sums], ["doc_id", "text_hash", "gram", "x", "sums"])
             rare = number < 0
             of = np.concatenate([owner[at[~met]], owner[rare]])
             grams = np.concatenate([grams[~met], _tagged(flat[rare], _WORD)])
-            order = np.argsort(of, kind="stable")  # rows of a document together: they compress well
+            own = np.flatnonzero(grams.view(np.int64) % parts == part)
+            order = own[np.argsort(of[own], kind="stable")]  # rows of a document together: they compress well
             of, grams = of[order], grams[order]
             none = pa.nulls(len(of), sums.type)
             yield pa.record_batch([ids.take(pa.array(of)), pa.array(marks[of].view(np.int64)), pa.array(grams.view(np.int64)), pa.nulls(len(of), pa.float64()), none], ["doc_id", "text_hash", "gram", "x", "sums"])
@@ -193,7 +196,7 @@ def exploded(docs: DataFrame, common, backoff: float) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, kind)
 
 
-def scores(docs: DataFrame, least: int = LEAST, backoff: float = BACKOFF, common: int = COMMON) -> DataFrame:
+def scores(docs: DataFrame, least: int = LEAST, backoff: float = BACKOFF, common: int = COMMON, slices: int = SLICES) -> DataFrame:
     """doc_id, n_words, n_backoff (words scored by their share), log_score, mean of each row of docs. common: at most 2^20."""
     if not 1 <= common <= COMMON:
         raise ValueError(f"common must be from 1 to {COMMON}")
@@ -204,13 +207,17 @@ def scores(docs: DataFrame, least: int = LEAST, backoff: float = BACKOFF, common
     pairs = stored(pair_counts(docs, sc.broadcast(known), least))
     known.with_pairs(pairs.where("gram >= 0").where(F.col("n") >= total / common).select("gram", "n").toArrow())
     known.gains -= np.log(backoff)
-    table = weights(words, pairs, known, total / common)
+    weight = stored(weights(words, pairs, known, total / common))
+    held, found = sc.broadcast(known), None
     is_word = F.col("gram").between(-(1 << 62), -1)
     y = F.col("y") - F.when(is_word, 0.0).otherwise(np.log(backoff))
-    met = exploded(docs, sc.broadcast(known), backoff).join(table, "gram", "left")
     each = [F.sum(f"sums.{c}").alias(c) for c in ("rows", "words", "inner")]
-    found = F.coalesce(F.sum("sums.known"), F.lit(0)) + F.count_if(F.col("y").isNotNull() & ~is_word)
-    by_doc = met.groupBy("doc_id", "text_hash").agg(*each, found.alias("known"), (F.sum("x") + F.coalesce(F.sum(y), F.lit(0.0))).alias("score"))
+    met = F.coalesce(F.sum("sums.known"), F.lit(0)) + F.count_if(F.col("y").isNotNull() & ~is_word)
+    for part in range(slices):
+        rows = exploded(docs, held, backoff, part, slices).join(weight.where(F.pmod("gram", F.lit(slices)) == part), "gram", "left")
+        sums = stored(rows.groupBy("doc_id", "text_hash").agg(*each, met.alias("known"), (F.coalesce(F.sum("x"), F.lit(0.0)) + F.coalesce(F.sum(y), F.lit(0.0))).alias("score")))
+        found = sums if found is None else found.unionAll(sums)
+    by_doc = found.groupBy("doc_id", "text_hash").agg(*[F.sum(c).alias(c) for c in ("rows", "words", "inner", "known", "score")])
     one = by_doc.select("doc_id", *[(F.col(c) / F.col("rows")).cast("bigint").alias(c) for c in ("words", "inner", "known")], (F.col("score") / F.col("rows")).alias("log_score"), F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("row"))
     return one.select("doc_id", F.col("words").alias("n_words"), (F.col("inner") - F.col("known")).alias("n_backoff"), "log_score", (F.col("log_score") / F.nullif("words", F.lit(0))).alias("mean"))
 
