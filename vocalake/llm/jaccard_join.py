@@ -10,10 +10,15 @@ Steps, each a Spark job whose result is a table:
    meet in the lists of these n-grams, where pairs must pass the length, positional and suffix filters (the suffix filter
    compares counts of both sets within fixed ranges of hashes). What passes is united in the task, and only a forest of
    each list leaves it. Sets that the forests connect are a cluster: linked sets always are, most documents have none.
-4. `links`: clusters are dealt in blocks of bounded size, each pair of blocks once. In a block, pairs that share a prefix
-   n-gram pass the same filters, and each is verified once on whole sets, unless both are known to be connected
-   already. Again a forest leaves the task, never all pairs of a group.
-5. Components of the links, and back to all documents by class.
+4. `joined`: the sets of a cluster of at most `BLOCK` members meet in one task; there, pairs that share a prefix n-gram
+   pass the same filters, and each is verified once on whole sets, unless both are known to be connected already. Again
+   a forest leaves the task, never all pairs of a group. Larger clusters are dealt by a hash into blocks of about that
+   size, by bands of sizes, of which only neighbours can link. First each block by itself, then a few members of each
+   component so found, which connects what is alike without pairs of blocks; what is still apart after that meets in
+   pairs of blocks, but never two blocks of one component. So no link is lost, and near copies in great numbers cost as
+   many blocks as they fill.
+5. Components of the links, and back to all documents by class. Classes, not ids, are what is linked, so an id may have
+   several texts.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is its own component; a text with fewer
 words than n has its whole sequence as its one n-gram; repeated rows and equal sets are one class; words are
@@ -22,6 +27,7 @@ compared as bytes after lower-casing A-Z; other columns are left alone; a null i
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -29,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vocalake.llm.common import by_parts, groups, stored, table, texts
@@ -209,8 +215,8 @@ class Forest:
         return i
 
 
-def forest(ids: list[int], sets: list[np.ndarray], block: list[int], percent: int) -> list[tuple[int, int]]:
-    """Links that connect what is linked among the given sets (rarest n-gram first); with two blocks, pairs across them only."""
+def forest(ids: list[int], sets: list[np.ndarray], block: list[int], percent: int, known: list[int] | None = None) -> list[tuple[int, int]]:
+    """Links that connect what is linked among the given sets (rarest n-gram first); with two blocks, pairs across them only. known: what is connected already has equal numbers."""
     order = sorted(range(len(ids)), key=lambda i: (len(sets[i]), ids[i]))
     sizes = np.array([len(s) for s in sets])
     counts = np.array([_ranges(np.sort(s)) for s in sets], np.int16)
@@ -218,6 +224,9 @@ def forest(ids: list[int], sets: list[np.ndarray], block: list[int], percent: in
     across = len(set(block)) > 1
     whole: dict[int, set[int]] = {}
     tree, out = Forest(len(ids)), []
+    first: dict[int, int] = {}
+    for i, c in enumerate(known or ()):
+        tree.up[tree.root(i)] = tree.root(first.setdefault(c, i))
     for x in order:
         prefix = sets[x][: prefix_size(len(sets[x]), percent)].tolist()
         met: dict[int, tuple[int, int]] = {}
@@ -246,46 +255,94 @@ def forest(ids: list[int], sets: list[np.ndarray], block: list[int], percent: in
     return out
 
 
-def links(docs: DataFrame, members: DataFrame, n: int, percent: int, often) -> DataFrame:
-    """a, b: linked documents, enough of them to connect all that links connect. members: doc_id, n_shingles, component."""
-    w = Window.partitionBy("component").orderBy("n_shingles", "doc_id")
-    placed = members.withColumn("block", F.floor((F.row_number().over(w) - 1) / BLOCK).cast("int"))
-    spans = placed.groupBy("component", "block").agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
-    # Pairs of blocks, the length filter on whole blocks first; one row per block of 512 documents meets each other.
-    other = spans.select("component", F.col("block").alias("block2"), F.col("least").alias("least2"))
-    pairs = spans.join(other, "component").where("block <= block2").where(F.expr(f"block = block2 or 100 * most >= {percent} * least2")).select("component", "block", "block2")
-    deals = pairs.select("component", "block", "block2", F.explode(F.array_distinct(F.array("block", "block2"))).alias("own"))
-    placed = placed.select("doc_id", "component", F.col("block").alias("own"))
-    dealt = placed.join(deals, ["component", "own"]).groupBy("doc_id").agg(F.collect_set(F.struct("component", "block", "block2", "own")).alias("deals"))
-    asked = docs.select("doc_id", "text").join(dealt, "doc_id")
-
-    def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def sets_of(docs: DataFrame, members: DataFrame, n: int, often) -> DataFrame:
+    """s1, grams: the sets (rarest n-gram first) of the given classes (s1, s2, first: an id that has the text). A class may come once from each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in by_parts(batches):
-            sets = [_ordered(x, often.value).tobytes() for x in shingles(texts(batch), n)]
-            yield pa.record_batch([batch.column("doc_id"), pa.array(sets, pa.binary()), batch.column("deals")], ["doc_id", "grams", "deals"])
+            rows = []
+            for own, *mark in zip(shingles(texts(batch), n), batch.column("s1").to_pylist(), batch.column("s2").to_pylist()):
+                if mark[0] not in seen and tuple(mark) == _signature(own):  # the id may have other texts too
+                    seen.add(mark[0])
+                    rows.append((mark[0], _ordered(own, often.value).tobytes()))
+            if rows:
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary()))], ["s1", "grams"])
+
+    asked = docs.select("doc_id", "text").join(members.select(F.col("first").alias("doc_id"), "s1", "s2"), "doc_id")
+    return asked.mapInArrow(run, "s1 bigint, grams binary")
+
 
-    kind = "array<struct<component:bigint,block:int,block2:int,own:int>>"
-    sets = asked.mapInArrow(ordered, f"doc_id bigint, grams binary, deals {kind}").select("doc_id", "grams", F.explode("deals").alias("d")).select("doc_id", "grams", "d.*")
+def joined(sets: DataFrame, deals: DataFrame, percent: int) -> DataFrame:
+    """a, b: links that connect what is linked within each deal. deals: s1, known (its component so far), and c, i, j, own: those of one (c, i, j) meet; where i and j differ, those whose own is i with those whose own is j."""
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows = None, []
 
         def done() -> Iterator[pa.RecordBatch]:
-            seen = {r[0]: r for r in rows}  # repeated rows of an id
-            found = forest(list(seen), [np.frombuffer(r[1], np.uint64) for r in seen.values()], [r[2] for r in seen.values()], percent)
+            one = {r[0]: r for r in rows}  # equal sets of several tasks
+            ids, sets, own, known = zip(*one.values())
+            found = forest(list(ids), [np.frombuffer(x, np.uint64) for x in sets], list(own), percent, list(known))
             if found:
                 yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
 
         for batch in batches:
-            for c, i, j, *row in zip(*(batch.column(x).to_pylist() for x in ("component", "block", "block2", "doc_id", "grams", "own"))):
-                if (c, i, j) != key:
+            for *k, s1, grams, own, known in zip(*(batch.column(x).to_pylist() for x in ("c", "i", "j", "s1", "grams", "own", "known"))):
+                if k != key:
                     yield from done() if rows else ()
-                    key, rows = (c, i, j), []
-                rows.append(row)
+                    key, rows = k, []
+                rows.append((s1, grams, own, known))
         yield from done() if rows else ()
 
-    keys = ["component", "block", "block2"]
-    return sets.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "doc_id", "grams", "own").mapInArrow(join, "a bigint, b bigint")
+    keys = ["c", "i", "j"]
+    rows = deals.join(sets, "s1").repartition(*keys).sortWithinPartitions(*keys)
+    return rows.select(*keys, "s1", "grams", "own", "known").mapInArrow(join, "a bigint, b bigint")
+
+
+def _blocks(members: DataFrame, *keys: str) -> DataFrame:
+    """members with own: a block of about `BLOCK` of those that agree in the keys, by a hash of the set."""
+    counts = members.groupBy(*keys).agg(F.count("*").alias("_n"))
+    block = F.pmod(F.xxhash64("s1"), F.ceil(F.col("_n") / BLOCK))
+    return members.join(counts, [*keys]).withColumn("own", F.xxhash64(*keys, block)).drop("_n")
+
+
+def _labelled(members: DataFrame, found: DataFrame) -> DataFrame:
+    """members with known: their components by what is found so far."""
+    return members.join(found.select(F.col("node").alias("s1"), F.col("component").alias("_c")), "s1", "left").withColumn("known", F.coalesce("_c", "s1")).drop("_c")
+
+
+def links(docs: DataFrame, members: DataFrame, n: int, percent: int, often) -> DataFrame:
+    """node, component of the classes that links connect. members: s1, s2, first (an id), n_shingles, cluster."""
+    sets = stored(sets_of(docs, members, n, often))
+    # Sizes that link have a ratio of percent/100 at least: bands a little wider than that, so only neighbours can.
+    width = max(math.log(100 / percent), 1e-9) * 1.000001
+    sizes = members.groupBy("cluster").agg(F.count("*").alias("_size"))
+    placed = members.join(sizes, "cluster").select("s1", "cluster", F.floor(F.log("n_shingles") / width).alias("band"), (F.col("_size") > BLOCK).alias("large"), F.col("s1").alias("known"))
+    placed = stored(placed)
+    small, large = placed.where("not large"), placed.where("large")
+    zero = F.lit(0).cast("bigint")
+    deals = small.select("s1", F.col("cluster").alias("c"), zero.alias("i"), zero.alias("j"), zero.alias("own"), "known")
+    alone = lambda rows: rows.select("s1", F.col("cluster").alias("c"), F.col("own").alias("i"), F.col("own").alias("j"), "own", "known")
+    if large.isEmpty():
+        return components(stored(joined(sets, deals, percent)))
+    blocked = stored(_blocks(large, "cluster", "band"))
+    edges = stored(joined(sets, deals.unionByName(alone(blocked)), percent))
+    now = _labelled(blocked, components(edges))
+    # A few members of each component of each block, over all bands.
+    few = now.groupBy("cluster", "own", "known").agg(F.min("s1").alias("a"), F.max("s1").alias("b")).select("cluster", "known", F.explode(F.array_distinct(F.array("a", "b"))).alias("s1"))
+    edges = stored(edges.unionAll(joined(sets, alone(_blocks(few, "cluster")), percent)))
+    # What is still apart: blocks of one component each where it fills one, of several otherwise.
+    now = stored(_labelled(large.drop("known"), components(edges)))
+    apart = now.join(now.groupBy("cluster").agg(F.min("known").alias("_a"), F.max("known").alias("_b")).where("_a <> _b").select("cluster"), "cluster", "left_semi")
+    share = apart.groupBy("cluster", "band", "known").agg((F.count("*") >= BLOCK).alias("_fills"))
+    apart = apart.join(share, ["cluster", "band", "known"]).withColumn("of", F.when(F.col("_fills"), F.col("known")).otherwise(0))
+    apart = stored(_blocks(apart, "cluster", "band", "of"))
+    spans = apart.select("cluster", "band", "of", "own").distinct()
+    other = spans.select("cluster", *[F.col(c).alias(c + "2") for c in ("band", "of", "own")])
+    pairs = spans.join(other, "cluster").where("(band2 = band and own <= own2) or band2 = band + 1").where("of = 0 or of2 = 0 or of <> of2")
+    deals = pairs.select("cluster", F.col("own").alias("i"), F.col("own2").alias("j"), F.explode(F.array_distinct(F.array("own", "own2"))).alias("own"))
+    deals = apart.select("s1", "cluster", "own", "known").join(deals, ["cluster", "own"]).select("s1", F.col("cluster").alias("c"), "i", "j", "own", "known")
+    return components(stored(edges.unionAll(joined(sets, deals, percent))))
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -295,9 +352,11 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     classes = stored(known.where("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("n_shingles")))
     often = spark.sparkContext.broadcast(frequencies(docs, n))
     near = stored(components(stored(candidates(prefixes(docs, n, percent, often), percent))))
-    members = classes.join(near.withColumnRenamed("node", "s1"), "s1").select(F.col("first").alias("doc_id"), "n_shingles", "component")
-    found = components(stored(links(docs, stored(members), n, percent, often)))
-    grouped = stored(classes.join(found, classes["first"] == found["node"], "left").select("s1", "s2", F.coalesce("component", "first").alias("component_id")))
+    members = stored(classes.join(near.select(F.col("node").alias("s1"), F.col("component").alias("cluster")), "s1"))
+    found = links(docs, members, n, percent, often)
+    labelled = stored(_labelled(classes, found))
+    least = labelled.groupBy("known").agg(F.min("first").alias("component_id"))
+    grouped = stored(labelled.join(least, "known").select("s1", "s2", "component_id"))
     out = known.join(grouped, ["s1", "s2"], "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("component_id"))
     return out.withColumn("component_id", F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id")))
 
