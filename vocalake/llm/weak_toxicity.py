@@ -1,13 +1,18 @@
 """Toxicity by weak supervision.
 
-Voters are a seed lexicon, words and word beginnings mined from labelled rows, and patterns. A generative label model
-says how votes arise given the unknown class, with an accuracy for each voter and correlations between voters within a
-class; it is fitted in turns of expectation and maximisation to the votes of a bounded sample (`SAMPLE` labelled rows
-at most, of those that may be learned from), starting from their smoothed labels. Its posterior
-labels train a linear classifier on hashed words and word beginnings, which scores every text whole.
+Voters are lexicons of four languages, words and word beginnings mined from labelled rows, and patterns; each votes or
+abstains. A generative label model says how votes arise given the unknown class: every voter has a rate of voting in each
+class that depends on at most one other voter, so its parameters are accuracies and pairwise correlations, and its
+likelihood is exact. Which pairs are tied is read from the votes (a forest of the largest mutual informations within
+classes that are beyond chance). The labels of the sample calibrate the model: they give the share of the classes and
+the parameters to start from; then it is fitted by expectation and maximisation to the votes alone, of labelled and of
+unlabelled rows, so voters overrule labels that are wrong. Its posteriors train a linear classifier on hashed words and
+word beginnings, which scores every text whole. The sample has at most `SAMPLE` labelled rows (of those that may be
+learned from) and `UNLABELLED` others, each with at most `BUCKETS` tokens.
 
 Defined cases: null and empty texts have no words and the score of the bias; repeated rows get equal scores; without
-labels, or with one kind only, the score is the smoothed share of label 1; other columns are left alone.
+labels, or with one kind only, the score is the smoothed share of label 1; a null id is not held out; other columns are
+left alone.
 """
 
 from __future__ import annotations
@@ -23,12 +28,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vocalake.llm.common import Memo, by_parts, held_out, table, texts
-from vocalake.llm.sampling import labelled_sample
+from vocalake.llm.sampling import labelled_sample, unlabelled_sample
 
-SAMPLE, MINED, FEATURES, BUCKETS, ROUNDS = 12_000, 120, 4096, 1 << 20, 6
+SAMPLE, UNLABELLED, MINED, FEATURES, BUCKETS, ROUNDS = 12_000, 4_000, 120, 4096, 1 << 20, 10
 #: A statistic with one degree of freedom that chance reaches once in about two million tokens.
 SURE = 25.0
-SEEDS = ("idiot", "moron", "stupid", "loser", "pathetic", "scum", "worthless", "trash", "clown", "disgusting")
+LEXICONS = {
+    "en": ("idiot", "moron", "stupid", "loser", "pathetic", "scum", "worthless", "trash", "clown", "disgusting"),
+    "de": ("idiot", "dummkopf", "trottel", "depp", "versager", "abschaum", "wertlos", "armselig", "widerlich", "blödmann"),
+    "fr": ("idiot", "imbécile", "crétin", "abruti", "minable", "ordure", "débile", "pathétique", "dégoûtant", "connard"),
+    "es": ("idiota", "imbécil", "estúpido", "tonto", "basura", "patético", "inútil", "asqueroso", "escoria", "payaso"),
+}
+SEEDS = tuple(dict.fromkeys(w for words in LEXICONS.values() for w in words))
 PATTERNS = (r"\byou\s+(?:are\s+)?(?:an?\s+)?\w*(?:idiot|moron|loser|clown)", r"!{2,}", r"\b[A-Z]{4,}\b(?:\s+\b[A-Z]{4,}\b){2}", r"\b(\w{4,})\b[\s,]+\1\b")
 EDGE = ".,;:!?\"'()[]{}*#%$&|<>"
 
@@ -71,29 +82,76 @@ def votes(text: str, found: set[str], lexicon: list[str]) -> list[bool]:
 
 
 class LabelModel:
-    """Voters that vote or abstain. Each has an accuracy (the class odds of the documents it votes on); abstaining says
-    nothing. Votes that go together within a class are counted as one: a vote's evidence is divided by the sum of its
-    correlations with the other votes cast, itself included. Accuracies, correlations and posteriors are re-estimated in turn."""
+    """Votes given the class: `rate[y, b, j]` is the probability that voter j votes in class y, where its `parent` (-1: none) votes (b = 1) or not."""
 
     def fit(self, v: np.ndarray, labels: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-        """v: 0/1 votes, a row per document. Returns the posterior of class 1 per row. A row's label is one more voter, which never abstains; its accuracy is estimated too."""
-        self.prior, q = (labels.sum() + 1) / (len(labels) + 2), 0.05 + 0.9 * labels
-        for _ in range(rounds):
-            self.trust = float(np.clip((q * labels + (1 - q) * (1 - labels)).mean(), 0.9, 0.99))
-            self.accuracy = (v.T @ q + 2 * self.prior) / (v.sum(0) + 2)
-            given = [v.T @ w / max(w.sum(), 1) for w in (1 - q, q)]
-            joint = v.T @ v / len(v) - (1 - q.mean()) * np.outer(given[0], given[0]) - q.mean() * np.outer(given[1], given[1])
-            scale = np.sqrt(np.maximum(np.diag(joint), 1e-9))
-            self.correlation = np.clip(np.abs(joint / np.outer(scale, scale)), 0, 1)
-            np.fill_diagonal(self.correlation, 1)
-            q = self.posterior(v, labels)
-        return q
-
-    def posterior(self, v: np.ndarray, labels: np.ndarray) -> np.ndarray:
-        base = np.log(self.prior / (1 - self.prior))
-        a = np.clip(self.accuracy, 1e-4, 1 - 1e-4)
-        share = v / np.maximum(v @ self.correlation, 1)
-        return 1 / (1 + np.exp(-np.clip(base + share @ (np.log(a / (1 - a)) - base) + (2 * labels - 1) * np.log(self.trust / (1 - self.trust)), -50, 50)))
+        """v: 0/1 votes, a row per document; labels: 1, 0, or nan where there is none. Returns the posterior of class 1 per row, by the votes alone."""
+        known = ~np.isnan(labels)
+        self.prior = (labels[known].sum() + 1) / (known.sum() + 2)
+        self._maximise(v[known], labels[known])
+        self.likelihood = []
+        for i in range(rounds):  # ties are read anew while classes settle, then kept
+            q = self.posterior(v)
+            if 2 * i >= rounds:
+                self.likelihood.append(self.total)
+            self._maximise(v, q, self.parent if 2 * i >= rounds else None)
+        return self.posterior(v)
+
+    def _maximise(self, v: np.ndarray, q: np.ndarray, parent: np.ndarray | None = None) -> None:
+        m = v.shape[1]
+        weights = (1 - q, q)
+        both = np.stack([v.T @ (v * w[:, None]) for w in weights])  # votes of j and k together, by class
+        own, total = np.diagonal(both, axis1=1, axis2=2), np.array([w.sum() for w in weights])
+        self.parent = self._forest(both, own, total) if parent is None else parent
+        self.rate = np.empty((2, 2, m))
+        j = np.arange(m)
+        for y in (0, 1):
+            alone = (own[y] + 0.1) / (total[y] + 1)
+            up = np.where(self.parent >= 0, self.parent, j)
+            with_parent, parents = both[y, j, up], own[y, up]
+            tied = np.stack([(own[y] - with_parent + alone) / (total[y] - parents + 1), (with_parent + alone) / (parents + 1)])
+            self.rate[y] = np.where(self.parent >= 0, tied, alone)
+        self.rate = np.clip(self.rate, 1e-5, 1 - 1e-5)
+        #: Of each voter: the share of class 1 where it votes; and its correlation with its parent within classes.
+        self.accuracy = (own[1] + self.prior) / (own.sum(0) + 1)
+        self.correlation = self._correlations(both, own, total)
+
+    @staticmethod
+    def _correlations(both: np.ndarray, own: np.ndarray, total: np.ndarray) -> np.ndarray:
+        joint = sum(both[y] - np.outer(own[y], own[y]) / max(total[y], 1e-9) for y in (0, 1))
+        scale = np.sqrt(np.maximum(np.diag(joint), 1e-9))
+        return joint / np.outer(scale, scale)
+
+    @staticmethod
+    def _forest(both: np.ndarray, own: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """Each voter's parent in a forest that ties as much mutual information within classes as it can, of that beyond chance (Chow and Liu)."""
+        m = both.shape[1]
+        gain = np.zeros((m, m))
+        for y in (0, 1):
+            n, a, b = max(total[y], 1e-9), own[y][:, None], own[y][None, :]
+            for seen, left, right in ((both[y], a, b), (a - both[y], a, n - b), (b - both[y], n - a, b), (n - a - b + both[y], n - a, n - b)):
+                seen, expected = np.maximum(seen, 0), np.maximum(left * right / n, 1e-12)
+                gain += 2 * np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-12) / expected), 0)
+        np.fill_diagonal(gain, 0)
+        parent, inside = np.full(m, -1), np.zeros(m, bool)
+        best, by = np.zeros(m), np.full(m, -1)
+        for _ in range(m):
+            j = int(np.argmax(np.where(inside, -1, best)))
+            inside[j] = True
+            parent[j] = by[j] if best[j] >= SURE else -1
+            closer = ~inside & (gain[j] > best)
+            best[closer], by[closer] = gain[j][closer], j
+        return parent
+
+    def posterior(self, v: np.ndarray) -> np.ndarray:
+        up = v[:, np.maximum(self.parent, 0)] * (self.parent >= 0)
+        log = []
+        for y in (0, 1):
+            off, on = self.rate[y]
+            rate = off + up * (on - off)
+            log.append(np.log(np.where(v > 0, rate, 1 - rate)).sum(1) + np.log(self.prior if y else 1 - self.prior))
+        self.total = float(np.logaddexp(*log).sum())
+        return 1 / (1 + np.exp(np.clip(log[0] - log[1], -500, 500)))
 
 
 class Linear:
@@ -137,8 +195,8 @@ def _hash(token: str) -> int:
     return zlib.crc32(token.encode()) % BUCKETS
 
 
-def fit(sample: DataFrame) -> Linear:
-    """The classifier, from at most SAMPLE rows: their votes and hashed tokens come to the driver."""
+def fit(sample: DataFrame, others: DataFrame | None = None) -> Linear:
+    """The classifier, from a sample of labelled rows and others without a label: their votes and hashed tokens come to the driver."""
     seeds = [*SEEDS]
     lexicon = seeds + [w for w in mine(sample) if w not in seeds]
 
@@ -149,17 +207,24 @@ def fit(sample: DataFrame) -> Linear:
                 hashed = pa.array([sorted({_hash(w) for w in x}) for _, x in found], pa.list_(pa.int32()))
                 yield pa.record_batch([pa.array([votes(t, x, lexicon) for t, x in found], pa.list_(pa.bool_())), hashed, batch.column("label")], ["votes", "tokens", "label"])
 
-    rows = sample.select("text", "label").mapInArrow(run, "votes array<boolean>, tokens array<int>, label int").toArrow()
-    labels = np.array(rows.column("label").to_pylist(), float)
-    share = (labels.sum() + 1) / (len(labels) + 2)
+    rows = sample.select("text", "label")
+    if others is not None:
+        rows = rows.unionAll(others.select("text", F.lit(None).cast("int").alias("label")))
+    rows = rows.mapInArrow(run, "votes array<boolean>, tokens array<int>, label int").toArrow()
+    labels = np.array([np.nan if x is None else x for x in rows.column("label").to_pylist()], float)
+    known = labels[~np.isnan(labels)]
+    share = (known.sum() + 1) / (len(known) + 2)
     out = Linear(float(np.log(share / (1 - share))))
-    if 0 < labels.sum() < len(labels):
-        v = np.array(rows.column("votes").to_pylist(), float)
-        q = LabelModel().fit(v, labels)
-        out.fit(rows.column("tokens").combine_chunks(), q)
+    if 0 < known.sum() < len(known):
+        v = rows.column("votes").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(labels), -1).astype(np.float32)
+        out.fit(rows.column("tokens").combine_chunks(), LabelModel().fit(v, labels))
     return out
 
 
+def learned(docs: DataFrame, labels: DataFrame) -> Linear:
+    return fit(labelled_sample(docs, labels, "toxic", SAMPLE), unlabelled_sample(docs, labels, UNLABELLED))
+
+
 def _scorer(model: Linear):
     weight = model.weight
     known = Memo(lambda w: tuple(h for p in _parts(w) if (h := _hash(p)) in weight), 400_000)
@@ -173,7 +238,7 @@ def _scorer(model: Linear):
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, score of every row of docs."""
-    held = docs.sparkSession.sparkContext.broadcast(fit(labelled_sample(docs, labels, "toxic", SAMPLE)))
+    held = docs.sparkSession.sparkContext.broadcast(learned(docs, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = _scorer(held.value)
@@ -185,7 +250,7 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, labels: DataFrame, cutoff: float = 0.5) -> DataFrame:
     """The rows that score below the cutoff, with all their columns; each row is judged by its own text, where it lies."""
-    held = docs.sparkSession.sparkContext.broadcast(fit(labelled_sample(docs, labels, "toxic", SAMPLE)))
+    held = docs.sparkSession.sparkContext.broadcast(learned(docs, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = _scorer(held.value)
