@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,9 +9,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vocalake.tables import stored  # noqa: F401  (for the operators, too)
+
 #: ASCII white space: what separates words in every operator here.
 SPACES = " \t\n\x0b\x0c\r"
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SPACES_RE = r"[ \t-\r]+"
 
 
@@ -22,32 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
-    """Rows that no label may be learned from: crc32 of the id as text, modulo 5, is 0."""
-    return F.crc32(F.col(doc_id).cast("string")) % 5 == 0
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where that is unset (local tests)."""
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-')}")
-    return sc._jsc.sc().getCheckpointDir().get()
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """Writes df as Parquet in the shared folder and reads it again: computed once, and lost executors don't matter.
-
-    Spark is told to drop the shuffles of this write at its end: they aren't needed once the table is there.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    """Rows that no label may be learned from: crc32 of the id as text, modulo 5, is 0. Not a null id, which no label has."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:

@@ -5,8 +5,8 @@ length), each statistic as one of a few bins. Score: sigmoid of bias + linear te
 `RANK`, the latter in linear time: half of the squares of sums less the sums of squares, per factor. It is trained on a
 bounded sample of labelled rows (`SAMPLE` at most), whose vectors are made on the executors; every text is scored whole.
 
-Defined cases: null and empty texts have no words, and are scored by their statistics; a null stated length has a bin of
-its own; repeated rows get equal scores; without labels, or with one kind only, the score is the smoothed share of label 1;
+Defined cases: null and empty texts have no words, and are scored by their statistics; a null stated length, or none in
+the table, has a bin of its own; a null id is not held out; repeated rows get equal scores; without labels, or with one kind only, the score is the smoothed share of label 1;
 other columns are left alone.
 """
 
@@ -19,7 +19,7 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vocalake.llm.common import Memo, by_parts, held_out, table
@@ -74,6 +74,15 @@ class Machine:
         pairs = (sums**2 - np.add.reduceat(vx**2, starts)).sum(1) / 2
         return self.bias + np.add.reduceat(self.w[slots] * values, starts) + pairs, sums
 
+    def gradient(self, slots: np.ndarray, values: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Of the mean logistic loss of documents laid end to end: the slots that occur, the derivatives by each one's weight and factors, and that by the bias."""
+        z, sums = self.logits(slots, values, np.cumsum(sizes) - sizes)
+        error = (1 / (1 + np.exp(-z)) - labels) / len(labels)
+        per = (np.repeat(error, sizes) * values)[:, None]
+        each = np.hstack([per, per * (np.repeat(sums, sizes, 0) - self.v[slots] * values[:, None])])
+        seen, inverse = np.unique(slots, return_inverse=True)
+        return seen, np.stack([np.bincount(inverse, each[:, k], len(seen)) for k in range(1 + RANK)], 1).astype(np.float32), float(error.sum())
+
     def train(self, docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> None:
         """Adam on the logistic loss."""
         rng, t = np.random.default_rng(2), 0
@@ -84,19 +93,14 @@ class Machine:
                 rows = order[at : at + BATCH]
                 slots, values = (np.concatenate([docs[i][k] for i in rows]) for k in (0, 1))
                 sizes = np.array([len(docs[i][0]) for i in rows])
-                z, sums = self.logits(slots, values, np.cumsum(sizes) - sizes)
-                error = np.repeat(1 / (1 + np.exp(-z)) - labels[rows], sizes) / len(rows)
-                per = (error * values)[:, None]
-                each = np.hstack([per, per * (np.repeat(sums, sizes, 0) - self.v[slots] * values[:, None])])
-                seen, inverse = np.unique(slots, return_inverse=True)
-                g = np.stack([np.bincount(inverse, each[:, k], len(seen)) for k in range(1 + RANK)], 1).astype(np.float32)
+                seen, g, bias = self.gradient(slots, values, sizes, labels[rows])
                 t += 1
                 for s, x, decay in zip(state, (g, g * g), (0.9, 0.999)):
                     s[seen] = decay * s[seen] + (1 - decay) * x
                 move = RATE * (state[0][seen] / (1 - 0.9**t)) / (np.sqrt(state[1][seen] / (1 - 0.999**t)) + 1e-8)
                 self.w[seen] -= move[:, 0] + RATE * DECAY * self.w[seen]
                 self.v[seen] -= move[:, 1:] + RATE * DECAY * self.v[seen]
-                self.bias -= RATE * float((1 / (1 + np.exp(-z)) - labels[rows]).mean())
+                self.bias -= RATE * bias
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,9 +110,13 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array([x for x, _ in got], pa.list_(pa.int32())), pa.array([x for _, x in got], pa.list_(pa.float32())), batch.column("label")], ["slots", "vals", "label"])
 
 
+def _stated(docs: DataFrame) -> Column:
+    return (F.col("n_chars") if "n_chars" in docs.columns else F.lit(None)).cast("bigint").alias("n_chars")
+
+
 def fit(sample: DataFrame) -> Machine:
     """A machine trained on the rows of `labelled_sample`; their vectors come to the driver, at most SAMPLE of them."""
-    rows = sample.select("text", F.col("n_chars").cast("bigint").alias("n_chars"), "label").mapInArrow(_vectors, "slots array<int>, vals array<float>, label int").toArrow()
+    rows = sample.select("text", _stated(sample), "label").mapInArrow(_vectors, "slots array<int>, vals array<float>, label int").toArrow()
     labels = np.array(rows.column("label").to_pylist(), np.float64)
     share = (labels.sum() + 1) / (len(labels) + 2)
     machine = Machine(float(np.log(share / (1 - share))))
@@ -132,7 +140,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
                 z, _ = held.value.logits(np.concatenate([x for x, _ in got]).astype(np.int64), np.concatenate([x for _, x in got]), np.cumsum(sizes) - sizes)
                 yield pa.record_batch([batch.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(z, -50, 50))), pa.float64())], ["doc_id", "score"])
 
-    return docs.select("doc_id", "text", F.col("n_chars").cast("bigint").alias("n_chars")).mapInArrow(run, "doc_id bigint, score double")
+    return docs.select("doc_id", "text", _stated(docs)).mapInArrow(run, "doc_id bigint, score double")
 
 
 def op1_fm_quality(spark, sf_dir: str) -> DataFrame:

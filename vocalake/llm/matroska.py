@@ -6,7 +6,8 @@ byte range; `cues` gives the index. `mux` writes 8-bit PCM samples as such a fil
 only tables of packets leave it.
 
 Defined cases: a null file is an empty one; a file that ends within an element gives the packets before it and `damaged`
-true; null and empty texts have the payload of 64 zero bytes; equal texts give equal files.
+true; frames of one lace share the timestamp of their block; null and empty texts have the payload of 64 zero bytes; equal
+texts give equal files; other columns are left alone.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ pattern. Pieces get their place by rank: rank among the pieces of one length ->
 Ranks come from counts by length and salt, so no task holds a length that a third of the pieces have.
 
 Defined cases: a null or empty text is the end id alone; an empty table has no pieces; rows that share a doc_id are each
-packed whole; ties go by doc_id, start, digest; other columns are left alone.
+packed whole; ties go by doc_id, start, digest; what a text spells as a special token of the tokenizer is that token, as
+the tokenizer has it by default; other columns are left alone.
 """
 
 from __future__ import annotations
@@ -51,7 +52,6 @@ class WordTokenizer:
     def ready(self) -> WordTokenizer:
         if not hasattr(self, "chunks"):
             self.tokenizer = Tokenizer.from_str(self.spec)
-            self.tokenizer.encode_special_tokens = True
             self.model = self.tokenizer.model
             # How byte-level tokenizers write bytes: printable Latin-1 as itself, the others in order from U+0100 on.
             shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -146,19 +146,19 @@ def places(patterns: list[tuple[int, tuple[int, ...]]]) -> np.ndarray:
 
 
 def ranked(rows: DataFrame, n: int) -> DataFrame:
-    """rows with their rank (from 0) among those of the same length: counts by length and salt, then a window within each."""
+    """rows (with _spread, a number that tells some copies of a row apart) with their rank (from 0) among those of the same length: counts by length and salt, then a window within each."""
     salts = max(64, n // ROWS_A_SALT)
-    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(salts)))
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "start", "_spread"), F.lit(salts)))
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy("length", "_salt").agg(F.count("*").alias("_n")).select("length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     within = Window.partitionBy("length", "_salt").orderBy("doc_id", "start", "ids_crc32")
     out = rows.withColumn("_rank", F.row_number().over(within) - 1).join(offsets, ["length", "_salt"])
-    return out.withColumn("rank", F.col("_rank") + F.col("_before")).drop("_rank", "_before", "_salt")
+    return out.withColumn("rank", F.col("_rank") + F.col("_before")).drop("_rank", "_before", "_salt", "_spread")
 
 
 def pack(docs: DataFrame, path: str | None = None, size: int = SIZE, grain: int = GRAIN) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of each piece."""
-    rows = stored(pieces(docs, path, size, grain))
+    rows = stored(pieces(docs, path, size, grain).withColumn("_spread", F.pmod(F.monotonically_increasing_id(), F.lit(1024))))
     histogram = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `size` rows
     at = docs.sparkSession.sparkContext.broadcast(places(plan(histogram, size)))
 

@@ -20,7 +20,8 @@ the same one. Steps:
 
 Defined cases: null and empty texts have no bytes; texts shorter than LENGTH keep theirs; a null id comes before all
 others; rows that share an id count as one document with several texts: only a smaller id, or an earlier start, is
-"earlier", and each text keeps its own marks; other columns are left alone.
+"earlier", and each text keeps its own marks (32 bits of a hash tell texts of one id apart); the id -2^63 counts as null;
+other columns are left alone.
 """
 
 from __future__ import annotations
@@ -42,13 +43,13 @@ LENGTH, GRAM = 100, 32
 PASS, INDEX, LOOK = 1_500_000, 1_000_000, 1_500_000
 #: Strings under one minimizer (about a megabyte) beyond which it is split; bytes of a window's hash; rows in one look at sorted strings.
 HOT, DIGEST, ROWS = 7_000, 16, 200_000
-#: A place is 40 bits of position, and above them 23 bits that tell texts of one id apart.
-PLACE = (1 << 40) - 1
+#: A place is 31 bits of position (no text is longer in Spark), and above them 32 bits that tell texts of one id apart.
+PLACE = (1 << 31) - 1
 
 
 def keyed(docs: DataFrame, *columns: str) -> DataFrame:
     """doc, twin, text and the columns."""
-    twin = F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 41)
+    twin = F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 32)
     return docs.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc"), twin.alias("twin"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("text"), *columns)
 
 
@@ -105,6 +106,17 @@ def _first_of(keys: list[np.ndarray]) -> np.ndarray:
     return new
 
 
+def _chained(doc: np.ndarray, place: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The strings, those that follow one another without a gap as one: a text of one repeated letter isn't a row for each of them."""
+    order = np.lexsort((place, doc))
+    doc, place, n = doc[order], place[order], n[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (place[1:] != place[:-1] + n[:-1])
+    at = np.flatnonzero(new)
+    last = np.append(at, len(doc))[1:] - 1
+    return doc[at], place[at], place[last] + n[last] - place[at]
+
+
 FOUND = "doc bigint, place bigint, windows int, mini bigint, whole bigint, again boolean"
 
 
@@ -118,8 +130,11 @@ def strings(docs: DataFrame) -> DataFrame:
         new = _first_of([mini, whole])
         head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
         again = ~new & ((doc != doc[head]) | (place & PLACE != place[head] & PLACE))
-        keep = new | again
-        return pa.record_batch([pa.array(c[keep]) for c in (doc, place, n.astype(np.int32), np.where(again, doc * 31 + place, mini), whole, again)], ["doc", "place", "windows", "mini", "whole", "again"])
+        d, p, k = _chained(doc[again], place[again], n[again])
+        rows = zip((doc[new], place[new], n[new], mini[new], whole[new]), (d, p, k, d * 31 + p, np.zeros_like(d)))
+        rows = [np.concatenate(c) for c in rows]
+        rows[2] = rows[2].astype(np.int32)
+        return pa.record_batch([*map(pa.array, rows), pa.array(np.arange(len(rows[0])) >= new.sum())], ["doc", "place", "windows", "mini", "whole", "again"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
@@ -127,7 +142,7 @@ def strings(docs: DataFrame) -> DataFrame:
             owner, at, n, mini, whole = _runs(batch.column("text").to_pylist())
             if len(owner):
                 doc, twin = (batch.column(c).to_numpy()[owner] for c in ("doc", "twin"))
-                held.append((doc, twin << 40 | at, n, mini, whole))
+                held.append((doc, twin << 31 | at, n, mini, whole))
                 count += len(owner)
             if count >= LOOK:
                 yield settle(held)
@@ -323,7 +338,7 @@ def _spans(doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def index_repeats(docs: DataFrame, asked: DataFrame) -> DataFrame:
     """doc, place, windows of further removals, from the strings asked for and those of hot minimizers."""
-    wanted = asked.withColumn("twin", F.shiftright("place", 40)).groupBy("doc", "twin").agg(F.collect_list(F.struct("place", "windows", "mini", F.col("remove").isNull().alias("hot"))).alias("asked"))
+    wanted = asked.withColumn("twin", F.shiftright("place", 31)).groupBy("doc", "twin").agg(F.collect_list(F.struct("place", "windows", "mini", F.col("remove").isNull().alias("hot"))).alias("asked"))
     kind = "mini bigint, doc bigint, place bigint, bytes binary, windows int"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -380,7 +395,7 @@ def with_removals(docs: DataFrame, *columns: str) -> DataFrame:
     known = stored(sorted_out(strings(docs)))
     more = stored(index_repeats(docs, known.where("remove is null or not remove")))
     marks = known.where("remove").select("doc", "place", "windows").unionByName(more)
-    grouped = marks.withColumn("twin", F.shiftright("place", 40)).groupBy("doc", "twin").agg(F.collect_list(F.struct(F.col("place").bitwiseAND(PLACE).alias("at"), "windows")).alias("removed"))
+    grouped = marks.withColumn("twin", F.shiftright("place", 31)).groupBy("doc", "twin").agg(F.collect_list(F.struct(F.col("place").bitwiseAND(PLACE).alias("at"), "windows")).alias("removed"))
     return keyed(docs, *columns).join(grouped, ["doc", "twin"], "left")
 
 
@@ -414,15 +429,16 @@ def _whole_characters(text: bytes, cut: list[tuple[int, int]]) -> list[tuple[int
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """docs with what repeats removed from text (whole characters only); a text of which nothing is left stays as an empty one."""
+    """docs with what repeats removed from text (whole characters only); a text of which nothing is left stays as an empty one, a null one stays null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_parts(batches):
-            out = [without(t, _whole_characters(t, spans(r))).decode("utf-8", "replace") for t, r in zip(batch.column("text").to_pylist(), batch.column("removed").to_pylist())]
+            rows = zip(*(batch.column(c).to_pylist() for c in ("text", "removed", "_null")))
+            out = [None if null else without(t, _whole_characters(t, spans(r))).decode("utf-8", "replace") for t, r, null in rows]
             yield pa.record_batch([batch.column("_row"), pa.array(out, pa.string())], ["_row", "text"])
 
-    row = docs.select("doc_id", "text", F.struct(*[c for c in docs.columns if c != "text"]).alias("_row"))
-    out = with_removals(row, "_row").select("_row", "text", "removed")
+    row = docs.select("doc_id", "text", F.struct(*[c for c in docs.columns if c != "text"]).alias("_row"), F.col("text").isNull().alias("_null"))
+    out = with_removals(row, "_row", "_null").select("_row", "text", "removed", "_null")
     kind = StructType([out.schema["_row"], StructField("text", StringType())])
     return out.mapInArrow(run, kind).select(*["text" if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])
 
