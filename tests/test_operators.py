@@ -1,8 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
+from vocalake.functions.text import split_utterances
 from vocalake.operators import alignment, lengths, requests, runs, signal, validation
 from vocalake.sources.manifest import read_manifest, read_text_lines
-from vocalake.sources.media import read_media_catalog
+from vocalake.sources.media import media_catalog, read_media_catalog
 from vocalake.streaming import streams
 
 
@@ -102,3 +104,111 @@ def test_prompts_keep_all_turns(spark, tmp_path):
     prompts = requests.merge_prompt_cache(turns.withColumn("ref_audio", F.when(F.col("conv_id") == 3, "r.wav"))).select("conv_id", "turn", F.md5("prompt_text"), "mode")
     got = registry.QUERIES["w5_merge_prompt_cache"](spark, str(tmp_path)).collect()
     assert len(got) == 24 and sorted(map(tuple, got)) == sorted(map(tuple, prompts.collect()))
+
+
+def _wav(chunks: int, seconds: int = 1) -> bytes:
+    import struct
+
+    data = b"\0" * 32000 * seconds
+    more = b"".join(b"LIST" + struct.pack("<I", 3) + b"abc\0" for _ in range(chunks))
+    return b"RIFF" + struct.pack("<I", 36 + len(more) + len(data)) + b"WAVEfmt " + struct.pack("<IHHIIHH", 16, 1, 1, 16000, 32000, 2, 16) + more + b"data" + struct.pack("<I", len(data)) + data
+
+
+def test_media_headers_are_walked_to_the_end(spark):
+    rows = [("a", bytearray(_wav(20))), ("b", bytearray(_wav(300, 2))), ("c", bytearray(_wav(20)[:200])), ("d", None), ("e", bytearray(b"RIFF....WAVE"))]
+    got = {r["path"]: r for r in media_catalog(spark.createDataFrame(rows, "path string, content binary")).collect()}
+    assert [(got[k]["frames"], got[k]["readable"]) for k in "abcde"] == [(16000, True), (32000, True), (None, False), (None, False), (None, False)]
+    assert got["b"]["duration"] == 2.0 and got["d"]["bytes"] is None
+
+
+MEDIA = "path string, frames bigint, sample_rate int, readable boolean, duration double"
+
+
+def test_repeated_media_and_clashing_columns(spark):
+    manifest = spark.createDataFrame([(1, "a", "x.wav", None, "p", 7, "v"), (2, "b", "x.wav", "x.wav", "q", 8, "w"), (3, "c", None, None, None, None, None)], "sample_id bigint, text string, audio string, ref_audio string, path string, frames bigint, valid string").drop("valid")
+    media = spark.createDataFrame([("x.wav", 0, 16000, True, 0.0), ("x.wav", 100, 16000, True, 1.0), ("x.wav", 500, 8000, False, 1.0), (None, 1, 1, True, 1.0)], MEDIA)
+    rows = validation.checked(manifest, media)
+    assert sorted(tuple(r) for r in rows.select("sample_id", "valid", "ref", "path").collect()) == [(1, True, None, "p"), (2, True, "ok", "q"), (3, False, None, None)]
+    assert validation.summary(rows).first()["total"] == 3
+    assert validation.manifest_media_join(manifest, media).count() == 3 and validation.missing_media(manifest, media).count() == 1 and validation.rows_with_ref(manifest, media).count() == 1
+
+
+def test_a_manifest_from_lines_to_report(spark):
+    raw = ['{"text": "a b", "audio": "x.wav"}', "not json", '{"text": "a"}', *['{"text": "", "audio": "gone.wav"}'] * 30]
+    lines = spark.createDataFrame(list(enumerate(raw, 1)), "line_no bigint, raw string")
+    media = spark.createDataFrame([("/data/x.wav", 100, 16000, True, 1.0)], MEDIA)
+    rows = validation.validate_manifest(lines, media, "/data")
+    assert validation.summary(rows).first().asDict() == {"total": 33, "valid": 1, "with_ref": 0, "n_errors": 32, "n_warnings": 30, "is_valid": False}
+    capped = validation.findings_capped(validation.findings(rows)).where("more is not null").collect()
+    assert sorted((r["category"], r["more"]) for r in capped) == [("blank_text", 25), ("media", 25)]
+    full = validation.full_report(rows).collect()
+    assert {(r["section"], r["value"]) for r in full if r["item"] == "omitted"} == {("error", 12.0), ("warning", 20.0)}
+    assert {r["item"]: r["value"] for r in full if r["section"] == "report"}["mean_duration"] == 1.0
+    assert validation.summary(validation.validate_manifest(lines, media, "/data", 2)).first()["total"] == 2
+    none = validation.summary(validation.validate_manifest(lines.limit(0), media)).first()
+    assert (none["total"], none["is_valid"]) == (0, False)
+
+
+def test_vocabulary_is_looked_up_or_joined(spark):
+    tokens = spark.createDataFrame([(1, ["a", "b", "zz", "a"]), (2, []), (3, None), (None, ["b"])], "key bigint, tokens array<string>")
+    vocab = spark.createDataFrame([("a", 1), ("b", 2)], "token string, id int")
+    for most in (1000, 1):
+        got = [(r["key"], r["ids"]) for r in lengths.vocab_encode(tokens.where("key is not null"), vocab, 0, most).collect()]
+        assert sorted(got) == [(1, [1, 2, 0, 1]), (2, []), (3, [])]
+    assert lengths.vocab_encode(tokens, vocab.limit(0)).where("key = 1").first()["ids"] == [0, 0, 0, 0]
+
+
+def test_budget_report(spark):
+    df = spark.createDataFrame([("train", 5), ("train", 50), ("validation", 90)], "split string, length int")
+    assert tuple(lengths.budget_report(df, 40, 4).first()) == (2, 1, 10) and tuple(lengths.budget_report(df, 0, 4).first()) == (2, 0, None)
+    assert lengths.select_kept(df, 50).count() == 2
+
+
+def test_aligners_by_name_and_strict(spark):
+    audio = spark.createDataFrame([("1", "a b"), ("2", "c")], "audio string, text string")
+
+    def fails(a, t):
+        if a == "2":
+            raise OSError("no audio")
+        return [{"text": t, "start": 0.0, "end": 1.0, "level": "segment"}]
+
+    alignment.ALIGNERS["own"] = fails
+    try:
+        got = {r["audio"]: (len(r["items"]), r["warning"]) for r in alignment.aligned(audio, "own").collect()}
+        assert got == {"1": (1, None), "2": (0, "no audio")}
+        with pytest.raises(Exception, match="no audio"):
+            alignment.aligned(audio, "own", strict=True).collect()
+        with pytest.raises(ValueError, match="unknown aligner"):
+            alignment.aligned(audio, "other")
+    finally:
+        del alignment.ALIGNERS["own"]
+
+
+def test_sidecars_are_written(spark, tmp_path):
+    items = spark.createDataFrame([("a.wav", 0, "é", 0.0, 1.0, "segment")], "audio string, pos int, text string, start double, end double, level string")
+    alignment.write_sidecars(alignment.alignment_record(items, "stable_ts", "segment"), str(tmp_path / "out"))
+    assert spark.read.json(str(tmp_path / "out")).first()["items"][0]["text"] == "é"
+
+
+def test_streams_keep_null_keys(spark):
+    rows = spark.createDataFrame([(None, "a", "x.wav", None), (1, "b", "y.wav", None), (2, "c", "x.wav", None)], "sample_id bigint, text string, audio string, ref_audio string")
+    media = spark.createDataFrame([("x.wav", 100, 16000, True, 1.0)], MEDIA)
+    got = streams.through_stream(rows, lambda x: streams.stream_validate(x, media), "sample_id")
+    assert sorted((str(r["sample_id"]), r["valid"]) for r in got.collect()) == [("1", False), ("2", True), ("None", True)]
+
+
+def test_long_tail_without_a_mark_is_quick(spark):
+    import time
+
+    long = spark.range(1).select(F.concat(F.lit("A b. "), F.repeat(F.lit("word "), 200_000)).alias("x"))
+    t = time.time()
+    assert long.select(split_utterances(F.col("x"), "en").alias("u")).first()["u"] == ["A b."] and time.time() - t < 20
+
+
+def test_rules_that_need_more_than_the_request(spark):
+    row = ("hi", None, None, None, "p.txt", None, "auto", "v2", 2.0, 10, 0, 1.0, 0.5)
+    schema = "request_id bigint, text string, control string, prompt_audio string, prompt_text string, prompt_file string, reference_audio string, command string, arch string, cfg double, steps int, rank int, alpha double, dropout double"
+    r = spark.createDataFrame([(1, *row), (2, *row[:4], None, *row[5:10], 4, 1.0, 0.0)], schema)
+    files = spark.createDataFrame([("other.txt",)], "prompt_file string")
+    got = {x["request_id"]: x["broken"] for x in requests.request_findings(r, files).collect()}
+    assert got == {1: ["prompt_text_without_audio", "prompt_file_missing", "adapter_range"], 2: []}

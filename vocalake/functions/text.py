@@ -21,6 +21,15 @@ EMOJI_SHOWN = (
 EMOJI = EMOJI_SHOWN + r"|[#*0-9\x{A9}\x{AE}\x{203C}\x{2049}\x{2122}\x{2139}\x{2194}-\x{2199}\x{21A9}\x{21AA}\x{2328}\x{23CF}\x{23E9}-\x{23FA}\x{24C2}\x{25AA}-\x{25FE}\x{2600}-\x{27BF}\x{2934}\x{2935}\x{2B05}-\x{2B55}\x{3030}\x{303D}\x{3297}\x{3299}\x{1F000}-\x{1FAFF}]\x{FE0F}"
 
 
+#: Every emoji match holds one of these: a quick test that spares nearly all texts the long class.
+MAY_HOLD_EMOJI = r"[\x{231A}-\x{2B55}\x{FE0F}\x{1F004}-\x{1FAF8}]"
+
+
+def bound(c: Column, f) -> Column:
+    """f(c), with c worked out once however often f uses it."""
+    return F.get(F.transform(F.array(c), f), 0)
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
 
@@ -60,7 +69,7 @@ def clean_markdown(c: Column) -> Column:
 
 
 def strip_emoji(c: Column) -> Column:
-    return F.regexp_replace(c, EMOJI, "")
+    return bound(c, lambda x: F.when(x.rlike(MAY_HOLD_EMOJI), F.regexp_replace(x, EMOJI, "")).otherwise(x))
 
 
 def clean_text(c: Column) -> Column:
@@ -126,6 +135,7 @@ def normalize_text(c: Column) -> Column:
     return F.when(contains_cjk(c), zh).otherwise(spell_numbers(clean_text(c)))
 
 
+# The marks that end an utterance.
 def marks(lang: str, comma_split: bool = False) -> str:
     return ("[。？！；：、.?!;" if lang == "zh" else "[.?!;:") + (",，" if comma_split else "") + "]"
 
@@ -134,11 +144,12 @@ def split_utterances(c: Column, lang: str, comma_split: bool = False) -> Column:
     """Pieces that end with a mark; quotes right after a mark belong to its piece, marks with nothing before them are
     dropped, and so is what follows the last mark. Without a piece, the text with a full stop is the only one."""
     m = marks(lang, comma_split)
-    body = F.regexp_replace(c, f'^({m}["”]?)+', "")
     out = m.replace("[", "[^", 1)
-    found = F.regexp_extract_all(body, F.lit(f'{out}+{m}["”]?(?:{m}["”]?)*'), F.lit(0))
-    pieces = F.transform(found, lambda p: F.concat(F.regexp_extract(p, f"^{out}+{m}", 0), F.regexp_replace(F.regexp_replace(p, f"^{out}+{m}", ""), m, "")))
-    return F.when(F.size(pieces) > 0, pieces).otherwise(F.array(F.concat(c, F.lit("。" if lang == "zh" else "."))))
+    # What follows the last mark is matched too, up to the end, and left out after that: else the search would start anew at each of its characters.
+    found = lambda x: F.regexp_extract_all(F.regexp_replace(x, f'^({m}["”]?)+', ""), F.lit(rf'{out}++(?:{m}["”]?(?:{m}["”]?)*|\z)'), F.lit(0))
+    piece = lambda p: F.concat(F.regexp_extract(p, f"^{out}+{m}", 0), F.regexp_replace(F.regexp_replace(p, f"^{out}++{m}", ""), m, ""))
+    pieces = lambda x: F.transform(F.filter(found(x), lambda p: p.rlike(m)), piece)
+    return bound(c, lambda x: bound(pieces(x), lambda all: F.when(F.size(all) > 0, all).otherwise(F.array(F.concat(x, F.lit("。" if lang == "zh" else "."))))))
 
 
 def pack_utterances(utts: Column, size, max_n: int = 80, min_n: int = 60, merge_len: int = 20) -> Column:

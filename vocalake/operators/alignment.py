@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from vocalake.functions.text import strip
 
 BACKENDS, LEVELS = ("stable_ts",), ("segment", "word", "char")
+#: Aligners by name: (audio, text) -> items. Users add theirs.
+ALIGNERS: dict[str, Callable[[str, str], list[dict]]] = {}
 ITEM = "array<struct<text:string,start:double,end:double,level:string>>"
 
 
@@ -55,8 +57,12 @@ def write_sidecars(record: DataFrame, path: str) -> None:
     record.select(sidecar_json(record).alias("value")).write.text(path)
 
 
-def aligned(audio: DataFrame, aligner: Callable[[str, str], list[dict]], strict: bool = False) -> DataFrame:
-    """audio (audio, text) with the items of a user's aligner, run in the tasks; a failure is a warning, or, if strict, stops the job."""
+def aligned(audio: DataFrame, aligner: str | Callable[[str, str], list[dict]], strict: bool = False) -> DataFrame:
+    """audio (audio, text) with the items of a user's aligner (or the name of one in `ALIGNERS`), run in the tasks; a failure is a warning, or, if strict, stops the job."""
+    if isinstance(aligner, str):
+        if aligner not in ALIGNERS:
+            raise ValueError(f"unknown aligner {aligner}: one of {sorted(ALIGNERS)}")
+        aligner = ALIGNERS[aligner]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

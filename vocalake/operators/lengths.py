@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +28,22 @@ def token_budget_filter(df: DataFrame, budget: int, batch: int, length: str = "l
     return df.where((F.col("split") != "train") | (F.col(length) <= budget // batch))
 
 
+def select_kept(df: DataFrame, limit: int, length: str = "length") -> DataFrame:
+    """The rows whose length fits the limit."""
+    return df.where(F.col(length) <= limit)
+
+
+def budget_report(df: DataFrame, budget: int, batch: int, length: str = "length") -> DataFrame:
+    """total, dropped, most: rows of the train split, how many of them `token_budget_filter` leaves out, and the length that still fits (null: any)."""
+    most = budget // batch if budget > 0 and batch > 0 else None
+    return df.where("split = 'train'").agg(F.count("*").alias("total"), (F.count_if(F.col(length) > most) if most is not None else F.lit(0).cast("bigint")).alias("dropped")).withColumn("most", F.lit(most).cast("bigint"))
+
+
+def head_samples(df: DataFrame, key: str, n: int = 2) -> DataFrame:
+    """The first n rows in order of the key: a look at the data."""
+    return df.orderBy(key).limit(n)
+
+
 def epoch_shuffle(df: DataFrame, key: str, seed: int, epoch: int) -> DataFrame:
     """df with its position in an order that depends on seed and epoch."""
     return numbered(df.withColumn("_key", F.md5(F.concat(F.lit(f"{seed}:{epoch}:"), F.col(key).cast("string")))), "_key", key).drop("_key")
@@ -51,13 +70,33 @@ def dataset_count(df: DataFrame) -> DataFrame:
 
 def consumption_by_dataset(packed: DataFrame, n: int, fps: float = 25.0) -> DataFrame:
     """batch_id, dataset_id, seconds of audio and text tokens (cut to whole numbers after summing), with zeros for unused ids."""
-    sums = packed.groupBy("batch_id", "dataset_id").agg(F.sum(F.col("frames") / fps).cast("long").alias("audio_seconds"), F.sum("text_tokens").cast("long").alias("text_tokens"))
+    sums = packed.groupBy("batch_id", "dataset_id").agg((F.sum("frames") / fps).cast("long").alias("audio_seconds"), F.sum("text_tokens").cast("long").alias("text_tokens"))
     ids = packed.select("batch_id").distinct().select("batch_id", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("dataset_id"))
     return ids.join(sums, ["batch_id", "dataset_id"], "left").fillna(0, ["audio_seconds", "text_tokens"])
 
 
-def vocab_encode(tokens: DataFrame, vocab: DataFrame, unk: int = 0) -> DataFrame:
-    """key, ids: tokens (key, tokens array) by a vocabulary (token, id), unknown ones as unk; joined by token, so neither side has to be small."""
+def vocab_encode(tokens: DataFrame, vocab: DataFrame, unk: int = 0, most: int = 1_000_000) -> DataFrame:
+    """key, ids: tokens (key, tokens array) by a vocabulary (token, id; each token once), unknown ones as unk.
+
+    A vocabulary of at most `most` rows is broadcast, and each array looked up where it lies: nothing is shuffled. A larger one is joined by token,
+    and AQE splits the tokens that very many rows have.
+    """
+    vocab = vocab.select("token", F.col("id").cast("int").alias("id"))
+    held = vocab.limit(most + 1).toArrow()
+    if held.num_rows <= most:
+        shared = tokens.sparkSession.sparkContext.broadcast(held)
+
+        def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = shared.value.combine_chunks()
+            known, ids = (known.column(c).combine_chunks() if known.num_rows else pa.array([], t) for c, t in (("token", pa.string()), ("id", pa.int32())))
+            for batch in batches:
+                lists = batch.column("tokens")
+                own = pc.fill_null(ids.take(pc.index_in(lists.flatten(), value_set=known)), unk)
+                sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+                yield pa.record_batch([batch.column("key"), pa.ListArray.from_arrays(ends, own.cast(pa.int32()))], ["key", "ids"])
+
+        return tokens.select("key", "tokens").mapInArrow(look_up, f"key {dict(tokens.dtypes)['key']}, ids array<int>")
     each = tokens.select("key", F.posexplode("tokens").alias("pos", "token"))
     ids = each.join(vocab, "token", "left").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("id", F.lit(unk)).alias("id")))).alias("x"))
     return tokens.select("key").join(ids, "key", "left").select("key", F.coalesce(F.transform("x", lambda x: x["id"]), F.array().cast("array<int>")).alias("ids"))

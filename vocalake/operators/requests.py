@@ -35,6 +35,16 @@ def violations() -> Column:
     return F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]))
 
 
+def request_findings(requests: DataFrame, files: DataFrame) -> DataFrame:
+    """request_id, broken: the rules of `violations`, then those that need more than the request: `prompt_file_missing` (files: prompt_file) and, where the request has rank, alpha and dropout of an adapter, `adapter_range`."""
+    known = files.where("prompt_file is not null").select(F.col("prompt_file").alias("_file")).distinct()
+    more = [F.when(_given("prompt_file") & F.col("_file").isNull(), F.lit("prompt_file_missing"))]
+    if {"rank", "alpha", "dropout"} <= set(requests.columns):
+        more.append(F.when(~ranges_ok(F.col("rank"), F.col("alpha"), F.col("dropout")), F.lit("adapter_range")))
+    key = F.coalesce("prompt_file", F.concat(F.lit("\0"), F.col("request_id").cast("string")))  # requests without a file don't gather in one task
+    return requests.join(known, key == F.col("_file"), "left").select("request_id", F.concat(violations(), F.array_compact(F.array(*more))).alias("broken"))
+
+
 def ranges_ok(rank: Column, alpha: Column, dropout: Column) -> Column:
     return (rank > 0) & (alpha > 0) & dropout.between(0, 1)
 

@@ -54,6 +54,22 @@ def log_interval(log: DataFrame) -> DataFrame:
     return log.withColumn("seconds", F.col("ts").cast("timestamp").cast("double") - F.lag("ts").over(w).cast("timestamp").cast("double"))
 
 
+def metrics_tail(metrics: DataFrame, n: int) -> DataFrame:
+    """split, step, key, value of the last n steps of each split and key; Spark cuts each task's rows to n a key before they are shuffled."""
+    w = Window.partitionBy("split", "key").orderBy(F.desc("step"))
+    return metrics.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_r")
+
+
+def loaded_keys(keys: DataFrame) -> DataFrame:
+    """key: the target keys that are among the state keys."""
+    return keys.select(F.col("target_key").alias("key")).join(keys.select(F.col("state_key").alias("key")), "key", "left_semi")
+
+
+def skipped_keys(keys: DataFrame) -> DataFrame:
+    """key: the target keys that are not."""
+    return keys.select(F.col("target_key").alias("key")).join(keys.select(F.col("state_key").alias("key")), "key", "left_anti")
+
+
 def key_reconcile(keys: DataFrame, targets: DataFrame) -> DataFrame:
     """target_key, matched (the state key that it loads, directly or without the wrapper's infix), loaded."""
     plain = F.replace("target_key", F.lit("._orig_mod."), F.lit("."))

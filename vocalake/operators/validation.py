@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vocalake.functions.text import strip
-from vocalake.tables import upper_median
+from vocalake.tables import stored, upper_median
 
 SAMPLE_RATE = 16000
 
@@ -58,11 +58,40 @@ def from_lines(lines: DataFrame) -> DataFrame:
 
 
 def resolve_path(path: Column, base: str) -> Column:
-    return F.when(path.startswith("/"), path).otherwise(F.concat_ws("/", F.lit(base.rstrip("/")), path))
+    return F.when(path.startswith("/") | path.isNull(), path).otherwise(F.concat_ws("/", F.lit(base.rstrip("/")), path))
 
 
-def media_error(rate: int = SAMPLE_RATE) -> Column:
-    return F.when(F.col("path").isNull(), "not_found").when(F.col("frames") == 0, "zero_frames").when(F.col("sample_rate") != rate, "sample_rate").when(~F.col("readable"), "unreadable")
+def media_error(rate: int = SAMPLE_RATE, prefix: str = "") -> Column:
+    """Of the columns path, frames, sample_rate and readable, each with the prefix."""
+    c = lambda name: F.col(prefix + name)
+    return F.when(c("path").isNull(), "not_found").when(c("frames") == 0, "zero_frames").when(c("sample_rate") != rate, "sample_rate").when(~c("readable"), "unreadable")
+
+
+def known_media(media: DataFrame, prefix: str = "_m_") -> DataFrame:
+    """One row per path: path, frames, sample_rate, readable and duration, with the prefix. Of several entries for a path, a readable one comes first, then the one with most frames."""
+    best = F.max(F.struct(F.coalesce("readable", F.lit(False)).alias("r"), "frames", "sample_rate", "readable", "duration"))
+    out = media.where("path is not null").groupBy(F.col("path").alias(f"{prefix}path")).agg(best.alias(f"{prefix}best"))
+    return out.select(f"{prefix}path", *[F.col(f"{prefix}best")[c].alias(prefix + c) for c in ("frames", "sample_rate", "readable", "duration")])
+
+
+def cap_samples(lines: DataFrame, most: int) -> DataFrame:
+    """The first `most` lines of a manifest by number; all with 0."""
+    return lines.where(F.col("line_no") <= most) if most > 0 else lines
+
+
+def manifest_media_join(manifest: DataFrame, media: DataFrame) -> DataFrame:
+    """manifest with _m_path, _m_frames, _m_sample_rate, _m_readable, _m_duration of its audio; null where there is none."""
+    return manifest.join(known_media(media), F.col("audio") == F.col("_m_path"), "left")
+
+
+def missing_media(manifest: DataFrame, media: DataFrame) -> DataFrame:
+    """The rows whose audio isn't among the media."""
+    return manifest.join(known_media(media), F.col("audio") == F.col("_m_path"), "left_anti")
+
+
+def rows_with_ref(manifest: DataFrame, media: DataFrame) -> DataFrame:
+    """The rows whose reference audio is among the media."""
+    return manifest.join(known_media(media), F.col("ref_audio") == F.col("_m_path"), "left_semi")
 
 
 def duration_band(duration: Column) -> Column:
@@ -75,15 +104,14 @@ def checked(manifest: DataFrame, media: DataFrame, rate: int = SAMPLE_RATE) -> D
     manifest: rows, or lines (line_no, raw), which are parsed first. Rows without a path get keys of their own in the joins, so they don't gather in one task.
     """
     manifest = from_lines(manifest) if "raw" in manifest.columns else manifest
-    known = media.select("path", "frames", "sample_rate", "readable", F.col("duration").alias("media_duration"))
-    refs = media.select(F.col("path").alias("_ref")).distinct()
+    known, refs = known_media(media), media.where("path is not null").select(F.col("path").alias("_ref")).distinct()
     key = lambda c: F.coalesce(c, F.concat(F.lit("\0"), F.col("sample_id").cast("string")))
-    out = manifest.join(known, key("audio") == F.col("path"), "left").join(refs, key("ref_audio") == F.col("_ref"), "left")
+    out = manifest.join(known, key("audio") == F.col("_m_path"), "left").join(refs, key("ref_audio") == F.col("_ref"), "left")
     broken = F.size("line_errors") > 0 if "line_errors" in manifest.columns else F.lit(False)
     stopped = broken & ~F.array_contains("line_errors", "invalid_path") if "line_errors" in manifest.columns else F.lit(False)
-    out = out.withColumn("media_error", F.when(~broken, media_error(rate))).withColumn("valid", ~broken & F.col("media_error").isNull())
+    out = out.withColumn("media_error", F.when(~broken, media_error(rate, "_m_"))).withColumn("valid", ~broken & F.col("media_error").isNull())
     ref = F.when(F.coalesce("ref_audio", F.lit("")) == "", None).when(F.col("_ref").isNotNull(), "ok").otherwise("missing")
-    return out.select(*manifest.columns, "media_error", F.when(F.col("valid"), F.col("media_duration")).alias("media_duration"), F.when(F.col("valid"), duration_band(F.col("media_duration"))).alias("band"), (~stopped & (strip(F.coalesce("text", F.lit(""))) == "")).alias("blank_text"), ref.alias("ref"), "valid")
+    return out.select(*manifest.columns, "media_error", F.when(F.col("valid"), F.col("_m_duration")).alias("media_duration"), F.when(F.col("valid"), duration_band(F.col("_m_duration"))).alias("band"), (~stopped & (strip(F.coalesce("text", F.lit(""))) == "")).alias("blank_text"), ref.alias("ref"), "valid")
 
 
 def findings(rows: DataFrame) -> DataFrame:
@@ -114,8 +142,10 @@ CAPPED = ("media", "blank_text")
 def findings_capped(found: DataFrame, cap: int = 5) -> DataFrame:
     """The first `cap` findings of the categories that a large corpus repeats, with a row for how many more there are; other categories whole.
 
-    The first ones are the smallest of each task first, so a category that all rows have is no burden to one task.
+    The first ones are the smallest of each task first, so a category that all rows have is no burden to one task. What was
+    found is written once and read for each of the parts.
     """
+    found = stored(found)
     few = found.where(F.col("category").isin(*CAPPED))
     rank = F.row_number().over(Window.partitionBy("category").orderBy("sample_id"))
     first = few.withColumn("_r", rank).where(F.col("_r") <= cap).drop("_r")  # Spark limits each task's rows before the exchange
@@ -125,8 +155,8 @@ def findings_capped(found: DataFrame, cap: int = 5) -> DataFrame:
 
 
 def top_findings(found: DataFrame, errors: int = 20, warnings: int = 10) -> DataFrame:
-    """The first errors and warnings in order, and how many were left out of each."""
-    out = None
+    """The first errors and warnings in order, and how many were left out of each. What was found is written once and read for each of the parts."""
+    found, out = stored(found), None
     for severity, k in (("error", errors), ("warning", warnings)):
         own = found.where(F.col("severity") == severity)
         part = own.orderBy("sample_id", "category").limit(k).select("sample_id", "severity", "category", F.lit(None).cast("bigint").alias("omitted"))
@@ -136,13 +166,45 @@ def top_findings(found: DataFrame, errors: int = 20, warnings: int = 10) -> Data
     return out
 
 
-def report(rows: DataFrame) -> DataFrame:
-    """item, value: the header counts, statistics (only those that have data), and the verdict."""
+_COUNTS = ("total", "valid", "with_ref", "n_errors", "n_warnings")
+_DURATIONS = ("hours", "min_duration", "median_duration", "max_duration")
+_LENGTHS = ("min_length", "max_length")
+
+
+def narrow(rows: DataFrame) -> DataFrame:
+    """What reports need of checked rows, written once: no text, its length instead."""
+    errors = ["line_errors"] if "line_errors" in rows.columns else []
+    return stored(rows.select("sample_id", F.length("text").alias("text_length"), "media_error", "media_duration", "band", "blank_text", "ref", "valid", *errors))
+
+
+def report(rows: DataFrame, means: bool = False) -> DataFrame:
+    """item, value: the header counts, statistics (only those that have data; with means if asked for), and the verdict."""
+    rows = rows if "text_length" in rows.columns else narrow(rows)
     stats = summary(rows).crossJoin(duration_stats(rows)).crossJoin(text_length_stats(rows))  # of one row each
-    items = [*(F.struct(F.lit(c).alias("item"), F.col(c).cast("double").alias("value")) for c in ("total", "valid", "with_ref", "n_errors", "n_warnings", "hours", "min_duration", "median_duration", "max_duration", "min_length", "max_length")), F.struct(F.lit("passed").alias("item"), F.col("is_valid").cast("double").alias("value"))]
+    named = [*_COUNTS, *_DURATIONS, *_LENGTHS, *(("mean_duration", "mean_length") if means else ())]
+    items = [*(F.struct(F.lit(c).alias("item"), F.col(c).cast("double").alias("value")) for c in named), F.struct(F.lit("passed").alias("item"), F.col("is_valid").cast("double").alias("value"))]
     return stats.select(F.explode(F.array(*items)).alias("x")).select("x.item", F.round("x.value", 6).alias("value")).where("value is not null")
 
 
+def full_report(rows: DataFrame, errors: int = 20, warnings: int = 10) -> DataFrame:
+    """section (report, error, warning), item, sample_id, value: the report with means, then the first errors and warnings (item is the category) and how many more there are (item is omitted)."""
+    rows = narrow(rows)
+    head = report(rows, means=True).select(F.lit("report").alias("section"), "item", F.lit(None).cast("bigint").alias("sample_id"), "value")
+    listed = top_findings(findings(rows), errors, warnings)
+    return head.unionAll(listed.select("severity", F.coalesce("category", F.lit("omitted")), F.col("sample_id").cast("bigint"), F.col("omitted").cast("double")))
+
+
+def validate_manifest(lines: DataFrame, media: DataFrame, base: str = "", most: int = 0, rate: int = SAMPLE_RATE) -> DataFrame:
+    """The lines (line_no, raw) of a manifest, checked: the first `most` of them (0: all), their relative paths under base. `summary`, `findings_capped`, `report` and `full_report` take what this returns.
+
+    Defined cases: without lines, or with blank ones only, there are no rows: the summary counts 0 and isn't valid.
+    """
+    rows = from_lines(cap_samples(lines, most))
+    if base:
+        rows = rows.withColumns({c: resolve_path(F.col(c), base) for c in ("audio", "ref_audio")})
+    return checked(rows, media, rate)
+
+
 def duration_stats(rows: DataFrame) -> DataFrame:
     d, own = F.col("media_duration"), rows.where("media_error is null")
     out = own.agg(F.round(F.sum(d) / 3600, 6).alias("hours"), F.round(F.min(d), 6).alias("min_duration"), F.round(F.max(d), 6).alias("max_duration"), F.round(F.avg(d), 6).alias("mean_duration"))
@@ -150,5 +212,5 @@ def duration_stats(rows: DataFrame) -> DataFrame:
 
 
 def text_length_stats(rows: DataFrame) -> DataFrame:
-    n = F.length("text")
+    n = F.col("text_length") if "text_length" in rows.columns else F.length("text")
     return rows.where("not blank_text").agg(F.min(n).alias("min_length"), F.max(n).alias("max_length"), F.round(F.avg(n), 6).alias("mean_length"))

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from vocalake.functions import nested as N
 from vocalake.functions.text import base_tokens
 from vocalake.operators import lengths as L
+from vocalake.operators import runs as R
 from vocalake.registry import query
+from vocalake.sources.manifest import read_splits
+from vocalake.tables import spread
 
 
 def _joined(c, sep=","):
@@ -37,6 +40,11 @@ def _(m):
     return L.token_budget_filter(_sized(m), 8192, 4).select("sample_id", "split", "length")
 
 
+@query("p12_budget_report", f"SELECT count(*) AS total, count(*) FILTER (length > 2048) AS dropped, 2048::BIGINT AS most FROM (SELECT {_SPLIT} AS split, {_LEN} AS length FROM manifest) WHERE split = 'train'", "manifest")
+def _(m):
+    return L.budget_report(_sized(m), 8192, 4)
+
+
 @query("a6_dataset_count", "SELECT (max(dataset_id) + 1)::INT AS n FROM manifest", "manifest")
 def _(m):
     return L.dataset_count(m)
@@ -62,27 +70,27 @@ def _(m):
 
 @query("u1_split_union", "SELECT split, text FROM (SELECT 'train' AS split, text FROM documents UNION ALL SELECT 'validation', text FROM benchmark)", "documents", "benchmark")
 def _(d, b):
-    return d.select(F.lit("train").alias("split"), "text").unionByName(b.select(F.lit("validation").alias("split"), "text"))
+    return read_splits(d.select("text"), b.select("text")).select("split", "text")
 
 
 @query("u2_loaded_keys", "SELECT target_key AS key FROM param_keys WHERE target_key IN (SELECT state_key FROM param_keys)", "param_keys")
 def _(k):
-    return k.select(F.col("target_key").alias("key")).join(k.select(F.col("state_key").alias("key")), "key", "left_semi")
+    return R.loaded_keys(k)
 
 
 @query("u2_skipped_keys", "SELECT target_key AS key FROM param_keys WHERE target_key NOT IN (SELECT state_key FROM param_keys)", "param_keys")
 def _(k):
-    return k.select(F.col("target_key").alias("key")).join(k.select(F.col("state_key").alias("key")), "key", "left_anti")
+    return R.skipped_keys(k)
 
 
 @query("u3_select_kept", f"SELECT sample_id FROM manifest WHERE {_LEN} <= 2048", "manifest")
 def _(m):
-    return _sized(m).where("length <= 2048").select("sample_id")
+    return L.select_kept(_sized(m), 2048).select("sample_id")
 
 
 @query("o3_head_samples", "SELECT item_id, text FROM benchmark ORDER BY item_id LIMIT 2", "benchmark")
 def _(b):
-    return b.orderBy("item_id").limit(2).select("item_id", "text")
+    return L.head_samples(b, "item_id", 2).select("item_id", "text")
 
 
 _TOK = r"regexp_extract_all(text, '[\x{4E00}-\x{9FFF}]+|[A-Za-z\x{C0}-\x{24F}]+|[0-9]+|[^\sA-Za-z0-9\x{C0}-\x{24F}\x{4E00}-\x{9FFF}]')"
@@ -94,19 +102,20 @@ g AS (SELECT doc_id, string_agg(coalesce(id, 0)::VARCHAR, ',' ORDER BY pos) AS i
 def _(d):
     from vocalake.tables import numbered
 
-    tokens = d.select(F.col("doc_id").alias("key"), base_tokens(F.col("text")).alias("tokens"))
+    tokens = spread(d).select(F.col("doc_id").alias("key"), base_tokens(F.col("text")).alias("tokens"))
     vocab = tokens.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where("n >= 20")
     vocab = numbered(vocab.select("token"), "token").select("token", (F.col("position") + 1).cast("int").alias("id"))
     return L.vocab_encode(tokens, vocab).select("key", _joined(F.col("ids")).alias("ids"))
 
 
-# Packed tracks: text ids are code points of the first letters' positions, audio length from n_chars.
+# Packed tracks: a document's ids are the lengths of all its words; its audio and reference have the patches of the manifest's durations.
 def _samples(d):
-    ids = F.transform(F.sequence(F.lit(1), (F.col("doc_id") % 9 + 1).cast("int")), lambda i: (i * 7 + F.col("doc_id") % 13).cast("int"))
-    return d.select("doc_id", ids.alias("ids"), (F.col("n_chars") % 17 + 1).cast("int").alias("a"), (F.col("n_chars") % 5 + 1).cast("int").alias("r"), (F.col("doc_id") % 7 == 0).alias("is_prompt"), (F.col("doc_id") % 3).cast("int").alias("dataset_id"), F.floor(F.col("doc_id") / 8).alias("batch_id"))
+    ids = F.transform(F.split("text", " "), lambda w: F.length(w))
+    patches = lambda seconds: F.ceil(F.ceil(seconds * 25) / 4).cast("int")
+    return spread(d).select("doc_id", ids.alias("ids"), patches(F.col("n_chars") / 15).alias("a"), patches(F.col("n_chars") % 97 / 10).alias("r"), (F.col("doc_id") % 7 == 0).alias("is_prompt"), (F.col("doc_id") % 3).cast("int").alias("dataset_id"), F.floor(F.col("doc_id") / 8).alias("batch_id"))
 
 
-_S = "WITH s AS (SELECT doc_id, list_transform(range(1, doc_id % 9 + 2), lambda i: i * 7 + doc_id % 13) AS ids, n_chars % 17 + 1 AS a, n_chars % 5 + 1 AS r, doc_id % 7 = 0 AS is_prompt, (doc_id % 3)::INT AS dataset_id, doc_id // 8 AS batch_id FROM documents)"
+_S = "WITH s AS (SELECT doc_id, list_transform(string_split(text, ' '), lambda w: length(w)) AS ids, ceil(ceil(n_chars / 15e0 * 25) / 4)::INT AS a, ceil(ceil(n_chars % 97 / 10e0 * 25) / 4)::INT AS r, doc_id % 7 = 0 AS is_prompt, (doc_id % 3)::INT AS dataset_id, doc_id // 8 AS batch_id FROM documents)"
 
 
 def _rep(x, n: str) -> str:
@@ -175,10 +184,10 @@ def _(d):
     return s.select("doc_id", _joined(N.id_track(F.col("m"), F.lit(N.TTS))).alias("task_ids"), _joined(N.id_track(F.col("m"), F.col("dataset_id") + 1)).alias("dataset_ids"))
 
 
-@query("n8_latent_track", "SELECT vec_id, concat(repeat('0,', (vec_id % 4 + 1)::INT), array_to_string(list_transform(embedding[1:8], lambda x: round(x::DOUBLE, 4)::VARCHAR), ','), ',0') AS out FROM latents".replace("round(x::DOUBLE, 4)::VARCHAR", "(round(x::DOUBLE * 10000))::BIGINT::VARCHAR"), "latents")
+@query("n8_latent_track", "SELECT vec_id, concat(repeat('0,', (vec_id % 4 + 1)::INT), array_to_string(list_transform(embedding, lambda x: (round(x::DOUBLE * 10000))::BIGINT::VARCHAR), ','), ',0') AS out FROM latents", "latents")
 def _(x):
     zero = F.array_repeat(F.lit(0).cast("bigint"), (F.col("vec_id") % 4 + 1).cast("int"))
-    patch = F.transform(F.slice("embedding", 1, 8), lambda v: F.round(v.cast("double") * 10000).cast("bigint"))
+    patch = F.transform("embedding", lambda v: F.round(v.cast("double") * 10000).cast("bigint"))
     return x.select("vec_id", _joined(F.concat(zero, patch, F.array(F.lit(0).cast("bigint")))).alias("out"))
 
 
@@ -224,10 +233,10 @@ def _(m):
     return m.select("sample_rate", "frames", N.bucketize(F.col("frames")).alias("bucket"))
 
 
-@query("a7_consumption_by_dataset", f"""{_S}, g AS (SELECT batch_id, dataset_id, floor(sum(a * 4 / 25e0))::BIGINT AS audio_seconds, sum(len(ids))::BIGINT AS text_tokens FROM s GROUP BY ALL),
+@query("a7_consumption_by_dataset", f"""{_S}, g AS (SELECT batch_id, dataset_id, floor(sum((a + r) * 4) / 25e0)::BIGINT AS audio_seconds, sum(len(ids))::BIGINT AS text_tokens FROM s GROUP BY ALL),
 i AS (SELECT DISTINCT batch_id, unnest([0, 1, 2, 3]) AS dataset_id FROM s) SELECT batch_id, dataset_id, coalesce(audio_seconds, 0) AS audio_seconds, coalesce(text_tokens, 0) AS text_tokens FROM i LEFT JOIN g USING (batch_id, dataset_id)""", "documents")
 def _(d):
-    return L.consumption_by_dataset(_samples(d).select("batch_id", "dataset_id", (F.col("a") * 4).alias("frames"), F.size("ids").alias("text_tokens")), 4)
+    return L.consumption_by_dataset(_samples(d).select("batch_id", "dataset_id", ((F.col("a") + F.col("r")) * 4).alias("frames"), F.size("ids").alias("text_tokens")), 4)
 
 
 @query("f1_tokenized", "SELECT doc_id, array_to_string(list_transform(string_split(text, ' '), lambda w: length(w)), ',') AS ids FROM documents", "documents")

@@ -109,22 +109,23 @@ def _(m, a):
 
 @query("p10_cap_samples", f"SELECT line_no, {_CLASS} AS class FROM raw_lines WHERE line_no <= 100", "raw_lines")
 def _(lines):
-    return V.parsed(lines.where("line_no <= 100")).select("line_no", "class")
+    return V.parsed(V.cap_samples(lines, 100)).select("line_no", "class")
 
 
 @query("j1_manifest_media_join", "SELECT sample_id, path, frames, sample_rate FROM manifest m LEFT JOIN media a ON m.audio = a.path", "manifest", "media")
 def _(m, a):
-    return m.join(a, m["audio"] == a["path"], "left").select("sample_id", "path", "frames", "sample_rate")
+    out = V.manifest_media_join(m, a)
+    return out.select("sample_id", F.col("_m_path").alias("path"), F.col("_m_frames").alias("frames"), F.col("_m_sample_rate").alias("sample_rate"))
 
 
 @query("j2_missing_media", "SELECT sample_id, audio FROM manifest WHERE audio NOT IN (SELECT path FROM media)", "manifest", "media")
 def _(m, a):
-    return m.join(a, m["audio"] == a["path"], "left_anti").select("sample_id", "audio")
+    return V.missing_media(m, a).select("sample_id", "audio")
 
 
 @query("j3_rows_with_ref", "SELECT sample_id, ref_audio FROM manifest WHERE ref_audio IN (SELECT path FROM media)", "manifest", "media")
 def _(m, a):
-    return m.join(a, m["ref_audio"] == a["path"], "left_semi").select("sample_id", "ref_audio")
+    return V.rows_with_ref(m, a).select("sample_id", "ref_audio")
 
 
 _SUMMARY = "SELECT count(*) AS total, count(*) FILTER (valid) AS valid, count(*) FILTER (ref = 'ok') AS with_ref, (SELECT count(*) FROM found WHERE severity = 'error') AS n_errors, (SELECT count(*) FROM found WHERE severity = 'warning') AS n_warnings, (SELECT count(*) FROM found WHERE severity = 'error') = 0 AND count(*) FILTER (valid) > 0 AS is_valid FROM checked"
@@ -164,6 +165,15 @@ def _(m, a):
     return V.report(V.checked(m, a))
 
 
+_TOP = ", r AS (SELECT *, row_number() OVER (PARTITION BY severity ORDER BY sample_id, category) AS k FROM found), z AS (SELECT 'error' AS severity, 20 AS lim UNION ALL SELECT 'warning', 10)\n"
+_FULL = f", s AS ({_SUMMARY}), d AS ({_DURATIONS}), t AS ({_LENGTHS}), x AS (" + " UNION ALL ".join(f"SELECT '{c}' AS item, {c}::DOUBLE AS value FROM {t}" for c, t in [*_ITEMS, ("mean_duration", "d"), ("mean_length", "t")]) + " UNION ALL SELECT 'passed', is_valid::INT::DOUBLE FROM s)" + _TOP + "SELECT 'report' AS section, item, NULL::BIGINT AS sample_id, round(value, 6) AS value FROM x WHERE value IS NOT NULL UNION ALL SELECT severity, category, sample_id, NULL FROM r JOIN z USING (severity) WHERE k <= lim UNION ALL SELECT severity, 'omitted', NULL, (count(*) - any_value(lim))::DOUBLE FROM found JOIN z USING (severity) GROUP BY severity HAVING count(*) > any_value(lim)"
+
+
+@query("a5_full_report", _CHECKED + _FULL, "manifest", "media")
+def _(m, a):
+    return V.full_report(V.checked(m, a))
+
+
 @query("o1_top_findings", _CHECKED + ", r AS (SELECT *, row_number() OVER (PARTITION BY severity ORDER BY sample_id, category) AS k FROM found), z AS (SELECT 'error' AS severity, 20 AS lim UNION ALL SELECT 'warning', 10)\nSELECT sample_id, severity, category, NULL::BIGINT AS omitted FROM r JOIN z USING (severity) WHERE k <= lim UNION ALL SELECT NULL, severity, NULL, count(*) - any_value(lim) FROM found JOIN z USING (severity) GROUP BY severity HAVING count(*) > any_value(lim)", "manifest", "media")
 def _(m, a):
     return V.top_findings(V.findings(V.checked(m, a)))
@@ -219,6 +229,20 @@ def _(lines, a):
     return V.report(V.checked(lines, a))
 
 
+@query("a5_line_full_report", _over_lines("a5_full_report").replace("NOT blank_text)", "text IS NOT NULL AND NOT blank_text)"), "raw_lines", "media")
+def _(lines, a):
+    return V.full_report(V.validate_manifest(lines, a))
+
+
+# Paths under a folder, and the first lines only.
+_UNDER = _LINES.replace("LEFT JOIN media a ON l3.audio = a.path", "LEFT JOIN (SELECT concat('/data/', path) AS path, frames, sample_rate, readable, duration FROM media) a ON concat('/data/', l3.audio) = a.path").replace("raw_lines WHERE ", "raw_lines WHERE line_no <= 1000 AND ").replace("(SELECT DISTINCT path FROM media) r ON l3.ref_audio", "(SELECT DISTINCT concat('/data/', path) AS path FROM media) r ON concat('/data/', l3.ref_audio)")
+
+
+@query("a1_manifest_summary", _UNDER + _SUMMARY, "raw_lines", "media")
+def _(lines, a):
+    return V.summary(V.validate_manifest(lines, a.withColumn("path", F.concat(F.lit("/data/"), "path")), "/data", 1000))
+
+
 @query("o1_line_top_findings", _over_lines("o1_top_findings"), "raw_lines", "media")
 def _(lines, a):
     return V.top_findings(V.findings(V.checked(lines, a)))

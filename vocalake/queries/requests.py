@@ -32,6 +32,16 @@ def _(r):
     return r.select("request_id", F.array_join(R.violations(), ",").alias("broken"))
 
 
+_ADAPTED = "(SELECT *, (steps % 9)::INT AS rank, (steps % 7) / 2e0 AS alpha, (steps % 13) / 10e0 AS dropout FROM requests)"
+
+
+@query("p13_request_findings", "WITH f AS (SELECT DISTINCT prompt_file FROM requests WHERE request_id % 16 < 8) SELECT request_id, concat_ws(',', " + ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in _RULES.items())
+ + f", CASE WHEN {_g('prompt_file')} AND prompt_file NOT IN (SELECT prompt_file FROM f WHERE prompt_file IS NOT NULL) THEN 'prompt_file_missing' END, CASE WHEN NOT (rank > 0 AND alpha > 0 AND dropout BETWEEN 0 AND 1) THEN 'adapter_range' END) AS broken FROM {_ADAPTED}", "requests")
+def _(r):
+    adapted = r.withColumns({"rank": (F.col("steps") % 9).cast("int"), "alpha": (F.col("steps") % 7) / 2, "dropout": (F.col("steps") % 13) / 10})
+    return R.request_findings(adapted, r.where("request_id % 16 < 8").select("prompt_file")).select("request_id", F.array_join("broken", ",").alias("broken"))
+
+
 def _compose(c: str) -> str:
     return f"CASE WHEN {c} <> '' THEN concat('(', {c}, ')', text) ELSE text END"
 
@@ -105,9 +115,9 @@ def _(a):
     return R.attempt_resolution(a)
 
 
-@query("w5_merge_prompt_cache", "SELECT conv_id, turn, md5(string_agg(text, '') OVER (PARTITION BY conv_id ORDER BY turn)) AS prompt_md5, CASE WHEN ref_audio IS NOT NULL THEN 'ref_continuation' ELSE 'continuation' END AS mode FROM dialogue", "conversations")
-def _(c):  # all turns; the SQL's view ends with the eighth, which no given table passes
-    return R.merge_prompt_digests(c.select("conv_id", "turn", "text", F.when(F.col("conv_id") % 3 == 0, "r.wav").alias("ref_audio")))
+@query("w5_merge_prompt_cache", "SELECT conv_id, turn, md5(string_agg(text, '') OVER (PARTITION BY conv_id ORDER BY turn)) AS prompt_md5, CASE WHEN ref_audio IS NOT NULL THEN 'ref_continuation' ELSE 'continuation' END AS mode FROM dialogue", "dialogue")
+def _(turns):
+    return R.merge_prompt_digests(turns)
 
 
 @query("a12_batch_ledger", "SELECT count(*) AS attempted, count(*) FILTER (frames < 100) AS succeeded, count(*) FILTER (frames >= 100) AS failed FROM attempts", "attempts")
@@ -168,3 +178,9 @@ def _(d):
         return [{"text": w, "start": i * 1.0, "end": i + 1.0, "level": "word"} for i, w in enumerate(text.split(" "))]
 
     return A.aligned(d.select(F.col("doc_id").cast("string").alias("audio"), "text"), aligner).select("audio", F.size("items").alias("n_items"), "warning")
+
+
+@query("f3_strict_aligner", "SELECT doc_id::VARCHAR AS audio, len(string_split(text, ' '))::INT AS n_items, NULL::VARCHAR AS warning FROM documents", "documents")
+def _(d):
+    aligner = lambda audio, text: [{"text": w, "start": i * 1.0, "end": i + 1.0, "level": "word"} for i, w in enumerate(text.split(" "))]
+    return A.aligned(d.select(F.col("doc_id").cast("string").alias("audio"), "text"), aligner, strict=True).select("audio", F.size("items").alias("n_items"), "warning")

@@ -26,9 +26,9 @@ def _(f):
     return R.artifact_catalog(f)
 
 
-@query("o2_catalogue_order", f"WITH x AS (WITH {_CAT}) SELECT id, base_model FROM x ORDER BY id DESC LIMIT 25", "files")
+@query("o2_catalogue_order", f"WITH x AS (WITH {_CAT}) SELECT id, base_model FROM x", "files")
 def _(f):
-    return R.artifact_catalog(f).limit(25)
+    return R.artifact_catalog(f)
 
 
 # The whole catalogue, with each row's place in the order.
@@ -94,3 +94,10 @@ def _(m):
     path = shared_path(m.sparkSession)
     m.select(R.metric_line(F.col("split"), F.col("micro_step"), F.array(F.struct("key", "value")))).write.text(path)
     return streams.finished(streams.stream_metrics_tail(m.sparkSession, path))
+
+
+@query("st3_metrics_tail", "SELECT split, step, key, value FROM (SELECT split, micro_step AS step, key, round(value, 6) AS value, row_number() OVER (PARTITION BY split, key ORDER BY micro_step DESC) AS k FROM metrics) WHERE k <= 20", "metrics")
+def _(m):
+    path = shared_path(m.sparkSession)
+    m.select(R.metric_line(F.col("split"), F.col("micro_step"), F.array(F.struct("key", "value")))).write.text(path)
+    return R.metrics_tail(streams.finished(streams.stream_metrics_tail(m.sparkSession, path)), 20)

@@ -1,40 +1,44 @@
-"""Media files: a catalogue read from RIFF headers with byte expressions."""
+"""Media files: a catalogue read from RIFF headers."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _little(b: Column) -> Column:
-    """An unsigned number of little-endian bytes."""
-    return F.conv(F.hex(_reversed(b)), 16, 10).cast("bigint")
-
-
 def _reversed(b: Column) -> Column:
     return F.unhex(F.array_join(F.reverse(F.regexp_extract_all(F.hex(b), F.lit(".."), F.lit(0))), ""))
 
 
-def _chunk(content: Column, name: str) -> Column:
-    """Place (from 1) after a chunk's name: chunks lie at even places after the first twelve bytes, found by walking their sizes."""
-    walk = F.aggregate(
-        F.sequence(F.lit(1), F.lit(8)),
-        F.lit(13).cast("bigint"),
-        lambda at, _: F.when((F.substring(content, at.cast("int"), F.lit(4)) == F.lit(name.encode())) | (at + 8 > F.octet_length(content)), at).otherwise(
-            at + 8 + (lambda n: n + n % 2)(F.coalesce(_little(F.substring(content, (at + 4).cast("int"), F.lit(4))), F.lit(0)))
-        ),
-    )
-    return F.when(F.substring(content, walk.cast("int"), F.lit(4)) == F.lit(name.encode()), walk + 4)
+def _header(content: bytes | None) -> tuple:
+    """frames, sample_rate of a RIFF file: its chunks are walked by their sizes up to the data, however many there are; nulls where that doesn't end well."""
+    rate = align = None
+    if content is None or content[:4] != b"RIFF" or content[8:12] != b"WAVE":
+        return None, None
+    at = 12
+    while at + 8 <= len(content):
+        name, size = content[at : at + 4], int.from_bytes(content[at + 4 : at + 8], "little")
+        if name == b"fmt " and at + 24 <= len(content):
+            rate, align = int.from_bytes(content[at + 12 : at + 16], "little"), int.from_bytes(content[at + 20 : at + 22], "little")
+        if name == b"data":
+            return (min(size, len(content) - at - 8) // align if align else None), rate
+        at += 8 + size + size % 2
+    return None, rate
 
 
 def media_catalog(files: DataFrame) -> DataFrame:
-    """path, bytes, frames, sample_rate, duration, readable of files (path, content): one pass, no audio decoded."""
-    out = files.withColumn("_riff", (F.substring("content", 1, 4) == F.lit(b"RIFF")) & (F.substring("content", 9, 4) == F.lit(b"WAVE")))
-    out = out.withColumn("_f", F.when(F.col("_riff"), _chunk(F.col("content"), "fmt "))).withColumn("_d", F.when(F.col("_riff"), _chunk(F.col("content"), "data")))
-    at = lambda place, n: _little(F.substring("content", place.cast("int"), F.lit(n)))
-    out = out.withColumn("sample_rate", at(F.col("_f") + 8, 4).cast("int")).withColumn("_align", at(F.col("_f") + 16, 2)).withColumn("_size", at(F.col("_d"), 4))
-    out = out.withColumn("frames", F.floor(F.least(F.col("_size"), F.octet_length("content") - F.col("_d") - 3) / F.nullif("_align", F.lit(0))))
-    return out.select("path", F.octet_length("content").cast("bigint").alias("bytes"), "frames", "sample_rate", (F.col("frames") / F.nullif("sample_rate", F.lit(0))).alias("duration"), F.col("frames").isNotNull().alias("readable"))
+    """path, bytes, frames, sample_rate, duration, readable of files (path, content): one pass, no audio decoded. Spark's binary source hands over whole files."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            frames, rates = zip(*map(_header, batch.column("content").to_pylist())) if batch.num_rows else ((), ())
+            yield pa.record_batch([batch.column("path"), batch.column("bytes"), pa.array(frames, pa.int64()), pa.array(rates, pa.int64())], ["path", "bytes", "frames", "sample_rate"])
+
+    out = files.select("path", "content", F.octet_length("content").cast("bigint").alias("bytes")).mapInArrow(run, "path string, bytes bigint, frames bigint, sample_rate bigint")
+    return out.select("path", "bytes", "frames", F.col("sample_rate").cast("int").alias("sample_rate"), (F.col("frames") / F.nullif("sample_rate", F.lit(0))).alias("duration"), F.col("frames").isNotNull().alias("readable"))
 
 
 def read_media_catalog(spark: SparkSession, path: str) -> DataFrame:

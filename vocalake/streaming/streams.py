@@ -60,20 +60,31 @@ def stream_causal_window(stream: DataFrame, weights: list[float], idle: int | No
     return _with_tail(stream, pad, make, "double", "value", idle)
 
 
-def through_stream(df: DataFrame, f: Callable[[DataFrame], DataFrame], key: str = "idx", files: int = 3) -> DataFrame:
-    """f over df as a stream of batches in order of the key, run to its end; the result as a table. How tests and queries run the stream forms."""
-    spark, source = df.sparkSession, shared_path(df.sparkSession)
-    cut = df.agg(F.max(key)).first()[0] or 0
-    for i in range(files):  # a batch each
-        lo, hi = i * (cut + 1) // files, (i + 1) * (cut + 1) // files
-        df.where((F.col(key) >= lo) & (F.col(key) < hi)).coalesce(1).write.mode("append").parquet(source)
-    return finished(f(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(source)))
+def through_stream(df: DataFrame, f: Callable[[DataFrame], DataFrame], key: str = "idx", batches: int = 3) -> DataFrame:
+    """f over df as a stream of batches in order of the key, run to its end; the result as a table. How tests and queries run the stream forms.
+
+    Batches are cut by quantiles of the key, so each has about as many rows; nulls come first. The rows of a batch are written by all tasks, then the stream
+    is run until it has caught up, from where it stopped before.
+    """
+    spark, source, sink, state = df.sparkSession, *(shared_path(df.sparkSession) for _ in range(3))
+    cuts = df.approxQuantile(key, [i / batches for i in range(1, batches)], 0.01)
+    of = sum(((F.col(key) > c).cast("int") for c in cuts), F.lit(0))
+    stream = None
+    for i in range(batches):
+        df.where(F.coalesce(of, F.lit(0)) == i).write.mode("append").parquet(source)
+        stream = stream or f(spark.readStream.schema(df.schema).parquet(source))
+        _caught_up(stream, sink, state)
+    return spark.read.schema(stream.schema).parquet(sink)
+
+
+def _caught_up(stream: DataFrame, sink: str, state: str) -> None:
+    stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
 
 
 def finished(stream: DataFrame) -> DataFrame:
     """What a bounded stream gives, as a table."""
     spark, sink = stream.sparkSession, shared_path(stream.sparkSession)
-    stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", shared_path(spark)).trigger(availableNow=True).start().awaitTermination()
+    _caught_up(stream, sink, shared_path(spark))
     return spark.read.schema(stream.schema).parquet(sink)
 
 

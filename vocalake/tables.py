@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,17 +11,32 @@ from pyspark.sql import functions as F
 
 
 def shared_path(spark: SparkSession) -> str:
-    """A new path in the folder named by spark.checkpoint.dir; a temporary one only where that is unset (local tests)."""
+    """A new path in the folder named by spark.checkpoint.dir. Where that is unset, a temporary one, but only in local mode: no other machine would see it."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-')}")
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+        sc.setCheckpointDir(named or f"file://{tempfile.mkdtemp(prefix='spark-')}")
     return f"{sc._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame) -> DataFrame:
-    path = shared_path(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Writes df as Parquet in the shared folder and reads it again; the shuffles of this write are dropped at its end."""
+    spark, path, cleanup = df.sparkSession, shared_path(df.sparkSession), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup, "false")
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(cleanup, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over as many tasks as can run at once, where it comes in fewer partitions (a small table of one row group); a large one stays as it lies."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
 def numbered(df: DataFrame, *keys: str, name: str = "position") -> DataFrame:
