@@ -1,6 +1,10 @@
 """A corpus pipeline of five stages: each takes the documents that the one before kept, as a table.
 
-`run` writes what each stage returns as Parquet in the shared folder and reads it again for the next one.
+`run` writes what each stage returns as Parquet in the shared folder and reads it again for the next one. All columns go
+through all stages but the last, whatever their names. Defined cases: an empty table stays empty; a text that is null,
+empty or without words fails the quality rules (so later stages get none from `run`; on their own they keep such rows as
+they are); a null id is a document of its own, which no other one is linked with; rows that share an id are judged each
+by its text, but stay or go together in the quality stage; of equal rows one is left by `near_duplicates`.
 """
 
 from __future__ import annotations
@@ -28,8 +32,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the passages of 100 bytes or more that occur earlier; n_chars follows the text."""
-    return run_length_index.deduplicated(docs).withColumn("n_chars", F.length("text").cast("long"))
+    """All documents, without the passages of 100 bytes or more that occur earlier; n_chars, where there is one, follows the text (0 for null)."""
+    out = run_length_index.deduplicated(docs)
+    return out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")) if "n_chars" in docs.columns else out
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
