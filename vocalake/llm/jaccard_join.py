@@ -13,9 +13,9 @@ Steps, each a Spark job whose result is a table:
 4. `joined`: the sets of a cluster of at most `BLOCK` members meet in one task; there, pairs that share a prefix n-gram
    pass the same filters, and each is verified once on whole sets, unless both are known to be connected already. Again
    a forest leaves the task, never all pairs of a group. Larger clusters are dealt by a hash into blocks of about that
-   size, by bands of sizes, of which only neighbours can link. First each block by itself, then a few members of each
-   component so found, which connects what is alike without pairs of blocks; what is still apart after that meets in
-   pairs of blocks, but never two blocks of one component. So no link is lost, and near copies in great numbers cost as
+   size, by bands of sizes, of which only neighbours can link. First each block by itself, and a few members of each,
+   which connects what is alike without pairs of blocks; what is still apart after that meets in pairs of blocks, but
+   never two blocks of one component. So no link is lost, and near copies in great numbers cost as
    many blocks as they fill.
 5. Components of the links, and back to all documents by class. Classes, not ids, are what is linked, so an id may have
    several texts.
@@ -43,7 +43,7 @@ from vocalake.llm.graph import components
 from vocalake.llm.hashing import scrambled, word_hashes
 
 CELLS, CHUNK = 1 << 27, 1 << 16
-BLOCK = 512
+BLOCK, SALTS = 512, 64
 _EDGES = np.arange(16, dtype=np.uint64) << np.uint64(60)
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -255,26 +255,32 @@ def forest(ids: list[int], sets: list[np.ndarray], block: list[int], percent: in
     return out
 
 
-def sets_of(docs: DataFrame, members: DataFrame, n: int, often) -> DataFrame:
-    """s1, grams: the sets (rarest n-gram first) of the given classes (s1, s2, first: an id that has the text). A class may come once from each task."""
+_DEAL = ("c", "i", "j", "own", "known")
+
+
+def sets_of(docs: DataFrame, classes: DataFrame, n: int, often) -> DataFrame:
+    """classes (s1, s2, first: an id that has the text, and more columns) with grams: their sets, rarest n-gram first. A class may come once from each task."""
+    more = [c for c in classes.columns if c not in ("s1", "s2", "first")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: set[tuple] = set()
         for batch in by_parts(batches):
-            rows = []
-            for own, *mark in zip(shingles(texts(batch), n), batch.column("s1").to_pylist(), batch.column("s2").to_pylist()):
-                if mark[0] not in seen and tuple(mark) == _signature(own):  # the id may have other texts too
-                    seen.add(mark[0])
-                    rows.append((mark[0], _ordered(own, often.value).tobytes()))
-            if rows:
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary()))], ["s1", "grams"])
+            keep, grams = [], []
+            for i, (own, row) in enumerate(zip(shingles(texts(batch), n), zip(*(batch.column(c).to_pylist() for c in ("s1", "s2", *more))))):
+                if row not in seen and row[:2] == _signature(own):  # the id may have other texts too
+                    seen.add(row)
+                    keep.append(i)
+                    grams.append(_ordered(own, often.value).tobytes())
+            if keep:
+                yield pa.record_batch([*(batch.column(c).take(pa.array(keep)) for c in ("s1", *more)), pa.array(grams, pa.binary())], ["s1", *more, "grams"])
 
-    asked = docs.select("doc_id", "text").join(members.select(F.col("first").alias("doc_id"), "s1", "s2"), "doc_id")
-    return asked.mapInArrow(run, "s1 bigint, grams binary")
+    asked = docs.select("doc_id", "text").join(classes.withColumnRenamed("first", "doc_id").hint("merge"), "doc_id")
+    kinds = dict(classes.dtypes)
+    return asked.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in ("s1", *more)) + ", grams binary")
 
 
-def joined(sets: DataFrame, deals: DataFrame, percent: int) -> DataFrame:
-    """a, b: links that connect what is linked within each deal. deals: s1, known (its component so far), and c, i, j, own: those of one (c, i, j) meet; where i and j differ, those whose own is i with those whose own is j."""
+def joined(dealt: DataFrame, percent: int) -> DataFrame:
+    """a, b: links that connect what is linked within each deal. dealt: s1, grams, known (its component so far), and c, i, j, own: those of one (c, i, j) meet; where i and j differ, those whose own is i with those whose own is j."""
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows = None, []
@@ -295,54 +301,59 @@ def joined(sets: DataFrame, deals: DataFrame, percent: int) -> DataFrame:
         yield from done() if rows else ()
 
     keys = ["c", "i", "j"]
-    rows = deals.join(sets, "s1").repartition(*keys).sortWithinPartitions(*keys)
+    rows = dealt.repartition(*keys).sortWithinPartitions(*keys)
     return rows.select(*keys, "s1", "grams", "own", "known").mapInArrow(join, "a bigint, b bigint")
 
 
-def _blocks(members: DataFrame, *keys: str) -> DataFrame:
-    """members with own: a block of about `BLOCK` of those that agree in the keys, by a hash of the set."""
-    counts = members.groupBy(*keys).agg(F.count("*").alias("_n"))
-    block = F.pmod(F.xxhash64("s1"), F.ceil(F.col("_n") / BLOCK))
-    return members.join(counts, [*keys]).withColumn("own", F.xxhash64(*keys, block)).drop("_n")
+def _counted(rows: DataFrame, *keys: str) -> DataFrame:
+    """rows (with s1) with blocks: how many of `BLOCK` the rows that agree in the keys fill. Only large groups have a row to be joined, `SALTS` times, so their members are in as many tasks."""
+    counts = rows.groupBy(*keys).agg(F.ceil(F.count("*") / BLOCK).alias("blocks")).where("blocks > 1")
+    counts = counts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("s1"), F.lit(SALTS)))
+    return salted.join(counts, [*keys, "_salt"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).drop("_salt")
+
+
+def _blocks(rows: DataFrame, *keys: str) -> DataFrame:
+    """rows with own: a block of about `BLOCK` of those that agree in the keys, by a hash of the set."""
+    return _counted(rows, *keys).withColumn("own", F.xxhash64(*keys, F.pmod(F.xxhash64("s1", F.lit("block")), F.col("blocks")))).drop("blocks")
 
 
-def _labelled(members: DataFrame, found: DataFrame) -> DataFrame:
-    """members with known: their components by what is found so far."""
-    return members.join(found.select(F.col("node").alias("s1"), F.col("component").alias("_c")), "s1", "left").withColumn("known", F.coalesce("_c", "s1")).drop("_c")
+def _labelled(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """rows with known: their components by what is found so far."""
+    return rows.join(found.select(F.col("node").alias("s1"), F.col("component").alias("_c")), "s1", "left").withColumn("known", F.coalesce("_c", "s1")).drop("_c")
 
 
 def links(docs: DataFrame, members: DataFrame, n: int, percent: int, often) -> DataFrame:
     """node, component of the classes that links connect. members: s1, s2, first (an id), n_shingles, cluster."""
-    sets = stored(sets_of(docs, members, n, often))
     # Sizes that link have a ratio of percent/100 at least: bands a little wider than that, so only neighbours can.
     width = max(math.log(100 / percent), 1e-9) * 1.000001
-    sizes = members.groupBy("cluster").agg(F.count("*").alias("_size"))
-    placed = members.join(sizes, "cluster").select("s1", "cluster", F.floor(F.log("n_shingles") / width).alias("band"), (F.col("_size") > BLOCK).alias("large"), F.col("s1").alias("known"))
-    placed = stored(placed)
-    small, large = placed.where("not large"), placed.where("large")
+    placed = stored(_counted(members, "cluster").withColumn("band", F.floor(F.log("n_shingles") / width)).withColumn("known", F.col("s1")))
     zero = F.lit(0).cast("bigint")
-    deals = small.select("s1", F.col("cluster").alias("c"), zero.alias("i"), zero.alias("j"), zero.alias("own"), "known")
-    alone = lambda rows: rows.select("s1", F.col("cluster").alias("c"), F.col("own").alias("i"), F.col("own").alias("j"), "own", "known")
+    whole = lambda rows, own: rows.withColumns({"c": F.col("cluster"), "i": own, "j": own, "own": own})
+    small, large = whole(placed.where("blocks = 1"), zero).select("s1", "s2", "first", *_DEAL), placed.where("blocks > 1").drop("blocks")
     if large.isEmpty():
-        return components(stored(joined(sets, deals, percent)))
+        return components(joined(sets_of(docs, small, n, often), percent))
+    sets = stored(sets_of(docs, large.select("s1", "s2", "first"), n, often))
     blocked = stored(_blocks(large, "cluster", "band"))
-    edges = stored(joined(sets, deals.unionByName(alone(blocked)), percent))
-    now = _labelled(blocked, components(edges))
-    # A few members of each component of each block, over all bands.
-    few = now.groupBy("cluster", "own", "known").agg(F.min("s1").alias("a"), F.max("s1").alias("b")).select("cluster", "known", F.explode(F.array_distinct(F.array("a", "b"))).alias("s1"))
-    edges = stored(edges.unionAll(joined(sets, alone(_blocks(few, "cluster")), percent)))
+    # Each block by itself; and a few members of each, over all bands.
+    few = blocked.groupBy("cluster", "own").agg(F.array_distinct(F.array(F.min("s1"), F.max("s1"), F.min_by("s1", F.xxhash64("s1")), F.max_by("s1", F.xxhash64("s1")))).alias("s1"))
+    few = _blocks(few.select("cluster", F.explode("s1").alias("s1")), "cluster").withColumn("known", F.col("s1"))
+    deals = whole(blocked, F.col("own")).select("s1", *_DEAL).unionByName(whole(few, F.col("own")).select("s1", *_DEAL))
+    edges = stored(joined(sets_of(docs, small, n, often).unionByName(sets.join(deals, "s1")), percent))
     # What is still apart: blocks of one component each where it fills one, of several otherwise.
     now = stored(_labelled(large.drop("known"), components(edges)))
-    apart = now.join(now.groupBy("cluster").agg(F.min("known").alias("_a"), F.max("known").alias("_b")).where("_a <> _b").select("cluster"), "cluster", "left_semi")
-    share = apart.groupBy("cluster", "band", "known").agg((F.count("*") >= BLOCK).alias("_fills"))
-    apart = apart.join(share, ["cluster", "band", "known"]).withColumn("of", F.when(F.col("_fills"), F.col("known")).otherwise(0))
+    apart = now.groupBy("cluster").agg(F.min("known").alias("_a"), F.max("known").alias("_b")).where("_a <> _b").select("cluster")
+    apart = stored(_counted(now.join(apart, "cluster", "left_semi"), "cluster", "band", "known"))
+    if apart.isEmpty():
+        return components(edges)
+    apart = apart.withColumn("of", F.when(F.col("blocks") > 1, F.col("known")).otherwise(0)).drop("blocks")
     apart = stored(_blocks(apart, "cluster", "band", "of"))
     spans = apart.select("cluster", "band", "of", "own").distinct()
     other = spans.select("cluster", *[F.col(c).alias(c + "2") for c in ("band", "of", "own")])
     pairs = spans.join(other, "cluster").where("(band2 = band and own <= own2) or band2 = band + 1").where("of = 0 or of2 = 0 or of <> of2")
     deals = pairs.select("cluster", F.col("own").alias("i"), F.col("own2").alias("j"), F.explode(F.array_distinct(F.array("own", "own2"))).alias("own"))
-    deals = apart.select("s1", "cluster", "own", "known").join(deals, ["cluster", "own"]).select("s1", F.col("cluster").alias("c"), "i", "j", "own", "known")
-    return components(stored(edges.unionAll(joined(sets, deals, percent))))
+    deals = apart.select("s1", "cluster", "own", "known").join(deals, ["cluster", "own"]).withColumnRenamed("cluster", "c")
+    return components(edges.unionAll(joined(sets.join(deals, "s1"), percent)))
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -351,7 +362,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     known = stored(profiles(docs, n))
     classes = stored(known.where("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("n_shingles")))
     often = spark.sparkContext.broadcast(frequencies(docs, n))
-    near = stored(components(stored(candidates(prefixes(docs, n, percent, often), percent))))
+    near = components(candidates(prefixes(docs, n, percent, often), percent))
     members = stored(classes.join(near.select(F.col("node").alias("s1"), F.col("component").alias("cluster")), "s1"))
     found = links(docs, members, n, percent, often)
     labelled = stored(_labelled(classes, found))
