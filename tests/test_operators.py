@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from vocalake import tables
 from vocalake.functions.text import split_utterances
 from vocalake.operators import alignment, lengths, requests, runs, signal, validation
 from vocalake.sources.manifest import read_manifest, read_text_lines
@@ -212,3 +213,14 @@ def test_rules_that_need_more_than_the_request(spark):
     files = spark.createDataFrame([("other.txt",)], "prompt_file string")
     got = {x["request_id"]: x["broken"] for x in requests.request_findings(r, files).collect()}
     assert got == {1: ["prompt_text_without_audio", "prompt_file_missing", "adapter_range"], 2: []}
+
+
+def test_windows_cross_blocks(spark, monkeypatch):
+    rows = spark.range(97).select((F.col("id") % 2).alias("clip_id"), F.floor(F.col("id") / 2).alias("idx"), (F.col("id") * 0.5).alias("value")).repartition(5)
+    own = tables.in_blocks
+    monkeypatch.setattr(signal, "in_blocks", lambda df, *keys, before: own(df, *keys, before=before, size=7))
+    values = {c: [v / 2 for v in range(c, 97, 2)] for c in (0, 1)}
+    got = {(r["clip_id"], r["idx"]): r["context"] for r in signal.context_tail(rows, 4).collect()}
+    assert got == {(c, i): values[c][max(0, i - 3) : i + 1] for c in values for i in range(len(values[c]))}
+    sums = {(r["clip_id"], r["idx"]): r["value"] for r in signal.causal_window(rows, [0.25, 0.5, 1.0]).collect()}
+    assert sums == {(c, i): sum(w * x for w, x in zip([0.25, 0.5, 1.0], ([0, 0] + values[c])[i : i + 3])) for c in values for i in range(len(values[c]))}

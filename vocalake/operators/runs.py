@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vocalake.tables import numbered
+from vocalake.tables import in_blocks, numbered
 
 
 def metric_line(split: Column, step: Column, values: Column, interval: Column | None = None) -> Column:
@@ -50,8 +50,10 @@ def epoch_progress(df: DataFrame, step: int, accum: int, batch: int, world: int)
 
 def log_interval(log: DataFrame) -> DataFrame:
     """log (run, ts) with the seconds since the run's entry before."""
-    w = Window.partitionBy("run").orderBy("ts", "entry")
-    return log.withColumn("seconds", F.col("ts").cast("timestamp").cast("double") - F.lag("ts").over(w).cast("timestamp").cast("double"))
+    rows, w = in_blocks(log, "run", "ts", "entry", before=1)
+    last = F.when(F.lag("run").over(w).eqNullSafe(F.col("run")), F.lag("ts").over(w))
+    rows = rows.withColumn("_last", last).where("_own")
+    return rows.withColumn("seconds", F.col("ts").cast("timestamp").cast("double") - F.col("_last").cast("timestamp").cast("double")).select(*log.columns, "seconds")
 
 
 def metrics_tail(metrics: DataFrame, n: int) -> DataFrame:

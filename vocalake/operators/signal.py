@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vocalake.tables import in_blocks
+
 
 def mixdown(signal: DataFrame) -> DataFrame:
     return signal.groupBy("clip_id", "idx").agg(F.avg("value").alias("value"))
@@ -55,15 +57,18 @@ def silence_trim(signal: DataFrame, rate: int, max_silence_ms: int = 200, top_db
 
 def context_tail(signal: DataFrame, k: int) -> DataFrame:
     """Each item with those before it, the last k in all."""
-    w = Window.partitionBy("clip_id").orderBy("idx").rowsBetween(-(k - 1), 0)
-    return signal.select("clip_id", "idx", F.collect_list("value").over(w).alias("context"))
+    rows, w = in_blocks(signal.select("clip_id", "idx", "value"), "clip_id", "idx", before=k - 1)
+    rows = rows.withColumn("_x", F.collect_list(F.struct("clip_id", "value")).over(w.rowsBetween(-(k - 1), 0))).where("_own")
+    return rows.select("clip_id", "idx", F.transform(F.filter("_x", lambda x: x["clip_id"].eqNullSafe(F.col("clip_id"))), lambda x: x["value"]).alias("context"))
 
 
 def causal_window(signal: DataFrame, weights: list[float]) -> DataFrame:
     """Weighted sum of each item and those before it, the last weight for the item itself, zeros before the first."""
-    w = Window.partitionBy("clip_id").orderBy("idx")
-    past = [F.coalesce(F.lag("value", len(weights) - 1 - i).over(w), F.lit(0.0)) * x for i, x in enumerate(weights[:-1])]
+    rows, w = in_blocks(signal.select("clip_id", "idx", "value"), "clip_id", "idx", before=len(weights) - 1)
+    ago = [len(weights) - 1 - i for i in range(len(weights) - 1)]
+    same = lambda n: F.lag("clip_id", n).over(w).eqNullSafe(F.col("clip_id"))
+    rows = rows.select("*", *[F.when(same(n), F.lag("value", n).over(w)).alias(f"_v{n}") for n in ago]).where("_own")
     total = F.lit(0.0)
-    for x in [*past, F.col("value") * weights[-1]]:
+    for x in [*(F.coalesce(f"_v{n}", F.lit(0.0)) * x for n, x in zip(ago, weights)), F.col("value") * weights[-1]]:
         total = total + x
-    return signal.select("clip_id", "idx", total.alias("value"))
+    return rows.select("clip_id", "idx", total.alias("value"))

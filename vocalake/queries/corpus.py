@@ -11,7 +11,7 @@ from vocalake.operators import lengths as L
 from vocalake.operators import runs as R
 from vocalake.registry import query
 from vocalake.sources.manifest import read_splits
-from vocalake.tables import spread
+from vocalake.tables import numbered, spread, stored
 
 
 def _joined(c, sep=","):
@@ -100,11 +100,9 @@ _TOK = r"regexp_extract_all(text, '[\x{4E00}-\x{9FFF}]+|[A-Za-z\x{C0}-\x{24F}]+|
 v AS (SELECT token, (row_number() OVER (ORDER BY encode(token)))::INT AS id FROM (SELECT token FROM e GROUP BY token HAVING count(*) >= 20)),
 g AS (SELECT doc_id, string_agg(coalesce(id, 0)::VARCHAR, ',' ORDER BY pos) AS ids FROM e LEFT JOIN v USING (token) GROUP BY doc_id) SELECT d.doc_id AS key, coalesce(ids, '') AS ids FROM documents d LEFT JOIN g USING (doc_id)""", "documents")
 def _(d):
-    from vocalake.tables import numbered
-
     tokens = spread(d).select(F.col("doc_id").alias("key"), base_tokens(F.col("text")).alias("tokens"))
     vocab = tokens.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where("n >= 20")
-    vocab = numbered(vocab.select("token"), "token").select("token", (F.col("position") + 1).cast("int").alias("id"))
+    vocab = numbered(stored(vocab.select("token")), "token").select("token", (F.col("position") + 1).cast("int").alias("id"))
     return L.vocab_encode(tokens, vocab).select("key", _joined(F.col("ids")).alias("ids"))
 
 

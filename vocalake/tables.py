@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -52,6 +52,20 @@ def numbered(df: DataFrame, *keys: str, name: str = "position") -> DataFrame:
     return ranged.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_before") + F.col("_row")).drop("_part", "_row", "_before")
 
 
+def in_blocks(df: DataFrame, *keys: str, before: int, size: int = 100_000) -> tuple[DataFrame, WindowSpec]:
+    """df in the order of the keys (which must tell rows apart), and a window over it that reaches `before` rows back.
+
+    Rows are numbered and cut into blocks of `size`; the last rows of a block are in the next one too, with _own false, so a
+    window's task has size + before rows at most, however many rows share a key. Rows with _own are those of df.
+    """
+    size = max(size, before + 1)
+    block = F.floor(F.col("_at") / size)
+    late = F.col("_at") % size >= size - before
+    rows = numbered(df, *keys, name="_at").withColumn("_home", block)
+    rows = rows.withColumn("_block", F.explode(F.when(late, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))))
+    return rows.withColumn("_own", F.col("_block") == F.col("_home")).drop("_home"), Window.partitionBy("_block").orderBy("_at")
+
+
 def upper_median(df: DataFrame, column: str) -> DataFrame:
     """median: the value at place n div 2 of the sorted values (nulls left out); null without any.
 
