@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from vocalake import tables
 from vocalake.functions.text import split_utterances
 from vocalake.operators import alignment, lengths, requests, runs, signal, validation
-from vocalake.sources.manifest import read_manifest, read_text_lines
+from vocalake.sources.manifest import manifest_error, read_manifest, read_text_lines
 from vocalake.sources.media import media_catalog, read_media_catalog
 from vocalake.streaming import streams
 
@@ -224,3 +224,9 @@ def test_windows_cross_blocks(spark, monkeypatch):
     assert got == {(c, i): values[c][max(0, i - 3) : i + 1] for c in values for i in range(len(values[c]))}
     sums = {(r["clip_id"], r["idx"]): r["value"] for r in signal.causal_window(rows, [0.25, 0.5, 1.0]).collect()}
     assert sums == {(c, i): sum(w * x for w, x in zip([0.25, 0.5, 1.0], ([0, 0] + values[c])[i : i + 3])) for c in values for i in range(len(values[c]))}
+
+
+def test_manifests_that_are_absent_or_empty(spark, tmp_path):
+    (tmp_path / "e.jsonl").write_text("")
+    (tmp_path / "m.jsonl").write_text("{}\n")
+    assert [manifest_error(spark, str(tmp_path / x)) for x in ("no.jsonl", "e.jsonl", "m.jsonl")] == ["not_found", "empty", None]

@@ -15,10 +15,8 @@ def _re(x: str, pattern: str, to: str = "") -> str:
     return f"regexp_replace({x}, '{pattern}', '{to}', 'g')"
 
 
-_STEPS = {
-    "strip_code_fences": lambda x: _re(x, "(?s)```.*?```"), "strip_inline_code": lambda x: _re(x, "`[^`]*`"), "strip_images": lambda x: _re(x, r"!\[[^\]]*\]\([^\)]+\)"),
-    "unlink": lambda x: _re(x, r"\[([^\]]+)\]\([^\)]+\)", r"\1"), "strip_bullets": lambda x: _re(x, f"(?m)^({S}*)-{S}+", r"\1"), "strip_tags": lambda x: _re(x, "<[^>]+>"), "strip_headings": lambda x: _re(x, f"(?m)^#{{1,6}}{S}*"),
-}
+# The steps' patterns as DuckDB's engine writes them.
+_STEPS = {name: lambda x, p=pattern.replace("(?md)", "(?m)"), to=to.replace("$", "\\"): _re(x, p, to) for name, (pattern, to) in T.MARKDOWN.items()}
 
 
 def _strip(x: str) -> str:

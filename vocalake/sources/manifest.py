@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +27,16 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return numbered_lines(spark, path).where(strip(F.col("raw")) != "")
 
 
+def manifest_error(spark: SparkSession, path: str) -> str | None:
+    """Why there is nothing to validate at a path: not_found, or empty (no line at all); null if there is."""
+    try:
+        return "empty" if spark.read.text(path).isEmpty() else None
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return "not_found"
+
+
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
     """i (from 1 over kept lines), text: lines stripped, without blank ones."""
     kept = spark.read.text(path).select(strip(F.col("value")).alias("text"), F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_id")).where("text <> ''")
