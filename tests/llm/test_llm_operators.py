@@ -578,3 +578,12 @@ def test_a_repeated_letter_is_few_rows(spark):
     gone = _removals(rows)
     for r in run_length_index.with_removals(docs, "doc_id").collect():
         assert sum(b - a for a, b in run_length_index.spans(r["removed"])) == gone[r["doc_id"]].sum()
+
+
+def test_toxicity_of_clashing_and_empty_tables(spark, clashing, empty):
+    docs, labels = _labelled(spark, 400)
+    more = docs.select("*", *[F.lit("x").alias(c) for c in ("label", "votes", "tokens", "_first", "score")])
+    kept = weak_toxicity.clean(more, labels)
+    assert kept.columns == more.columns and {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in weak_toxicity.judge(docs, labels).where("score < 0.5").collect()}
+    assert weak_toxicity.clean(empty, labels).count() == 0 and weak_toxicity.judge(empty, labels.limit(0)).count() == 0
+    assert weak_toxicity.clean(clashing, labels).columns == clashing.columns

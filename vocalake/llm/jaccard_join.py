@@ -330,16 +330,17 @@ def links(docs: DataFrame, members: DataFrame, n: int, percent: int, often) -> D
     placed = stored(_counted(members, "cluster").withColumn("band", F.floor(F.log("n_shingles") / width)).withColumn("known", F.col("s1")))
     zero = F.lit(0).cast("bigint")
     whole = lambda rows, own: rows.withColumns({"c": F.col("cluster"), "i": own, "j": own, "own": own})
-    small, large = whole(placed.where("blocks = 1"), zero).select("s1", "s2", "first", *_DEAL), placed.where("blocks > 1").drop("blocks")
+    sets = stored(sets_of(docs, placed.select("s1", "s2", "first", "cluster", "blocks", "known"), n, often))
+    small, large = whole(sets.where("blocks = 1"), zero).select("s1", *_DEAL, "grams"), placed.where("blocks > 1").drop("blocks")
     if large.isEmpty():
-        return components(joined(sets_of(docs, small, n, often), percent))
-    sets = stored(sets_of(docs, large.select("s1", "s2", "first"), n, often))
+        return components(joined(small, percent))
+    sets = sets.where("blocks > 1").select("s1", "grams")
     blocked = stored(_blocks(large, "cluster", "band"))
     # Each block by itself; and a few members of each, over all bands.
     few = blocked.groupBy("cluster", "own").agg(F.array_distinct(F.array(F.min("s1"), F.max("s1"), F.min_by("s1", F.xxhash64("s1")), F.max_by("s1", F.xxhash64("s1")))).alias("s1"))
     few = _blocks(few.select("cluster", F.explode("s1").alias("s1")), "cluster").withColumn("known", F.col("s1"))
     deals = whole(blocked, F.col("own")).select("s1", *_DEAL).unionByName(whole(few, F.col("own")).select("s1", *_DEAL))
-    edges = stored(joined(sets_of(docs, small, n, often).unionByName(sets.join(deals, "s1")), percent))
+    edges = stored(joined(small.unionByName(sets.join(deals, "s1")), percent))
     # What is still apart: blocks of one component each where it fills one, of several otherwise.
     now = stored(_labelled(large.drop("known"), components(edges)))
     apart = now.groupBy("cluster").agg(F.min("known").alias("_a"), F.max("known").alias("_b")).where("_a <> _b").select("cluster")
