@@ -66,6 +66,41 @@ def groups(batches: Iterator[pa.RecordBatch], names: list[str], least: int, weig
             yield rows
 
 
+def pieces(batches: Iterator[pa.RecordBatch], names: list[str], most: int) -> Iterator[tuple[list[np.ndarray], bool]]:
+    """As `groups`, about `most` rows at a time, but a group of more rows than that comes in pieces, which are marked."""
+    held: list[np.ndarray] | None = None
+    large = None
+
+    def out(rows: list[np.ndarray], last: bool):
+        nonlocal held, large
+        if large is not None:
+            end = int(np.searchsorted(rows[0], large, "right"))
+            if end:
+                yield [c[:end] for c in rows], True
+            rows = [c[end:] for c in rows]
+            large = large if not len(rows[0]) else None
+        cut = len(rows[0]) if last else int(np.searchsorted(rows[0], rows[0][-1], "left")) if len(rows[0]) else 0
+        if cut:
+            yield [c[:cut] for c in rows], False
+        held = [c[cut:] for c in rows]
+        if len(held[0]) > most:
+            large = held[0][0]
+            yield held, True
+            held = [c[:0] for c in held]
+
+    waiting: list[list[np.ndarray]] = []
+    total = 0
+    for batch in batches:
+        if batch.num_rows:
+            waiting.append([batch.column(c).to_numpy(zero_copy_only=False) for c in names])
+            total += batch.num_rows
+        if total >= most:
+            yield from out([np.concatenate(c) for c in zip(*([held] if held else []), *waiting)], False)
+            waiting, total = [], 0
+    if held or waiting:
+        yield from out([np.concatenate(c) for c in zip(*([held] if held else []), *waiting)], True)
+
+
 class Memo(dict):
     """A dict that fills itself by `make` and starts anew when it holds `most` entries; only a cache, results never depend on it."""
 

@@ -38,12 +38,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vocalake.llm.common import by_parts, groups, stored, table, texts
+from vocalake.llm.common import by_parts, pieces, stored, table, texts
 from vocalake.llm.graph import components
 from vocalake.llm.hashing import scrambled, word_hashes
 
 CELLS, CHUNK = 1 << 27, 1 << 16
-BLOCK, SALTS = 512, 64
+BLOCK, SALTS, LIST = 512, 64, 100_000
 _EDGES = np.arange(16, dtype=np.uint64) << np.uint64(60)
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -169,12 +169,32 @@ def prefixes(docs: DataFrame, n: int, percent: int, often) -> DataFrame:
     return docs.select("text").mapInArrow(run, "gram bigint, s1 bigint, size int, place int, r1 bigint, r2 bigint")
 
 
+def _width(percent: int) -> float:
+    """Of bands of sizes on a logarithmic scale: sizes that link have a ratio of percent/100 at least, and bands are a little wider than that, so only neighbours can."""
+    return max(math.log(100 / percent), 1e-9) * 1.000001
+
+
 def candidates(prefix: DataFrame, percent: int) -> DataFrame:
-    """a, b (values of s1): within each n-gram's list, a forest of the pairs that pass the filters."""
-    names = ["gram", "s1", "size", "place", "r1", "r2"]
+    """a, b (values of s1): within each n-gram's list, a forest of the pairs that pass the filters.
+
+    A list of more than `LIST` sets isn't held: there, sets of one band of sizes, and of neighbouring ones, are united as they
+    come. That may unite more than can link, never less.
+    """
+    names, most, width = ["gram", "s1", "size", "place", "r1", "r2"], LIST, _width(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for gram, s1, size, place, r1, r2 in groups(batches, names, 100_000, lambda c: len(c[0])):
+        of, first = None, {}
+        for (gram, s1, size, place, r1, r2), large in pieces(batches, names, most):
+            if large:
+                if gram[0] != of:
+                    of, first = gram[0], {}
+                bands = np.floor(np.log(size) / width).astype(np.int64)
+                kinds, at, inverse = np.unique(bands, return_index=True, return_inverse=True)
+                heads = np.array([first.setdefault(b, s1[i]) for b, i in zip(kinds.tolist(), at.tolist())])
+                near = [(x, first[b + 1]) for b, x in first.items() if b + 1 in first]
+                ends = [np.concatenate([x, np.array(y, np.int64)]) for x, y in zip((s1, heads[inverse]), zip(*near) if near else ((), ()))]
+                yield pa.record_batch([pa.array(x) for x in ends], ["a", "b"])
+                continue
             order = np.lexsort((s1, size, gram))
             gram, s1, size, place, r1, r2 = (c[order] for c in (gram, s1, size, place, r1, r2))
             size, place = size.astype(np.int64), place.astype(np.int64)
@@ -325,8 +345,7 @@ def _labelled(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, members: DataFrame, n: int, percent: int, often) -> DataFrame:
     """node, component of the classes that links connect. members: s1, s2, first (an id), n_shingles, cluster."""
-    # Sizes that link have a ratio of percent/100 at least: bands a little wider than that, so only neighbours can.
-    width = max(math.log(100 / percent), 1e-9) * 1.000001
+    width = _width(percent)
     placed = stored(_counted(members, "cluster").withColumn("band", F.floor(F.log("n_shingles") / width)).withColumn("known", F.col("s1")))
     zero = F.lit(0).cast("bigint")
     whole = lambda rows, own: rows.withColumns({"c": F.col("cluster"), "i": own, "j": own, "own": own})

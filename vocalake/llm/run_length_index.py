@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from vocalake.llm.common import by_parts, groups, stored, table
+from vocalake.llm.common import by_parts, groups, pieces, stored, table
 
 LENGTH, GRAM = 100, 32
 #: Bytes of text in one numpy pass, of strings in one index, strings between two looks for repeats in a task.
@@ -154,38 +154,7 @@ def strings(docs: DataFrame) -> DataFrame:
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[list[np.ndarray], bool]]:
-    """As `groups`, but a group of more than ROWS rows comes in pieces, which are marked."""
-    held: list[np.ndarray] | None = None
-    large = None
-
-    def out(rows: list[np.ndarray], last: bool):
-        nonlocal held, large
-        if large is not None:
-            end = int(np.searchsorted(rows[0], large, "right"))
-            if end:
-                yield [c[:end] for c in rows], True
-            rows = [c[end:] for c in rows]
-            large = large if not len(rows[0]) else None
-        cut = len(rows[0]) if last else int(np.searchsorted(rows[0], rows[0][-1], "left")) if len(rows[0]) else 0
-        if cut:
-            yield [c[:cut] for c in rows], False
-        held = [c[cut:] for c in rows]
-        if len(held[0]) > ROWS:
-            large = held[0][0]
-            yield held, True
-            held = [c[:0] for c in held]
-
-    waiting: list[list[np.ndarray]] = []
-    total = 0
-    for batch in batches:
-        if batch.num_rows:
-            waiting.append([batch.column(c).to_numpy(zero_copy_only=False) for c in names])
-            total += batch.num_rows
-        if total >= ROWS:
-            yield from out([np.concatenate(c) for c in zip(*([held] if held else []), *waiting)], False)
-            waiting, total = [], 0
-    if held or waiting:
-        yield from out([np.concatenate(c) for c in zip(*([held] if held else []), *waiting)], True)
+    return pieces(batches, names, ROWS)
 
 
 def sorted_out(found: DataFrame) -> DataFrame:
