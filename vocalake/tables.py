@@ -34,7 +34,7 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """df over as many tasks as can run at once, where it comes in fewer partitions (a small table of one row group); a large one stays as it lies."""
+    """df over as many tasks as can run at once, where it comes in fewer partitions (a small table of one row group); a large one stays as it lies. For scans: a plan with shuffles would run to tell its partitions."""
     n = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
