@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vocalake.llm import byte_bpe, fm_quality, jaccard_join, lm_scoring, matroska, packing, quality_rules, run_length_index, url_filter, weak_toxicity
+from vocalake.llm import byte_bpe, fill_middle, fm_quality, jaccard_join, lm_scoring, matroska, packing, quality_rules, resampling, run_length_index, token_counts, url_filter, weak_toxicity
 
 QUERIES = {
     "op1_fm_quality": fm_quality.op1_fm_quality,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_lm_scoring": lm_scoring.op9_lm_scoring,
     "op10_matroska": matroska.op10_matroska,
+    "op11_fill_middle": fill_middle.op11_fill_middle,
+    "op12_resampling": resampling.op12_resampling,
+    "op13_token_counts": token_counts.op13_token_counts,
 }
 
 _JACCARD = r"""
@@ -52,4 +55,4 @@ SELECT d.doc_id, n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS
 """
 
 
-ORACLE_SQL: dict[str, str] = {"op4_quality_rules": _quality(), "op8_jaccard_join": _JACCARD, "op9_lm_scoring": lm_scoring.SQL}
+ORACLE_SQL: dict[str, str] = {"op4_quality_rules": _quality(), "op8_jaccard_join": _JACCARD, "op9_lm_scoring": lm_scoring.SQL, "op11_fill_middle": fill_middle.SQL, "op12_resampling": resampling.SQL}
