@@ -52,9 +52,10 @@ def test_characters_share_a_words_time(spark):
 
 def test_streams_equal_batches(spark):
     rows = spark.range(60).select((F.col("id") % 3).alias("clip_id"), F.floor(F.col("id") / 3).alias("idx"), (F.col("id") * 0.5).alias("value"))
-    got = streams.through_stream(rows, lambda x: streams.stream_causal_window(x, [0.25, 0.5, 0.25], None))
+    timed = rows.withColumn("ts", F.timestamp_seconds(F.col("idx") + 1))
+    got = streams.replayed(timed, lambda x: streams.stream_causal_window(x, [0.25, 0.5, 0.25]), event_time="ts")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, signal.causal_window(rows, [0.25, 0.5, 0.25]).collect()))
-    got = streams.through_stream(rows, lambda x: streams.stream_context_tail(x, 4, None))
+    got = streams.replayed(timed, lambda x: streams.stream_context_tail(x, 4), event_time="ts")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, signal.context_tail(rows, 4).collect()))
 
 
@@ -62,12 +63,12 @@ def test_streamed_validation_and_metrics(spark, tmp_path):
     manifest = spark.createDataFrame([(1, "a", "x.wav", None), (2, " ", "y.wav", "x.wav")], "sample_id bigint, text string, audio string, ref_audio string")
     media = spark.createDataFrame([("x.wav", 100, 16000, True, 1.0)], "path string, frames bigint, sample_rate int, readable boolean, duration double")
     manifest.write.parquet(str(tmp_path / "in"))
-    stream = streams.stream_validate(spark.readStream.schema(manifest.schema).parquet(str(tmp_path / "in")), media)
+    stream = streams.stream_checked(spark.readStream.schema(manifest.schema).parquet(str(tmp_path / "in")), media)
     stream.writeStream.format("memory").queryName("checked").trigger(availableNow=True).start().awaitTermination()
     assert sorted(map(tuple, spark.table("checked").select("sample_id", "media_error", "ref", "valid").collect())) == sorted(map(tuple, validation.checked(manifest, media).select("sample_id", "media_error", "ref", "valid").collect()))
     (tmp_path / "log").mkdir()
     (tmp_path / "log" / "a.txt").write_text("[train] step 3: loss/a: 1.500000, lr: 0.1, log interval: 2.00s\nnoise\n")
-    streams.stream_metrics_tail(spark, str(tmp_path / "log")).writeStream.format("memory").queryName("tail").trigger(availableNow=True).start().awaitTermination()
+    streams.stream_metrics(spark, str(tmp_path / "log")).writeStream.format("memory").queryName("tail").trigger(availableNow=True).start().awaitTermination()
     assert sorted(tuple(r) for r in spark.table("tail").collect()) == [("train", 3, "loss/a", 1.5), ("train", 3, "lr", 0.1)]
 
 
@@ -188,13 +189,13 @@ def test_aligners_by_name_and_strict(spark):
 def test_sidecars_are_written(spark, tmp_path):
     items = spark.createDataFrame([("a.wav", 0, "é", 0.0, 1.0, "segment")], "audio string, pos int, text string, start double, end double, level string")
     alignment.write_sidecars(alignment.alignment_record(items, "stable_ts", "segment"), str(tmp_path / "out"))
-    assert spark.read.json(str(tmp_path / "out")).first()["items"][0]["text"] == "é"
+    assert spark.read.option("multiLine", "true").json(str(tmp_path / "out" / "a.timestamps.json")).first()["items"][0]["text"] == "é"
 
 
 def test_streams_keep_null_keys(spark):
     rows = spark.createDataFrame([(None, "a", "x.wav", None), (1, "b", "y.wav", None), (2, "c", "x.wav", None)], "sample_id bigint, text string, audio string, ref_audio string")
     media = spark.createDataFrame([("x.wav", 100, 16000, True, 1.0)], MEDIA)
-    got = streams.through_stream(rows, lambda x: streams.stream_validate(x, media), "sample_id")
+    got = streams.replayed(rows, lambda x: streams.stream_checked(x, media), "sample_id")
     assert sorted((str(r["sample_id"]), r["valid"]) for r in got.collect()) == [("1", False), ("2", True), ("None", True)]
 
 

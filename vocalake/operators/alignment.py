@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vocalake.functions.text import strip
+from vocalake.operators.requests import sidecar_name
+from vocalake.sources.sidecars import write_files
 
 BACKENDS, LEVELS = ("stable_ts",), ("segment", "word", "char")
 #: Aligners by name: (audio, text) -> items. Users add theirs.
@@ -54,7 +56,16 @@ def sidecar_json(record: DataFrame) -> Column:
 
 
 def write_sidecars(record: DataFrame, path: str) -> None:
-    record.select(sidecar_json(record).alias("value")).write.text(path)
+    """Writes each record beside its audio, as `sidecar_name` says, as indented JSON; relative audio paths are under path.
+
+    Of audios that share a sidecar, the record that sorts last counts. Files are whole or absent, also over failed tasks.
+    """
+
+    @F.pandas_udf("string")
+    def indented(payload: pd.Series) -> pd.Series:
+        return payload.map(lambda x: json.dumps(json.loads(x), ensure_ascii=False, indent=2) + "\n")
+
+    write_files(record.select(sidecar_name(F.col("audio_path")).alias("name"), indented(sidecar_json(record)).alias("payload")), path)
 
 
 def aligned(audio: DataFrame, aligner: str | Callable[[str, str], list[dict]], strict: bool = False) -> DataFrame:

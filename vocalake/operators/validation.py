@@ -43,7 +43,7 @@ def media_path(field: str = "audio") -> Column:
 
 
 def from_lines(lines: DataFrame) -> DataFrame:
-    """lines (line_no, raw) that aren't blank as rows of a manifest: sample_id (the line's number), text, audio, ref_audio, line_errors.
+    """lines (line_no, raw) that aren't blank as rows of a manifest: file (if lines have it), sample_id (the line's number), text, audio, ref_audio, line_errors.
 
     A line that isn't an object or lacks a key stops there: it has its errors (one for each key) and nothing else.
     """
@@ -53,8 +53,9 @@ def from_lines(lines: DataFrame) -> DataFrame:
     rows = rows.withColumn("_e", F.array_compact(F.array(error, missing("text"), missing("audio"))))
     whole = F.size("_e") == 0
     given = lambda c: F.when(whole, F.nullif(media_path(c), F.lit("")))
-    rows = rows.select(F.col("line_no").alias("sample_id"), F.when(whole & text_present(), F.try_variant_get("v", "$.text", "string")).alias("text"), given("audio").alias("audio"), given("ref_audio").alias("ref_audio"), "_e")
-    return rows.select("sample_id", "text", "audio", "ref_audio", F.when((F.size("_e") == 0) & F.col("audio").isNull(), F.array(F.lit("invalid_path"))).otherwise(F.col("_e")).alias("line_errors"))
+    file = [c for c in ("file",) if c in lines.columns]
+    rows = rows.select(*file, F.col("line_no").alias("sample_id"), F.when(whole & text_present(), F.try_variant_get("v", "$.text", "string")).alias("text"), given("audio").alias("audio"), given("ref_audio").alias("ref_audio"), "_e")
+    return rows.select(*file, "sample_id", "text", "audio", "ref_audio", F.when((F.size("_e") == 0) & F.col("audio").isNull(), F.array(F.lit("invalid_path"))).otherwise(F.col("_e")).alias("line_errors"))
 
 
 def resolve_path(path: Column, base: str) -> Column:
@@ -128,12 +129,13 @@ def findings(rows: DataFrame) -> DataFrame:
     return rows.select("sample_id", F.explode(found).alias("f")).select("sample_id", "f.severity", "f.category")
 
 
-def summary(rows: DataFrame) -> DataFrame:
+def summary(rows: DataFrame, *by: str) -> DataFrame:
+    """The counts of a manifest; of each of several, by columns that tell them apart (then also of a stream)."""
     errors = F.count_if(F.col("media_error").isNotNull())
     if "line_errors" in rows.columns:
         errors = errors + F.coalesce(F.sum(F.size("line_errors")), F.lit(0))
     warnings = F.count_if("blank_text") + F.count_if(F.col("band").isin("very_short", "very_long")) + F.count_if(F.col("ref") == "missing")
-    return rows.agg(F.count("*").alias("total"), F.count_if("valid").alias("valid"), F.count_if(F.col("ref") == "ok").alias("with_ref"), errors.alias("n_errors"), warnings.alias("n_warnings")).withColumn("is_valid", (F.col("n_errors") == 0) & (F.col("valid") > 0))
+    return rows.groupBy(*by).agg(F.count("*").alias("total"), F.count_if("valid").alias("valid"), F.count_if(F.col("ref") == "ok").alias("with_ref"), errors.alias("n_errors"), warnings.alias("n_warnings")).withColumn("is_valid", (F.col("n_errors") == 0) & (F.col("valid") > 0))
 
 
 CAPPED = ("media", "blank_text")

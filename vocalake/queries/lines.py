@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vocalake.adapters import oracle
@@ -181,7 +182,7 @@ def _(m, a):
 
 @query("st4_stream_validate", _CHECKED + "SELECT sample_id, media_error, band, blank_text, ref, valid FROM checked", "manifest", "media")
 def _(m, a):
-    out = streams.through_stream(m, lambda rows: streams.stream_validate(rows, a), "sample_id")
+    out = streams.replayed(m, lambda rows: streams.stream_checked(rows, a), "sample_id")
     return out.select("sample_id", "media_error", "band", "blank_text", "ref", "valid")
 
 
@@ -250,5 +251,9 @@ def _(lines, a):
 
 @query("st4_stream_validate_lines", _LINES + "SELECT sample_id, media_error, band, blank_text, ref, valid FROM checked", "raw_lines", "media")
 def _(lines, a):
-    out = streams.through_stream(lines, lambda rows: streams.stream_validate(rows, a), "line_no")
-    return out.select("sample_id", "media_error", "band", "blank_text", "ref", "valid")
+    """The lines as files of a folder, from which the stream numbers them; those of the files before are added afterwards."""
+    spark, path = lines.sparkSession, _written(lines)
+    out = streams.finished(streams.stream_validate(spark, path, a, settle=0)).withColumn("name", F.regexp_extract("file", "[^/]+$", 0))
+    sizes = spark.read.text(path).groupBy(F.col("_metadata.file_name").alias("name")).agg(F.count("*").alias("n"))
+    before = sizes.select("name", F.coalesce(F.sum("n").over(Window.orderBy("name").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))  # a row per file
+    return out.join(F.broadcast(before), "name").select((F.col("before") + F.col("sample_id")).alias("sample_id"), "media_error", "band", "blank_text", "ref", "valid")

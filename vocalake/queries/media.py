@@ -67,9 +67,14 @@ def _(s):
     return S.context_tail(s, 4).select("clip_id", "idx", F.array_join(F.transform("context", lambda x: F.round(x * 1000).cast("bigint").cast("string")), ",").alias("context"))
 
 
+def _timed(s):
+    """Items with the time at which they are heard, 16 a second."""
+    return s.select("clip_id", "idx", F.timestamp_micros((F.col("idx") * 62500).cast("bigint") + 1_000_000).alias("ts"), "value")
+
+
 @query("st1_stream_context_tail", "SELECT clip_id, idx, array_to_string(list_transform(list(value) OVER (PARTITION BY clip_id ORDER BY idx ROWS BETWEEN 3 PRECEDING AND CURRENT ROW), lambda x: (round(x * 1000))::BIGINT::VARCHAR), ',') AS context FROM signal", "signal")
 def _(s):
-    out = streams.through_stream(s.select("clip_id", "idx", "value"), lambda x: streams.stream_context_tail(x, 4, None))
+    out = streams.replayed(_timed(s), lambda x: streams.stream_context_tail(x, 4), event_time="ts")
     return out.select("clip_id", "idx", F.array_join(F.transform("context", lambda x: F.round(x * 1000).cast("bigint").cast("string")), ",").alias("context"))
 
 
@@ -83,7 +88,7 @@ def _(s):
 
 @query("st2_stream_causal_window", _CAUSAL, "signal")
 def _(s):
-    out = streams.through_stream(s.select("clip_id", "idx", "value"), lambda x: streams.stream_causal_window(x, [0.2, 0.3, 0.5], None))
+    out = streams.replayed(_timed(s), lambda x: streams.stream_causal_window(x, [0.2, 0.3, 0.5]), event_time="ts")
     return out.withColumn("value", F.round("value", 9))
 
 

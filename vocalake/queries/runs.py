@@ -93,11 +93,12 @@ def _(k):
 def _(m):
     path = shared_path(m.sparkSession)
     m.select(R.metric_line(F.col("split"), F.col("micro_step"), F.array(F.struct("key", "value")))).write.text(path)
-    return streams.finished(streams.stream_metrics_tail(m.sparkSession, path))
+    return streams.finished(streams.stream_metrics(m.sparkSession, path))
 
 
 @query("st3_metrics_tail", "SELECT split, step, key, value FROM (SELECT split, micro_step AS step, key, round(value, 6) AS value, row_number() OVER (PARTITION BY split, key ORDER BY micro_step DESC) AS k FROM metrics) WHERE k <= 20", "metrics")
 def _(m):
     path = shared_path(m.sparkSession)
     m.select(R.metric_line(F.col("split"), F.col("micro_step"), F.array(F.struct("key", "value")))).write.text(path)
-    return R.metrics_tail(streams.finished(streams.stream_metrics_tail(m.sparkSession, path)), 20)
+    tails = streams.stream_metrics_tail(streams.stream_metrics(m.sparkSession, path, 1), 20)
+    return streams.latest_tail(streams.finished(tails))

@@ -1,48 +1,101 @@
-"""Media files: a catalogue read from RIFF headers."""
+"""Media files: a catalogue read from RIFF headers, without the audio."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from fnmatch import fnmatchcase
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vocalake.sources.listing import list_tree, opened
+
+#: Bytes that are read at once around a chunk's header, and chunks that are walked before the data: a file with more isn't readable.
+WINDOW, MOST_CHUNKS = 512, 4096
+
 
 def _reversed(b: Column) -> Column:
     return F.unhex(F.array_join(F.reverse(F.regexp_extract_all(F.hex(b), F.lit(".."), F.lit(0))), ""))
 
 
-def _header(content: bytes | None) -> tuple:
-    """frames, sample_rate of a RIFF file: its chunks are walked by their sizes up to the data, however many there are; nulls where that doesn't end well."""
-    rate = align = None
-    if content is None or content[:4] != b"RIFF" or content[8:12] != b"WAVE":
+def header(read: Callable[[int, int], bytes], size: int) -> tuple[int | None, int | None]:
+    """frames, sample_rate of a RIFF file of so many bytes: its chunks are walked by their sizes up to the data; nulls where that doesn't end well.
+
+    read(at, n) gives n bytes at a place, fewer at the end. Only headers are read, `WINDOW` bytes at a time.
+    """
+    start, window = 0, b""
+
+    def some(at: int, n: int) -> bytes:
+        nonlocal start, window
+        if not start <= at <= at + n <= start + len(window):
+            start, window = at, read(at, max(n, WINDOW))
+        return window[at - start : at - start + n]
+
+    top = some(0, 12)
+    if top[:4] != b"RIFF" or top[8:12] != b"WAVE":
         return None, None
+    rate = align = None
     at = 12
-    while at + 8 <= len(content):
-        name, size = content[at : at + 4], int.from_bytes(content[at + 4 : at + 8], "little")
-        if name == b"fmt " and at + 24 <= len(content):
-            rate, align = int.from_bytes(content[at + 12 : at + 16], "little"), int.from_bytes(content[at + 20 : at + 22], "little")
+    for _ in range(MOST_CHUNKS):
+        if at + 8 > size:
+            break
+        name, n = (x := some(at, 8))[:4], int.from_bytes(x[4:8], "little")
+        if name == b"fmt " and at + 24 <= size:
+            fmt = some(at + 8, 16)
+            rate, align = int.from_bytes(fmt[4:8], "little"), int.from_bytes(fmt[12:14], "little")
         if name == b"data":
-            return (min(size, len(content) - at - 8) // align if align else None), rate
-        at += 8 + size + size % 2
+            return (min(n, size - at - 8) // align if align else None), rate
+        at += 8 + n + n % 2
     return None, rate
 
 
+def _facts(rows: DataFrame) -> DataFrame:
+    return rows.select("path", "bytes", "frames", F.col("sample_rate").cast("int").alias("sample_rate"), (F.col("frames") / F.nullif("sample_rate", F.lit(0))).alias("duration"), F.col("frames").isNotNull().alias("readable"))
+
+
+_KINDS = "path string, bytes bigint, frames bigint, sample_rate bigint"
+
+
+def _batch(paths: pa.Array, sizes: pa.Array, facts: list[tuple]) -> pa.RecordBatch:
+    frames, rates = zip(*facts) if facts else ((), ())
+    return pa.record_batch([paths, sizes, pa.array(frames, pa.int64()), pa.array(rates, pa.int64())], ["path", "bytes", "frames", "sample_rate"])
+
+
 def media_catalog(files: DataFrame) -> DataFrame:
-    """path, bytes, frames, sample_rate, duration, readable of files (path, content): one pass, no audio decoded. Spark's binary source hands over whole files."""
+    """path, bytes, frames, sample_rate, duration, readable of files that a table holds (path, content)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            frames, rates = zip(*map(_header, batch.column("content").to_pylist())) if batch.num_rows else ((), ())
-            yield pa.record_batch([batch.column("path"), batch.column("bytes"), pa.array(frames, pa.int64()), pa.array(rates, pa.int64())], ["path", "bytes", "frames", "sample_rate"])
+            contents = batch.column("content").to_pylist()
+            yield _batch(batch.column("path"), batch.column("bytes"), [header(lambda at, n, c=c: c[at : at + n], len(c)) if c is not None else (None, None) for c in contents])
+
+    return _facts(files.select("path", "content", F.octet_length("content").cast("bigint").alias("bytes")).mapInArrow(run, _KINDS))
+
 
-    out = files.select("path", "content", F.octet_length("content").cast("bigint").alias("bytes")).mapInArrow(run, "path string, bytes bigint, frames bigint, sample_rate bigint")
-    return out.select("path", "bytes", "frames", F.col("sample_rate").cast("int").alias("sample_rate"), (F.col("frames") / F.nullif("sample_rate", F.lit(0))).alias("duration"), F.col("frames").isNotNull().alias("readable"))
+def read_media_catalog(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """The same of all files under a folder whose place in it fits the pattern (* also over folders): listed by levels, then only headers are read, in as many tasks as there are files.
 
+    path is the folder's with the file's place in it. A file that can't be opened has null facts and isn't readable.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, top = opened(path)
+
+        def facts(place: str, size: int | None) -> tuple[int | None, int | None]:
+            try:
+                with store.open_input_file(f"{top.rstrip('/')}/{place}") as f:
+                    return header(lambda at, n: f.read_at(max(0, min(n, f.size() - at)), at), size if size is not None else f.size())
+            except OSError:
+                return None, None
+
+        for batch in batches:
+            places, sizes = batch.column("place").to_pylist(), batch.column("bytes").to_pylist()
+            own = [i for i, p in enumerate(places) if fnmatchcase(p, pattern)]
+            yield _batch(pa.array([f"{path.rstrip('/')}/{places[i]}" for i in own], pa.string()), pa.array([sizes[i] for i in own], pa.int64()), [facts(places[i], sizes[i]) for i in own])
 
-def read_media_catalog(spark: SparkSession, path: str) -> DataFrame:
-    return media_catalog(spark.read.format("binaryFile").load(path).select("path", "content"))
+    place = F.concat_ws("/", F.nullif("dir", F.lit("")), "name").alias("place")
+    return _facts(list_tree(spark, path).where("not is_dir").select(place, "bytes").repartition("place").mapInArrow(run, _KINDS))
 
 
 def wav_bytes(frames: Column, rate: Column) -> Column:

@@ -1,7 +1,7 @@
 """Keyed state over streams, streamed metrics and validation.
 
-State expires by processing time (`idle` in ms): a key that has been idle for that long starts anew. That is an addition
-of this package; without it, state stays (a stream that is to end by itself needs that: timeouts keep it running). Items of a key must arrive in order of idx, within a batch in any order.
+State is bounded: a key holds its last items, and those that came while the watermark hadn't passed them. State expires
+by event time (`idle`): that is an addition of this package. A key that comes again after that starts anew.
 """
 
 from __future__ import annotations
@@ -14,42 +14,60 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from vocalake.operators.runs import parse_metric_lines
-from vocalake.operators.validation import checked
+from vocalake.operators.validation import checked, from_lines, resolve_path
+from vocalake.sources.arriving import arriving_lines
 from vocalake.tables import shared_path
 
-IDLE = 3_600_000
+#: How late an item may come, and ms of event time after its last item in which a key is forgotten.
+LATE, IDLE = "10 seconds", 3_600_000
 
 
-def _with_tail(stream: DataFrame, keep: int, make: Callable[[list[float], list[float]], list], kind: str, name: str, idle: int | None) -> DataFrame:
-    """Each item with what `make` gives of the key's last `keep` items before the batch and the batch's own."""
+def _with_tail(stream: DataFrame, keep: int, make: Callable[[list[float], list[float]], list], kind: str, name: str, late: str, idle: int) -> DataFrame:
+    """Each item of a stream (clip_id, idx, ts, value) with what `make` gives of the key's last `keep` items and the new ones.
+
+    Items wait until the watermark (the latest ts less `late`) has passed their ts, and are taken in order of idx then, so
+    they may come in any order within that time. ts mustn't fall as idx grows, and is after 1970, where watermarks begin. Items that come later
+    are left out.
+    """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
+        tail, last, *held = state.get if state.exists else ([], 0, [], [], [])
+        rows = list(zip(*map(list, held)))
+        for batch in batches:
+            batch = batch[batch["idx"].notna()]
+            rows += zip(batch["idx"].astype("int64").tolist(), (batch["ts"].astype("datetime64[us]").astype("int64") // 1000).tolist(), batch["value"].tolist())
+        if not rows and not state.exists:
             return
-        rows = pd.concat(list(batches)).sort_values("idx")
-        tail = list(state.get[0]) if state.exists else []
-        values = rows["value"].tolist()
+        passed = state.getCurrentWatermarkMs()
+        rows.sort()
+        ready = [r for r in rows if r[1] <= passed]
+        waiting = [r for r in rows if r[1] > passed]
+        tail, values = list(tail), [r[2] for r in ready]
         out = make(tail, values)
-        state.update(((tail + values)[-keep:] if keep else [],))
-        if idle:
-            state.setTimeoutDuration(idle)
-        yield pd.DataFrame({"clip_id": rows["clip_id"].to_numpy(), "idx": rows["idx"].to_numpy(), name: out})
+        last = max([last, *(r[1] for r in ready)])
+        if not waiting and last + idle <= passed:
+            state.remove()
+        else:
+            state.update(((tail + values)[-keep:] if keep else [], last, *([r[i] for r in waiting] for i in range(3))))
+            state.setTimeoutTimestamp(min(r[1] for r in waiting) if waiting else last + idle)
+        yield pd.DataFrame({"clip_id": pd.Series([key[0]] * len(ready), dtype="object"), "idx": [r[0] for r in ready], name: out})
 
-    return stream.groupBy("clip_id").applyInPandasWithState(step, f"clip_id bigint, idx bigint, {name} {kind}", "tail array<double>", "append", GroupStateTimeout.ProcessingTimeTimeout if idle else GroupStateTimeout.NoTimeout)
+    kept = "tail array<double>, last bigint, idx array<bigint>, at array<bigint>, value array<double>"
+    stream = stream.select("clip_id", "idx", "ts", "value").withWatermark("ts", late)
+    return stream.groupBy("clip_id").applyInPandasWithState(step, f"clip_id {dict(stream.dtypes)['clip_id']}, idx bigint, {name} {kind}", kept, "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def stream_context_tail(stream: DataFrame, k: int, idle: int | None = IDLE) -> DataFrame:
+def stream_context_tail(stream: DataFrame, k: int, late: str = LATE, idle: int = IDLE) -> DataFrame:
     """Each item with the k - 1 before it, as `signal.context_tail` gives."""
 
     def make(tail: list[float], values: list[float]) -> list[list[float]]:
         both = tail + values
         return [both[max(0, i + 1 - k) : i + 1] for i in range(len(tail), len(both))]
 
-    return _with_tail(stream, k - 1, make, "array<double>", "context", idle)
+    return _with_tail(stream, k - 1, make, "array<double>", "context", late, idle)
 
 
-def stream_causal_window(stream: DataFrame, weights: list[float], idle: int | None = IDLE) -> DataFrame:
+def stream_causal_window(stream: DataFrame, weights: list[float], late: str = LATE, idle: int = IDLE) -> DataFrame:
     """A causal filter whose carried tail makes chunks give what the whole signal gives."""
     pad = len(weights) - 1
 
@@ -57,42 +75,85 @@ def stream_causal_window(stream: DataFrame, weights: list[float], idle: int | No
         both = [0.0] * (pad - len(tail)) + tail + values
         return [sum(w * x for w, x in zip(weights, both[i : i + pad + 1])) for i in range(len(values))]
 
-    return _with_tail(stream, pad, make, "double", "value", idle)
+    return _with_tail(stream, pad, make, "double", "value", late, idle)
 
 
-def through_stream(df: DataFrame, f: Callable[[DataFrame], DataFrame], key: str = "idx", batches: int = 3) -> DataFrame:
-    """f over df as a stream of batches in order of the key, run to its end; the result as a table. How tests and queries run the stream forms.
+def replayed(df: DataFrame, f: Callable[[DataFrame], DataFrame], key: str = "idx", batches: int = 3, event_time: str | None = None) -> DataFrame:
+    """f over df as a stream of batches in order of the key, run to its end; the result as a table.
 
-    Batches are cut by quantiles of the key, so each has about as many rows; nulls come first. The rows of a batch are written by all tasks, then the stream
-    is run until it has caught up, from where it stopped before.
+    Batches are cut by quantiles of the key, so each has about as many rows; nulls come first. The rows of a batch are
+    written by all tasks, then the stream is run until it has caught up, from where it stopped before. With the name of
+    an event time, a last row that has nothing but a time far ahead lets the watermark pass all others.
     """
     spark, source, sink, state = df.sparkSession, *(shared_path(df.sparkSession) for _ in range(3))
     cuts = df.approxQuantile(key, [i / batches for i in range(1, batches)], 0.01)
     of = sum(((F.col(key) > c).cast("int") for c in cuts), F.lit(0))
+    parts = [df.where(F.coalesce(of, F.lit(0)) == i) for i in range(batches)]
+    if event_time:
+        parts.append(spark.range(1).select(*[(F.lit("2200-01-01 00:00:00") if c == event_time else F.lit(None)).cast(t).alias(c) for c, t in df.dtypes]))
     stream = None
-    for i in range(batches):
-        df.where(F.coalesce(of, F.lit(0)) == i).write.mode("append").parquet(source)
+    for part in parts:
+        part.write.mode("append").parquet(source)
         stream = stream or f(spark.readStream.schema(df.schema).parquet(source))
-        _caught_up(stream, sink, state)
+        caught_up(stream, sink, state)
     return spark.read.schema(stream.schema).parquet(sink)
 
 
-def _caught_up(stream: DataFrame, sink: str, state: str) -> None:
-    stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+def caught_up(stream: DataFrame, sink: str, state: str) -> list[dict]:
+    """Runs a stream into a folder until it has taken what is there; its progress, batch by batch."""
+    query = stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", state).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return list(query.recentProgress)
 
 
 def finished(stream: DataFrame) -> DataFrame:
     """What a bounded stream gives, as a table."""
     spark, sink = stream.sparkSession, shared_path(stream.sparkSession)
-    _caught_up(stream, sink, shared_path(spark))
+    caught_up(stream, sink, shared_path(spark))
     return spark.read.schema(stream.schema).parquet(sink)
 
 
-def stream_metrics_tail(spark: SparkSession, path: str) -> DataFrame:
-    """The metrics of a growing folder of logs, as a stream of split, step, key, value."""
-    return parse_metric_lines(spark.readStream.text(path))
+def stream_metrics(spark: SparkSession, path: str, files: int = 1000) -> DataFrame:
+    """The metrics of a growing folder of logs, as a stream of split, step, key, value; at most so many files a batch."""
+    return parse_metric_lines(spark.readStream.option("maxFilesPerTrigger", files).text(path))
+
 
+def stream_metrics_tail(metrics: DataFrame, n: int) -> DataFrame:
+    """The last n steps of each split and key of a stream (split, step, key, value), after each batch that had some of it: split, key, version, step, value.
+
+    The state of a key is its n values and a version that grows by one each time, however long the log gets. `latest_tail`
+    picks the last version of each key from what was written.
+    """
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        version, steps, values = state.get if state.exists else (0, [], [])
+        rows = list(zip(steps, values))
+        for batch in batches:
+            rows += zip(batch["step"].tolist(), batch["value"].tolist())
+            rows = sorted(rows, reverse=True)[:n]
+        state.update((version + 1, [r[0] for r in rows], [r[1] for r in rows]))
+        yield pd.DataFrame({"split": key[0], "key": key[1], "version": version + 1, "step": [r[0] for r in rows], "value": [r[1] for r in rows]})
 
-def stream_validate(manifest: DataFrame, media: DataFrame) -> DataFrame:
+    return metrics.groupBy("split", "key").applyInPandasWithState(step, "split string, key string, version bigint, step bigint, value double", "version bigint, steps array<bigint>, values array<double>", "append", GroupStateTimeout.NoTimeout)
+
+
+def latest_tail(tails: DataFrame) -> DataFrame:
+    """split, step, key, value of the last version of each key that `stream_metrics_tail` wrote."""
+    last = tails.groupBy("split", "key").agg(F.max("version").alias("version"))
+    return tails.join(last, ["split", "key", "version"]).select("split", "step", "key", "value")
+
+
+def stream_checked(manifest: DataFrame, media: DataFrame) -> DataFrame:
     """`validation.checked` over a stream of manifest rows or lines (line_no, raw): the media are a static side of the join."""
     return checked(manifest, media)
+
+
+def stream_validate(spark: SparkSession, path: str, media: DataFrame, base: str = "", settle: float = 1) -> DataFrame:
+    """The lines of manifests that arrive in a folder, checked as `validate_manifest` does, with their file; relative paths under base.
+
+    Within a file, sample_id is the line's number. `validation.findings` and `summary` (by file) take this stream, too.
+    """
+    rows = from_lines(arriving_lines(spark, path, settle))
+    if base:
+        rows = rows.withColumns({c: resolve_path(F.col(c), base) for c in ("audio", "ref_audio")})
+    return checked(rows, media)
