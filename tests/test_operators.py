@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vocalake import tables
+from vocalake.functions import nested
 from vocalake.functions.text import split_utterances
 from vocalake.operators import alignment, lengths, requests, runs, signal, validation
 from vocalake.sources.manifest import manifest_error, read_manifest, read_text_lines
@@ -82,7 +83,7 @@ def test_broken_lines_are_errors(spark):
     warnings = [(6, "ref_missing"), (7, "blank_text"), (9, "blank_text")]
     found = validation.findings(rows).collect()
     assert [sorted((r["sample_id"], r["category"]) for r in found if r["severity"] == s) for s in ("error", "warning")] == [errors, warnings]
-    assert validation.summary(rows).first().asDict() == {"total": 8, "valid": 1, "with_ref": 1, "n_errors": 8, "n_warnings": 3, "is_valid": False}
+    assert validation.summary(rows).first().asDict() == {"total": 8, "valid": 1, "with_ref": 1, "n_errors": 8, "n_warnings": 3, "found_errors": 8, "found_warnings": 3, "is_valid": False}
     assert validation.text_length_stats(rows).first()["max_length"] == 3
 
 
@@ -140,11 +141,13 @@ def test_a_manifest_from_lines_to_report(spark):
     lines = spark.createDataFrame(list(enumerate(raw, 1)), "line_no bigint, raw string")
     media = spark.createDataFrame([("/data/x.wav", 100, 16000, True, 1.0)], MEDIA)
     rows = validation.validate_manifest(lines, media, "/data")
-    assert validation.summary(rows).first().asDict() == {"total": 33, "valid": 1, "with_ref": 0, "n_errors": 32, "n_warnings": 30, "is_valid": False}
+    assert validation.summary(rows).first().asDict() == {"total": 33, "valid": 1, "with_ref": 0, "n_errors": 8, "n_warnings": 6, "found_errors": 32, "found_warnings": 30, "is_valid": False}
     capped = validation.findings_capped(validation.findings(rows)).where("more is not null").collect()
     assert sorted((r["category"], r["more"]) for r in capped) == [("blank_text", 25), ("media", 25)]
     full = validation.full_report(rows).collect()
-    assert {(r["section"], r["value"]) for r in full if r["item"] == "omitted"} == {("error", 12.0), ("warning", 20.0)}
+    assert not [r for r in full if r["item"] == "omitted"]
+    assert [(r["item"], r["sample_id"], r["value"]) for r in full if r["section"] == "error"] == [("invalid_json", 2, None), ("missing_key", 3, None), *[("media", i, None) for i in range(4, 9)], ("media", None, 25.0)]
+    assert [(r["item"], r["sample_id"], r["value"]) for r in full if r["section"] == "warning"] == [*[("blank_text", i, None) for i in range(4, 9)], ("blank_text", None, 25.0)]
     assert {r["item"]: r["value"] for r in full if r["section"] == "report"}["mean_duration"] == 1.0
     assert validation.summary(validation.validate_manifest(lines, media, "/data", 2)).first()["total"] == 2
     none = validation.summary(validation.validate_manifest(lines.limit(0), media)).first()
@@ -231,3 +234,79 @@ def test_manifests_that_are_absent_or_empty(spark, tmp_path):
     (tmp_path / "e.jsonl").write_text("")
     (tmp_path / "m.jsonl").write_text("{}\n")
     assert [manifest_error(spark, str(tmp_path / x)) for x in ("no.jsonl", "e.jsonl", "m.jsonl")] == ["not_found", "empty", None]
+
+
+def test_reports_list_in_order_and_count_what_is_left_out(spark):
+    raw = [*['{"text": "a", "audio": "long.wav", "ref_audio": "no.wav"}'] * 8, *["{}"] * 12, '{"text": "", "audio": "gone.wav", "ref_audio": "no.wav"}']
+    lines = spark.createDataFrame(list(enumerate(raw, 1)), "line_no bigint, raw string").repartition(3)
+    media = spark.createDataFrame([("long.wav", 100, 16000, True, 31.0)], MEDIA)
+    found = validation.findings(validation.checked(lines, media))
+    got = validation.top_findings(found).collect()
+    listed = [(r["severity"], r["sample_id"], r["category"]) for r in got if r["omitted"] is None]
+    assert listed == [("error", i, "missing_key") for i in range(9, 19) for _ in range(2)] + [("warning", i, c) for i in range(1, 6) for c in ("very_long", "ref_missing")]
+    assert [(r["severity"], r["omitted"]) for r in got if r["omitted"] is not None] == [("error", 5), ("warning", 8)]
+
+
+def test_media_are_met_in_one_exchange_without_texts(spark, tmp_path):
+    spark.createDataFrame([(i, f"text {i}", f"{i}.wav", f"{i + 1}.wav" if i % 2 else None) for i in range(50)], "sample_id bigint, text string, audio string, ref_audio string").write.parquet(str(tmp_path / "m"))
+    manifest = spark.read.parquet(str(tmp_path / "m"))
+    media = spark.createDataFrame([(f"{i}.wav", 100, 16000, True, 1.0) for i in range(0, 50, 3)], MEDIA)
+    rows = validation.checked(manifest, media).select("sample_id", "media_error", "band", "blank_text", "ref", "valid")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len([x for x in exchanges if "_path#" in x and "_m_path" not in x]) == 1 and len([x for x in plan.splitlines() if "SortMergeJoin" in x]) == 1
+    assert " text#" not in plan[: plan.index("Exchange hashpartitioning(_path#")]
+    expected = {i: ("ok" if i % 3 == 0 else None) for i in range(50)}
+    assert all((r["media_error"] is None) == (expected[r["sample_id"]] == "ok") and r["ref"] == (None if r["sample_id"] % 2 == 0 else "ok" if (r["sample_id"] + 1) % 3 == 0 and r["sample_id"] < 49 else "missing") for r in rows.collect())
+
+
+def test_rows_that_share_an_id_are_checked_each(spark):
+    manifest = spark.createDataFrame([(1, "a", "x.wav", "x.wav"), (1, "", "y.wav", None), (None, "c", None, "y.wav"), (None, "d", "x.wav", "")], "sample_id bigint, text string, audio string, ref_audio string")
+    media = spark.createDataFrame([("x.wav", 100, 16000, True, 1.0)], MEDIA)
+    got = sorted(map(tuple, validation.checked(manifest, media).select("text", "media_error", "blank_text", "ref", "valid").collect()))
+    assert got == [("", "not_found", True, None, False), ("a", None, False, "ok", True), ("c", "not_found", False, "missing", False), ("d", None, False, None, True)]
+
+
+def test_a_level_clip_is_all_voice_at_zero_decibels(spark):
+    rows = spark.createDataFrame([(c, i, v) for c, v in ((1, 0.5), (2, 0.0)) for i in range(40)] + [(3, i, 0.0 if i < 20 else 0.5) for i in range(40)], "clip_id bigint, idx bigint, value double")
+    got = signal.silence_trim(rows, 10, 0, 0.0, 4, 4).groupBy("clip_id").agg(F.min("idx"), F.max("idx"))
+    assert sorted(map(tuple, got.collect())) == [(1, 0, 39), (2, 0, 39), (3, 20, 39)]
+
+
+def test_the_seed_of_the_attempt_that_counts(spark):
+    rows = [(1, i + 1, f, 10, 7) for i, f in enumerate([60, 61, 59])] + [(2, i + 1, 60, 10, 40) for i in range(3)] + [(3, 1, 5, 10, None)]
+    got = requests.attempt_resolution(spark.createDataFrame(rows, "request_id int, attempt int, frames int, target_len int, seed bigint"))
+    assert {r["request_id"]: (r["attempt"], r["seed"]) for r in got.collect()} == {1: (3, 9), 2: (3, 42), 3: (1, None)}
+
+
+def test_a_batch_keeps_its_failures(spark):
+    lines = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "i bigint, text string")
+    made = spark.createDataFrame([(1, 1.5, None), (3, None, "no audio")], "i bigint, duration double, error string")
+    results = requests.batch_results(lines, made)
+    assert tuple(requests.batch_ledger(results).first()) == (3, 1, 2)
+    assert sorted(map(tuple, requests.batch_failures(results).collect())) == [(2, "Failed on line 2: no result"), (3, "Failed on line 3: no audio")]
+    assert requests.batch_failures(results.limit(0)).collect() == []
+
+
+def test_datasets_of_each_batch(spark):
+    rows = spark.createDataFrame([(1, 0), (1, 4), (2, None), (3, -1), (4, 1)], "batch_id bigint, dataset_id int")
+    assert {r["batch_id"]: r["n"] for r in lengths.dataset_count_by_batch(rows, 2).collect()} == {1: 5, 2: 2, 3: 2, 4: 2}
+    assert {r["batch_id"]: r["n"] for r in lengths.dataset_count_by_batch(rows, 0).collect()} == {1: 5, 2: 1, 3: 1, 4: 2}
+
+
+def test_texts_of_an_empty_file_are_an_error(spark, tmp_path):
+    (tmp_path / "e.txt").write_text(" \n\n\t\n")
+    with pytest.raises(ValueError, match="has no text"):
+        read_text_lines(spark, str(tmp_path / "e.txt"))
+
+
+def test_the_context_with_which_generation_begins(spark):
+    rows = spark.createDataFrame([(1, [0, 1, 1, 0, 1, 1, 1]), (2, [0, 1, 1, 0]), (3, []), (4, None), (5, [1]), (6, [0, 0])], "key int, mask array<int>")
+    got = {r["key"]: r["at"] for r in rows.select("key", nested.context_before(F.col("mask"), 4).alias("at")).collect()}
+    assert got == {1: [4, 5, 6], 2: [], 3: [], 4: [], 5: [0], 6: []}
+    assert rows.where("key = 1").select(nested.context_before(F.col("mask"), 6).alias("at")).first()["at"] == [1, 2, 4, 5, 6]
+    assert rows.where("key = 1").select(nested.context_before(F.col("mask"), 1).alias("at")).first()["at"] == []

@@ -31,7 +31,7 @@ VIEWS: dict[str, str] = {
         CASE WHEN doc_id % 8 = 3 THEN concat('prompts/', CAST(doc_id % 16 AS STRING), '.txt') END AS prompt_file, CASE WHEN doc_id % 5 = 2 THEN 'r.wav' END AS reference_audio,
         CASE WHEN doc_id % 10 = 7 THEN 'design' WHEN doc_id % 10 = 8 THEN 'clone' ELSE 'auto' END AS command, CASE WHEN doc_id % 20 = 3 THEN 'v1' ELSE 'v2' END AS arch,
         (doc_id % 25) / 2e0 AS cfg, CAST(doc_id % 110 AS INT) AS steps, CAST(doc_id % 4 AS INT) AS voice_id, CASE WHEN doc_id % 3 = 1 THEN doc_id * 7919 END AS seed FROM documents""",
-    "attempts": """SELECT user_id AS request_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INT) AS attempt, CAST(floor(value) AS INT) AS frames, CAST(user_id % 5 + 3 AS INT) AS target_len FROM events""",
+    "attempts": """SELECT user_id AS request_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INT) AS attempt, CAST(floor(value) AS INT) AS frames, CAST(user_id % 5 + 3 AS INT) AS target_len, user_id * 7919 AS seed FROM events""",
     "dialogue": """SELECT conv_id, turn, text, CASE WHEN conv_id % 3 = 0 THEN 'r.wav' END AS ref_audio FROM conversations""",
     "signal": """SELECT user_id AS clip_id, CAST(event_id % 2 AS INT) AS channel, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS BIGINT) AS idx,
         CASE WHEN user_id % 17 = 0 THEN 0e0 WHEN event_id % 3 = 0 THEN value / 5e4 ELSE value / 5e2 END AS value FROM events""",

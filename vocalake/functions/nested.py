@@ -98,3 +98,10 @@ def pack(task: str, text_ids: Column, audio: Column, is_prompt: Column) -> Colum
     if task not in PACKERS:
         raise ValueError(f"unknown task {task}: one of {sorted(PACKERS)}")
     return PACKERS[task](text_ids, audio, is_prompt)
+
+
+def context_before(mask: Column, k: int) -> Column:
+    """Positions (from 0) of the last k - 1 audio positions of a prefix, or of as many as there are: the context with which generation begins. None where the prefix doesn't end with audio."""
+    at = F.when(F.try_element_at(mask, F.lit(-1)) == 1, F.array_compact(F.transform(mask, lambda x, i: F.when(x == 1, i)))).otherwise(F.array().cast("array<int>"))
+    last = lambda x: F.slice(x, F.greatest(F.size(x) - k + 2, F.lit(1)), F.lit(k - 1))
+    return F.get(F.transform(F.array(at), last), 0)  # bound, so that it is made once

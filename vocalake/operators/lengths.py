@@ -68,6 +68,11 @@ def dataset_count(df: DataFrame) -> DataFrame:
     return df.agg(n.cast("int").alias("n"))
 
 
+def dataset_count_by_batch(df: DataFrame, given: int = 1) -> DataFrame:
+    """batch_id, n: datasets that a batch's tallies have room for: those that are given, or more if an id of the batch needs it, one at least."""
+    return df.groupBy("batch_id").agg(F.greatest(F.lit(given), F.coalesce(F.max("dataset_id") + 1, F.lit(0)), F.lit(1)).cast("int").alias("n"))
+
+
 def consumption_by_dataset(packed: DataFrame, n: int, fps: float = 25.0) -> DataFrame:
     """batch_id, dataset_id, seconds of audio and text tokens (cut to whole numbers after summing), with zeros for unused ids."""
     sums = packed.groupBy("batch_id", "dataset_id").agg((F.sum("frames") / fps).cast("long").alias("audio_seconds"), F.sum("text_tokens").cast("long").alias("text_tokens"))

@@ -92,10 +92,12 @@ def attach_prompt_cache(requests: DataFrame, caches: DataFrame) -> DataFrame:
 
 
 def attempt_resolution(attempts: DataFrame, most: int = 3, ratio: float = 6.0) -> DataFrame:
-    """request_id, attempt, frames, bad of the attempt that counts: the first good one of the first `most`, else the last of them."""
+    """request_id, attempt, frames, bad of the attempt that counts: the first good one of the first `most`, else the last of them; with a column seed (of the first attempt, each later one has the next), also seed: that of this attempt."""
     tried = attempts.where(F.col("attempt") <= most).withColumn("bad", badcase(F.col("frames"), F.col("target_len"), ratio))
-    best = F.struct(F.when(F.col("bad"), 1).otherwise(0), F.when(F.col("bad"), -F.col("attempt")).otherwise(F.col("attempt")), "attempt", "frames", "bad")
-    return tried.groupBy("request_id").agg(F.min(best).alias("x")).select("request_id", "x.attempt", "x.frames", "x.bad")
+    seed = ["seed"] if "seed" in attempts.columns else []
+    tried = tried.withColumns({c: F.col(c) + F.col("attempt") - 1 for c in seed})
+    best = F.struct(F.when(F.col("bad"), 1).otherwise(0), F.when(F.col("bad"), -F.col("attempt")).otherwise(F.col("attempt")), "attempt", "frames", "bad", *seed)
+    return tried.groupBy("request_id").agg(F.min(best).alias("x")).select("request_id", "x.attempt", "x.frames", "x.bad", *[F.col(f"x.{c}") for c in seed])
 
 
 def merge_prompt_cache(turns: DataFrame) -> DataFrame:
@@ -123,7 +125,20 @@ def merge_prompt_digests(turns: DataFrame) -> DataFrame:
     return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn").mapInArrow(run, f"conv_id {kinds['conv_id']}, turn {kinds['turn']}, prompt_md5 string, mode string")
 
 
+def batch_results(lines: DataFrame, made: DataFrame) -> DataFrame:
+    """i, text, duration, error of the lines of a batch (i, text) by what was made of them (i, duration, error): a line that nothing was made of has failed, too, and no failure stops the others."""
+    out = lines.join(made.withColumn("_made", F.lit(True)), "i", "left")
+    error = F.when(F.col("_made").isNull(), "no result").otherwise(F.col("error"))
+    return out.select("i", "text", F.when(error.isNull(), F.col("duration")).alias("duration"), error.alias("error"))
+
+
+def batch_failures(results: DataFrame) -> DataFrame:
+    """i, message of the lines that failed."""
+    return results.where("error is not null").select("i", F.concat(F.lit("Failed on line "), F.col("i").cast("string"), F.lit(": "), "error").alias("message"))
+
+
 def batch_ledger(results: DataFrame) -> DataFrame:
+    """attempted, succeeded, failed: the counts of a batch; `batch_failures` has the failures themselves."""
     return results.agg(F.count("*").alias("attempted"), F.count_if(F.col("error").isNull()).alias("succeeded"), F.count_if(F.col("error").isNotNull()).alias("failed"))
 
 

@@ -49,7 +49,7 @@ def frame_energy(signal: DataFrame, frame: int = 2048, hop: int = 512) -> DataFr
 def silence_trim(signal: DataFrame, rate: int, max_silence_ms: int = 200, top_db: float = 35.0, frame: int = 2048, hop: int = 512) -> DataFrame:
     """Samples from the first to the last voiced frame, and a margin; a clip that is all zero, or shorter than a frame, stays."""
     size = signal.groupBy("clip_id").agg((F.max("idx") + 1).alias("_size"), F.max(F.abs("value")).alias("_peak"))
-    voiced = frame_energy(signal, frame, hop).join(size, "clip_id").where(F.col("energy") > F.col("_peak") * 10 ** (-top_db / 20))
+    voiced = frame_energy(signal, frame, hop).join(size, "clip_id").where(F.col("energy") >= F.col("_peak") * 10 ** (-top_db / 20)).where("_peak > 0")
     margin = rate * max_silence_ms // 1000
     ends = voiced.groupBy("clip_id").agg(F.greatest(F.lit(0), F.min("frame") * hop - margin).alias("_a"), F.least(F.max("_size"), F.least(F.max("_size"), (F.max("frame") + 1) * hop + (frame - hop)) + margin).alias("_b"))
     return signal.join(ends, "clip_id", "left").where("_a is null or (idx >= _a and idx < _b)").drop("_a", "_b")

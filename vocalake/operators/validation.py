@@ -100,75 +100,108 @@ def duration_band(duration: Column) -> Column:
 
 
 def checked(manifest: DataFrame, media: DataFrame, rate: int = SAMPLE_RATE) -> DataFrame:
-    """manifest with media_error, band, blank_text, ref (ok, missing or null), valid: one join for the media, one for references.
+    """manifest with media_error, media_duration, band, blank_text, ref (ok, missing or null), valid.
 
-    manifest: rows, or lines (line_no, raw), which are parsed first. Rows without a path get keys of their own in the joins, so they don't gather in one task.
+    manifest: rows, or lines (line_no, raw), which are parsed first. The paths of a row, each with its role, meet the media
+    in one join and are folded by row again; what isn't asked of the result, as the text, isn't shuffled. Rows without a
+    path get keys of their own, so they don't gather in one task. A stream of rows is joined once for each role.
     """
     manifest = from_lines(manifest) if "raw" in manifest.columns else manifest
-    known, refs = known_media(media), media.where("path is not null").select(F.col("path").alias("_ref")).distinct()
+    columns = manifest.columns
+    known = known_media(media)
     key = lambda c: F.coalesce(c, F.concat(F.lit("\0"), F.col("sample_id").cast("string")))
-    out = manifest.join(known, key("audio") == F.col("_m_path"), "left").join(refs, key("ref_audio") == F.col("_ref"), "left")
-    broken = F.size("line_errors") > 0 if "line_errors" in manifest.columns else F.lit(False)
-    stopped = broken & ~F.array_contains("line_errors", "invalid_path") if "line_errors" in manifest.columns else F.lit(False)
-    out = out.withColumn("media_error", F.when(~broken, media_error(rate, "_m_"))).withColumn("valid", ~broken & F.col("media_error").isNull())
-    ref = F.when(F.coalesce("ref_audio", F.lit("")) == "", None).when(F.col("_ref").isNotNull(), "ok").otherwise("missing")
-    return out.select(*manifest.columns, "media_error", F.when(F.col("valid"), F.col("_m_duration")).alias("media_duration"), F.when(F.col("valid"), duration_band(F.col("_m_duration"))).alias("band"), (~stopped & (strip(F.coalesce("text", F.lit(""))) == "")).alias("blank_text"), ref.alias("ref"), "valid")
+    given = F.coalesce("ref_audio", F.lit("")) != ""
+    own = manifest.withColumns({"_blank": strip(F.coalesce("text", F.lit(""))) == "", "_given": given})
+    if manifest.isStreaming:
+        refs = media.where("path is not null").select(F.col("path").alias("_ref")).distinct()
+        out = own.join(known, key("audio") == F.col("_m_path"), "left").join(refs, key("ref_audio") == F.col("_ref"), "left").withColumn("_there", F.col("_ref").isNotNull())
+    else:
+        role = lambda n, c: F.struct(F.lit(n).alias("role"), c.alias("path"))
+        each = own.withColumn("_id", F.monotonically_increasing_id()).select("*", F.explode(F.array_compact(F.array(role(0, key("audio")), F.when(given, role(1, F.col("ref_audio")))))).alias("_p"))
+        first = F.col("_p.role") == 0
+        carried = [*columns, "_blank", "_given"]
+        each = each.select("_id", F.col("_p.role").alias("_role"), F.col("_p.path").alias("_path"), *[F.when(first, F.col(c)).alias(c) for c in carried])
+        met = each.join(known, F.col("_path") == F.col("_m_path"), "left")
+        facts = [F.max(F.when(F.col("_role") == 0, F.col(c))).alias(c) for c in ("_m_path", "_m_frames", "_m_sample_rate", "_m_readable", "_m_duration")]
+        out = met.groupBy("_id").agg(*[F.any_value(c, True).alias(c) for c in carried], *facts, F.max((F.col("_role") == 1) & F.col("_m_path").isNotNull()).alias("_there"))
+    broken = F.size("line_errors") > 0 if "line_errors" in columns else F.lit(False)
+    stopped = broken & ~F.array_contains("line_errors", "invalid_path") if "line_errors" in columns else F.lit(False)
+    out = out.withColumn("_error", F.when(~broken, media_error(rate, "_m_"))).withColumn("_valid", ~broken & F.col("_error").isNull())
+    ref = F.when(~F.col("_given"), None).when(F.col("_there"), "ok").otherwise("missing")
+    made = {"media_error": F.col("_error"), "media_duration": F.when(F.col("_valid"), F.col("_m_duration")), "band": F.when(F.col("_valid"), duration_band(F.col("_m_duration"))), "blank_text": ~stopped & F.col("_blank"), "ref": ref, "valid": F.col("_valid")}
+    return out.select(*[F.col(c) for c in columns if c not in made], *[v.alias(k) for k, v in made.items()])
 
 
 def findings(rows: DataFrame) -> DataFrame:
-    """sample_id, severity, category of everything that `checked` found."""
+    """sample_id, severity, category, seq of everything that `checked` found; seq is the order within a row, as a reader of the row would find it: what stops it, its text, its audio, its length, its reference."""
+    at = lambda seq, severity, category: F.struct(F.lit(severity).alias("severity"), (F.lit(category) if isinstance(category, str) else category).alias("category"), F.lit(seq).alias("seq"))
     found = F.array(
-        F.when(F.col("media_error").isNotNull(), F.struct(F.lit("error").alias("severity"), F.lit("media").alias("category"))),
-        F.when(F.col("blank_text"), F.struct(F.lit("warning").alias("severity"), F.lit("blank_text").alias("category"))),
-        F.when(F.col("band").isin("very_short", "very_long"), F.struct(F.lit("warning").alias("severity"), F.col("band").alias("category"))),
-        F.when(F.col("ref") == "missing", F.struct(F.lit("warning").alias("severity"), F.lit("ref_missing").alias("category"))),
+        F.when(F.col("blank_text"), at(10, "warning", "blank_text")),
+        F.when(F.col("media_error").isNotNull(), at(11, "error", "media")),
+        F.when(F.col("band").isin("very_short", "very_long"), at(12, "warning", F.col("band"))),
+        F.when(F.col("ref") == "missing", at(13, "warning", "ref_missing")),
     )
     found = F.array_compact(found)
     if "line_errors" in rows.columns:
-        found = F.concat(F.transform("line_errors", lambda x: F.struct(F.lit("error").alias("severity"), x.alias("category"))), found)
-    return rows.select("sample_id", F.explode(found).alias("f")).select("sample_id", "f.severity", "f.category")
+        found = F.concat(F.transform("line_errors", lambda x, i: F.struct(F.lit("error").alias("severity"), x.alias("category"), i.alias("seq"))), found)
+    return rows.select("sample_id", F.explode(found).alias("f")).select("sample_id", "f.severity", "f.category", "f.seq")
 
 
-def summary(rows: DataFrame, *by: str) -> DataFrame:
-    """The counts of a manifest; of each of several, by columns that tell them apart (then also of a stream)."""
-    errors = F.count_if(F.col("media_error").isNotNull())
-    if "line_errors" in rows.columns:
-        errors = errors + F.coalesce(F.sum(F.size("line_errors")), F.lit(0))
-    warnings = F.count_if("blank_text") + F.count_if(F.col("band").isin("very_short", "very_long")) + F.count_if(F.col("ref") == "missing")
-    return rows.groupBy(*by).agg(F.count("*").alias("total"), F.count_if("valid").alias("valid"), F.count_if(F.col("ref") == "ok").alias("with_ref"), errors.alias("n_errors"), warnings.alias("n_warnings")).withColumn("is_valid", (F.col("n_errors") == 0) & (F.col("valid") > 0))
+#: Categories of which a report has the first `CAP` and one row for how many more there are.
+CAPPED, CAP = ("media", "blank_text"), 5
 
 
-CAPPED = ("media", "blank_text")
+def summary(rows: DataFrame, *by: str) -> DataFrame:
+    """The counts of a manifest; of each of several, by columns that tell them apart (then also of a stream).
 
+    n_errors and n_warnings count what a report has (of repeated categories the first ones, and one more for the rest);
+    found_errors and found_warnings count all that was found.
+    """
+    listed = lambda n: n - F.greatest(n - (CAP + 1), F.lit(0))
+    media, blank = F.count_if(F.col("media_error").isNotNull()), F.count_if("blank_text")
+    lines = F.coalesce(F.sum(F.size("line_errors")), F.lit(0)) if "line_errors" in rows.columns else F.lit(0).cast("bigint")
+    others = F.count_if(F.col("band").isin("very_short", "very_long")) + F.count_if(F.col("ref") == "missing")
+    out = rows.groupBy(*by).agg(
+        F.count("*").alias("total"), F.count_if("valid").alias("valid"), F.count_if(F.col("ref") == "ok").alias("with_ref"), (lines + listed(media)).alias("n_errors"), (others + listed(blank)).alias("n_warnings"), (lines + media).alias("found_errors"), (others + blank).alias("found_warnings")
+    )
+    return out.withColumn("is_valid", (F.col("n_errors") == 0) & (F.col("valid") > 0))
+
+
+def _listed(found: DataFrame, cap: int) -> DataFrame:
+    """sample_id, severity, category, seq, more of what a report has: the rows that say how many more there are have no sample_id and come last."""
+    few = found.where(F.col("category").isin(*CAPPED))
+    rank = F.row_number().over(Window.partitionBy("category").orderBy("sample_id"))
+    first = few.withColumn("_r", rank).where(F.col("_r") <= cap).drop("_r")  # Spark limits each task's rows before the exchange
+    more = few.groupBy("severity", "category").agg(F.count("*").alias("n")).where(F.col("n") > cap)
+    listed = first.unionByName(found.where(~F.col("category").isin(*CAPPED))).select("sample_id", "severity", "category", "seq", F.lit(None).cast("bigint").alias("more"))
+    return listed.unionByName(more.select(F.lit(None).cast(dict(found.dtypes)["sample_id"]).alias("sample_id"), "severity", "category", F.lit(99).alias("seq"), (F.col("n") - cap).alias("more")))
 
-def findings_capped(found: DataFrame, cap: int = 5) -> DataFrame:
+
+def findings_capped(found: DataFrame, cap: int = CAP) -> DataFrame:
     """The first `cap` findings of the categories that a large corpus repeats, with a row for how many more there are; other categories whole.
 
     The first ones are the smallest of each task first, so a category that all rows have is no burden to one task. What was
     found is written once and read for each of the parts.
     """
-    found = stored(found)
-    few = found.where(F.col("category").isin(*CAPPED))
-    rank = F.row_number().over(Window.partitionBy("category").orderBy("sample_id"))
-    first = few.withColumn("_r", rank).where(F.col("_r") <= cap).drop("_r")  # Spark limits each task's rows before the exchange
-    more = few.groupBy("severity", "category").agg(F.count("*").alias("n")).where(F.col("n") > cap)
-    listed = first.unionByName(found.where(~F.col("category").isin(*CAPPED))).select("sample_id", "severity", "category", F.lit(None).cast("bigint").alias("more"))
-    return listed.unionByName(more.select(F.lit(None).cast("bigint").alias("sample_id"), "severity", "category", (F.col("n") - cap).alias("more")))
+    return _listed(stored(found), cap).drop("seq")
+
 
+def top_findings(found: DataFrame, errors: int = 20, warnings: int = 10, cap: int = CAP) -> DataFrame:
+    """The first errors and warnings of what a report has, in order of rows and within them, and how many of it were left out: sample_id, severity, category, more, omitted.
 
-def top_findings(found: DataFrame, errors: int = 20, warnings: int = 10) -> DataFrame:
-    """The first errors and warnings in order, and how many were left out of each. What was found is written once and read for each of the parts."""
-    found, out = stored(found), None
+    What was found is written once and read for each of the parts.
+    """
+    listed, out = _listed(stored(found), cap), None
     for severity, k in (("error", errors), ("warning", warnings)):
-        own = found.where(F.col("severity") == severity)
-        part = own.orderBy("sample_id", "category").limit(k).select("sample_id", "severity", "category", F.lit(None).cast("bigint").alias("omitted"))
-        left = own.agg((F.count("*") - k).alias("omitted")).where("omitted > 0").select(F.lit(None).cast("bigint").alias("sample_id"), F.lit(severity).alias("severity"), F.lit(None).cast("string").alias("category"), "omitted")
+        own = listed.where(F.col("severity") == severity)
+        part = own.orderBy(F.asc_nulls_last("sample_id"), "seq").limit(k).select("sample_id", "severity", "category", "more", F.lit(None).cast("bigint").alias("omitted"))
+        left = own.agg((F.count("*") - k).alias("omitted")).where("omitted > 0").select(F.lit(None).cast(dict(found.dtypes)["sample_id"]).alias("sample_id"), F.lit(severity).alias("severity"), F.lit(None).cast("string").alias("category"), F.lit(None).cast("bigint").alias("more"), "omitted")
         part = part.unionByName(left)
         out = part if out is None else out.unionByName(part)
     return out
 
 
-_COUNTS = ("total", "valid", "with_ref", "n_errors", "n_warnings")
+_COUNTS = ("total", "valid", "with_ref", "n_errors", "n_warnings", "found_errors", "found_warnings")
 _DURATIONS = ("hours", "min_duration", "median_duration", "max_duration")
 _LENGTHS = ("min_length", "max_length")
 
@@ -189,11 +222,11 @@ def report(rows: DataFrame, means: bool = False) -> DataFrame:
 
 
 def full_report(rows: DataFrame, errors: int = 20, warnings: int = 10) -> DataFrame:
-    """section (report, error, warning), item, sample_id, value: the report with means, then the first errors and warnings (item is the category) and how many more there are (item is omitted)."""
+    """section (report, error, warning), item, sample_id, value: the report with means, then the first errors and warnings (item is the category; value, in a row without a sample, is how many more of it there are) and how many were left out (item is omitted)."""
     rows = narrow(rows)
     head = report(rows, means=True).select(F.lit("report").alias("section"), "item", F.lit(None).cast("bigint").alias("sample_id"), "value")
     listed = top_findings(findings(rows), errors, warnings)
-    return head.unionAll(listed.select("severity", F.coalesce("category", F.lit("omitted")), F.col("sample_id").cast("bigint"), F.col("omitted").cast("double")))
+    return head.unionAll(listed.select("severity", F.coalesce("category", F.lit("omitted")), F.col("sample_id").cast("bigint"), F.coalesce("more", "omitted").cast("double")))
 
 
 def validate_manifest(lines: DataFrame, media: DataFrame, base: str = "", most: int = 0, rate: int = SAMPLE_RATE) -> DataFrame:

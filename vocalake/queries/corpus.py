@@ -50,6 +50,11 @@ def _(m):
     return L.dataset_count(m)
 
 
+@query("a6_dataset_count_by_batch", "SELECT sample_id // 3 AS batch_id, greatest(2, coalesce(max(dataset_id) + 1, 0), 1)::INT AS n FROM manifest GROUP BY ALL", "manifest")
+def _(m):
+    return L.dataset_count_by_batch(m.withColumn("batch_id", F.floor(F.col("sample_id") / 3)), 2)
+
+
 _ORDER = "SELECT sample_id, row_number() OVER (ORDER BY md5(concat('7:1:', sample_id::VARCHAR)), sample_id) - 1 AS position FROM manifest"
 
 
@@ -221,6 +226,12 @@ def _(d):
     return s.select("doc_id", F.array_join(F.transform("p", lambda x: _joined(x)), "|").alias("patches"), _joined(F.flatten("p")).alias("back"))
 
 
+@query("w6_context_before", f"{_S} SELECT doc_id, {_list('CASE WHEN doc_id % 2 = 1 THEN range(len(ids) + 1 + greatest(a - 3, 0), len(ids) + 1 + a) ELSE [] END')} AS at FROM s", "documents")
+def _(d):
+    mask = F.concat(F.transform("ids", lambda x: x * 0), F.array(F.lit(0)), F.when(F.col("doc_id") % 2 == 1, F.array_repeat(F.lit(1), F.col("a"))).otherwise(F.array().cast("array<int>")))
+    return _samples(d).select("doc_id", _joined(N.context_before(mask, 4)).alias("at"))
+
+
 @query("n15_quantize_vector", "SELECT vec_id, array_to_string(list_transform(embedding, lambda x: round_even(tanh(x::DOUBLE) * 9, 0)::INT), ',') AS out FROM latents", "latents")
 def _(x):
     return x.select("vec_id", _joined(F.transform(N.quantize_vector(F.col("embedding")), lambda v: F.rint(v * 9).cast("int"))).alias("out"))

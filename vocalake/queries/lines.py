@@ -27,8 +27,12 @@ _CHECKED = f"""WITH c0 AS (SELECT m.*, a.path, a.frames, a.sample_rate, a.readab
 c1 AS (SELECT *, CASE WHEN path IS NULL THEN 'not_found' WHEN frames = 0 THEN 'zero_frames' WHEN sample_rate <> 16000 THEN 'sample_rate' WHEN NOT readable THEN 'unreadable' END AS media_error FROM c0),
 checked AS (SELECT *, CASE WHEN media_error IS NULL THEN md END AS media_duration, CASE WHEN media_error IS NULL THEN CASE WHEN md < 0.3 THEN 'very_short' WHEN md > 30 THEN 'very_long' ELSE 'ok' END END AS band,
  {_strip("coalesce(text, '')")} = '' AS blank_text, CASE WHEN coalesce(ref_audio, '') = '' THEN NULL WHEN rpath IS NOT NULL THEN 'ok' ELSE 'missing' END AS ref, media_error IS NULL AS valid FROM c1),
-found AS (SELECT sample_id, 'error' AS severity, 'media' AS category FROM checked WHERE media_error IS NOT NULL UNION ALL SELECT sample_id, 'warning', 'blank_text' FROM checked WHERE blank_text
- UNION ALL SELECT sample_id, 'warning', band FROM checked WHERE band IN ('very_short', 'very_long') UNION ALL SELECT sample_id, 'warning', 'ref_missing' FROM checked WHERE ref = 'missing')
+found AS (SELECT sample_id, 'error' AS severity, 'media' AS category, 5 AS seq FROM checked WHERE media_error IS NOT NULL UNION ALL SELECT sample_id, 'warning', 'blank_text', 1 FROM checked WHERE blank_text
+ UNION ALL SELECT sample_id, 'warning', band, 2 FROM checked WHERE band IN ('very_short', 'very_long') UNION ALL SELECT sample_id, 'warning', 'ref_missing', 3 FROM checked WHERE ref = 'missing')
+"""
+# The list of messages: of two categories five at most, and a last message for the others.
+_LISTED = """, listed AS (SELECT sample_id, severity, category, seq, NULL::BIGINT AS more FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY sample_id) AS nth FROM found) WHERE nth <= 5 OR category NOT IN ('media', 'blank_text')
+ UNION ALL SELECT NULL, severity, category, 100, count(*) - 5 FROM found WHERE category IN ('media', 'blank_text') GROUP BY severity, category HAVING count(*) > 5)
 """
 
 
@@ -129,17 +133,16 @@ def _(m, a):
     return V.rows_with_ref(m, a).select("sample_id", "ref_audio")
 
 
-_SUMMARY = "SELECT count(*) AS total, count(*) FILTER (valid) AS valid, count(*) FILTER (ref = 'ok') AS with_ref, (SELECT count(*) FROM found WHERE severity = 'error') AS n_errors, (SELECT count(*) FROM found WHERE severity = 'warning') AS n_warnings, (SELECT count(*) FROM found WHERE severity = 'error') = 0 AND count(*) FILTER (valid) > 0 AS is_valid FROM checked"
+_OF = lambda table, severity: f"(SELECT count(*) FROM {table} WHERE severity = '{severity}')"
+_SUMMARY = f"SELECT count(*) AS total, count(*) FILTER (valid) AS valid, count(*) FILTER (ref = 'ok') AS with_ref, {_OF('listed', 'error')} AS n_errors, {_OF('listed', 'warning')} AS n_warnings, {_OF('found', 'error')} AS found_errors, {_OF('found', 'warning')} AS found_warnings, {_OF('found', 'error')} = 0 AND count(*) FILTER (valid) > 0 AS is_valid FROM checked"
 
 
-@query("a1_validation_summary", _CHECKED + _SUMMARY, "manifest", "media")
+@query("a1_validation_summary", _CHECKED + _LISTED + _SUMMARY, "manifest", "media")
 def _(m, a):
     return V.summary(V.checked(m, a))
 
 
-@query("a2_findings_capped", _CHECKED + """, r AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY sample_id) AS k FROM found)
-SELECT sample_id, severity, category, NULL::BIGINT AS more FROM r WHERE k <= 5 OR category NOT IN ('media', 'blank_text')
-UNION ALL SELECT NULL, severity, category, count(*) - 5 FROM found WHERE category IN ('media', 'blank_text') GROUP BY severity, category HAVING count(*) > 5""", "manifest", "media")
+@query("a2_findings_capped", _CHECKED + _LISTED + "SELECT sample_id, severity, category, more FROM listed", "manifest", "media")
 def _(m, a):
     return V.findings_capped(V.findings(V.checked(m, a)))
 
@@ -158,16 +161,16 @@ def _(m, a):
     return V.text_length_stats(V.checked(m, a))
 
 
-_ITEMS = [("total", "s"), ("valid", "s"), ("with_ref", "s"), ("n_errors", "s"), ("n_warnings", "s"), ("hours", "d"), ("min_duration", "d"), ("median_duration", "d"), ("max_duration", "d"), ("min_length", "t"), ("max_length", "t")]
+_ITEMS = [("total", "s"), ("valid", "s"), ("with_ref", "s"), ("n_errors", "s"), ("n_warnings", "s"), ("found_errors", "s"), ("found_warnings", "s"), ("hours", "d"), ("min_duration", "d"), ("median_duration", "d"), ("max_duration", "d"), ("min_length", "t"), ("max_length", "t")]
 
 
-@query("a5_validation_report", _CHECKED + f", s AS ({_SUMMARY}), d AS ({_DURATIONS}), t AS ({_LENGTHS}), x AS (" + " UNION ALL ".join(f"SELECT '{c}' AS item, {c}::DOUBLE AS value FROM {t}" for c, t in _ITEMS) + " UNION ALL SELECT 'passed', is_valid::INT::DOUBLE FROM s) SELECT item, round(value, 6) AS value FROM x WHERE value IS NOT NULL", "manifest", "media")
+@query("a5_validation_report", _CHECKED + _LISTED + f", s AS ({_SUMMARY}), d AS ({_DURATIONS}), t AS ({_LENGTHS}), x AS (" + " UNION ALL ".join(f"SELECT '{c}' AS item, {c}::DOUBLE AS value FROM {t}" for c, t in _ITEMS) + " UNION ALL SELECT 'passed', is_valid::INT::DOUBLE FROM s) SELECT item, round(value, 6) AS value FROM x WHERE value IS NOT NULL", "manifest", "media")
 def _(m, a):
     return V.report(V.checked(m, a))
 
 
-_TOP = ", r AS (SELECT *, row_number() OVER (PARTITION BY severity ORDER BY sample_id, category) AS k FROM found), z AS (SELECT 'error' AS severity, 20 AS lim UNION ALL SELECT 'warning', 10)\n"
-_FULL = f", s AS ({_SUMMARY}), d AS ({_DURATIONS}), t AS ({_LENGTHS}), x AS (" + " UNION ALL ".join(f"SELECT '{c}' AS item, {c}::DOUBLE AS value FROM {t}" for c, t in [*_ITEMS, ("mean_duration", "d"), ("mean_length", "t")]) + " UNION ALL SELECT 'passed', is_valid::INT::DOUBLE FROM s)" + _TOP + "SELECT 'report' AS section, item, NULL::BIGINT AS sample_id, round(value, 6) AS value FROM x WHERE value IS NOT NULL UNION ALL SELECT severity, category, sample_id, NULL FROM r JOIN z USING (severity) WHERE k <= lim UNION ALL SELECT severity, 'omitted', NULL, (count(*) - any_value(lim))::DOUBLE FROM found JOIN z USING (severity) GROUP BY severity HAVING count(*) > any_value(lim)"
+_TOP = ", placed AS (SELECT *, row_number() OVER (PARTITION BY severity ORDER BY sample_id NULLS LAST, seq) AS place, count(*) OVER (PARTITION BY severity) AS n, CASE severity WHEN 'error' THEN 20 ELSE 10 END AS shown FROM listed)\n"
+_FULL = _LISTED + f", s AS ({_SUMMARY}), d AS ({_DURATIONS}), t AS ({_LENGTHS}), x AS (" + " UNION ALL ".join(f"SELECT '{c}' AS item, {c}::DOUBLE AS value FROM {t}" for c, t in [*_ITEMS, ("mean_duration", "d"), ("mean_length", "t")]) + " UNION ALL SELECT 'passed', is_valid::INT::DOUBLE FROM s)" + _TOP + "SELECT 'report' AS section, item, NULL::BIGINT AS sample_id, round(value, 6) AS value FROM x WHERE value IS NOT NULL UNION ALL SELECT severity, category, sample_id, more::DOUBLE FROM placed WHERE place <= shown UNION ALL SELECT DISTINCT severity, 'omitted', NULL::BIGINT, (n - shown)::DOUBLE FROM placed WHERE n > shown"
 
 
 @query("a5_full_report", _CHECKED + _FULL, "manifest", "media")
@@ -175,7 +178,7 @@ def _(m, a):
     return V.full_report(V.checked(m, a))
 
 
-@query("o1_top_findings", _CHECKED + ", r AS (SELECT *, row_number() OVER (PARTITION BY severity ORDER BY sample_id, category) AS k FROM found), z AS (SELECT 'error' AS severity, 20 AS lim UNION ALL SELECT 'warning', 10)\nSELECT sample_id, severity, category, NULL::BIGINT AS omitted FROM r JOIN z USING (severity) WHERE k <= lim UNION ALL SELECT NULL, severity, NULL, count(*) - any_value(lim) FROM found JOIN z USING (severity) GROUP BY severity HAVING count(*) > any_value(lim)", "manifest", "media")
+@query("o1_top_findings", _CHECKED + _LISTED + _TOP + "SELECT sample_id, severity, category, more, NULL::BIGINT AS omitted FROM placed WHERE place <= shown UNION ALL SELECT DISTINCT NULL::BIGINT, severity, NULL, NULL::BIGINT, n - shown FROM placed WHERE n > shown", "manifest", "media")
 def _(m, a):
     return V.top_findings(V.findings(V.checked(m, a)))
 
@@ -197,10 +200,10 @@ c1 AS (SELECT *, CASE WHEN NOT whole OR coalesce(audio, '') = '' THEN NULL WHEN
 c2 AS (SELECT *, whole AND coalesce(audio, '') <> '' AND media_error IS NULL AS valid FROM c1),
 checked AS (SELECT line_no AS sample_id, class, kt, ka, whole, audio, text, media_error, valid, CASE WHEN valid THEN md END AS media_duration, CASE WHEN valid THEN CASE WHEN md < 0.3 THEN 'very_short' WHEN md > 30 THEN 'very_long' ELSE 'ok' END END AS band,
  whole AND {_strip("coalesce(text, '')")} = '' AS blank_text, CASE WHEN coalesce(ref_audio, '') = '' THEN NULL WHEN rpath IS NOT NULL THEN 'ok' ELSE 'missing' END AS ref FROM c2),
-found AS (SELECT sample_id, 'error' AS severity, 'invalid_json' AS category FROM checked WHERE class = 'invalid_json' UNION ALL SELECT sample_id, 'error', 'not_object' FROM checked WHERE class LIKE 'not_object%'
- UNION ALL SELECT sample_id, 'error', 'missing_key' FROM checked WHERE class = 'object' AND NOT kt UNION ALL SELECT sample_id, 'error', 'missing_key' FROM checked WHERE class = 'object' AND NOT ka
- UNION ALL SELECT sample_id, 'error', 'invalid_path' FROM checked WHERE whole AND coalesce(audio, '') = '' UNION ALL SELECT sample_id, 'error', 'media' FROM checked WHERE media_error IS NOT NULL
- UNION ALL SELECT sample_id, 'warning', 'blank_text' FROM checked WHERE blank_text UNION ALL SELECT sample_id, 'warning', band FROM checked WHERE band IN ('very_short', 'very_long') UNION ALL SELECT sample_id, 'warning', 'ref_missing' FROM checked WHERE ref = 'missing')
+found AS (SELECT sample_id, 'error' AS severity, 'invalid_json' AS category, 1 AS seq FROM checked WHERE class = 'invalid_json' UNION ALL SELECT sample_id, 'error', 'not_object', 2 FROM checked WHERE class LIKE 'not_object%'
+ UNION ALL SELECT sample_id, 'error', 'missing_key', 3 FROM checked WHERE class = 'object' AND NOT kt UNION ALL SELECT sample_id, 'error', 'missing_key', 4 FROM checked WHERE class = 'object' AND NOT ka
+ UNION ALL SELECT sample_id, 'error', 'invalid_path', 6 FROM checked WHERE whole AND coalesce(audio, '') = '' UNION ALL SELECT sample_id, 'error', 'media', 6 FROM checked WHERE media_error IS NOT NULL
+ UNION ALL SELECT sample_id, 'warning', 'blank_text', 5 FROM checked WHERE blank_text UNION ALL SELECT sample_id, 'warning', band, 7 FROM checked WHERE band IN ('very_short', 'very_long') UNION ALL SELECT sample_id, 'warning', 'ref_missing', 8 FROM checked WHERE ref = 'missing')
 """
 _OWN = len(oracle(_CHECKED))
 
@@ -239,7 +242,7 @@ def _(lines, a):
 _UNDER = _LINES.replace("LEFT JOIN media a ON l3.audio = a.path", "LEFT JOIN (SELECT concat('/data/', path) AS path, frames, sample_rate, readable, duration FROM media) a ON concat('/data/', l3.audio) = a.path").replace("raw_lines WHERE ", "raw_lines WHERE line_no <= 1000 AND ").replace("(SELECT DISTINCT path FROM media) r ON l3.ref_audio", "(SELECT DISTINCT concat('/data/', path) AS path FROM media) r ON concat('/data/', l3.ref_audio)")
 
 
-@query("a1_manifest_summary", _UNDER + _SUMMARY, "raw_lines", "media")
+@query("a1_manifest_summary", _UNDER + _LISTED + _SUMMARY, "raw_lines", "media")
 def _(lines, a):
     return V.summary(V.validate_manifest(lines, a.withColumn("path", F.concat(F.lit("/data/"), "path")), "/data", 1000))
 

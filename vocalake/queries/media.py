@@ -56,7 +56,7 @@ def _(s):
 
 
 @query("w9_silence_trim", f"""WITH {_ENERGY}, z AS (SELECT clip_id, max(idx) + 1 AS n, max(abs(value)) AS p FROM signal GROUP BY clip_id),
-v AS (SELECT e.clip_id, greatest(0, min(frame) * 4 - 2) AS a, least(max(n), least(max(n), (max(frame) + 1) * 4 + 12) + 2) AS b FROM energy e JOIN z ON e.clip_id = z.clip_id WHERE energy > p * pow(10, -3 / 20e0) GROUP BY e.clip_id)
+v AS (SELECT e.clip_id, greatest(0, min(frame) * 4 - 2) AS a, least(max(n), least(max(n), (max(frame) + 1) * 4 + 12) + 2) AS b FROM energy e JOIN z ON e.clip_id = z.clip_id WHERE energy >= p * pow(10, -3 / 20e0) AND p > 0 GROUP BY e.clip_id)
 SELECT s.clip_id, idx, value FROM signal s LEFT JOIN v ON s.clip_id = v.clip_id WHERE a IS NULL OR (idx >= a AND idx < b)""", "signal")
 def _(s):
     return S.silence_trim(s, 10, 200, 3.0, 16, 4).select("clip_id", "idx", "value")

@@ -110,7 +110,7 @@ def _(r):
 
 
 @query("w4_attempt_resolution", """WITH t AS (SELECT *, frames >= target_len * 6 AS bad FROM attempts WHERE attempt <= 3), r AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY bad, CASE WHEN bad THEN -attempt ELSE attempt END) AS k FROM t)
-SELECT request_id, attempt, frames, bad FROM r WHERE k = 1""", "attempts")
+SELECT request_id, attempt, frames, bad, seed + attempt - 1 AS seed FROM r WHERE k = 1""", "attempts")
 def _(a):
     return R.attempt_resolution(a)
 
@@ -125,6 +125,25 @@ def _(a):
     return R.batch_ledger(a.withColumn("error", F.when(F.col("frames") >= 100, F.concat(F.lit("line "), "attempt"))))
 
 
+# Lines are requests; what was made of them has no row for every 10th, and an error where the first attempt has too many frames.
+_MADE = "lines AS (SELECT request_id AS i, text FROM requests), made AS (SELECT request_id AS i, frames / 25e0 AS duration, CASE WHEN frames >= 100 THEN concat('frames: ', frames::VARCHAR) END AS error FROM attempts WHERE attempt = 1 AND request_id % 10 > 0), res AS (SELECT i, CASE WHEN made.i IS NULL THEN 'no result' ELSE error END AS error, duration FROM lines LEFT JOIN made USING (i))"
+
+
+def _batch(r, a):
+    made = a.where("attempt = 1 and request_id % 10 > 0").select(F.col("request_id").alias("i"), (F.col("frames") / 25).alias("duration"), F.when(F.col("frames") >= 100, F.concat(F.lit("frames: "), F.col("frames").cast("string"))).alias("error"))
+    return R.batch_results(r.select(F.col("request_id").alias("i"), "text"), made)
+
+
+@query("a12_batch_results", f"WITH {_MADE} SELECT i, CASE WHEN error IS NULL THEN duration END AS duration, error FROM res", "requests", "attempts")
+def _(r, a):
+    return _batch(r, a).select("i", "duration", "error")
+
+
+@query("a12_batch_failures", f"WITH {_MADE} SELECT i, concat('Failed on line ', i::VARCHAR, ': ', error) AS message FROM res WHERE error IS NOT NULL", "requests", "attempts")
+def _(r, a):
+    return R.batch_failures(_batch(r, a))
+
+
 @query("s7_output_naming", "WITH o AS (SELECT request_id, CASE WHEN request_id % 5 = 0 THEN concat('x.y/', request_id::VARCHAR, '.take.mp3') ELSE concat('out/output_', CASE WHEN request_id < 1000 THEN lpad(request_id::VARCHAR, 3, '0') ELSE request_id::VARCHAR END, '.wav') END AS path FROM requests) SELECT request_id, path, concat(regexp_replace(path, '\\.[^./]*$', ''), '.timestamps.json') AS sidecar FROM o", "requests")
 def _(r):
     path = R.output_name(F.col("request_id"), "out/", F.when(F.col("request_id") % 5 == 0, F.concat(F.lit("x.y/"), "request_id", F.lit(".take.mp3"))))

@@ -38,8 +38,10 @@ def manifest_error(spark: SparkSession, path: str) -> str | None:
 
 
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """i (from 1 over kept lines), text: lines stripped, without blank ones."""
+    """i (from 1 over kept lines), text: lines stripped, without blank ones. A path without any such line is a ValueError."""
     kept = spark.read.text(path).select(strip(F.col("value")).alias("text"), F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_id")).where("text <> ''")
+    if kept.isEmpty():
+        raise ValueError(f"{path} has no text")
     w = Window.partitionBy("_f", "_b").orderBy("_id")
     before = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
     blocks = kept.groupBy("_f", "_b").agg(F.count("*").alias("_n")).select("_f", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
