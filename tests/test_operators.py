@@ -1,10 +1,16 @@
+import os
+import random
+import uuid
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from vocalake import tables
 from vocalake.functions import nested
-from vocalake.functions.text import split_utterances
-from vocalake.operators import alignment, lengths, requests, runs, signal, validation
+from vocalake.functions.text import pack_utterances, split_utterances
+from vocalake.operators import alignment, hooks, lengths, prompts, requests, runs, signal, validation
+from vocalake.operators.hooks import PerWorker
 from vocalake.sources.manifest import manifest_error, read_manifest, read_text_lines
 from vocalake.sources.media import media_catalog, read_media_catalog
 from vocalake.streaming import streams
@@ -99,14 +105,60 @@ def test_latents_lie_at_audio_positions(spark):
     assert got == [(1, i, [v] * 64) for i, v in enumerate([0.0, 1.0, 2.0, 0.0, 0.0, 3.0, 0.0])] + [(2, 0, [0.0] * 64), (2, 1, [9.0] * 64)]
 
 
-def test_prompts_keep_all_turns(spark, tmp_path):
-    from vocalake import queries, registry  # noqa: F401
+def _prompts(rows):
+    """What a conversation's turns make, one after another."""
+    out, state = [], {}
+    for conv, turn, text, n, ref in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2] or "")):
+        text_before, feats, had = state.get(conv, ("", 0, False))
+        state[conv] = now = (text_before + (text or ""), feats + (n or 0), had or ref is not None)
+        (a, _), (b, _) = prompts.text_digest(now[0])
+        out.append((conv, turn, (a << 31) + b, len(now[0]), now[1], "ref_continuation" if now[2] else "continuation"))
+    return sorted(out, key=repr)
+
+
+def test_prompts_keep_all_turns(spark):
+    rows = [(c, t, f"t{c}-{t} é漢" * (t % 4), t % 3, "r.wav" if c == 3 and t >= 5 else None) for c in (3, 4) for t in range(120)]
+    rows += [(5, 0, None, None, None), (5, 1, "", 2, None), (5, 1, "b", 1, "r"), (5, 1, "a", 1, None), (None, 1, "x", 1, None), (None, 2, "y", 1, None), (6, 9, "z" * 5000, 7, None)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn int, text string, n_feats int, ref_audio string").repartition(7)
+    assert sorted(map(tuple, prompts.merge_prompts(turns).collect()), key=repr) == _prompts(rows)
+    assert prompts.merge_prompts(turns.limit(0)).collect() == []
+    whole = requests.merge_prompt_cache(turns.where("conv_id in (3, 4)")).select("conv_id", "turn", "prompt_text", "mode").collect()
+    lengths_of = {(r["conv_id"], r["turn"]): (r["prompt_chars"], r["mode"]) for r in prompts.merge_prompts(turns).collect()}
+    assert all(lengths_of[r["conv_id"], r["turn"]] == (len(r["prompt_text"]), r["mode"]) for r in whole)
+
+
+def test_digests_of_texts_do_not_depend_on_their_cuts():
+    text = "a漢é🤦" * 300
+    for (a, _), (b, m) in zip(prompts.text_digest(text), prompts.DIGEST):
+        h = 0
+        for c in text:
+            h = (h * b + ord(c)) % m
+        assert a == h
+    for cut in (0, 1, 700, len(text)):
+        for (a, p), (b, q), (c, r), (_, m) in zip(prompts.text_digest(text[:cut]), prompts.text_digest(text[cut:]), prompts.text_digest(text), prompts.DIGEST):
+            assert (a * q + b) % m == c and p * q % m == r
+
+
+def test_a_long_conversation_is_many_tasks(spark):
+    turns = spark.range(200_000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.concat(F.lit("turn "), F.col("id").cast("string")).alias("text"), (F.col("id") % 5).alias("n_feats"), F.when(F.col("id") == 150_000, "r.wav").alias("ref_audio"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # a local run would have its small partitions in one task
+    try:
+        got = prompts.merge_prompts(turns)
+        parts = got.where("turn % 50000 = 49999").orderBy("turn").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert [r["prompt_chars"] for r in parts] == [sum(5 + len(str(i)) for i in range(n)) for n in (50_000, 100_000, 150_000, 200_000)]
+    assert [(r["prompt_feats"], r["mode"]) for r in parts] == [(2 * n, "ref_continuation" if n == 200_000 else "continuation") for n in (50_000, 100_000, 150_000, 200_000)]
+    (a, _), (b, _) = prompts.text_digest("".join(f"turn {i}" for i in range(200_000)))
+    assert parts[-1]["prompt_hash"] == (a << 31) + b
+    assert got.select(F.spark_partition_id()).distinct().count() > 1
+
 
-    turns = spark.createDataFrame([(c, t, "user", f"t{c}-{t} é") for c in (3, 4) for t in range(12)], "conv_id bigint, turn int, role string, text string")
-    turns.write.parquet(str(tmp_path / "conversations.parquet"))
-    prompts = requests.merge_prompt_cache(turns.withColumn("ref_audio", F.when(F.col("conv_id") == 3, "r.wav"))).select("conv_id", "turn", F.md5("prompt_text"), "mode")
-    got = registry.QUERIES["w5_merge_prompt_cache"](spark, str(tmp_path)).collect()
-    assert len(got) == 24 and sorted(map(tuple, got)) == sorted(map(tuple, prompts.collect()))
+def test_features_lie_in_one_track(spark):
+    turns = spark.createDataFrame([(1, 0, "a", 2, None), (1, 1, "b", 0, None), (1, 2, "c", 3, None), (2, 0, "d", 1, None)], "conv_id bigint, turn int, text string, n_feats int, ref_audio string")
+    feats = spark.createDataFrame([(c, t, i, [float(10 * t + i)]) for c, t, n in ((1, 0, 2), (1, 2, 3), (2, 0, 1)) for i in range(n)], "conv_id bigint, turn int, i int, values array<double>")
+    got = sorted(map(tuple, prompts.prompt_features(turns, feats).collect()))
+    assert got == [(1, 0, [0.0]), (1, 1, [1.0]), (1, 2, [20.0]), (1, 3, [21.0]), (1, 4, [22.0]), (2, 0, [0.0])]
 
 
 def _wav(chunks: int, seconds: int = 1) -> bytes:
@@ -155,12 +207,27 @@ def test_a_manifest_from_lines_to_report(spark):
 
 
 def test_vocabulary_is_looked_up_or_joined(spark):
-    tokens = spark.createDataFrame([(1, ["a", "b", "zz", "a"]), (2, []), (3, None), (None, ["b"])], "key bigint, tokens array<string>")
-    vocab = spark.createDataFrame([("a", 1), ("b", 2)], "token string, id int")
-    for most in (1000, 1):
-        got = [(r["key"], r["ids"]) for r in lengths.vocab_encode(tokens.where("key is not null"), vocab, 0, most).collect()]
-        assert sorted(got) == [(1, [1, 2, 0, 1]), (2, []), (3, [])]
+    tokens = spark.createDataFrame([(1, ["a", "b", "zz", "a"]), (2, []), (3, None), (None, ["b"]), (4, ["b", None, ""]), (4, ["a"] * 50)], "key bigint, tokens array<string>").repartition(2)
+    vocab = spark.createDataFrame([("a", 1), ("b", 2), ("", 9)], "token string, id int")
+    expected = sorted([(1, [1, 2, 0, 1]), (2, []), (None, [2]), (4, [2, 0, 9]), (4, [1] * 50)], key=repr)
+    for most, block in ((1000, 1_000_000), (1, 1_000_000), (1, 3), (1, 1)):
+        got = [(r["key"], r["ids"]) for r in lengths.vocab_encode(tokens, vocab, 0, most, block).collect()]
+        assert sorted([x for x in got if x[0] != 3], key=repr) == expected and [x[1] for x in got if x[0] == 3] == [[]]
     assert lengths.vocab_encode(tokens, vocab.limit(0)).where("key = 1").first()["ids"] == [0, 0, 0, 0]
+    assert lengths.vocab_encode(tokens.limit(0), vocab, 0, 1).collect() == []
+
+
+def test_a_hot_token_crosses_once_per_block(spark):
+    words = [f"w{i}" for i in range(50)]
+    tokens = spark.createDataFrame([(i, ["the"] * 500 + [words[i % 50], "never"]) for i in range(400)], "key bigint, tokens array<string>").repartition(4)
+    vocab = spark.createDataFrame([("the", 7), *((w, 100 + i) for i, w in enumerate(words))], "token string, id int")
+    got = lengths.vocab_encode(tokens, vocab, 0, 1, 20_000)
+    assert sorted((r["key"], r["ids"]) for r in got.collect()) == [(i, [7] * 500 + [100 + i % 50, 0]) for i in range(400)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("Join") == 2
+    blocks = 400 * 502 // 20_000 + 4 + 1
+    heads = [r for r in got._jdf.queryExecution().analyzed().toString().splitlines() if "Generate posexplode" in r]
+    assert len(heads) == 1 and blocks < 20  # one row per block and distinct token meets the vocabulary
 
 
 def test_budget_report(spark):
@@ -310,3 +377,73 @@ def test_the_context_with_which_generation_begins(spark):
     assert got == {1: [4, 5, 6], 2: [], 3: [], 4: [], 5: [0], 6: []}
     assert rows.where("key = 1").select(nested.context_before(F.col("mask"), 6).alias("at")).first()["at"] == [1, 2, 4, 5, 6]
     assert rows.where("key = 1").select(nested.context_before(F.col("mask"), 1).alias("at")).first()["at"] == []
+
+
+def _counted(folder):
+    """A maker of things that leave a file for each time they are made and closed."""
+
+    class Counted:
+        def __init__(self):
+            self.name = uuid.uuid4().hex
+            (Path(folder) / f"made-{os.getpid()}-{self.name}").touch()
+
+        def __call__(self, *args):
+            return [[len(t)] for t in args[0]] if len(args) == 1 else [{"text": args[1], "start": 0.0, "end": 1.0, "level": "segment"}]
+
+        def close(self):
+            (Path(folder) / f"closed-{os.getpid()}-{self.name}").touch()
+
+    return Counted
+
+
+def test_a_hook_is_made_once_in_a_worker(spark, tmp_path):
+    folder = str(tmp_path)
+    texts = spark.range(400).select(F.col("id").cast("string").alias("audio"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text")).repartition(8)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        hook = PerWorker(_counted(folder))
+        for _ in range(2):
+            assert {tuple(r["text_ids"]) for r in lengths.tokenized(texts, hook).collect()} == {(2,), (3,), (4,)}
+        made = [p.name.split("-")[1] for p in tmp_path.glob("made-*")]
+        assert 1 <= len(made) == len(set(made)) and not list(tmp_path.glob("closed-*"))  # however many batches, tasks and jobs
+        assert alignment.aligned(texts, PerWorker(_counted(folder), keep=False)).where("warning is null").count() == 400
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(list(tmp_path.glob("made-*"))) - len(made) == len(list(tmp_path.glob("closed-*"))) == 8  # once a task
+
+
+def test_hooks_are_closed_when_others_take_their_place(monkeypatch, tmp_path):
+    monkeypatch.setattr(hooks, "_MADE", type(hooks._MADE)())
+    own = [PerWorker(_counted(str(tmp_path))) for _ in range(hooks.MOST_MADE + 2)]
+    for hook in own:
+        with hook as a, hook as b:
+            assert a is b
+    assert len(list(tmp_path.glob("closed-*"))) == 2 and len(hooks._MADE) == hooks.MOST_MADE
+    with pytest.raises(OSError), PerWorker(_counted(str(tmp_path)), keep=False):
+        raise OSError("lost")
+    assert len(list(tmp_path.glob("closed-*"))) == 4  # one more had to go, and the failed task's own
+    hooks._close_all()
+    assert len(list(tmp_path.glob("closed-*"))) == len(list(tmp_path.glob("made-*")))
+
+
+def test_packs_of_utterances(spark):
+    def packed(utts, max_n, min_n, merge_len):
+        done, cur = [], ""
+        for u in utts:
+            if len(cur + u) > max_n and len(cur) > min_n:
+                done.append(cur)
+                cur = u
+            else:
+                cur += u
+        if cur and len(cur) < merge_len and done:
+            done[-1] += cur
+        elif cur:
+            done.append(cur)
+        return done
+
+    rng = random.Random(2)
+    rows = [(i, ["x" * rng.randint(0, 12) for _ in range(rng.randint(0, 30))], ) for i in range(200)] + [(200, []), (201, [""]), (202, ["", ""]), (203, ["abc"])]
+    df = spark.createDataFrame(rows, "key int, utts array<string>")
+    for sizes in ((20, 10, 5), (8, 0, 3), (30, 25, 40)):
+        got = {r["key"]: r["p"] for r in df.select("key", pack_utterances(F.col("utts"), F.length, *sizes).alias("p")).collect()}
+        assert got == {k: packed(u, *sizes) for k, u in rows}

@@ -153,20 +153,24 @@ def split_utterances(c: Column, lang: str, comma_split: bool = False) -> Column:
 
 
 def pack_utterances(utts: Column, size, max_n: int = 80, min_n: int = 60, merge_len: int = 20) -> Column:
-    """Joins pieces until the next would pass max_n and there are more than min_n; a short last piece goes to the one before. size: column -> length."""
-    zero = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"))
+    """Joins pieces until the next would pass max_n and there are more than min_n; a short last piece goes to the one before. size: column -> length.
+
+    The walk over the pieces keeps where packs begin, not the packs themselves, which are cut out at the end.
+    """
+    zero = F.struct(F.array(F.lit(0)).alias("starts"), F.lit("").alias("cur"), F.lit(0).alias("i"))
 
     def step(a: Column, u: Column) -> Column:
         flush = (size(F.concat(a["cur"], u)) > max_n) & (size(a["cur"]) > min_n)
-        return F.struct(F.when(flush, F.concat(a["done"], F.array(a["cur"]))).otherwise(a["done"]).alias("done"), F.when(flush, u).otherwise(F.concat(a["cur"], u)).alias("cur"))
+        return F.struct(F.when(flush, F.concat(a["starts"], F.array(a["i"]))).otherwise(a["starts"]).alias("starts"), F.when(flush, u).otherwise(F.concat(a["cur"], u)).alias("cur"), (a["i"] + 1).alias("i"))
 
-    def finish(a: Column) -> Column:
-        n = F.size(a["done"])
-        short = (size(a["cur"]) < merge_len) & (n > 0)
-        merged = F.concat(F.slice(a["done"], F.lit(1), F.greatest(n - 1, F.lit(0))), F.array(F.concat(F.get(a["done"], n - 1), a["cur"])))
-        return F.when(a["cur"] == "", a["done"]).when(short, merged).otherwise(F.concat(a["done"], F.array(a["cur"])))
+    def cut(all: Column, a: Column) -> Column:
+        n = F.size(a["starts"])
+        short = (size(a["cur"]) < merge_len) & (n > 1)
+        starts = F.when((a["cur"] == "") | short, F.slice(a["starts"], F.lit(1), F.greatest(n - 1, F.lit(1)))).otherwise(a["starts"])
+        return bound(starts, lambda s: F.transform(s, lambda x, k: F.array_join(F.slice(all, x + 1, F.coalesce(F.get(s, k + 1), F.size(all)) - x), "")))
 
-    return F.aggregate(utts, zero, step, finish)
+    packs = lambda all: bound(F.aggregate(all, zero, step), lambda a: F.when((F.size(a["starts"]) == 1) & (a["cur"] == ""), F.array().cast("array<string>")).otherwise(cut(all, a)))
+    return bound(utts, packs)
 
 
 def collapse_space(c: Column) -> Column:

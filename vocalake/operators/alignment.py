@@ -10,12 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vocalake.functions.text import strip
+from vocalake.operators.hooks import PerWorker
 from vocalake.operators.requests import sidecar_name
 from vocalake.sources.sidecars import write_files
 
 BACKENDS, LEVELS = ("stable_ts",), ("segment", "word", "char")
-#: Aligners by name: (audio, text) -> items. Users add theirs.
-ALIGNERS: dict[str, Callable[[str, str], list[dict]]] = {}
+#: Aligners by name: (audio, text) -> items, or a `PerWorker` that makes one. Users add theirs.
+ALIGNERS: dict[str, Callable[[str, str], list[dict]] | PerWorker] = {}
 ITEM = "array<struct<text:string,start:double,end:double,level:string>>"
 
 
@@ -68,24 +69,29 @@ def write_sidecars(record: DataFrame, path: str) -> None:
     write_files(record.select(sidecar_name(F.col("audio_path")).alias("name"), indented(sidecar_json(record)).alias("payload")), path)
 
 
-def aligned(audio: DataFrame, aligner: str | Callable[[str, str], list[dict]], strict: bool = False) -> DataFrame:
-    """audio (audio, text) with the items of a user's aligner (or the name of one in `ALIGNERS`), run in the tasks; a failure is a warning, or, if strict, stops the job."""
+def aligned(audio: DataFrame, aligner: str | Callable[[str, str], list[dict]] | PerWorker, strict: bool = False) -> DataFrame:
+    """audio (audio, text) with the items of a user's aligner (a function, the name of one in `ALIGNERS`, or a `PerWorker` that makes one), run in the tasks; a failure is a warning, or, if strict, stops the job.
+
+    An aligner that can't be made is no failure of an audio: it stops the job.
+    """
     if isinstance(aligner, str):
         if aligner not in ALIGNERS:
             raise ValueError(f"unknown aligner {aligner}: one of {sorted(ALIGNERS)}")
         aligner = ALIGNERS[aligner]
+    hook = aligner if isinstance(aligner, PerWorker) else PerWorker(lambda: aligner)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for a, t in zip(batch["audio"], batch["text"]):
-                try:
-                    rows.append((a, json.dumps(aligner(a, t)), None))
-                except Exception as e:
-                    if strict:
-                        raise
-                    rows.append((a, "[]", str(e)))
-            yield pd.DataFrame(rows, columns=["audio", "items", "warning"])
+        with hook as own:
+            for batch in batches:
+                rows = []
+                for a, t in zip(batch["audio"], batch["text"]):
+                    try:
+                        rows.append((a, json.dumps(own(a, t)), None))
+                    except Exception as e:
+                        if strict:
+                            raise
+                        rows.append((a, "[]", str(e)))
+                yield pd.DataFrame(rows, columns=["audio", "items", "warning"])
 
     out = audio.select("audio", "text").mapInPandas(run, "audio string, items string, warning string")
     return out.select("audio", F.from_json("items", ITEM).alias("items"), "warning")

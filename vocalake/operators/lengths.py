@@ -8,10 +8,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vocalake.tables import numbered
+from vocalake.operators.hooks import PerWorker
+from vocalake.tables import numbered, stored
 
 
 def estimate_length(text_len: Column, duration: Column, ref_duration: Column, fps: float = 25.0, patch: int = 4) -> Column:
@@ -80,31 +82,65 @@ def consumption_by_dataset(packed: DataFrame, n: int, fps: float = 25.0) -> Data
     return ids.join(sums, ["batch_id", "dataset_id"], "left").fillna(0, ["audio_seconds", "text_tokens"])
 
 
-def vocab_encode(tokens: DataFrame, vocab: DataFrame, unk: int = 0, most: int = 1_000_000) -> DataFrame:
+def vocab_encode(tokens: DataFrame, vocab: DataFrame, unk: int = 0, most: int = 1_000_000, block: int = 1_000_000) -> DataFrame:
     """key, ids: tokens (key, tokens array) by a vocabulary (token, id; each token once), unknown ones as unk.
 
-    A vocabulary of at most `most` rows is broadcast, and each array looked up where it lies: nothing is shuffled. A larger one is joined by token,
-    and AQE splits the tokens that very many rows have.
+    A vocabulary of at most `most` rows is broadcast, and each array looked up where it lies: nothing is shuffled. A larger
+    one is joined by blocks of about `block` tokens (or one row): a block's distinct tokens get numbers of its own and meet
+    the vocabulary once, so a hot token crosses once per block; what is shuffled of the texts are these numbers. A null
+    token is unknown, null tokens are an empty array.
     """
     vocab = vocab.select("token", F.col("id").cast("int").alias("id"))
     held = vocab.limit(most + 1).toArrow()
+    kind = dict(tokens.dtypes)["key"]
     if held.num_rows <= most:
-        shared = tokens.sparkSession.sparkContext.broadcast(held)
+        spark = tokens.sparkSession
+        table = spark.sparkContext.broadcast(held)
+        known = PerWorker(lambda: dict(zip(table.value.column("token").to_pylist(), table.value.column("id").to_pylist())))
 
         def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = shared.value.combine_chunks()
-            known, ids = (known.column(c).combine_chunks() if known.num_rows else pa.array([], t) for c, t in (("token", pa.string()), ("id", pa.int32())))
-            for batch in batches:
-                lists = batch.column("tokens")
-                own = pc.fill_null(ids.take(pc.index_in(lists.flatten(), value_set=known)), unk)
-                sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-                ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-                yield pa.record_batch([batch.column("key"), pa.ListArray.from_arrays(ends, own.cast(pa.int32()))], ["key", "ids"])
-
-        return tokens.select("key", "tokens").mapInArrow(look_up, f"key {dict(tokens.dtypes)['key']}, ids array<int>")
-    each = tokens.select("key", F.posexplode("tokens").alias("pos", "token"))
-    ids = each.join(vocab, "token", "left").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("id", F.lit(unk)).alias("id")))).alias("x"))
-    return tokens.select("key").join(ids, "key", "left").select("key", F.coalesce(F.transform("x", lambda x: x["id"]), F.array().cast("array<int>")).alias("ids"))
+            with known as find:
+                for batch in batches:
+                    sizes, distinct, codes = _numbered_tokens(batch.column("tokens"))
+                    ids = np.array([*(find.get(t, unk) for t in distinct), unk], np.int32)[codes]  # the last one is that of nulls
+                    yield pa.record_batch([batch.column("key"), _arrays(sizes, ids)], ["key", "ids"])
+
+        return tokens.select("key", "tokens").mapInArrow(look_up, f"key {kind}, ids array<int>")
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of keys and the numbers of their tokens, and for each block one row of its distinct tokens."""
+        part, n = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            sizes, distinct, codes = _numbered_tokens(batch.column("tokens"))
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            start = 0
+            while start < batch.num_rows:
+                stop = max(start + 1, int(np.searchsorted(ends, ends[start] + block, "right")) - 1)
+                used, own = np.unique(codes[ends[start] : ends[stop]], return_inverse=True)
+                words = [distinct[i] if i >= 0 else None for i in used.tolist()]
+                rows, at = stop - start, (part << 33) + n
+                yield pa.record_batch([
+                    pa.array([at] * (rows + 1), pa.int64()), pa.concat_arrays([batch.column("key").slice(start, rows), pa.nulls(1, batch.column("key").type)]),
+                    pa.array([False] * rows + [True]), pa.concat_arrays([_arrays(sizes[start:stop], own.astype(np.int32)), pa.nulls(1, pa.list_(pa.int32()))]), pa.array([None] * rows + [words], pa.list_(pa.string())),
+                ], ["block", "key", "head", "codes", "words"])
+                start, n = stop, n + 1
+
+    rows = stored(tokens.select("key", "tokens").mapInArrow(coded, f"block bigint, key {kind}, head boolean, codes array<int>, words array<string>"))
+    words = rows.where("head").select("block", F.posexplode("words").alias("code", "token")).join(vocab, "token", "left")
+    table = words.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("code", F.coalesce("id", F.lit(unk)).alias("id")))).alias("_t"))
+    out = rows.where("not head").select("block", "key", "codes").join(table.select("block", F.transform("_t", lambda x: x["id"]).alias("_ids")), "block", "left")
+    return out.select("key", F.transform("codes", lambda c: F.get("_ids", c)).alias("ids"))
+
+
+def _numbered_tokens(lists: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """Of arrays of tokens: how many each has, their distinct tokens, and the number of every token (-1 for null)."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = lists.flatten().dictionary_encode()
+    return sizes, coded.dictionary.to_pylist(), pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False)
+
+
+def _arrays(sizes: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(values, pa.int32()))
 
 
 def clip_pad(df: DataFrame, track: str, batch: str, most: int, pad) -> DataFrame:
@@ -129,11 +165,14 @@ def latent_track(packed: DataFrame, latents: DataFrame) -> DataFrame:
     return audio.unionByName(rest)
 
 
-def tokenized(df: DataFrame, tokenize: Callable[[list[str]], list[list[int]]], column: str = "text", remove: tuple[str, ...] = ()) -> DataFrame:
-    """df with text_ids by a user's batch tokenizer, without the columns to remove. Where a vocabulary join does, `vocab_encode` is faster."""
+def tokenized(df: DataFrame, tokenize: Callable[[list[str]], list[list[int]]] | PerWorker, column: str = "text", remove: tuple[str, ...] = ()) -> DataFrame:
+    """df with text_ids by a user's batch tokenizer, or by a `PerWorker` that makes one, without the columns to remove. Where a vocabulary join does, `vocab_encode` is faster."""
+    hook = tokenize if isinstance(tokenize, PerWorker) else PerWorker(lambda: tokenize)
 
     @F.pandas_udf("array<int>")
-    def ids(texts: pd.Series) -> pd.Series:
-        return pd.Series(tokenize(texts.fillna("").tolist()), index=texts.index)
+    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        with hook as own:
+            for texts in batches:
+                yield pd.Series(own(texts.fillna("").tolist()), index=texts.index)
 
     return df.withColumn("text_ids", ids(F.col(column))).drop(*remove)

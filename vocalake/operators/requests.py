@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,28 +97,9 @@ def attempt_resolution(attempts: DataFrame, most: int = 3, ratio: float = 6.0) -
 
 
 def merge_prompt_cache(turns: DataFrame) -> DataFrame:
-    """Per turn, the texts so far as one prompt; the mode says whether there is a reference. Grows with the square of turns: bound them before."""
+    """Per turn, the texts so far as one prompt; the mode says whether there has been a reference. Grows with the square of turns, as it writes out each prompt: `prompts.merge_prompts` doesn't."""
     w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
-    return turns.select("conv_id", "turn", F.array_join(F.collect_list("text").over(w), "").alias("prompt_text"), F.when(F.col("ref_audio").isNotNull(), "ref_continuation").otherwise("continuation").alias("mode"))
-
-
-def merge_prompt_digests(turns: DataFrame) -> DataFrame:
-    """As `merge_prompt_cache`, with the md5 of each prompt for its text: carried from turn to turn, so work and memory don't grow with the square of turns."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        conv, state = None, None
-        for batch in batches:
-            out = []
-            for c, text in zip(batch.column("conv_id").to_pylist(), batch.column("text").to_pylist()):
-                if state is None or c != conv:
-                    conv, state = c, hashlib.md5()
-                state.update((text or "").encode())
-                out.append(state.hexdigest())
-            yield pa.record_batch([batch.column("conv_id"), batch.column("turn"), pa.array(out, pa.string()), batch.column("mode")], ["conv_id", "turn", "prompt_md5", "mode"])
-
-    rows = turns.select("conv_id", "turn", "text", F.when(F.col("ref_audio").isNotNull(), "ref_continuation").otherwise("continuation").alias("mode"))
-    kinds = dict(rows.dtypes)
-    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn").mapInArrow(run, f"conv_id {kinds['conv_id']}, turn {kinds['turn']}, prompt_md5 string, mode string")
+    return turns.select("conv_id", "turn", F.array_join(F.collect_list("text").over(w), "").alias("prompt_text"), F.when(F.max(F.col("ref_audio").isNotNull()).over(w), "ref_continuation").otherwise("continuation").alias("mode"))
 
 
 def batch_results(lines: DataFrame, made: DataFrame) -> DataFrame:

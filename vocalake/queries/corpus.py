@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from vocalake.functions import nested as N
 from vocalake.functions.text import base_tokens
 from vocalake.operators import lengths as L
 from vocalake.operators import runs as R
+from vocalake.operators.hooks import PerWorker
 from vocalake.registry import query
 from vocalake.sources.manifest import read_splits
 from vocalake.tables import numbered, spread, stored
@@ -101,14 +104,27 @@ def _(b):
 _TOK = r"regexp_extract_all(text, '[\x{4E00}-\x{9FFF}]+|[A-Za-z\x{C0}-\x{24F}]+|[0-9]+|[^\sA-Za-z0-9\x{C0}-\x{24F}\x{4E00}-\x{9FFF}]')"
 
 
-@query("j4_vocab_encode", f"""WITH t AS (SELECT doc_id, {_TOK} AS l FROM documents), e AS (SELECT doc_id, unnest(l) AS token, unnest(range(1, len(l) + 1)) AS pos FROM t),
+_ENCODED = f"""WITH t AS (SELECT doc_id, {_TOK} AS l FROM documents), e AS (SELECT doc_id, unnest(l) AS token, unnest(range(1, len(l) + 1)) AS pos FROM t),
 v AS (SELECT token, (row_number() OVER (ORDER BY encode(token)))::INT AS id FROM (SELECT token FROM e GROUP BY token HAVING count(*) >= 20)),
-g AS (SELECT doc_id, string_agg(coalesce(id, 0)::VARCHAR, ',' ORDER BY pos) AS ids FROM e LEFT JOIN v USING (token) GROUP BY doc_id) SELECT d.doc_id AS key, coalesce(ids, '') AS ids FROM documents d LEFT JOIN g USING (doc_id)""", "documents")
+g AS (SELECT doc_id, string_agg(coalesce(id, 0)::VARCHAR, ',' ORDER BY pos) AS ids FROM e LEFT JOIN v USING (token) GROUP BY doc_id) SELECT d.doc_id AS key, coalesce(ids, '') AS ids FROM documents d LEFT JOIN g USING (doc_id)"""
+
+
+@query("j4_vocab_encode", _ENCODED, "documents")
+def _(d):
+    tokens = stored(spread(d).select(F.col("doc_id").alias("key"), base_tokens(F.col("text")).alias("tokens")))
+    return L.vocab_encode(tokens, _vocabulary(tokens)).select("key", _joined(F.col("ids")).alias("ids"))
+
+
+@query("j4_vocab_encode_joined", _ENCODED, "documents")
 def _(d):
-    tokens = spread(d).select(F.col("doc_id").alias("key"), base_tokens(F.col("text")).alias("tokens"))
+    """The same where the vocabulary is taken as too large to be broadcast."""
+    tokens = stored(spread(d).select(F.col("doc_id").alias("key"), base_tokens(F.col("text")).alias("tokens")))
+    return L.vocab_encode(tokens, _vocabulary(tokens), most=0).select("key", _joined(F.col("ids")).alias("ids"))
+
+
+def _vocabulary(tokens):
     vocab = tokens.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where("n >= 20")
-    vocab = numbered(stored(vocab.select("token")), "token").select("token", (F.col("position") + 1).cast("int").alias("id"))
-    return L.vocab_encode(tokens, vocab).select("key", _joined(F.col("ids")).alias("ids"))
+    return numbered(stored(vocab.select("token")), "token").select("token", (F.col("position") + 1).cast("int").alias("id"))
 
 
 # Packed tracks: a document's ids are the lengths of all its words; its audio and reference have the patches of the manifest's durations.
@@ -248,9 +264,19 @@ def _(d):
     return L.consumption_by_dataset(_samples(d).select("batch_id", "dataset_id", ((F.col("a") + F.col("r")) * 4).alias("frames"), F.size("ids").alias("text_tokens")), 4)
 
 
+class _Sizes:
+    """A tokenizer that has to be made: the ids are the sizes of words."""
+
+    def __init__(self):
+        self.words = re.compile(" ").split
+
+    def __call__(self, texts):
+        return [list(map(len, self.words(t))) for t in texts]
+
+
 @query("f1_tokenized", "SELECT doc_id, array_to_string(list_transform(string_split(text, ' '), lambda w: length(w)), ',') AS ids FROM documents", "documents")
 def _(d):
-    out = L.tokenized(d.select("doc_id", "text"), lambda texts: [[len(w) for w in t.split(" ")] for t in texts], remove=("text",))
+    out = L.tokenized(d.select("doc_id", "text"), PerWorker(_Sizes), remove=("text",))
     return out.select("doc_id", _joined(F.col("text_ids")).alias("ids"))
 
 

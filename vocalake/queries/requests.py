@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from vocalake.functions.text import SPACE, compose_text
 from vocalake.operators import alignment as A
+from vocalake.operators import prompts as P
 from vocalake.operators import requests as R
 from vocalake.registry import query
 
@@ -115,9 +116,18 @@ def _(a):
     return R.attempt_resolution(a)
 
 
-@query("w5_merge_prompt_cache", "SELECT conv_id, turn, md5(string_agg(text, '') OVER (PARTITION BY conv_id ORDER BY turn)) AS prompt_md5, CASE WHEN ref_audio IS NOT NULL THEN 'ref_continuation' ELSE 'continuation' END AS mode FROM dialogue", "dialogue")
+def _polynomial(text: str, base: int, modulus: int) -> str:
+    return f"list_reduce(list_concat([0::BIGINT], list_transform(string_split({text}, ''), lambda c: ord(c)::BIGINT)), lambda a, c: (a * {base} + c) % {modulus})"
+
+
+# Every turn has a feature for each four characters and one more; the references come with a conversation's third turn.
+_TURNS = "t AS (SELECT conv_id, turn, text, length(text) // 4 + 1 AS n_feats, ref_audio IS NOT NULL AND turn >= 2 AS ref FROM dialogue), r AS (SELECT conv_id, turn, string_agg(text, '') OVER w AS prompt, sum(n_feats) OVER w AS feats, bool_or(ref) OVER w AS ref FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn))"
+
+
+@query("w5_merge_prompt_cache", f"WITH {_TURNS} SELECT conv_id, turn, {_polynomial('prompt', 1000003, 2147483647)} * 2147483648 + {_polynomial('prompt', 1000033, 2147483629)} AS prompt_hash, length(prompt)::BIGINT AS prompt_chars, feats::BIGINT AS prompt_feats, CASE WHEN ref THEN 'ref_continuation' ELSE 'continuation' END AS mode FROM r", "dialogue")
 def _(turns):
-    return R.merge_prompt_digests(turns)
+    own = turns.withColumns({"n_feats": F.floor(F.length("text") / 4) + 1, "ref_audio": F.when(F.col("turn") >= 2, F.col("ref_audio"))})
+    return P.merge_prompts(own)
 
 
 @query("a12_batch_ledger", "SELECT count(*) AS attempted, count(*) FILTER (frames < 100) AS succeeded, count(*) FILTER (frames >= 100) AS failed FROM attempts", "attempts")

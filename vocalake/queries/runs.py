@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from vocalake.operators import runs as R
 from vocalake.registry import query
+from vocalake.sources.listing import artifact_files
+from vocalake.sources.sidecars import write_files
 from vocalake.streaming import streams
 from vocalake.tables import shared_path
 
@@ -37,6 +39,22 @@ def _(f):
     return R.catalogue_order(f)
 
 
+# The same from a real tree: the files are written under their names, then listed by levels and read. Of rows that are one file, the last body counts.
+_TREE = "tree AS (SELECT dir, name, max(coalesce(body, '')) AS body FROM files GROUP BY dir, name)"
+
+
+def _tree(f):
+    spark = f.sparkSession
+    path = shared_path(spark)
+    write_files(f.select(F.concat_ws("/", "dir", "name").alias("name"), F.coalesce("body", F.lit("")).alias("payload")), path)
+    return artifact_files(spark, path).where("dir <> ''")
+
+
+@query("s9_listed_catalog", f"WITH {_TREE}, {_CAT.replace('FROM files', 'FROM tree')}", "files")
+def _(f):
+    return R.artifact_catalog(_tree(f))
+
+
 _RUN = "regexp_extract(dir, '^([^/]+)/', 1)"
 _N = r"TRY_CAST(regexp_extract(dir, '/step_(\d+)$', 1) AS BIGINT)"
 
@@ -46,6 +64,11 @@ def _(f):
     return R.resume_point(f)
 
 
+@query("s10_listed_resume_point", f"WITH {_TREE} SELECT {_RUN} AS run, CASE WHEN bool_or(dir LIKE '%/latest') THEN coalesce(max(CASE WHEN dir LIKE '%/latest' AND name = 'training_state.json' THEN TRY_CAST(body->>'$.step' AS BIGINT) END), max({_N}), 0) ELSE 0 END AS step FROM tree GROUP BY ALL", "files")
+def _(f):
+    return R.resume_point(_tree(f).where("dir like '%/%'"))
+
+
 @query("o4_latest_step", f"SELECT {_RUN} AS run, max({_N}) AS step FROM files GROUP BY ALL HAVING max({_N}) IS NOT NULL", "files")
 def _(f):
     return R.latest_step(f)
