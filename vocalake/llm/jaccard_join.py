@@ -43,7 +43,7 @@ from vocalake.llm.graph import components
 from vocalake.llm.hashing import scrambled, word_hashes
 
 CELLS, CHUNK = 1 << 27, 1 << 16
-BLOCK, SALTS, LIST = 512, 64, 100_000
+BLOCK, SALTS, LIST, SIDE = 512, 64, 100_000, 512
 _EDGES = np.arange(16, dtype=np.uint64) << np.uint64(60)
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -174,6 +174,82 @@ def _width(percent: int) -> float:
     return max(math.log(100 / percent), 1e-9) * 1.000001
 
 
+def _top(up: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Roots of x in a forest; what was walked through is hung below them."""
+    root = up[x]
+    while True:
+        higher = up[root]
+        if np.array_equal(higher, root):
+            up[x] = root
+            return root
+        root = higher
+
+
+def united(gram: np.ndarray, size: np.ndarray, place: np.ndarray, ranges: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of a forest of the pairs that pass the filters, within lists of equal grams (rows come by gram and size).
+
+    Short lists meet row by row at growing distances. Long ones meet by squares of `SIDE` rows: pairs that are connected
+    already drop out first, then filters follow by cost, the counts by range at first in eight sums. So a list costs some ns
+    a pair where sets differ, and close to nothing where they are alike.
+    """
+    up, out = np.arange(len(gram)), []
+    needed = -(-percent * np.arange(2 * int(size.max()) + 1 if len(size) else 1) // (100 + percent))  # by the sum of both sizes
+    room = (np.arange(len(needed)) - 2 * needed).astype(np.int32)
+    coarse = ranges.reshape(len(ranges), 8, 2).sum(2).astype(np.int16)
+    far, more = np.empty((2, SIDE, SIDE), np.int16)
+
+    def unite(x: np.ndarray, y: np.ndarray) -> None:
+        """Joins what pairs connect: of the pairs that hang a root below a smaller one, one for each root at a time."""
+        while len(x):
+            a, b = _top(up, x), _top(up, y)
+            apart = a != b
+            x, y, a, b = x[apart], y[apart], a[apart], b[apart]
+            high, at = np.unique(np.maximum(a, b), return_index=True)
+            up[high] = np.minimum(a, b)[at]
+            out.append((x[at], y[at]))
+
+    def passes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        both = size[x] + size[y]
+        ok = (100 * np.minimum(size[x], size[y]).astype(np.int64) >= percent * np.maximum(size[x], size[y]).astype(np.int64)) & (np.minimum(size[x] - place[x], size[y] - place[y]) >= needed[both])
+        ok[ok] = np.abs(ranges[x[ok]] - ranges[y[ok]]).sum(1) <= room[both[ok]]
+        return ok
+
+    starts = np.flatnonzero(np.diff(gram, prepend=gram[:1] - 1)) if len(gram) else np.zeros(0, np.int64)
+    sizes = np.diff(starts, append=len(gram))
+    active, step = np.flatnonzero(np.repeat(sizes <= SIDE, sizes)), 0
+    while len(active):  # short lists: pairs of rows that lie `step` apart, as long as the length filter holds
+        step += 1
+        active = active[active + step < len(gram)]
+        active = active[(gram[active] == gram[active + step]) & (100 * size[active].astype(np.int64) >= percent * size[active + step].astype(np.int64))]
+        x = active[_top(up, active) != _top(up, active + step)] if step > 1 else active
+        ok = passes(x, x + step)
+        unite(x[ok], x[ok] + step)
+    for start, n in zip(starts[sizes > SIDE].tolist(), sizes[sizes > SIDE].tolist()):
+        squares = [np.arange(k, min(k + SIDE, start + n)) for k in range(start, start + n, SIDE)]
+        for own in (True, False):  # each square with itself at first, which connects what is alike
+            for i, a in enumerate(squares):
+                for b in squares[i : i + 1] if own else squares[i + 1 :]:
+                    if 100 * int(size[a[-1]]) < percent * int(size[b[0]]):
+                        break
+                    p, q = _top(up, a), _top(up, b)
+                    if not own and p.min() == p.max() == q.min() == q.max():
+                        continue
+                    left = far[: len(a), : len(b)]
+                    np.abs(np.subtract(coarse[a, None, 0], coarse[b, 0], out=left), out=left)
+                    for k in range(1, 8):
+                        part = more[: len(a), : len(b)]
+                        left += np.abs(np.subtract(coarse[a, None, k], coarse[b, k], out=part), out=part)
+                    most = room[2 * int(size[a[0]])] if size[a[0]] == size[b[-1]] else room[size[a, None] + size[b]]
+                    x, y = np.nonzero(left <= most)
+                    apart = (p[x] != q[y]) if not own else x < y
+                    x, y = a[x[apart]], b[y[apart]]
+                    ok = passes(x, y)
+                    unite(x[ok], y[ok])
+    if not out:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
 def candidates(prefix: DataFrame, percent: int) -> DataFrame:
     """a, b (values of s1): within each n-gram's list, a forest of the pairs that pass the filters.
 
@@ -197,29 +273,11 @@ def candidates(prefix: DataFrame, percent: int) -> DataFrame:
                 continue
             order = np.lexsort((s1, size, gram))
             gram, s1, size, place, r1, r2 = (c[order] for c in (gram, s1, size, place, r1, r2))
-            size, place = size.astype(np.int64), place.astype(np.int64)
-            ranges = np.stack([r1, r2], 1).view(np.uint8)
-            tree, out = Forest(len(gram)), []
-            active, step = np.arange(len(gram)), 0
-            while len(active):  # pairs of rows that lie `step` apart in a list, as long as the length filter holds
-                step += 1
-                active = active[active + step < len(gram)]
-                other = active + step
-                near = (gram[active] == gram[other]) & (100 * size[active] >= percent * size[other])
-                active, other = active[near], other[near]
-                need = -(-percent * (size[active] + size[other]) // (100 + percent))
-                ok = (s1[active] != s1[other]) & (1 + np.minimum(size[active] - place[active] - 1, size[other] - place[other] - 1) >= need)
-                a, b, need = active[ok], other[ok], need[ok]
-                apart = np.abs(ranges[a].astype(np.int16) - ranges[b]).sum(1) if len(a) else np.zeros(0)
-                ok = apart <= size[a] + size[b] - 2 * need
-                for i, j in zip(a[ok].tolist(), b[ok].tolist()):
-                    x, y = tree.root(i), tree.root(j)
-                    if x != y:
-                        tree.up[x] = y
-                        out.append((i, j))
-                # Rows of one set are neighbours, as copies in other tasks; the pairs that they skip are their copies' own.
-            if out:
-                i, j = np.array(out).T
+            new = np.ones(len(gram), bool)
+            new[1:] = (gram[1:] != gram[:-1]) | (s1[1:] != s1[:-1])  # copies in other tasks are neighbours
+            gram, s1, size, place, r1, r2 = (c[new] for c in (gram, s1, size, place, r1, r2))
+            i, j = united(gram, size.astype(np.int32), place.astype(np.int32), np.stack([r1, r2], 1).view(np.uint8).astype(np.int16), percent)
+            if len(i):
                 yield pa.record_batch([pa.array(s1[i]), pa.array(s1[j])], ["a", "b"])
 
     return prefix.repartition("gram").sortWithinPartitions("gram").select(*names).mapInArrow(run, "a bigint, b bigint")
