@@ -3,7 +3,8 @@
 A document is a sparse vector of hashed words (log counts, unit length), structure statistics and metadata (its stated
 length), each statistic as one of a few bins. Score: sigmoid of bias + linear terms + all pairwise interactions of rank
 `RANK`, the latter in linear time: half of the squares of sums less the sums of squares, per factor. It is trained on a
-bounded sample of labelled rows (`SAMPLE` at most), whose vectors are made on the executors; every text is scored whole.
+bounded sample of labelled rows (`SAMPLE` at most), whose vectors are made on the executors, words of one bucket merged, and
+have at most `LEARNED` words each when they come to the driver (some 100 MB in all); every text is scored whole.
 
 Defined cases: null and empty texts have no words, and are scored by their statistics; a null stated length, or none in
 the table, has a bin of its own; a null id is not held out; repeated rows get equal scores; without labels, or with one kind only, the score is the smoothed share of label 1;
@@ -23,10 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vocalake.llm.common import Memo, by_parts, held_out, table
-from vocalake.llm.sampling import labelled_sample
+from vocalake.llm.sampling import kept_slots, labelled_sample
 
 SAMPLE, RANK, EPOCHS, BATCH, RATE, DECAY = 12_000, 8, 6, 128, 0.02, 1e-4
 BUCKETS, STATS, BINS = 1 << 15, 12, 24
+#: Words of a row that is learned from; of one that has more, the ones left out are chosen by a hash.
+LEARNED = 1024
 SLOTS = BUCKETS + STATS * BINS
 _bucket: Memo | None = None
 _drop_letters = dict.fromkeys(map(ord, "abcdefghijklmnopqrstuvwxyz"))
@@ -103,10 +106,21 @@ class Machine:
                 self.bias -= RATE * bias
 
 
+def learned(slots: list[int], values: list[float], most: int = LEARNED) -> tuple[np.ndarray, np.ndarray]:
+    """A vector as it is learned from: at most so many word slots, of unit length again, and all statistics."""
+    words, size = np.array(slots[:-STATS], np.int32), np.array(values[:-STATS], np.float32)
+    if len(words) > most:
+        words, inverse = np.unique(words, return_inverse=True)
+        size = np.bincount(inverse, size).astype(np.float32)
+        keep = kept_slots(words, most)
+        words, size = words[keep], size[keep] / np.sqrt((size[keep] ** 2).sum())
+    return np.concatenate([words, np.array(slots[-STATS:], np.int32)]), np.concatenate([size, np.array(values[-STATS:], np.float32)])
+
+
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in by_parts(batches):
         if batch.num_rows:
-            got = [vector(t or "", n) for t, n in zip(batch.column("text").to_pylist(), batch.column("n_chars").to_pylist())]
+            got = [learned(*vector(t or "", n)) for t, n in zip(batch.column("text").to_pylist(), batch.column("n_chars").to_pylist())]
             yield pa.record_batch([pa.array([x for x, _ in got], pa.list_(pa.int32())), pa.array([x for _, x in got], pa.list_(pa.float32())), batch.column("label")], ["slots", "vals", "label"])
 
 

@@ -222,11 +222,19 @@ def scores(docs: DataFrame, least: int = LEAST, backoff: float = BACKOFF, common
     return one.select("doc_id", F.col("words").alias("n_words"), (F.col("inner") - F.col("known")).alias("n_backoff"), "log_score", (F.col("log_score") / F.nullif("words", F.lit(0))).alias("mean"))
 
 
-def op9_lm_scoring(spark, sf_dir: str) -> DataFrame:
-    out = scores(table(spark, sf_dir, "documents"))
+def _rounded(out: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_words", "n_backoff", F.round("log_score", 4).alias("log_score"), F.round("mean", 6).alias("mean"))
 
 
+def op9_lm_scoring(spark, sf_dir: str) -> DataFrame:
+    return _rounded(scores(table(spark, sf_dir, "documents")))
+
+
+def lm_scoring_joined(spark, sf_dir: str) -> DataFrame:
+    """The same with so few common words and pairs that on tables of any size nearly all are met in the join."""
+    return _rounded(scores(table(spark, sf_dir, "documents"), common=100))
+
+
 SQL = r"""
 WITH w AS (SELECT doc_id, unnest(l) AS w, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS l FROM documents)),
 p AS (SELECT doc_id, i, w, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS v FROM w),

@@ -15,6 +15,7 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_lm_scoring": lm_scoring.op9_lm_scoring,
     "op10_matroska": matroska.op10_matroska,
+    "lm_scoring_joined": lm_scoring.lm_scoring_joined,
     "op11_fill_middle": fill_middle.op11_fill_middle,
     "op12_resampling": resampling.op12_resampling,
     "op13_token_counts": token_counts.op13_token_counts,
@@ -55,4 +56,4 @@ SELECT d.doc_id, n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS
 """
 
 
-ORACLE_SQL: dict[str, str] = {"op4_quality_rules": _quality(), "op8_jaccard_join": _JACCARD, "op9_lm_scoring": lm_scoring.SQL, "op11_fill_middle": fill_middle.SQL, "op12_resampling": resampling.SQL}
+ORACLE_SQL: dict[str, str] = {"op4_quality_rules": _quality(), "op8_jaccard_join": _JACCARD, "op9_lm_scoring": lm_scoring.SQL, "lm_scoring_joined": lm_scoring.SQL, "op11_fill_middle": fill_middle.SQL, "op12_resampling": resampling.SQL}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,3 +30,11 @@ def _rows(docs: DataFrame, ids: DataFrame, most: int) -> DataFrame:
     rows = docs.select(*[c for c in ("doc_id", "text", "n_chars") if c in docs.columns]).join(F.broadcast(chosen), "doc_id")
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))  # Spark keeps one row of an id in each task before it shuffles
     return rows.withColumn("_first", first).where("_first = 1").drop("_first")
+
+
+def kept_slots(slots: np.ndarray, most: int) -> np.ndarray:
+    """Which slots (from 0) of a row to learn from: all, or `most` of them by a hash that also depends on how many there are, so that rows leave out different ones."""
+    if len(slots) <= most:
+        return np.arange(len(slots))
+    mixed = (slots.astype(np.uint64) + np.uint64(len(slots))) * np.uint64(0x9E3779B97F4A7C15)
+    return np.sort(np.argsort(mixed ^ (mixed >> np.uint64(29)), kind="stable")[:most])
