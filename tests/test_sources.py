@@ -167,3 +167,9 @@ def test_a_spark_job_that_fails_leaves_no_file(spark, tmp_path):
     assert not [p for p in (tmp_path / "out").rglob("*") if p.is_file()]
     sidecars.write_files(rows.where("id < 39"), str(tmp_path / "out"))
     assert len(list((tmp_path / "out").glob("f*"))) == 39
+
+
+def test_names_of_artefacts_can_be_given(spark):
+    files = spark.createDataFrame([("a", "own.bin", None), ("a", "own.json", '{"base_model": "m"}'), ("b", "weights.safetensors", None), ("c", "own.bin", None), ("c", "own.json", "{")], "dir string, name string, body string")
+    assert list(map(tuple, runs.artifact_catalog(files, "own.bin", "own.json").collect())) == [("c", None), ("a", "m")]
+    assert [r["id"] for r in runs.catalogue_order(files).collect()] == ["b"]

@@ -80,17 +80,17 @@ def key_reconcile(keys: DataFrame, targets: DataFrame) -> DataFrame:
     return out.select("target_key", F.coalesce("_d", "_s").alias("matched"), F.coalesce("_d", "_s").isNotNull().alias("loaded"))
 
 
-def artifact_catalog(files: DataFrame) -> DataFrame:
+def artifact_catalog(files: DataFrame, weights: str = "weights.safetensors", sidecar: str = "config.json") -> DataFrame:
     """id, base_model of the directories that hold weights, ids descending: Unknown where the sidecar lacks the key, null without a readable one."""
-    dirs = files.where("name = 'weights.safetensors'").select("dir").distinct()
-    side = files.where("name = 'config.json'").groupBy("dir").agg(F.min("body").alias("body"))
+    dirs = files.where(F.col("name") == weights).select("dir").distinct()
+    side = files.where(F.col("name") == sidecar).groupBy("dir").agg(F.min("body").alias("body"))
     model = F.when(F.try_parse_json("body").isNotNull(), F.coalesce(F.get_json_object("body", "$.base_model"), F.lit("Unknown")))
     return dirs.join(side, "dir", "left").select(F.col("dir").alias("id"), model.alias("base_model")).orderBy(F.desc("id"))
 
 
-def catalogue_order(files: DataFrame) -> DataFrame:
+def catalogue_order(files: DataFrame, weights: str = "weights.safetensors", sidecar: str = "config.json") -> DataFrame:
     """The whole artifact catalogue: id, base_model and the position (from 0) in descending order of ids."""
-    return numbered(artifact_catalog(files), F.desc("id"))
+    return numbered(artifact_catalog(files, weights, sidecar), F.desc("id"))
 
 
 def resume_point(files: DataFrame) -> DataFrame:

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from vocalake.operators import signal as S
 from vocalake.registry import query
-from vocalake.sources.media import media_catalog, wav_bytes
+from vocalake.sources.media import media_catalog, read_media_catalog, wav_bytes
+from vocalake.sources.sidecars import write_files
 from vocalake.streaming import streams
+from vocalake.tables import shared_path
 
 
 def _r(df, *cols):
@@ -92,8 +94,25 @@ def _(s):
     return out.withColumn("value", F.round("value", 9))
 
 
-@query("s5_media_catalog", "SELECT concat('c', doc_id::VARCHAR) AS clip, (n_chars % 400)::BIGINT AS frames, CASE WHEN doc_id % 2 = 0 THEN 16000 ELSE 8000 END AS sample_rate, round((n_chars % 400) / (CASE WHEN doc_id % 2 = 0 THEN 16e3 ELSE 8e3 END), 6) AS duration, 44 + 2 * (n_chars % 400)::BIGINT AS bytes FROM documents", "documents")
+# A silent clip for each document.
+_CLIPS = "SELECT concat('c', doc_id::VARCHAR) AS clip, (n_chars % 400)::BIGINT AS frames, CASE WHEN doc_id % 2 = 0 THEN 16000 ELSE 8000 END AS sample_rate, round((n_chars % 400) / (CASE WHEN doc_id % 2 = 0 THEN 16e3 ELSE 8e3 END), 6) AS duration, 44 + 2 * (n_chars % 400)::BIGINT AS bytes FROM documents"
+
+
+def _clips(d):
+    return d.select(F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("path"), wav_bytes(F.col("n_chars") % 400, F.when(F.col("doc_id") % 2 == 0, 16000).otherwise(8000)).alias("content"))
+
+
+@query("s5_media_catalog", _CLIPS, "documents")
 def _(d):
-    files = d.select(F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("path"), wav_bytes(F.col("n_chars") % 400, F.when(F.col("doc_id") % 2 == 0, 16000).otherwise(8000)).alias("content"))
-    out = media_catalog(files)
+    out = media_catalog(_clips(d))
     return out.select(F.col("path").alias("clip"), "frames", "sample_rate", F.round("duration", 6).alias("duration"), "bytes")
+
+
+@query("s5_listed_media", _CLIPS, "documents")
+def _(d):
+    """The clips as files in a tree, which is listed, and of which headers are read."""
+    spark, path = d.sparkSession, shared_path(d.sparkSession)
+    place = F.concat(F.substring(F.md5("path"), 1, 1), F.lit("/"), F.col("path"), F.lit(".wav"))
+    write_files(_clips(d).select(place.alias("name"), F.col("content").alias("payload")), path)
+    out = read_media_catalog(spark, path, "*.wav")
+    return out.select(F.regexp_extract("path", r"([^/]+)\.wav$", 1).alias("clip"), "frames", "sample_rate", F.round("duration", 6).alias("duration"), "bytes")

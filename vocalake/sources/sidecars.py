@@ -1,4 +1,4 @@
-"""One text file per row, under the row's own name: a sink whose files are whole or absent."""
+"""One file per row, under the row's own name: a sink whose files are whole or absent."""
 
 from __future__ import annotations
 
@@ -45,7 +45,7 @@ class SidecarWriter(DataSourceWriter):
             for name, payload in iterator:
                 place = staged.setdefault(name, f"{own}/{len(staged)}")
                 with store.open_output_stream(place) as f:
-                    f.write(payload.encode())
+                    f.write(payload.encode() if isinstance(payload, str) else bytes(payload))
             with store.open_output_stream(f"{own}.names") as f:
                 f.write("".join(json.dumps(n) + "\n" for n in staged).encode())
             for folder in {self._at(n, top).rpartition("/")[0] for n in staged}:
@@ -93,7 +93,7 @@ class Sidecars(DataSource):
 
 
 def write_files(rows: DataFrame, path: str) -> None:
-    """Writes the payload of each row (name, payload) as a file of that name; of rows with one name, the one whose payload sorts last."""
+    """Writes the payload (text or bytes) of each row (name, payload) as a file of that name; of rows with one name, the one whose payload sorts last."""
     rows.sparkSession.dataSource.register(Sidecars)
     own = rows.where("name is not null and payload is not null").select("name", "payload")
     own.repartition("name").sortWithinPartitions("name", "payload").write.format("sidecars").option("path", path).mode("append").save()
