@@ -166,6 +166,18 @@ def _(d):
     return _samples(d).withColumn("p", N.pack_target(F.col("ids"), F.col("a"), F.col("is_prompt"))).select("doc_id", *_tracks("p"))
 
 
+# The same over ids of a vocabulary, as samples for training are made.
+_PACKED_IDS = f"WITH enc AS ({_ENCODED}), s AS (SELECT key AS doc_id, CASE WHEN ids = '' THEN []::INT[] ELSE list_transform(string_split(ids, ','), lambda x: x::INT) END AS ids, ceil(ceil(n_chars / 15e0 * 25) / 4)::INT AS a, key % 7 = 0 AS is_prompt FROM enc JOIN documents ON key = documents.doc_id) SELECT doc_id, " + ", ".join(f"{_list(x)} AS {n}" for n, x in _TARGET.items()) + " FROM s"
+
+
+@query("n4_pack_vocabulary_ids", _PACKED_IDS, "documents")
+def _(d):
+    tokens = stored(spread(d).select(F.col("doc_id").alias("key"), base_tokens(F.col("text")).alias("tokens")))
+    ids = L.vocab_encode(tokens, _vocabulary(tokens)).withColumnRenamed("key", "doc_id")
+    s = ids.join(_samples(d).drop("ids"), "doc_id").withColumn("p", N.pack_target(F.col("ids"), F.col("a"), F.col("is_prompt")))
+    return s.select("doc_id", *_tracks("p"))
+
+
 @query("n5_pack_with_reference", f"{_S} SELECT doc_id, " + ", ".join(f"{_list(x)} AS {n}" for n, x in _REF.items()) + " FROM s", "documents")
 def _(d):
     return _samples(d).withColumn("p", N.pack_with_reference(F.col("r"), F.col("ids"), F.col("a"))).select("doc_id", *_tracks("p"))
