@@ -235,6 +235,18 @@ def test_repeats_are_those_of_brute_force(docs, clashing, empty):
     assert run_length_index.deduplicated(empty).count() == 0
 
 
+def test_whole_strings_settled_first_change_nothing(spark, docs):
+    rng = random.Random(8)
+    line = ["".join(rng.choices("abcdef ", k=rng.randint(80, 400))) for _ in range(30)]
+    rows = [(i, rng.choice(["", "é", "\0" * 120]).join(rng.choices(line, k=rng.randint(1, 6)))) for i in range(300)] + [(1000 + i, line[0] + line[1]) for i in range(200)]
+    rows.append((5, line[2] + line[0]))  # an id with two texts
+    own = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    for table in (own, docs):
+        marks = [{(r["doc_id"], r["text"], tuple(run_length_index.spans(r["removed"]))) for r in run_length_index.with_removals(table, "doc_id", whole_first=w).collect()} for w in (False, True)]
+        assert marks[0] == marks[1]
+    assert run_length_index.sorted_out(run_length_index.strings(own)).where("not remove").count() > 1000  # for the index
+
+
 def test_hot_minimizers_are_split(spark):
     rng = random.Random(3)
     some = lambda n: "".join(rng.choices("abcdefghijklmnop", k=n))
@@ -291,6 +303,14 @@ def test_index_finds_what_brute_force_finds():
         for k, t in enumerate(texts):
             expected += [len(t[i : i + 100]) == 100 and seen.setdefault(t[i : i + 100], (k, i)) != (k, i) for i in range(len(t) + 1)]
         assert run_length_index.repeats(texts, np.arange(len(texts)), np.zeros(len(texts), np.int64)).tolist() == expected
+        texts += rng.choices(texts, k=5)
+        ids = np.array(rng.sample(range(len(texts)), len(texts)))
+        first = {}
+        for k in np.argsort(ids):
+            for i in range(len(texts[k]) - 99):
+                first.setdefault(texts[k][i : i + 100], (k, i))
+        again = [i <= len(t) - 100 and first[t[i : i + 100]] != (k, i) for k, t in enumerate(texts) for i in range(len(t) + 1)]
+        assert run_length_index.repeats(texts, ids, np.zeros(len(texts), np.int64)).tolist() == again
     assert run_length_index.RunLengthIndex(b"abc" * 500).runs < 20
 
 

@@ -5,19 +5,22 @@ the same one. Steps:
 
 1. `strings`: every window of LENGTH bytes is filed under its minimizer (the smallest hash of its 32-grams); maximal
    runs of windows with one minimizer are strings of about 140 bytes. Equal windows have equal minimizers, so they meet.
-   Within a task, strings that repeat are reported as such; one of each goes on.
-2. `sorted_out`: strings are dealt by minimizer and sorted. Repeats of a whole string are removals; the first
-   occurrences under a minimizer with different strings may share windows, and are asked for. Of minimizers with more
-   than `HOT` strings nothing is decided here: they pass through, never held at once.
+   Of equal strings a task sends on `FEW` between two looks, the earliest, and reports the others as repeats itself.
+2. `sorted_out`: strings are dealt by minimizer. All of a minimizer that has several are asked for. Of minimizers with
+   more than `HOT` strings nothing is decided here: they pass through, never held at once.
 3. `index_repeats`: the strings asked for are dealt by minimizer. Over about a megabyte of them at a time, a
-   Burrows-Wheeler transform is built and run-length compressed. The ends of its runs are sampled: a place in the text,
-   its lexicographic predecessor, and their common prefix. From these samples alone, matching statistics of the text
-   are streamed: of each place, the predecessor and the length of the match with it (one less for each step from the
-   sample on). Matches of LENGTH or more chain equal windows, of which all but the first are removals. Strings of hot
-   minimizers are dealt anew, window by window, by the window's own hash: equal windows still meet, of which a task sends
-   on the first of each batch only, so a group has a row per batch at most.
+   Burrows-Wheeler transform is built from the dictionary of their distinct strings and run-length compressed. The ends
+   of its runs are sampled: a place in the text, its lexicographic predecessor, and their common prefix. From these
+   samples alone, matching statistics of the text are streamed: of each place, the predecessor and the length of the
+   match with it (one less for each step from the sample on). Matches of LENGTH or more chain equal windows; a class's
+   first place is the earliest over all strings that the dictionary's entries stand for, and all others are removals.
+   Strings of hot minimizers are dealt anew, window by window, by the window's own hash: equal windows still meet, of
+   which a task sends on the first of each batch only, so a group has a row per batch at most.
 4. `with_removals`: back to the documents.
 
+With `whole_first`, strings that repeat as a whole are settled by their hashes in steps 1 and 2 and only the others are
+asked for: less to move and to index, and the same results.
+
 Defined cases: null and empty texts have no bytes; texts shorter than LENGTH keep theirs; a null id comes before all
 others; rows that share an id count as one document with several texts: only a smaller id, or an earlier start, is
 "earlier", and each text keeps its own marks (32 bits of a hash tell texts of one id apart); the id -2^63 counts as null;
@@ -43,6 +46,8 @@ LENGTH, GRAM = 100, 32
 PASS, INDEX, LOOK = 1_500_000, 1_000_000, 1_500_000
 #: Strings under one minimizer (about a megabyte) beyond which it is split; bytes of a window's hash; rows in one look at sorted strings.
 HOT, DIGEST, ROWS = 7_000, 16, 200_000
+#: Equal strings that a task sends on of those between two looks; it reports the others itself, so that no minimizer is dealt a large share of all rows.
+FEW = 16
 #: A place is 31 bits of position (no text is longer in Spark), and above them 32 bits that tell texts of one id apart.
 PLACE = (1 << 31) - 1
 
@@ -120,21 +125,21 @@ def _chained(doc: np.ndarray, place: np.ndarray, n: np.ndarray) -> tuple[np.ndar
 FOUND = "doc bigint, place bigint, windows int, mini bigint, whole bigint, again boolean"
 
 
-def strings(docs: DataFrame) -> DataFrame:
-    """One row per string: doc, place, windows, minimizer, hash, and whether the task holds an earlier one (then the minimizer only spreads rows)."""
+def strings(docs: DataFrame, whole_first: bool = False) -> DataFrame:
+    """One row per string: doc, place, windows, minimizer, hash, and whether the task holds an earlier one (then the minimizer only spreads rows; only if `whole_first`)."""
 
     def settle(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         doc, place, n, mini, whole = (np.concatenate(c) for c in zip(*held))
         order = np.lexsort((place, place & PLACE, doc, whole, mini))
         doc, place, n, mini, whole = (c[order] for c in (doc, place, n, mini, whole))
-        new = _first_of([mini, whole])
-        head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-        again = ~new & ((doc != doc[head]) | (place & PLACE != place[head] & PLACE))
+        head = np.maximum.accumulate(np.where(_first_of([mini, whole]), np.arange(len(doc)), 0))
+        again = (np.arange(len(doc)) - head >= (1 if whole_first else FEW)) & ((doc != doc[head]) | (place & PLACE != place[head] & PLACE))
         d, p, k = _chained(doc[again], place[again], n[again])
-        rows = zip((doc[new], place[new], n[new], mini[new], whole[new]), (d, p, k, d * 31 + p, np.zeros_like(d)))
+        on = ~again
+        rows = zip((doc[on], place[on], n[on], mini[on], whole[on]), (d, p, k, d * 31 + p, np.zeros_like(d)))
         rows = [np.concatenate(c) for c in rows]
         rows[2] = rows[2].astype(np.int32)
-        return pa.record_batch([*map(pa.array, rows), pa.array(np.arange(len(rows[0])) >= new.sum())], ["doc", "place", "windows", "mini", "whole", "again"])
+        return pa.record_batch([*map(pa.array, rows), pa.array(np.arange(len(rows[0])) >= on.sum())], ["doc", "place", "windows", "mini", "whole", "again"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
@@ -157,8 +162,8 @@ def _pieces(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tup
     return pieces(batches, names, ROWS)
 
 
-def sorted_out(found: DataFrame) -> DataFrame:
-    """doc, place, windows, mini, remove: removals (whole strings seen earlier), strings asked for, and those of hot minimizers (remove is null)."""
+def sorted_out(found: DataFrame, whole_first: bool = False) -> DataFrame:
+    """doc, place, windows, mini, remove: removals (whole strings seen earlier, if `whole_first`), strings asked for, and those of hot minimizers (remove is null)."""
     names = ["mini", "doc", "place", "windows", "whole", "again"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,12 +174,12 @@ def sorted_out(found: DataFrame) -> DataFrame:
             rows = [c[rest] for c in (mini, whole, doc, place, n)]
             order = np.lexsort((rows[3], rows[3] & PLACE, rows[2], rows[1], rows[0]))
             m, w, d, p, k = (c[order] for c in rows)
-            new = _first_of([m, w])
+            new = _first_of([m, w]) if whole_first else np.ones(len(m), bool)
             head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0)) if len(new) else np.zeros(0, np.int64)
-            later = ~new & ((d != d[head]) | (p & PLACE != p[head] & PLACE))
+            later = (d != d[head]) | (p & PLACE != p[head] & PLACE)
             group = np.cumsum(_first_of([m])) - 1 if len(m) else m
             kinds = np.bincount(group, weights=new) if len(m) else np.zeros(0)
-            ask = new & (kinds[group] > 1) if len(m) else new[:0]
+            ask = ~later & (kinds[group] > 1) if len(m) else new[:0]
             out = [np.concatenate([a[done], b[later], b[ask], a[hot]]) for a, b in ((doc, d), (place, p), (n, k), (mini, m))]
             kind = np.repeat(np.arange(3), [len(out[0]) - int(ask.sum()) - int(hot.sum()), int(ask.sum()), int(hot.sum())])
             yield pa.record_batch([*(pa.array(c) for c in out), pa.array(kind == 0, mask=kind == 2)], ["doc", "place", "windows", "mini", "remove"])
@@ -190,7 +195,7 @@ class RunLengthIndex:
         n = self.n = len(text)
         padded = np.frombuffer(text + b"\0" * 8, np.uint8)
         key = np.lib.stride_tricks.sliding_window_view(padded, 8)[:n].copy().view(">u8").ravel().astype(np.uint64)
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         head = _first_of([key[order]])
         place = np.empty(n, np.int64)
         place[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
@@ -204,7 +209,7 @@ class RunLengthIndex:
             further = own + step
             after = np.where(further < n, place[np.minimum(further, n - 1)], n - 1 - further)  # what ends is smaller, and sooner smaller still
             group = place[own]
-            by = np.lexsort((after, group))
+            by = np.argsort(group * (2 * n + 1) + after + n)
             own, after = own[by], after[by]
             order[tied] = own
             head[tied] |= _first_of([group, after])
@@ -242,33 +247,49 @@ class RunLengthIndex:
 
 
 def repeats(texts: list[bytes], doc: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Of all places of the texts, joined with a zero byte after each: whether a window begins there that an earlier text or place has."""
-    lengths = np.array([len(t) + 1 for t in texts])
-    starts = np.cumsum(lengths) - lengths
-    back, match = RunLengthIndex(b"\0".join(texts) + b"\0").statistics()
-    n = int(lengths.sum())
-    out = np.zeros(n, bool)
-    long = np.flatnonzero(match >= LENGTH)
-    if not len(long):
-        return out
+    """Of all places of the texts, joined with a zero byte after each: whether a window begins there that an earlier text or place has.
+
+    Equal texts have one entry in the dictionary that the index is built of, as their suffixes would lie side by side in its runs: of them all, the
+    first in order (doc, place) says how early a window is."""
+    seen: dict[bytes, int] = {}
+    entry = np.array([seen.setdefault(t, len(seen)) for t in texts])
+    where = place & PLACE
+    order = np.lexsort((where, doc, entry))
+    first = order[_first_of([entry[order]])]  # of each entry
+    sizes = np.array([len(t) + 1 for t in seen])
+    starts = np.cumsum(sizes) - sizes
+    back, match = RunLengthIndex(b"\0".join(seen) + b"\0").statistics()
+    n = int(sizes.sum())
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    offset = np.arange(n) - starts[owner]
+    # Classes of equal windows: matches chain each window to those sorted before it.
     link = np.arange(n)
+    long = np.flatnonzero(match >= LENGTH)
     link[long] = back[long]
-    while True:
+    while len(long):
         further = link[link[long]]
         if (further == link[long]).all():
             break
         link[long] = further
-    at = np.union1d(long, link[long])
-    owner = np.searchsorted(starts, at, "right") - 1
-    offset = at - starts[owner]
-    valid = offset <= lengths[owner] - 1 - LENGTH
-    at, owner, offset = at[valid], owner[valid], offset[valid]
-    first = np.full(n, n)
-    np.minimum.at(first, link[at], at)
-    head = first[link[at]]
-    head_owner = np.searchsorted(starts, head, "right") - 1
-    where, head_where = (place[owner] & PLACE) + offset, (place[head_owner] & PLACE) + head - starts[head_owner]
-    out[at] = (head < at) & ((doc[owner] != doc[head_owner]) | (where != head_where))
+    met = np.union1d(long, link[long])
+    met = met[offset[met] <= sizes[owner[met]] - 1 - LENGTH]  # a text may hold zero bytes, so that a match may run over an end
+    own = first[owner[met]]
+    by = np.lexsort((where[own] + offset[met], doc[own], link[met]))
+    met = met[by]
+    new = _first_of([link[met]])
+    head = np.arange(n)
+    head[met] = met[np.maximum.accumulate(np.where(new, np.arange(len(met)), 0))] if len(met) else met
+    # Back to all texts.
+    lengths = sizes[entry]
+    ends = np.cumsum(lengths)
+    text = np.repeat(np.arange(len(texts)), lengths)
+    inner = np.arange(len(text)) - (ends - lengths)[text]
+    valid = inner <= lengths[text] - 1 - LENGTH
+    text, inner = text[valid], inner[valid]
+    earliest = head[starts[entry[text]] + inner]
+    source = first[owner[earliest]]
+    out = np.zeros(len(valid), bool)
+    out[valid] = (doc[source] != doc[text]) | (where[source] + offset[earliest] != where[text] + inner)
     return out
 
 
@@ -359,9 +380,11 @@ def index_repeats(docs: DataFrame, asked: DataFrame) -> DataFrame:
     return cuts.repartition("mini").sortWithinPartitions("mini").mapInArrow(run, "doc bigint, place bigint, windows int")
 
 
-def with_removals(docs: DataFrame, *columns: str) -> DataFrame:
-    """doc, twin, text (bytes), removed (array of place and windows; null if none) and the columns, for each row of docs."""
-    known = stored(sorted_out(strings(docs)))
+def with_removals(docs: DataFrame, *columns: str, whole_first: bool = False) -> DataFrame:
+    """doc, twin, text (bytes), removed (array of place and windows; null if none) and the columns, for each row of docs.
+
+    whole_first: whether strings that repeat as a whole are settled by their hashes before the index sees them; results are the same."""
+    known = stored(sorted_out(strings(docs, whole_first), whole_first))
     more = stored(index_repeats(docs, known.where("remove is null or not remove")))
     marks = known.where("remove").select("doc", "place", "windows").unionByName(more)
     grouped = marks.withColumn("twin", F.shiftright("place", 31)).groupBy("doc", "twin").agg(F.collect_list(F.struct(F.col("place").bitwiseAND(PLACE).alias("at"), "windows")).alias("removed"))
