@@ -9,7 +9,8 @@ the same one. Steps:
 2. `sorted_out`: strings are dealt by minimizer. All of a minimizer that has several are asked for. Of minimizers with
    more than `HOT` strings nothing is decided here: they pass through, never held at once.
 3. `index_repeats`: the strings asked for are dealt by minimizer. Over about a megabyte of them at a time, a
-   Burrows-Wheeler transform is built from the dictionary of their distinct strings and run-length compressed. The ends
+   Burrows-Wheeler transform is built from the dictionary of their distinct strings and run-length compressed (strings
+   equal as a whole share an entry, so equality joins them, and the transform finds what differing strings share). The ends
    of its runs are sampled: a place in the text, its lexicographic predecessor, and their common prefix. From these
    samples alone, matching statistics of the text are streamed: of each place, the predecessor and the length of the
    match with it (one less for each step from the sample on). Matches of LENGTH or more chain equal windows; a class's
