@@ -6,6 +6,7 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +18,8 @@ from vocalake.sources.sidecars import write_files
 BACKENDS, LEVELS = ("stable_ts",), ("segment", "word", "char")
 #: Aligners by name: (audio, text) -> items, or a `PerWorker` that makes one. Users add theirs.
 ALIGNERS: dict[str, Callable[[str, str], list[dict]] | PerWorker] = {}
+#: Characters of items, as JSON, that a task hands over at once (one row at least).
+BATCH_CHARS = 4_000_000
 ITEM = "array<struct<text:string,start:double,end:double,level:string>>"
 
 
@@ -80,18 +83,26 @@ def aligned(audio: DataFrame, aligner: str | Callable[[str, str], list[dict]] |
         aligner = ALIGNERS[aligner]
     hook = aligner if isinstance(aligner, PerWorker) else PerWorker(lambda: aligner)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows are handed over as soon as their items have `BATCH_CHARS`: a worker holds these, however many texts come at once."""
+        handed = lambda rows: pa.record_batch([pa.array(c, pa.string()) for c in zip(*rows)], ["audio", "items", "warning"])
         with hook as own:
             for batch in batches:
-                rows = []
-                for a, t in zip(batch["audio"], batch["text"]):
+                rows, held = [], 0
+                for a, t in zip(batch.column("audio"), batch.column("text")):
+                    a, t = a.as_py(), t.as_py()
                     try:
                         rows.append((a, json.dumps(own(a, t)), None))
                     except Exception as e:
                         if strict:
                             raise
                         rows.append((a, "[]", str(e)))
-                yield pd.DataFrame(rows, columns=["audio", "items", "warning"])
-
-    out = audio.select("audio", "text").mapInPandas(run, "audio string, items string, warning string")
+                    held += len(rows[-1][1])
+                    if held >= BATCH_CHARS:
+                        yield handed(rows)
+                        rows, held = [], 0
+                if rows:
+                    yield handed(rows)
+
+    out = audio.select(F.col("audio").cast("string").alias("audio"), "text").mapInArrow(run, "audio string, items string, warning string")
     return out.select("audio", F.from_json("items", ITEM).alias("items"), "warning")
