@@ -148,7 +148,7 @@ query("t15_split_cjk_in_vocab", f"SELECT doc_id, array_to_string(flatten(list_tr
 _COUNT = lambda x: f"len({_TOKENS.replace('regexp_extract_all(text', f'regexp_extract_all({x}')})"
 _whole = lambda x: x.replace("{", "{{").replace("}", "}}")
 _TOKEN_FOLD = _FOLD.replace("length(a.cur) + length(x.cur) > 80 AND length(a.cur) > 60", _whole(f"{_COUNT('concat(a.cur, x.cur)')} > 80 AND {_COUNT('a.cur')} > 60")).replace("length(r.cur) < 20", _whole(f"{_COUNT('r.cur')} < 20"))
-query("t13_pack_utterances_tokens", _TOKEN_FOLD.format(_utterances("text", "en")), "decorated")(lambda df: spread(df).select("doc_id", F.array_join(T.pack_utterances(T.split_utterances(F.col("text"), "en"), lambda x: F.size(T.base_tokens(x))), "|").alias("out")))
+query("t13_pack_utterances_tokens", _TOKEN_FOLD.format(_utterances("text", "en")), "decorated")(lambda df: spread(df).select("doc_id", F.array_join(T.pack_utterances(T.split_utterances(F.col("text"), "en"), lambda x: F.size(T.base_tokens(x)), additive=True), "|").alias("out")))
 query("t16_strip_asr_tags", "SELECT doc_id, list_last(string_split(t, '|>')) AS out FROM (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN concat('<|en|><|NEUTRAL|>', text) ELSE text END AS t FROM documents)", "documents")(
     lambda df: df.select("doc_id", T.strip_asr_tags(F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("<|en|><|NEUTRAL|>"), "text")).otherwise(F.col("text"))).alias("out"))
 )
