@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from vocalake.operators import signal as S
 from vocalake.registry import query
 from vocalake.sources.media import media_catalog, read_media_catalog, wav_bytes
-from vocalake.sources.sidecars import write_files
+from vocalake.sources.sidecars import by_parts_of_tree
 from vocalake.streaming import streams
-from vocalake.tables import shared_path
 
 
 def _r(df, *cols):
@@ -110,9 +109,8 @@ def _(d):
 
 @query("s5_listed_media", _CLIPS, "documents")
 def _(d):
-    """The clips as files in a tree, which is listed, and of which headers are read."""
-    spark, path = d.sparkSession, shared_path(d.sparkSession)
+    """The clips as files in a tree, which is listed, and of which headers are read, part by part."""
     place = F.concat(F.substring(F.md5("path"), 1, 1), F.lit("/"), F.col("path"), F.lit(".wav"))
-    write_files(_clips(d).select(place.alias("name"), F.col("content").alias("payload")), path)
-    out = read_media_catalog(spark, path, "*.wav")
+    files = _clips(d).select(place.alias("name"), F.col("content").alias("payload"))
+    out = by_parts_of_tree(files, lambda path: read_media_catalog(d.sparkSession, path, "*.wav"))
     return out.select(F.regexp_extract("path", r"([^/]+)\.wav$", 1).alias("clip"), "frames", "sample_rate", F.round("duration", 6).alias("duration"), "bytes")

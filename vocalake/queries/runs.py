@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vocalake.operators import runs as R
 from vocalake.registry import query
 from vocalake.sources.listing import artifact_files
-from vocalake.sources.sidecars import write_files
+from vocalake.sources.sidecars import by_parts_of_tree
 from vocalake.streaming import streams
 from vocalake.tables import shared_path
 
@@ -39,15 +39,13 @@ def _(f):
     return R.catalogue_order(f)
 
 
-# The same from a real tree: the files are written under their names, then listed by levels and read. Of rows that are one file, the last body counts.
+# The same from a real tree: the files are written under their names, then listed by levels and read, and removed, part by part. Of rows that are one file, the last body counts.
 _TREE = "tree AS (SELECT dir, name, max(coalesce(body, '')) AS body FROM files GROUP BY dir, name)"
 
 
 def _tree(f):
-    spark = f.sparkSession
-    path = shared_path(spark)
-    write_files(f.select(F.concat_ws("/", "dir", "name").alias("name"), F.coalesce("body", F.lit("")).alias("payload")), path)
-    return artifact_files(spark, path).where("dir <> ''")
+    files = f.select(F.concat_ws("/", "dir", "name").alias("name"), F.coalesce("body", F.lit("")).alias("payload"))
+    return by_parts_of_tree(files, lambda path: artifact_files(f.sparkSession, path).where("dir <> ''"))
 
 
 @query("s9_listed_catalog", f"WITH {_TREE}, {_CAT.replace('FROM files', 'FROM tree')}", "files")

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from vocalake.sources.listing import opened
+from vocalake.tables import shared_path
+
+#: Files that a part of a tree has, about, where a tree is written and read by parts.
+PART_FILES = 50_000
 
 
 @dataclass
@@ -92,8 +97,49 @@ class Sidecars(DataSource):
         return SidecarWriter(self.options["path"])
 
 
-def write_files(rows: DataFrame, path: str) -> None:
-    """Writes the payload (text or bytes) of each row (name, payload) as a file of that name; of rows with one name, the one whose payload sorts last."""
+def write_files(rows: DataFrame, path: str, tasks: int | None = None) -> None:
+    """Writes the payload (text or bytes) of each row (name, payload) as a file of that name; of rows with one name, the one whose payload sorts last. tasks: how many write; by default, what the rows' bytes ask for."""
     rows.sparkSession.dataSource.register(Sidecars)
     own = rows.where("name is not null and payload is not null").select("name", "payload")
-    own.repartition("name").sortWithinPartitions("name", "payload").write.format("sidecars").option("path", path).mode("append").save()
+    own.repartition(*([tasks] if tasks else []), "name").sortWithinPartitions("name", "payload").write.format("sidecars").option("path", path).mode("append").save()
+
+
+def drop_files(rows: DataFrame, path: str) -> None:
+    """Removes the folder that rows (name, relative to it) were written into: what is right below it in tasks, then the folder."""
+
+    def run(tops: Iterator[Row]) -> None:
+        store, top = opened(path)
+        for (name,) in tops:
+            at = f"{top.rstrip('/')}/{name}"
+            kind = store.get_file_info(at).type
+            if kind == fs.FileType.Directory:
+                store.delete_dir(at)
+            elif kind == fs.FileType.File:
+                store.delete_file(at)
+
+    rows.where("name is not null").select(F.substring_index("name", "/", 1)).distinct().repartition(rows.sparkSession.sparkContext.defaultParallelism).foreachPartition(run)
+    store, top = opened(path)
+    if store.get_file_info(top).type != fs.FileType.NotFound:
+        store.delete_dir(top)
+
+
+def by_parts_of_tree(rows: DataFrame, read: Callable[[str], DataFrame], most: int = PART_FILES) -> DataFrame:
+    """What `read` gives of the folder of each part of the files (name, payload; names are relative): a part is written, read and removed before the next one.
+
+    So at most about `most` files, each of which takes a block of a disk or more, are there at a time. A folder's own files
+    are all in one part (many in one folder make it larger); folders above it may be in several.
+    """
+    spark, table, sink = rows.sparkSession, shared_path(rows.sparkSession), shared_path(rows.sparkSession)
+    own = rows.where("name is not null and payload is not null").select("name", "payload")
+    parts = max(1, -(-own.count() // most))
+    folder = F.regexp_extract("name", "^(.*)/", 1)
+    own.withColumn("part", F.pmod(F.xxhash64(folder), F.lit(parts)).cast("int")).repartition("part").write.partitionBy("part").parquet(table)
+    kept, kind = spark.read.schema(f"name string, payload {dict(own.dtypes)['payload']}, part int").parquet(table), None
+    for k in range(parts):
+        path, part = shared_path(spark), kept.where(F.col("part") == k).select("name", "payload")
+        write_files(part, path, spark.sparkContext.defaultParallelism)  # small files: their number counts, not their bytes
+        out = read(path)
+        kind = out.schema
+        out.write.mode("append").parquet(sink)
+        drop_files(part, path)
+    return spark.read.schema(kind).parquet(sink)
