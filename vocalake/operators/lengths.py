@@ -100,7 +100,7 @@ def vocab_encode(tokens: DataFrame, vocab: DataFrame, unk: int = 0, most: int =
 
         def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             with known as find:
-                for batch in batches:
+                for batch in _by_tokens(batches, block):
                     sizes, distinct, codes = _numbered_tokens(batch.column("tokens"))
                     ids = np.array([*(find.get(t, unk) for t in distinct), unk], np.int32)[codes]  # the last one is that of nulls
                     yield pa.record_batch([batch.column("key"), _arrays(sizes, ids)], ["key", "ids"])
@@ -110,7 +110,7 @@ def vocab_encode(tokens: DataFrame, vocab: DataFrame, unk: int = 0, most: int =
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of keys and the numbers of their tokens, and for each block one row of its distinct tokens."""
         part, n = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in _by_tokens(batches, block):
             sizes, distinct, codes = _numbered_tokens(batch.column("tokens"))
             ends = np.concatenate([[0], np.cumsum(sizes)])
             start = 0
@@ -132,6 +132,17 @@ def vocab_encode(tokens: DataFrame, vocab: DataFrame, unk: int = 0, most: int =
     return out.select("key", F.transform("codes", lambda c: F.get("_ids", c)).alias("ids"))
 
 
+def _by_tokens(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of `most` tokens at most (or one row), so a worker holds the numbers of so many."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column("tokens")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + most, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def _numbered_tokens(lists: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
     """Of arrays of tokens: how many each has, their distinct tokens, and the number of every token (-1 for null)."""
     sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
