@@ -9,6 +9,7 @@ from vocalake.registry import query
 from vocalake.sources.media import media_catalog, read_media_catalog, wav_bytes
 from vocalake.sources.sidecars import by_parts_of_tree
 from vocalake.streaming import streams
+from vocalake.tables import stored
 
 
 def _r(df, *cols):
@@ -69,7 +70,8 @@ def _(s):
 
 
 def _timed(s):
-    """Items with the time at which they are heard, 16 a second."""
+    """Items with the time at which they are heard, 16 a second; written once, as each batch of a replay reads them."""
+    s = stored(s.select("clip_id", "idx", "value"))
     return s.select("clip_id", "idx", F.timestamp_micros((F.col("idx") * 62500).cast("bigint") + 1_000_000).alias("ts"), "value")
 
 
