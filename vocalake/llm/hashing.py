@@ -33,12 +33,22 @@ def word_hashes(batch: list[str], most: int = 2_000_000) -> tuple[np.ndarray, np
     return tuple(np.concatenate(c) for c in zip(*parts))
 
 
+def _edges(text: np.ndarray) -> np.ndarray:
+    """Where words start and end, by turns, in bytes that begin and end with white space."""
+    space = _IS_SPACE[text]
+    return np.flatnonzero(space[1:] != space[:-1]) + 1
+
+
+def word_number(batch: list[str]) -> int:
+    """Number of words of all the texts."""
+    return len(_edges(np.frombuffer(f" {' '.join(batch)} ".encode(), np.uint8))) // 2
+
+
 def _hashes(batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Eight bytes of every word at a time; words of more than `_LONG` bytes by themselves."""
     raw = [x.encode() for x in batch]
     low = _LOWER[np.frombuffer(b" " + b" ".join(raw) + b" " * 8, np.uint8)]
-    space = _IS_SPACE[low]
-    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    edges = _edges(low)
     starts, n = edges[::2], edges[1::2] - edges[::2]
     eight = np.ndarray((len(low) - 7,), "<u8", low, strides=(1,))
     h = scrambled((eight[starts] & _MASK[np.minimum(n, 8)]) * _STEP + n.astype(np.uint64))

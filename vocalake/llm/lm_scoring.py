@@ -1,23 +1,23 @@
 """Stupid-backoff language-model scores of all documents under counts of the whole corpus: tables, joins and sums.
 
-1. `word_counts`: word (64-bit hash), n. Words with at least a 2^-20 share of all are common: 2^20 of them at most, whatever
-   the corpus, so they are broadcast, and have a number.
-2. `pair_counts`: gram, n of the word pairs that occur `LEAST` times or more: counted within a task, dealt by hash, summed. A
-   gram is both numbers of two common words, else a hash (then its words come with it).
-3. `weights`: gram, y: what a pair that is known adds to the score over backing off, and the share of each other word; words'
-   counts are joined to the pairs.
-4. `exploded`: a row for each n-gram of each document. Pairs with at least a 2^-20 share of all (2^20 at most, again) are
-   broadcast and added up where the document lies, as are common words; so no gram that is dealt has a larger share.
-5. `scores`: n-grams joined with the weights by gram, and summed by document; `SLICES` of the grams one after another, so
-   that only one slice's rows are on the disks at a time.
+1. `blocks`: the documents with a block: about `BLOCK` characters that lie together, stored, so that it is settled.
+2. `grams`: block, gram, n: the different words and word pairs of each block, counted. However often a block has a gram, it
+   is one row, so no gram is dealt more rows than there are blocks.
+3. `answers`: block, gram, total: counts of all by gram, beside the rows of the blocks, in one exchange by gram (a window).
+   Grams that no other block has are left out, as their block has counted them itself, and pairs below `LEAST`. Grams with at
+   least a 2^-20 share of all words (2^20 words and 2^20 pairs at most, whatever the corpus) are answered once, and broadcast.
+4. `scored`: each block's documents meet its answers, by block.
+
+`SLICES` of the grams are counted, and of the blocks scored, one after another, so that only one slice's exchange is on the
+disks at a time.
 
 Score of a word after another: count of the pair over count of the first word, if the pair occurs at least `LEAST` times
 in the corpus; otherwise `BACKOFF` times the share of the second word. The first word of a text has its share.
 
 Words are runs without ASCII white space, A-Z lower-cased. Defined cases: a text that is null, empty or without words has
 no words, log_score 0 and a null mean; repeated rows count as often as they occur and get equal scores, one for each row,
-also under a null id; rows that share an id and differ in text are scored apart; other columns are left alone. Words,
-pairs with a word that isn't common, and texts of one id are told apart by hashes of 62 to 64 bits.
+also under a null id; rows that share an id and differ in text are scored apart; other columns are left alone. Words and
+pairs are told apart by hashes of 63 bits.
 """
 
 from __future__ import annotations
@@ -26,59 +26,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vocalake.llm.common import by_parts, stored, table, texts
-from vocalake.llm.hashing import scrambled, word_hashes
+from vocalake.llm.hashing import scrambled, word_hashes, word_number
 
 LEAST, BACKOFF = 2, 0.4
 #: A word or pair is common from a share of one in so many.
 COMMON = 1 << 20
-#: Words that a task counts at a time; parts of the grams that are joined one after another.
-CHUNK, SLICES = 500_000, 2
+#: Characters of a block; parts of the grams, and of the blocks, that are exchanged one after another.
+BLOCK, SLICES = 8_000_000, 2
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
-#: The two leading bits of a gram: two numbers of common words, a document's sums, a hashed pair, a hashed word.
-_NUMBERS, _SUMS, _HASHED, _WORD = (np.uint64(k << 62) for k in range(4))
-
-
-def _tagged(h: np.ndarray, tag: np.uint64) -> np.ndarray:
-    return h >> np.uint64(2) | tag
-
-
-class Common:
-    """Common words by hash: number and logarithm of the count; later also common pairs by gram, with what they add."""
+#: The leading bit of a gram: a hashed word, else a hashed pair.
+_WORD = np.uint64(1 << 63)
 
-    def __init__(self, words: pa.Table, total: int):
-        h = np.array(words.column("word").to_numpy()).view(np.uint64)
-        order = np.argsort(h)
-        self.hashes, self.logs, self.total = h[order], np.log(words.column("n").to_numpy()[order].astype(float)), max(total, 1)
-        self.pairs, self.gains = np.zeros(0, np.uint64), np.zeros(0)
 
-    def with_pairs(self, pairs: pa.Table) -> None:
-        grams = np.array(pairs.column("gram").to_numpy()).view(np.uint64)
-        order = np.argsort(grams)
-        self.pairs, n = grams[order], pairs.column("n").to_numpy()[order]
-        v, w = (self.pairs >> np.uint64(20)).astype(np.int64), (self.pairs & np.uint64((1 << 20) - 1)).astype(np.int64)
-        self.gains = np.log(n) - self.logs[v] - self.logs[w] + np.log(self.total)
+def _word(flat: np.ndarray) -> np.ndarray:
+    return flat >> np.uint64(1) | _WORD
 
-    @staticmethod
-    def _found(known: np.ndarray, x: np.ndarray) -> np.ndarray:
-        """Places of x among the known, -1 without."""
-        if not len(known):
-            return np.full(len(x), -1)
-        at = np.minimum(np.searchsorted(known, x), len(known) - 1)
-        return np.where(known[at] == x, at, -1)
 
-    def numbers(self, flat: np.ndarray) -> np.ndarray:
-        return self._found(self.hashes, flat)
-
-    def grams(self, flat: np.ndarray, number: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Grams of the pairs that end at the given places."""
-        v, w = number[at - 1], number[at]
-        both = (v.astype(np.uint64) << np.uint64(20)) | w.astype(np.uint64)
-        return np.where((v >= 0) & (w >= 0), both, _tagged(scrambled(flat[at - 1] * _PAIR + flat[at]), _HASHED))
+def _pair(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Grams of the pairs that end at the given places."""
+    return scrambled(flat[at - 1] * _PAIR + flat[at]) >> np.uint64(1)
 
 
 def _inner(sizes: np.ndarray) -> np.ndarray:
@@ -88,138 +59,112 @@ def _inner(sizes: np.ndarray) -> np.ndarray:
     return np.flatnonzero(inner)
 
 
-def _rows(**columns: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns.values()], list(columns))
+def blocks(docs: DataFrame, most: int = BLOCK) -> DataFrame:
+    """doc_id, text, words, block: rows of about `most` characters (or one row) that a task reads one after another. words: a batch's, in its first row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = TaskContext.get().partitionId() << 32, 0
+        for batch in by_parts(batches, most=min(most, 4_000_000)):
+            own = texts(batch)
+            size = sum(map(len, own))
+            if held and held + size > most:
+                block, held = block + 1, 0
+            held += size
+            words = np.zeros(len(own), np.int64)
+            words[:1] = word_number(own)
+            yield pa.record_batch([batch.column("doc_id"), batch.column("text"), pa.array(words), pa.array(np.full(len(own), block))], ["doc_id", "text", "words", "block"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, text string, words bigint, block bigint")
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """word, n."""
+def grams(dealt: DataFrame, part: int = 0, parts: int = 1) -> DataFrame:
+    """block, gram, n: the different grams of each block that are in a slice of all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, count = [], 0
+        now, held = None, []
 
         def done() -> pa.RecordBatch:
-            word, n = np.unique(np.concatenate(held), return_counts=True)
-            return _rows(word=word, n=n)
+            gram, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.record_batch([pa.array(np.full(len(gram), now)), pa.array(gram.view(np.int64)), pa.array(n)], ["block", "gram", "n"])
 
         for batch in by_parts(batches):
-            held.append(word_hashes(texts(batch))[0])
-            count += len(held[-1])
-            if count >= CHUNK:
-                yield done()
-                held, count = [], 0
+            block = batch.column("block").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+            for start, end in zip(cuts, cuts[1:]):
+                if end > start and block[start] != now:
+                    if held:
+                        yield done()
+                    now, held = block[start], []
+                flat, sizes = word_hashes(texts(batch.slice(start, end - start)))
+                for x in (_word(flat), _pair(flat, _inner(sizes))):
+                    held.append(x[x % np.uint64(parts) == part])
         if held:
             yield done()
 
-    return docs.select("text").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return dealt.select("text", "block").mapInArrow(run, "block bigint, gram bigint, n bigint")
 
 
-def pair_counts(docs: DataFrame, common, least: int = LEAST) -> DataFrame:
-    """gram, v, w (hashes of its words, 0 where the gram is their numbers), n of the pairs that occur at least so often; `common` is a broadcast."""
+def answers(rows: DataFrame, least: int, edge: float) -> DataFrame:
+    """block, gram, total: each block's grams that others have too, with their number in all; pairs from `least`, and grams from `edge` on for one block only."""
+    gram = Window.partitionBy("gram")  # a row for each block at most
+    counted = rows.select("*", F.sum("n").over(gram).alias("total"), F.min("block").over(gram).alias("first")).where((F.col("gram") < 0) | (F.col("total") >= least))
+    return counted.where(F.col("total") > F.col("n")).where((F.col("total") < edge) | (F.col("block") == F.col("first"))).select("block", "gram", "total")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, count = [], 0
 
-        def done() -> pa.RecordBatch:
-            gram, v, w = (np.concatenate(c) for c in zip(*held))
-            gram, first, n = np.unique(gram, return_index=True, return_counts=True)
-            return _rows(gram=gram, v=v[first], w=w[first], n=n)
+class Totals:
+    """Numbers by gram; 0 for others."""
 
-        for batch in by_parts(batches):
-            flat, sizes = word_hashes(texts(batch))
-            at = _inner(sizes)
-            gram = common.value.grams(flat, common.value.numbers(flat), at)
-            hashed = gram >= _HASHED
-            held.append((gram, np.where(hashed, flat[at - 1], np.uint64(0)), np.where(hashed, flat[at], np.uint64(0))))
-            count += len(gram)
-            if count >= CHUNK:
-                yield done()
-                held, count = [], 0
-        if held:
-            yield done()
+    def __init__(self, rows: pa.Table):
+        gram = np.array(rows.column("gram").to_numpy()).view(np.uint64)
+        order = np.argsort(gram)
+        self.grams, self.totals = gram[order], rows.column("total").to_numpy()[order]
 
-    rows = docs.select("text").mapInArrow(run, "gram bigint, v bigint, w bigint, n bigint")
-    return rows.groupBy("gram").agg(F.max("v").alias("v"), F.max("w").alias("w"), F.sum("n").alias("n")).where(F.col("n") >= least)
+    def of(self, x: np.ndarray) -> np.ndarray:
+        if not len(self.grams):
+            return np.zeros(len(x), np.int64)
+        at = np.minimum(np.searchsorted(self.grams, x), len(self.grams) - 1)
+        return np.where(self.grams[at] == x, self.totals[at], 0)
 
 
-def weights(words: DataFrame, pairs: DataFrame, common: Common, edge: float) -> DataFrame:
-    """gram, y of known pairs, and of words with fewer than `edge` occurrences."""
-    total = F.log(F.lit(float(common.total)))
-    counts = lambda c: words.select(F.col("word").alias(c), F.log("n").alias(f"c{c}"))
-    hashed = pairs.where("gram < 0").join(counts("v"), "v").join(counts("w"), "w").select("gram", "n", "cv", "cw")
-    logs = common_logs(words.sparkSession, common)
-    numbered = lambda c: F.broadcast(logs.select(F.col("id").alias(c), F.col("log").alias(f"c{c}")))  # noqa: E731  2^20 rows at most
-    own = pairs.where("gram >= 0").select("gram", "n", F.shiftright("gram", 20).alias("v"), F.col("gram").bitwiseAND((1 << 20) - 1).alias("w"))
-    own = own.join(numbered("v"), "v").join(numbered("w"), "w").select("gram", "n", "cv", "cw")
-    gain = F.log("n") - F.col("cv") - F.col("cw") + total
-    rare = words.where(F.col("n") < edge).select((F.shiftrightunsigned("word", 2) + F.lit(int(_WORD.view(np.int64)))).alias("gram"), (F.log("n") - total).alias("y"))
-    return hashed.unionAll(own).select("gram", gain.alias("y")).unionAll(rare)
+def scored(dealt: DataFrame, rows: DataFrame, common, total: int, least: int, backoff: float) -> DataFrame:
+    """doc_id, n_words, n_backoff, log_score of the rows of whole blocks; `common` is a broadcast of Totals."""
 
+    def run(docs: pa.Table, found: pa.Table) -> pa.Table:
+        answered = Totals(found)
 
-def common_logs(spark, common: Common) -> DataFrame:
-    """id, log of the common words."""
-    return spark.createDataFrame(pa.table({"id": pa.array(np.arange(len(common.logs))), "log": pa.array(common.logs)}))
+        def totals(gram: np.ndarray) -> np.ndarray:
+            each, place, n = np.unique(gram, return_inverse=True, return_counts=True)
+            return np.maximum(n, np.maximum(answered.of(each), common.value.of(each)))[place]
 
+        flat, sizes = word_hashes(texts(docs))
+        owner, at = np.repeat(np.arange(len(sizes)), sizes), _inner(sizes)
+        one, two = np.log(totals(_word(flat))), totals(_pair(flat, at))
+        x, known = one - np.log(total), two >= least
+        x[at[~known]] += np.log(backoff)
+        x[at[known]] = np.log(two[known]) - one[at[known] - 1]
+        back, score = np.bincount(owner[at[~known]], minlength=len(sizes)), np.bincount(owner, x, len(sizes)).astype(float)  # integers without words
+        return pa.table([docs.column("doc_id"), pa.array(sizes), pa.array(back), pa.array(score)], ["doc_id", "n_words", "n_backoff", "log_score"])
 
-def exploded(docs: DataFrame, common, backoff: float, part: int, parts: int) -> DataFrame:
-    """doc_id, text_hash, gram, x, sums: a row for each n-gram of a slice whose weight is to be joined, and, in the first, one of each document's own sums."""
+    both = dealt.select("block", "doc_id", "text").groupBy("block").cogroup(rows.groupBy("block"))
+    return both.applyInArrow(run, "doc_id bigint, n_words bigint, n_backoff bigint, log_score double")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = common.value
-        for batch in by_parts(batches):
-            if not batch.num_rows:
-                continue
-            own = texts(batch)
-            flat, sizes = word_hashes(own)
-            n, number = len(sizes), known.numbers(flat)
-            owner, at = np.repeat(np.arange(n), sizes), _inner(sizes)
-            marks = np.array([xxhash.xxh3_64_intdigest(t.encode()) for t in own], np.uint64)
-            grams = known.grams(flat, number, at)
-            place = known._found(known.pairs, grams)
-            met, inner = place >= 0, np.bincount(owner[at], minlength=n)
-            x = np.bincount(owner[number >= 0], known.logs[number[number >= 0]] - np.log(known.total), n)
-            x += np.bincount(owner[at[met]], known.gains[place[met]], n)
-            sums = pa.StructArray.from_arrays([pa.array(c) for c in (np.ones(n, np.int64), sizes, inner, np.bincount(owner[at[met]], minlength=n))], ["rows", "words", "inner", "known"])
-            ids = batch.column("doc_id")
-            if not part:
-                yield pa.record_batch([ids, pa.array(marks.view(np.int64)), pa.array(_tagged(marks, _SUMS).view(np.int64)), pa.array(x + inner * np.log(backoff)), sums], ["doc_id", "text_hash", "gram", "x", "sums"])
-            rare = number < 0
-            of = np.concatenate([owner[at[~met]], owner[rare]])
-            grams = np.concatenate([grams[~met], _tagged(flat[rare], _WORD)])
-            own = np.flatnonzero(grams.view(np.int64) % parts == part)
-            order = own[np.argsort(of[own], kind="stable")]  # rows of a document together: they compress well
-            of, grams = of[order], grams[order]
-            none = pa.nulls(len(of), sums.type)
-            yield pa.record_batch([ids.take(pa.array(of)), pa.array(marks[of].view(np.int64)), pa.array(grams.view(np.int64)), pa.nulls(len(of), pa.float64()), none], ["doc_id", "text_hash", "gram", "x", "sums"])
-
-    kind = "doc_id bigint, text_hash bigint, gram bigint, x double, sums struct<rows:bigint,words:bigint,inner:bigint,known:bigint>"
-    return docs.select("doc_id", "text").mapInArrow(run, kind)
-
-
-def scores(docs: DataFrame, least: int = LEAST, backoff: float = BACKOFF, common: int = COMMON, slices: int = SLICES) -> DataFrame:
+
+def scores(docs: DataFrame, least: int = LEAST, backoff: float = BACKOFF, common: int = COMMON, slices: int = SLICES, block: int = BLOCK) -> DataFrame:
     """doc_id, n_words, n_backoff (words scored by their share), log_score, mean of each row of docs. common: at most 2^20."""
     if not 1 <= common <= COMMON:
         raise ValueError(f"common must be from 1 to {COMMON}")
-    sc = docs.sparkSession.sparkContext
-    words = stored(word_counts(docs))
-    total = words.agg(F.sum("n")).first()[0] or 0
-    known = Common(words.where(F.col("n") >= total / common).toArrow(), total)
-    pairs = stored(pair_counts(docs, sc.broadcast(known), least))
-    known.with_pairs(pairs.where("gram >= 0").where(F.col("n") >= total / common).select("gram", "n").toArrow())
-    known.gains -= np.log(backoff)
-    weight = stored(weights(words, pairs, known, total / common))
-    held, found = sc.broadcast(known), None
-    is_word = F.col("gram").between(-(1 << 62), -1)
-    y = F.col("y") - F.when(is_word, 0.0).otherwise(np.log(backoff))
-    each = [F.sum(f"sums.{c}").alias(c) for c in ("rows", "words", "inner")]
-    met = F.coalesce(F.sum("sums.known"), F.lit(0)) + F.count_if(F.col("y").isNotNull() & ~is_word)
+    dealt, found, out = stored(blocks(docs, block)), None, None
+    total = dealt.agg(F.sum("words")).first()[0] or 0
+    edge = total / common
+    for part in range(slices):
+        rows = stored(answers(grams(dealt, part, slices), least, edge))
+        found = rows if found is None else found.unionAll(rows)
+    held = docs.sparkSession.sparkContext.broadcast(Totals(found.where(F.col("total") >= edge).select("gram", "total").toArrow()))
+    of = F.pmod(F.xxhash64("block"), F.lit(slices))
     for part in range(slices):
-        rows = exploded(docs, held, backoff, part, slices).join(weight.where(F.pmod("gram", F.lit(slices)) == part), "gram", "left")
-        sums = stored(rows.groupBy("doc_id", "text_hash").agg(*each, met.alias("known"), (F.coalesce(F.sum("x"), F.lit(0.0)) + F.coalesce(F.sum(y), F.lit(0.0))).alias("score")))
-        found = sums if found is None else found.unionAll(sums)
-    by_doc = found.groupBy("doc_id", "text_hash").agg(*[F.sum(c).alias(c) for c in ("rows", "words", "inner", "known", "score")])
-    one = by_doc.select("doc_id", *[(F.col(c) / F.col("rows")).cast("bigint").alias(c) for c in ("words", "inner", "known")], (F.col("score") / F.col("rows")).alias("log_score"), F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("row"))
-    return one.select("doc_id", F.col("words").alias("n_words"), (F.col("inner") - F.col("known")).alias("n_backoff"), "log_score", (F.col("log_score") / F.nullif("words", F.lit(0))).alias("mean"))
+        rows = stored(scored(dealt.where(of == part), found.where((F.col("total") < edge) & (of == part)), held, total, least, backoff))
+        out = rows if out is None else out.unionAll(rows)
+    return out.withColumn("mean", F.col("log_score") / F.nullif("n_words", F.lit(0)))
 
 
 def _rounded(out: DataFrame) -> DataFrame:
