@@ -72,3 +72,22 @@ def test_a_listing_goes_down_in_a_task_and_hands_back_the_rest(spark, tmp_path,
     monkeypatch.setattr(listing, "WALK", 20)
     assert sorted((r["dir"], r["name"]) for r in list_tree(spark, str(tmp_path)).collect()) == want
     assert len(dealt) > 4
+
+
+def test_runs_come_whole_and_answer_as_the_table(spark):
+    from vocalake.operators import runs
+
+    rows = [(f"run_{i % 40}/{'latest' if i % 7 == 0 else f'step_{i:07d}'}", ("weights.safetensors", "config.json", "training_state.json", "training_state.json")[i % 4], ("", '{"base_model": "m%d"}' % i, '{"step": %d}' % i, "{}")[i % 4]) for i in range(1200)]
+    table = spark.createDataFrame([*rows, *((d, n, f"{b} ") for d, n, b in rows[:300] if n != "weights.safetensors")], "dir string, name string, body string").groupBy("dir", "name").agg(F.max("body").alias("body"))
+    seen = []
+
+    def read(path):
+        out = artifact_files(spark, path).where("dir <> ''")
+        seen.append({r["dir"].partition("/")[0] for r in out.select("dir").distinct().collect()})
+        return out
+
+    got = sidecars.by_parts_of_tree(table.select(F.concat_ws("/", "dir", "name").alias("name"), F.col("body").alias("payload")), read, most=650)
+    assert len(seen) == 2 and not seen[0] & seen[1] and len(seen[0] | seen[1]) == 40
+    for f in (runs.artifact_catalog, runs.resume_point):
+        own = f(got.where("dir like '%/%'"))
+        assert sorted(map(tuple, own.collect()), key=repr) == sorted(map(tuple, f(table).collect()), key=repr)
